@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import quality
+from shelfwise.llm import mixing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
+    "op2_mixing": mixing.op2_mixing,
     "op5_quality": quality.op5_quality,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": mixing.OP2_SQL,
     "op5_quality": quality.OP5_SQL,
 }
