@@ -134,7 +134,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT -1L AS conv_id, n AS turn, r AS role, '{probe}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(n, r)")
-    return read_back(written(format_conversations(rows.unionByName(extra)), "chat"))
+    back = read_back(written(format_conversations(rows.unionByName(extra)), "chat"))
+    return back.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 OP10_SQL = r"""

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import mixing, pii, quality
+from shelfwise.llm import chat_format, mixing, pii, quality, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op5_quality": quality.op5_quality,
+    "op7_tokens": token_output.op7_tokens,
+    "op10_chat": chat_format.op10_chat,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op5_quality": quality.OP5_SQL,
+    "op10_chat": chat_format.OP10_SQL,
 }

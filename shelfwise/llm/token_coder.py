@@ -5,7 +5,7 @@ checksum, so any block can be read alone. All blocks of a call advance in lockst
 
 The model of a block mixes three predictions of the next id x:
     P(x) = h2 [x = p2] + (1 - h2) (h1 [x = p1] + (1 - h1) P0(x))
-p2 and p1 are the ids that last followed the same two and the same one ids; h2 and h1 are their hit rates so far at
+p2 and p1 are the ids that last followed the same two and the same one ids; h2 and h1 are their recent hit rates at
 the same confidence. P0 counts the bit lengths of ids; the bits below the leading one are stored as they are.
 All arithmetic is on integers, so every machine codes alike.
 """
@@ -17,75 +17,77 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 2048
 MAX_ID = 65535
 _MAGIC = b"TKR1"
-_TABLE = 4096  # contexts per block and order
+_TABLE_BITS = 11  # contexts per block and order
 _CLASSES = 17
 _TOTAL_BITS = 16
 _TOTAL = 1 << _TOTAL_BITS
 _MASK48 = np.uint64((1 << 48) - 1)
 _LOW32 = np.uint64((1 << 32) - 1)
 _U16, _U32 = np.uint64(16), np.uint64(32)
-_STEP = 24
+#: Steps after which the bit lengths' shares follow their counts, and what each id adds to them.
+_PERIOD, _STEP = 16, 24
+_PLACE = np.arange(_CLASSES + 1, dtype=np.uint32)[:, None]
 
 
 class _Model:
-    """The models of all lanes."""
+    """The models of all lanes. A context's entry is its predicted id times 4 plus a confidence, 0 while empty."""
 
     def __init__(self, lanes: int):
         self.row = np.arange(lanes)
-        self.pred = np.full((2, lanes * _TABLE), -1, dtype=np.int32)
-        self.conf = np.zeros((2, lanes * _TABLE), dtype=np.int8)
-        self.hits = np.zeros((2, lanes * 4), dtype=np.int64)
-        self.tries = np.zeros((2, lanes * 4), dtype=np.int64)
-        self.classes = np.ones((lanes, _CLASSES), dtype=np.int64)
+        self.entries = [np.full(lanes << _TABLE_BITS, (MAX_ID + 1) << 2, dtype=np.int32) for _ in range(2)]
+        self.rates = [np.full(lanes * 4, _TOTAL // 2, dtype=np.int32) for _ in range(2)]
+        self.counts = np.ones(_CLASSES * lanes, dtype=np.int64)
+        self.cdf, self.time = np.zeros((_CLASSES + 1, lanes), dtype=np.uint32), 0
         self.last = np.zeros(lanes, dtype=np.int64)
-        self.before = np.zeros(lanes, dtype=np.int64)
-        self.base, self.base4 = self.row * _TABLE, self.row * 4
+        self.mixed = np.zeros(lanes, dtype=np.int64)
+        self.base, self.base4 = self.row << _TABLE_BITS, (self.row * 4).astype(np.int32)
 
     def predict(self) -> None:
-        """The two predicted ids with the shares of the code space they get, and the classes' cumulative counts."""
-        slot1 = (self.last * 40503 >> 3) & (_TABLE - 1)
-        slot2 = ((self.last * 40503 + self.before * 30011) >> 5) & (_TABLE - 1)
-        self.slots = (self.base + slot2, self.base + slot1)
-        self.guess, self.state, share = [], [], []
-        for k in (0, 1):
-            guess = self.pred[k][self.slots[k]]
-            state = self.base4 + self.conf[k][self.slots[k]]
-            rate = (2 * self.hits[k][state] + 1) * 60000 // (2 * self.tries[k][state] + 2)
-            share.append(np.where(guess >= 0, rate, 0))
-            self.guess.append(guess)
-            self.state.append(state)
-        self.f2 = share[0]
-        self.f1 = (_TOTAL - self.f2) * share[1] >> _TOTAL_BITS
+        """Predicted ids g2 and g1, their parts f2 and f1 of the code space, and what is left for bit lengths."""
+        if self.time % _PERIOD == 0:
+            total = np.cumsum(self.counts.reshape(_CLASSES, -1), axis=0)
+            self.cdf[1:] = (total << _TOTAL_BITS) // total[-1]
+        self.time += 1
+        mask = (1 << _TABLE_BITS) - 1
+        one = self.last * 40503
+        self.slots = (self.base + (((one + self.mixed) >> 5) & mask), self.base + ((one >> 3) & mask))
+        self.found = [self.entries[k].take(self.slots[k]) for k in (0, 1)]
+        self.guess = [e >> 2 for e in self.found]
+        self.state = [self.base4 + (e & 3) for e in self.found]
+        self.rate = [self.rates[k].take(self.state[k]) for k in (0, 1)]
+        self.f2 = ((self.rate[0] * np.int64(60000)) >> _TOTAL_BITS) + 16
+        self.f1 = ((_TOTAL - self.f2) * (((self.rate[1] * np.int64(60000)) >> _TOTAL_BITS) + 16)) >> _TOTAL_BITS
         self.head = self.f2 + self.f1
-        rest = _TOTAL - self.head - _CLASSES
-        cum = np.cumsum(self.classes, axis=1)
-        self.starts = np.zeros((len(self.row), _CLASSES + 1), dtype=np.int64)
-        # each class keeps at least one part of the space
-        self.starts[:, 1:] = rest[:, None] * cum // cum[:, -1:] + np.arange(1, _CLASSES + 1)
-        self.starts += self.head[:, None]
-
-    def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
-        """kind: 0 where p2 was right, 1 where p1 was, else 2."""
+        self.room = _TOTAL - _CLASSES - self.head
+
+    def bound(self, k: np.ndarray) -> np.ndarray:
+        """Where bit length k's part begins; each has at least one unit."""
+        return self.head + k + ((self.cdf.take(k * len(self.row) + self.row) * self.room) >> _TOTAL_BITS)
+
+    def class_at(self, above: np.ndarray) -> np.ndarray:
+        """The bit length whose part holds this place, counted from where the parts begin."""
+        begins = ((self.cdf[1:_CLASSES] * self.room.astype(np.uint32)) >> np.uint32(_TOTAL_BITS)) + _PLACE[1:_CLASSES]
+        return np.add.reduce((begins <= np.maximum(above, 0).astype(np.uint32)).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
+
+    def update(self, ids: np.ndarray, cls: np.ndarray) -> None:
+        fresh = ((ids << 2) + 1).astype(np.int32)
         for k in (0, 1):
-            slot, known, hit = self.slots[k], self.guess[k] >= 0, self.guess[k] == ids
-            self.tries[k][self.state[k]] += known
-            self.hits[k][self.state[k]] += hit
-            conf = self.conf[k][slot]
-            self.pred[k][slot] = np.where(conf <= 1, ids, self.guess[k])
-            self.conf[k][slot] = np.where(hit, np.minimum(conf + 1, 3), np.where(conf <= 1, 0, conf - 1))
-        missed = np.nonzero(kind == 2)[0]
-        self.classes[missed, bit_length(ids[missed])] += _STEP
-        self.before, self.last = self.last, ids
+            entry, rate, hit = self.found[k], self.rate[k], self.guess[k] == ids
+            self.rates[k][self.state[k]] = rate + (((hit * np.int32(_TOTAL)) - rate) >> 4)
+            conf = entry & 3
+            self.entries[k][self.slots[k]] = np.where(hit, entry + (conf < 3), np.where(conf > 1, entry - 1, fresh))
+        self.counts[cls * len(self.row) + self.row] += _STEP
+        self.mixed, self.last = self.last * 30011, ids
 
 
 _LENGTHS = np.array([int(i).bit_length() for i in range(MAX_ID + 1)], dtype=np.int64)
 
 
 def bit_length(ids: np.ndarray) -> np.ndarray:
-    return _LENGTHS[ids]
+    return _LENGTHS.take(ids)
 
 
 def _pack_bits(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
@@ -117,35 +119,35 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     counts[-1] = n - steps * (lanes - 1)
     model = _Model(lanes)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, _MASK48, dtype=np.uint64)
-    out, size = np.zeros((lanes, steps * 5 // 4 + 16), dtype="<u2"), np.zeros(lanes, dtype=np.int64)
-    rows, raw = model.row, np.zeros((steps, lanes), dtype=bool)
+    width = steps * 5 // 4 + 16
+    out, size, at = np.zeros(lanes * width, dtype="<u2"), np.zeros(lanes, dtype=np.int64), model.row * width
+    raw = np.zeros((steps, lanes), dtype=bool)
     for t in range(steps):
         x = grid[t]
         model.predict()
-        kind = np.where(x == model.guess[0], 0, np.where((x == model.guess[1]) & (model.f1 > 0), 1, 2))
+        kind = np.where(x == model.guess[0], 0, 2 - (x == model.guess[1]))
         cls = bit_length(x)
-        start = np.where(kind == 0, 0, np.where(kind == 1, model.f2, model.starts[rows, cls]))
-        freq = np.where(kind == 0, model.f2, np.where(kind == 1, model.f1, model.starts[rows, cls + 1] - model.starts[rows, cls]))
+        first = model.bound(cls)
+        start = np.where(kind == 2, first, kind * model.f2)
+        freq = np.where(kind == 2, model.bound(cls + 1) - first, np.where(kind == 0, model.f2, model.f1))
         raw[t] = kind == 2
         part = span >> _U16
         low = (low + part * start.astype(np.uint64)) & _MASK48
         span = part * freq.astype(np.uint64)
-        while len(i := np.nonzero(span <= _LOW32)[0]):
-            lo, sp = low[i], span[i]
-            cross = ((lo ^ (lo + sp)) >> _U32) != 0
-            sp = np.where(cross, (~lo + np.uint64(1)) & _LOW32, sp)
-            out[i, size[i]] = (lo >> _U32).astype(np.uint16)
-            size[i] += 1
-            low[i], span[i] = (lo << _U16) & _MASK48, (sp << _U16) & _MASK48
-        model.update(x, kind)
+        while (short := span <= _LOW32).any():
+            span = np.where(short & (((low ^ (low + span)) >> _U32) != 0), -low & _LOW32, span)
+            out[at + size] = low >> _U32  # stays only where the size moves on
+            size += short
+            low, span = np.where(short, (low << _U16) & _MASK48, low), np.where(short, (span << _U16) & _MASK48, span)
+        model.update(x, cls)
     for shift in (32, 16, 0):
-        out[rows, size] = ((low >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
+        out[at + size] = (low >> np.uint64(shift)) & np.uint64(0xFFFF)
         size += 1
     heads, bodies = [], []
     for k in range(lanes):
         x = grid[: counts[k], k][raw[: counts[k], k]]
-        width = np.maximum(bit_length(x) - 1, 0)
-        body = out[k, : size[k]].tobytes() + (bits := _pack_bits(x & ((1 << width) - 1), width)).tobytes()
+        below = np.maximum(bit_length(x) - 1, 0)
+        body = out[at[k] : at[k] + size[k]].tobytes() + (bits := _pack_bits(x & ((1 << below) - 1), below)).tobytes()
         heads.append(struct.pack("<IIII", counts[k], size[k], len(bits), zlib.crc32(body)))
         bodies.append(body)
     return _MAGIC + struct.pack("<I", lanes) + b"".join(heads) + b"".join(bodies)
@@ -172,7 +174,8 @@ def decode(data: bytes) -> np.ndarray:
         at = end
     steps = int(counts.max())
     model = _Model(lanes)
-    rows = model.row
+    first_word, flat, first_bits, flat_bits = model.row * words.shape[1], words.ravel(), model.row * bits.shape[1], bits.ravel()
+    last_word, last_bits = first_word + words.shape[1] - 1, bits.shape[1] - 2
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, _MASK48, dtype=np.uint64)
     code = (words[:, 0] << _U32) | (words[:, 1] << _U16) | words[:, 2]
     used, bit = np.full(lanes, 3, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
@@ -181,25 +184,24 @@ def decode(data: bytes) -> np.ndarray:
         model.predict()
         part = span >> _U16
         value = np.minimum(((code - low) & _MASK48) // part, np.uint64(_TOTAL - 1)).astype(np.int64)
-        kind = np.where(value < model.f2, 0, np.where(value < model.head, 1, 2))
-        cls = np.minimum((model.starts[:, 1:] <= value[:, None]).sum(axis=1), _CLASSES - 1)
-        start = np.where(kind == 0, 0, np.where(kind == 1, model.f2, model.starts[rows, cls]))
-        freq = np.where(kind == 0, model.f2, np.where(kind == 1, model.f1, model.starts[rows, cls + 1] - model.starts[rows, cls]))
+        kind = (value >= model.f2).astype(np.int64) + (value >= model.head)
+        cls = model.class_at(value - model.head)
+        first = model.bound(cls)
+        start = np.where(kind == 2, first, kind * model.f2)
+        freq = np.where(kind == 2, model.bound(cls + 1) - first, np.where(kind == 0, model.f2, model.f1))
         width = np.where(kind == 2, np.maximum(cls - 1, 0), 0)
-        word = np.minimum(bit >> 5, bits.shape[1] - 2)
-        low_bits = ((bits[rows, word] | (bits[rows, word + 1] << _U32)) >> (bit & 31).astype(np.uint64)).astype(np.int64) & ((1 << width) - 1)
+        word = first_bits + np.minimum(bit >> 5, last_bits)
+        low_bits = ((flat_bits.take(word) | (flat_bits.take(word + 1) << _U32)) >> (bit & 31).astype(np.uint64)).astype(np.int64) & ((1 << width) - 1)
         bit += width
         x = np.where(kind == 0, model.guess[0], np.where(kind == 1, model.guess[1], np.where(cls > 0, (1 << width) + low_bits, 0)))
         x = np.clip(x, 0, MAX_ID).astype(np.int64)  # lanes past their end decode noise
         grid[t] = x
         low = (low + part * start.astype(np.uint64)) & _MASK48
         span = part * freq.astype(np.uint64)
-        while len(i := np.nonzero(span <= _LOW32)[0]):
-            lo, sp = low[i], span[i]
-            cross = ((lo ^ (lo + sp)) >> _U32) != 0
-            sp = np.where(cross, (~lo + np.uint64(1)) & _LOW32, sp)
-            code[i] = ((code[i] << _U16) & _MASK48) | words[i, np.minimum(used[i], words.shape[1] - 1)]
-            used[i] += 1
-            low[i], span[i] = (lo << _U16) & _MASK48, np.maximum((sp << _U16) & _MASK48, np.uint64(1))
-        model.update(x, kind)
+        while (short := span <= _LOW32).any():
+            span = np.where(short & (((low ^ (low + span)) >> _U32) != 0), -low & _LOW32, span)
+            code = np.where(short, ((code << _U16) & _MASK48) | flat.take(np.minimum(first_word + used, last_word)), code)
+            used += short
+            low, span = np.where(short, (low << _U16) & _MASK48, low), np.where(short, np.maximum((span << _U16) & _MASK48, np.uint64(1)), span)
+        model.update(x, bit_length(x))
     return np.concatenate([grid[: counts[k], k] for k in range(lanes)])
