@@ -97,7 +97,7 @@ def format_conversations(rows: DataFrame, tokenizer: str | None = None) -> DataF
         return out
 
     kind = rows.schema["conv_id"].dataType.simpleString()
-    return map_batches(whole, encode, f"conv_id {kind}, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<tinyint>")
+    return map_batches(whole, encode, f"conv_id {kind}, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<tinyint>", rows=100)
 
 
 def _masked(formatted: str, starts: list[int], ends: list[int], loss: list[int]) -> Iterator[str]:
@@ -127,7 +127,7 @@ def read_back(rows: DataFrame) -> DataFrame:
         return out
 
     kind = rows.schema["conv_id"].dataType.simpleString()
-    return map_batches(rows, digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, n_loss_tokens long")
+    return map_batches(rows, digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, n_loss_tokens long", rows=100)
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

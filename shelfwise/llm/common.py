@@ -53,8 +53,8 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list] | None], schema: str) -> DataFrame:
-    """Applies `fn`, from lists by column to lists by column, to each Arrow batch."""
+def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list] | None], schema: str, rows: int = 1000) -> DataFrame:
+    """Applies `fn`, from lists by column to lists by column, to so many rows at a time."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -63,7 +63,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if out := fn(batch.to_pydict()):
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+            for k in range(0, batch.num_rows, rows):
+                if out := fn(batch.slice(k, rows).to_pydict()):
+                    yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
     return df.mapInArrow(run, spark_schema)
