@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import chat_format, mixing, pii, quality, token_output
+from shelfwise.llm import chat_format, mixing, ngram_join, pii, quality, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op5_quality": quality.op5_quality,
     "op7_tokens": token_output.op7_tokens,
+    "op9_jaccard": ngram_join.op9_jaccard,
     "op10_chat": chat_format.op10_chat,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op5_quality": quality.OP5_SQL,
+    "op9_jaccard": ngram_join.OP9_SQL,
     "op10_chat": chat_format.OP10_SQL,
 }
