@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import chat_format, mixing, ngram_join, pii, quality, token_output
+from shelfwise.llm import chat_format, decontam, mixing, ngram_join, pii, quality, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op5_quality": quality.op5_quality,
+    "op6_decontam": decontam.op6_decontam,
     "op7_tokens": token_output.op7_tokens,
     "op9_jaccard": ngram_join.op9_jaccard,
     "op10_chat": chat_format.op10_chat,
