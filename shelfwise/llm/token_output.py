@@ -37,43 +37,81 @@ _encoders: dict[str, _Encoder] = {}
 
 
 class _Encoder:
-    """Encodes by white-space words, each once: this tokenizer drops white space and splits on it, so no token spans two words."""
+    """Encodes by white-space words, each once: this tokenizer drops white space and splits on it, so no token spans two words.
+
+    Words of letters alone are encoded many at a time: each is one piece there, and its last id is one that ends words.
+    A word of ASCII letters and closing punctuation is the lower-case word and the punctuation, as the tokenizer parts them.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
+    def _pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids one after another, and how many each has."""
+        joined = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int64)
+        last = np.nonzero(self.ends[joined])[0]
+        if len(last) == len(words):
+            return joined, np.diff(last, prepend=-1)
+        return self._each(words)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        new = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        lengths = np.array([len(x) for x in new], dtype=np.int64)
+        return np.fromiter((i for x in new for i in x), dtype=np.int64, count=int(lengths.sum())), lengths
+
+    def _add(self, words: list[str]) -> None:
+        """Encodes pieces that are not known yet."""
+        for alone, encode in ((True, self._pieces), (False, self._each)):
+            some = [w for w in words if w.isalpha() == alone]
+            for k in range(0, len(some), 2000):
+                ids, lengths = encode(some[k : k + 2000])
+                self.pieces.update(zip(some[k : k + 2000], range(len(self.piece_starts), len(self.piece_starts) + len(lengths)), strict=True))
+                self.piece_starts = np.concatenate([self.piece_starts, len(self.piece_ids) + np.cumsum(lengths) - lengths])
+                self.piece_lengths, self.piece_ids = np.concatenate([self.piece_lengths, lengths]), np.concatenate([self.piece_ids, ids])
+
+    def _learn(self, words: set[bytes]) -> None:
+        parts = []
+        for w in words:
+            text = w.decode()
+            body = text.rstrip(".,;:!?")
+            parts.append((body.lower(), text[len(body) :]) if body.isalpha() and body.isascii() else (text, ""))
+        self._add(list({p for pair in parts for p in pair}.difference(self.pieces)))
+        self.index.update(zip(words, range(len(self.first), len(self.first) + len(words)), strict=True))
+        pairs = np.array([(self.pieces[a], self.pieces[b]) for a, b in parts], dtype=np.int64)
+        self.first, self.second = np.concatenate([self.first, pairs[:, 0]]), np.concatenate([self.second, pairs[:, 1]])
+
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {b"": 0}  # no word is empty: it stands for the end of a document
-        self.flat, self.starts, self.lengths = np.array([END_ID], dtype=np.int64), np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
+        # piece 0 is empty, piece 1 the end of a document, which stands in for the empty word
+        self.pieces, self.piece_ids = {"": 0}, np.array([END_ID], dtype=np.int64)
+        self.piece_starts, self.piece_lengths = np.zeros(2, dtype=np.int64), np.array([0, 1], dtype=np.int64)
+        self.index, self.first, self.second = {b"": 0}, np.ones(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, an end id after each text, and the number of ids of each text."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        known, index = len(self.index), self.index
-        fresh: list[bytes] = []
-        places, counts = [], np.zeros(len(texts), dtype=np.int64)
-        for k, text in enumerate(texts):
-            row = text.split()
-            for w in set(row).difference(index):
-                index[w] = known + len(fresh)
-                fresh.append(w)
+        rows, fresh, index = [], set(), self.index
+        for text in texts:
+            rows.append(row := text.split())
+            fresh.update(set(row).difference(index))
+        if fresh:
+            self._learn(fresh)
+        places, counts = [], np.array([len(row) + 1 for row in rows], dtype=np.int64)
+        for row in rows:
             row.append(b"")
             places.append(np.fromiter(map(index.__getitem__, row), dtype=np.int64, count=len(row)))
-            counts[k] = len(row)
-        if fresh:
-            new = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)]
-            lengths = np.array([len(x) for x in new], dtype=np.int64)
-            flat = np.fromiter((i for x in new for i in x), dtype=np.int64, count=int(lengths.sum()))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, flat])
         at = np.concatenate(places)
-        lengths = self.lengths[at]
+        pieces = np.stack([self.first[at], self.second[at]], axis=1).ravel()
+        lengths = self.piece_lengths[pieces]
         ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        ids = self.piece_ids[np.repeat(self.piece_starts[pieces] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        ends = ends[1::2]
         last = np.cumsum(counts) - 1
         return ids, np.diff(ends[last], prepend=0)
 
@@ -105,9 +143,9 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None, id_col: str = "d
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 500):
-                ids, lengths = _encoder(path).encode(texts[k : k + 500])
-                held.append((doc_ids[k : k + 500], ids, lengths))
+            for k in range(0, len(texts), 2000):
+                ids, lengths = _encoder(path).encode(texts[k : k + 2000])
+                held.append((doc_ids[k : k + 2000], ids, lengths))
                 if sum(len(x[1]) for x in held) >= SEGMENT_IDS:
                     yield full()
         if held:
