@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import chat_format, decontam, lm_score, mixing, ngram_join, pii, quality, token_output
+from shelfwise.llm import chat_format, decontam, lm_score, mixing, ngram_join, pii, quality, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_mixing": mixing.op2_mixing,
     "op3_lm": lm_score.op3_lm,
+    "op4_suffix": suffix_dedup.op4_suffix,
     "op5_quality": quality.op5_quality,
     "op6_decontam": decontam.op6_decontam,
     "op7_tokens": token_output.op7_tokens,
