@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import chat_format, decontam, lm_score, mixing, ngram_join, pii, quality, suffix_dedup, token_output
+from shelfwise.llm import chat_format, compact_windows, decontam, lm_score, mixing, ngram_join, pii, quality, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": quality.op5_quality,
     "op6_decontam": decontam.op6_decontam,
     "op7_tokens": token_output.op7_tokens,
+    "op8_windows": compact_windows.op8_windows,
     "op9_jaccard": ngram_join.op9_jaccard,
     "op10_chat": chat_format.op10_chat,
 }
