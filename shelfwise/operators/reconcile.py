@@ -14,7 +14,7 @@ def previous_manifest(current: DataFrame) -> DataFrame:
     kept = current.filter(n % 13 != 0).withColumn("modification_signature", F.when(n % 5 == 0, F.lit("old")).otherwise(F.col("modification_signature")))
     kept = kept.withColumn("document_ids", F.when(n % 7 == 0, F.concat("document_ids", F.array(F.concat(F.lit("product://pid=OLD-"), "root_id")))).otherwise(F.col("document_ids")))
     kept = kept.withColumn("eligibility_signature", F.when(n % 11 == 0, F.lit("other")).otherwise(F.col("eligibility_signature")))
-    gone = current.filter(n % 17 == 0).select(F.concat(F.lit("GONE-"), "root_id").alias("root_id"), *SIGNATURES, F.array(F.concat(F.lit("product://pid=GONE-"), "root_id"), F.get("document_ids", F.lit(0))).alias("document_ids"))
+    gone = current.filter(n % 17 == 0).select(F.concat(F.lit("GONE-"), "root_id").alias("root_id"), *SIGNATURES, F.array_compact(F.array(F.concat(F.lit("product://pid=GONE-"), "root_id"), F.get("document_ids", F.lit(0)))).alias("document_ids"))
     return kept.select("root_id", *SIGNATURES, "document_ids").unionByName(gone)
 
 
