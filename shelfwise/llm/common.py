@@ -40,6 +40,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # shuffle files that nothing needs any more go at once
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path  # type: ignore[attr-defined]
     return out

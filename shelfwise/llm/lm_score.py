@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import table, written
+from shelfwise.llm.common import dropped, table, written
 
 STATES = 6
 ROUNDS = 4
@@ -74,7 +74,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             n = len(words)
             nothing = [pa.nulls(n, schema.field(k).type) for k in (4, 5, 6)]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(list(words), type=pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts.astype(np.int64)), *nothing], schema=schema)
-            values = [chunk, None, None, int(counts.sum()), ids, lengths, flat.astype(np.int32).tobytes()]
+            values = [chunk, None, None, int(counts.sum()), ids, lengths, zlib.compress(flat.astype(np.int32).tobytes(), 1)]
             yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
             words, ids, lengths, tokens, size, made = _Numbers({_END: 0}), [], [], [], 0, made + 1
 
@@ -202,7 +202,7 @@ def log_likelihood(model: Model, cls: np.ndarray, lengths: np.ndarray) -> np.nda
 def _decoded(batch: pa.RecordBatch, k: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc_ids, lengths, and per token the class, the word's count; the vocabulary in order of its numbers."""
     doc_ids, lengths, numbers, cls, counts = (batch.column(c)[k].as_py() for c in ("doc_ids", "lengths", "numbers", "cls", "counts"))
-    at = np.frombuffer(numbers, dtype=np.int32)
+    at = np.frombuffer(zlib.decompress(numbers), dtype=np.int32)
     counts = np.array(counts, dtype=np.int64)
     classes = np.where(counts > 0, np.array(cls, dtype=np.int64), CLASSES)
     return doc_ids, np.array(lengths, dtype=np.int64), classes[at], counts[at], np.array([not is_held_out(i) for i in doc_ids], dtype=bool)
@@ -227,6 +227,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     per_chunk = entries.select("chunk", "number", "word").join(vocabulary, "word").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("number", _classes().alias("k"), "c"))).alias("v"))
     per_chunk = per_chunk.select("chunk", F.transform("v", lambda x: x["k"]).alias("cls"), F.transform("v", lambda x: x["c"]).alias("counts"))
     chunks = written(made.filter("word is null").select("chunk", "doc_ids", "lengths", "numbers").join(per_chunk, "chunk"), "lm-coded")
+    dropped(made)
 
     model = Model.initial(unigram)
     for _ in range(ROUNDS):
