@@ -1,6 +1,6 @@
 """Jaccard join of the documents' 5-word shingle sets, with set-relation skipping.
 
-1. Documents with equal sets are one set from here on (by a fingerprint of all shingles).
+1. Documents with equal sets are one set from here on, by a hash over all shingles.
 2. Shingles get one global order, frequent ones last, then by hash. Of each set only the prefix is indexed: two sets
    that reach the threshold share a shingle of their prefixes. The rest of every index list is skipped by position.
 3. An index list is not compared pair by pair. Its first set leads and is compared with each of the others.
@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import shingles
-from shelfwise.llm.common import table, written
+from shelfwise.llm.common import dropped, table, written
 from shelfwise.llm.graph import components
 
 #: Links: 100 * intersection >= PERCENT * union. The difference filter's weights (4, 3, 7) are those of 75.
 PERCENT = 75
-SHORT = 8
+SHORT = 16
 #: A shingle is frequent if this share of the sets has it. The list is broadcast: at most the mean set size
 #: divided by the share, whatever the number of documents; the order it gives changes cost, never results.
 FREQUENT = 1 / 2000
@@ -48,27 +48,30 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _ids_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A set's id: a 64-bit hash of its size and two sums over its shingles."""
+    parts = [(len(s), s.sum(dtype=np.uint64), shingles.mix(s ^ _SIGN).sum(dtype=np.uint64)) for s in sets]
+    n, f1, f2 = (np.array([p[i] for p in parts], dtype=np.uint64) for i in range(3))
+    return _signed(shingles.mix(f1 ^ shingles.mix(f2 ^ shingles.mix(n + _SIGN))))
+
+
 def _summary(docs: DataFrame) -> DataFrame:
-    """kind 0: a row per document with its set's size and fingerprint; kind 1: shingles frequent among a batch's documents."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", docs_type(docs)), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64())])
+    """kind 0: a row per document with its set's size and id; kind 1: shingles frequent among a batch's documents."""
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", docs_type(docs)), ("n", pa.int64()), ("sid", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles.shingle_set(t) for t in batch.column(1).to_pylist()]
-            f1 = [int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            f2 = [int(shingles.mix(s ^ _SIGN).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-            columns = [pa.array(np.zeros(len(sets), dtype=np.int32)), batch.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(f1, type=pa.int64()), pa.array(f2, type=pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-            _, firsts = np.unique(np.array([f1, f2]), axis=1, return_index=True)  # equal sets count once
+            ids = _ids_of(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), dtype=np.int32)), batch.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(ids)], schema=schema)
+            _, firsts = np.unique(ids, return_index=True)  # equal sets count once
             hashes, counts = np.unique(np.concatenate([sets[i] for i in firsts]), return_counts=True)
             often = counts >= _LOCAL_LEAST
             k = int(often.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(k, dtype=np.int32)), pa.nulls(k, schema.field(1).type), pa.array(counts[often]), pa.array(_signed(hashes[often])), pa.array(np.zeros(k, dtype=np.int64))], schema=schema
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, dtype=np.int32)), pa.nulls(k, schema.field(1).type), pa.array(counts[often].astype(np.int64)), pa.array(_signed(hashes[often]))], schema=schema)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, f1 long, f2 long")
+    return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, sid long")
 
 
 def docs_type(docs: DataFrame) -> pa.DataType:
@@ -78,50 +81,52 @@ def docs_type(docs: DataFrame) -> pa.DataType:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n, shingles) of the sets wanted, each from the document whose id stands for it."""
-    rows = docs.join(wanted, "doc_id")
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("shingles", pa.binary())])
+    """(sid, n, text) of the sets wanted, each from a document whose id stands for it. Texts are shorter than their sets."""
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for text, sid, n, f1, f2 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = shingles.shingle_set(text)
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                sets = [shingles.shingle_set(t) for t in some.column(0).to_pylist()]
+                ids = _ids_of(sets)
                 # rows that share an id without sharing the set drop out here
-                if sid not in seen and len(s) == n and int(s.sum(dtype=np.uint64).view(np.int64)) == f1:
-                    seen.add(sid)
-                    for column, v in zip(out, (sid, n, f1, f2, s.tobytes()), strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+                pick = np.flatnonzero(ids == some.column(1).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array([len(sets[i]) for i in pick], type=pa.int64()), some.column(0).take(pa.array(pick))], schema=schema)
 
-    return rows.select("text", "sid", "n", "f1", "f2").mapInArrow(run, "sid long, n long, f1 long, f2 long, shingles binary").select("sid", "n", "shingles")
+    return docs.join(wanted, "doc_id").select("text", "sid").mapInArrow(run, "sid long, n long, text binary")
 
 
-def _prefixes(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(key, sid, n, open) for each shingle of each prefix."""
-    shared = sets.sparkSession.sparkContext.broadcast(np.sort(frequent))
+def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(key, sid, n, open) for each shingle of each prefix. A task emits equal sets once."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
     schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in batches:
-            keys = []
-            for data in batch.column(2).to_pylist():
-                s = np.frombuffer(data, dtype=np.uint64)
+            seen: dict[int, np.ndarray] = {}
+            sets = [shingles.shingle_set(t) for t in batch.column(1).to_pylist()]
+            sizes = {}
+            for sid, s in zip(_ids_of(sets).tolist(), sets, strict=True):
+                if sid in seen or not len(s):
+                    continue
                 late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s if len(often) else np.zeros(len(s), dtype=bool)
                 length = len(s) - -(-PERCENT * len(s) // 100) + 1
-                keys.append(_signed(np.concatenate([s[~late], s[late]])[:length]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, type=pa.list_(pa.int64()))], schema=schema)
+                seen[sid], sizes[sid] = _signed(np.concatenate([s[~late], s[late]])[:length]), len(s)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.int64()), pa.array(list(sizes.values()), type=pa.int64()), pa.array(list(seen.values()), type=schema.field(2).type)], schema=schema)
 
-    found = sets.select("sid", "n", "shingles").mapInArrow(run, "sid long, n long, keys array<long>")
+    found = docs.mapInArrow(run, "sid long, n long, keys array<long>")
     return found.select(F.explode("keys").alias("key"), "sid", "n", F.lit(True).alias("open"))
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """Pairs (a, b, star): list leaders with the other sets, and all pairs of short lists."""
-    lists = entries.groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("other"), F.count(F.lit(1)).alias("m"), F.max("open").alias("any")).filter("leader <> other and any")
-    listed = entries.join(lists.select("key", "leader", "m"), "key")
+    """Pairs (a, b, star): list leaders with the other sets, and all pairs of short lists. Uses up the entries."""
+    several = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    met = written(entries.join(several, "key"), "lists")
+    dropped(entries)
+    lists = met.groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("other"), F.count(F.lit(1)).alias("m"), F.max("open").alias("any")).filter("leader <> other and any")
+    listed = met.join(lists.select("key", "leader", "m"), "key")
     star = listed.filter(f"m > {SHORT} and sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b"), F.lit(True).alias("star"))
     short = listed.filter(f"m <= {SHORT}").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("sid", "n"))).alias("s"))
     pairs = short.select(F.explode(F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> struct(x.sid as a, y.sid as b, x.n as p, y.n as q))))")).alias("p"))
@@ -131,8 +136,8 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, n, linked, keys): keys are the difference prefix of b against its leader a, for the next round."""
-    left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("n"), F.col("shingles").alias("sb")), "b")
-    both = left.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "star", "n", "sa", "sb")
+    left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("n"), F.col("text").alias("tb")), "b")
+    both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "n", "ta", "tb")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,10 +145,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for k in range(0, batch.num_rows, 500):
                 out: list[list] = [[], [], [], [], []]
                 last: tuple[int, np.ndarray] | None = None
-                for a, b, star, n, sa, sb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
+                for a, b, star, n, ta, tb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
                     if last is None or last[0] != a:
-                        last = (a, np.frombuffer(sa, dtype=np.uint64))
-                    x, y = last[1], np.frombuffer(sb, dtype=np.uint64)
+                        last = (a, shingles.shingle_set(ta))
+                    x, y = last[1], shingles.shingle_set(tb)
                     common = np.intersect1d(x, y, assume_unique=True)
                     inter, c = len(common), len(x)
                     linked = 100 * inter >= PERCENT * (c + len(y) - inter)
@@ -165,13 +170,11 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per document (doc_id, sid, n), and the links (u, v) between set ids that were verified."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     summary = written(_summary(rows), "sets")
-    members = summary.filter("kind = 0").select("doc_id", "n", "f1", "f2", F.xxhash64("n", "f1", "f2").alias("sid"))
-    distinct = members.filter("n > 0").groupBy("sid", "n", "f1", "f2").agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null")
-    total = distinct.count()
-    often = summary.filter("kind = 1").groupBy("f1").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(_FREQUENT_LEAST, total * FREQUENT))
-    frequent = np.array([r[0] for r in often.select("f1").toLocalIterator()], dtype=np.int64).view(np.uint64)
-    sets = _sets_of(rows, distinct)
-    entries = _prefixes(sets, frequent)
+    members = summary.filter("kind = 0").select("doc_id", "n", "sid")
+    total = members.count()
+    often = summary.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(_FREQUENT_LEAST, total * FREQUENT))
+    frequent = np.array([r[0] for r in often.select("sid").toLocalIterator()], dtype=np.int64).view(np.uint64)
+    entries = written(_prefixes(rows, frequent), "prefixes")
     links: DataFrame | None = None
     needed: DataFrame | None = None
     while True:
@@ -180,11 +183,12 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             break
         if needed is None:
             ids = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-            needed = written(_sets_of(rows, distinct.join(ids, "sid")).dropDuplicates(["sid"]), "sets")
+            first = members.join(ids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+            needed = written(_sets_of(rows, first).dropDuplicates(["sid"]), "sets")
         found = written(_verified(pairs, needed), "links")
         linked = found.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = linked if links is None else links.union(linked)
-        entries = found.filter("keys is not null").select(F.explode("keys").alias("key"), F.col("b").alias("sid"), "n", (~F.col("linked")).alias("open"))
+        entries = written(found.filter("keys is not null").select(F.explode("keys").alias("key"), F.col("b").alias("sid"), "n", (~F.col("linked")).alias("open")), "prefixes")
     return members.select("doc_id", "sid", "n"), links if links is not None else docs.sparkSession.createDataFrame([], "u long, v long")
 
 

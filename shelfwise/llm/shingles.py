@@ -7,7 +7,15 @@ import xxhash
 
 WIDTH = 5
 _CACHE_WORDS = 1_000_000
-_words: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_words = _Hashes()
 _MULTIPLY, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -22,8 +30,6 @@ def word_hashes(text: bytes | None) -> np.ndarray:
     words = (text or b"").lower().split()
     if len(_words) > _CACHE_WORDS:
         _words.clear()
-    for w in set(words).difference(_words):
-        _words[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
