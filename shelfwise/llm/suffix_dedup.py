@@ -196,7 +196,7 @@ def _judged(short: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, spans) of documents (doc, text as bytes): the maximal runs of bytes to remove, sorted."""
     places = _anchor_rows(docs)
-    twice = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    twice = written(places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "twice")
     marks = written(places.join(twice, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("marks")), "anchors")
     pieces = written(_cut(docs.join(marks, "doc").select("doc", "text", "marks")), "pieces")
     short = pieces.filter("bytes is not null").repartition("anchor").sortWithinPartitions("anchor")
