@@ -226,8 +226,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     unigram /= unigram.sum()
     per_chunk = entries.select("chunk", "number", "word").join(vocabulary, "word").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("number", _classes().alias("k"), "c"))).alias("v"))
     per_chunk = per_chunk.select("chunk", F.transform("v", lambda x: x["k"]).alias("cls"), F.transform("v", lambda x: x["c"]).alias("counts"))
+    per_chunk = written(per_chunk, "lm-counts")
     chunks = written(made.filter("word is null").select("chunk", "doc_ids", "lengths", "numbers").join(per_chunk, "chunk"), "lm-coded")
     dropped(made)
+    dropped(per_chunk)
 
     model = Model.initial(unigram)
     for _ in range(ROUNDS):
