@@ -15,6 +15,7 @@ Without items nothing is contaminated. Only the named columns are read.
 
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -69,6 +70,13 @@ def _grams(w: list[bytes], n: int = 3) -> set[tuple[bytes, ...]]:
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
+class _Numbers(dict):
+    """Numbers of the index's terms, -1 for other words."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Index:
     """One shard of the inverted index, with impacts as shares of an item's own score."""
 
@@ -87,6 +95,7 @@ class Index:
             for term, v in impact.items():
                 lists[self.terms.setdefault(term.encode(), len(self.terms))].append((i, v / whole))
             self.parts.append([(n := min(3, len(p)), _grams(p, n) if n else set()) for p in halves(r["text"])])
+        self.numbers = _Numbers(self.terms)
         self.items = [[i for i, _ in lists[t]] for t in range(len(self.terms))]
         self.impacts = [[v for _, v in lists[t]] for t in range(len(self.terms))]
         self.blocks = [[max(v[k : k + BLOCK_ITEMS]) for k in range(0, len(v), BLOCK_ITEMS)] for v in self.impacts]
@@ -100,10 +109,14 @@ class Index:
         self.term_bounds = np.array([max(v for i, v in zip(x, y, strict=True) if i // BLOCK_ITEMS == k) for x, y, h in zip(self.items, self.impacts, held, strict=True) for k in h])
         self.half = max([_LEAST_HALF, *(r["length"] for r in rows)])
 
-    def search(self, query: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """Block-max WAND: every item whose share reaches the threshold."""
-        found, n = [], len(self.ids)
-        cursors = [[self.items[t][0], 0, t] for t in query]
+    def search(self, query: list[int], threshold: float = THRESHOLD, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """Block-max WAND: every item from `first` to before `end` whose share reaches the threshold."""
+        found, n = [], len(self.ids) if end is None else end
+        cursors = []
+        for t in query:
+            at = bisect_left(self.items[t], first)
+            if at < len(self.items[t]) and self.items[t][at] < n:
+                cursors.append([self.items[t][at], at, t])
         while True:
             cursors.sort()
             total, pivot = 0.0, -1
@@ -153,8 +166,7 @@ class Index:
     def find(self, text: bytes) -> list[tuple[int, float, float, float]]:
         """(item, best share, question overlap, answer overlap) of the verified items of one document."""
         row = plain_words(text)
-        get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in row), dtype=np.int64, count=len(row))
+        ids = np.fromiter(map(self.numbers.__getitem__, row), dtype=np.int64, count=len(row))
         at = np.nonzero(ids >= 0)[0]
         if not len(at):
             return []
@@ -170,9 +182,11 @@ class Index:
             entry = np.repeat(self.term_starts[term] - (ends - lengths), lengths) + np.arange(ends[-1])
             cell = np.repeat(window, lengths) * self.n_blocks + self.term_blocks[entry]
             bounds = np.bincount(cell, weights=self.term_bounds[entry])
-            for w in np.unique(np.nonzero(bounds >= THRESHOLD - 1e-9)[0] // self.n_blocks).tolist():
+            for hit in np.flatnonzero(bounds >= THRESHOLD - 1e-9).tolist():
+                w, block = divmod(hit, self.n_blocks)
                 begin, end = max(0, w * size - shift), (w + 1) * size - shift
-                for item, score in self.search(term[window == w].tolist()):
+                query = term[np.searchsorted(window, w) : np.searchsorted(window, w + 1)].tolist()
+                for item, score in self.search(query, THRESHOLD, block * BLOCK_ITEMS, min(len(self.ids), (block + 1) * BLOCK_ITEMS)):
                     question, answer = (len(p & _grams(row[begin:end], n)) / len(p) if p else 1.0 for n, p in self.parts[item])
                     if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP and score > best.get(item, (0, 0.0))[1]:
                         best[item] = (item, score, question, answer)
