@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import itertools
+
 import corpus_pipeline
-from shelfwise.llm import decontam, mixing, ngram_join, quality
+from shelfwise.llm import decontam, mixing, quality
 
 
 def test_run_follows_its_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = {r["doc_id"] for r in quality.apply_policy(quality.ledger(docs)).filter("kept").collect()}
+    kept = {r["doc_id"] for r in quality.apply_policy(quality.ledger(docs)).collect() if r["kept"]}
     now = docs.filter(docs.doc_id.isin(*kept))
-    parts = {}
-    for r in ngram_join.join_documents(now).collect():
-        parts.setdefault(r["component_id"], []).append(r["doc_id"])
-    now = now.filter(now.doc_id.isin(*(min(p) for p in parts.values())))
-    leaks = {r["doc_id"] for r in decontam.contamination(now, spark.read.parquet(f"{sf}/benchmark.parquet")).filter("contaminated").collect()}
+    texts = {r["doc_id"]: r["text"] for r in now.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.encode().lower().split()]}
+    root = {i: i for i in sets}
+    for i, j in itertools.combinations(sorted(sets), 2):
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            old, new = sorted((root[i], root[j]), reverse=True)
+            root = {k: new if v == old else v for k, v in root.items()}
+    now = now.filter(now.doc_id.isin(*set(root.values())))
+    leaks = {r["doc_id"] for r in decontam.contamination(now, spark.read.parquet(f"{sf}/benchmark.parquet")).collect() if r["contaminated"]}
     now = now.filter(~now.doc_id.isin(*leaks, -1))
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(now).collect() if r["copies"]}
     rows = corpus_pipeline.run(spark, sf).orderBy("start").collect()
