@@ -259,6 +259,36 @@ def test_repeated_passages(spark):
     assert compact_windows.repeated_passages(make_docs(spark, [])).count() == 0
 
 
+def test_passages_inside_foreign_text_are_verified_at_every_offset():
+    rng, found, true = np.random.default_rng(7), 0, 0
+    for _ in range(60):
+        base = rng.integers(1, 1 << 62, compact_windows.WORDS).astype(np.uint64)
+        near = base.copy()
+        near[int(rng.integers(5, 45))] = 1
+        texts = [np.concatenate([rng.integers(1, 1 << 62, 124).astype(np.uint64), w, rng.integers(1, 1 << 62, 124).astype(np.uint64)]) for w in (base, near)]
+        a, b = (compact_windows.shingles.positions(t) for t in texts)
+        sides = []
+        for t in (a, b):
+            rows = defaultdict(list)
+            for f, salt in enumerate(compact_windows._SALTS):
+                h = compact_windows.shingles.mix(t ^ salt)
+                for left, c, right in zip(*(x.tolist() for x in compact_windows.compact_windows(h)), strict=True):
+                    rows[(f, int(h[c]))].append((left, c, right))
+            sides.append(rows)
+        hits = [{"f": k[0], "la": p[0], "ca": p[1], "ra": p[2], "lb": q[0], "cb": q[1], "rb": q[2]} for k in sides[0] for p in sides[0][k] for q in sides[1].get(k, [])]
+        brute = False
+        for h in compact_windows.agreeing(hits):
+            for x in range(max(h["la"], h["ca"] - compact_windows.TOKENS + 1), h["ca"] + 1):
+                u = x - h["ca"] + h["cb"]
+                if x + compact_windows.TOKENS - 1 <= h["ra"] and h["lb"] <= u and u + compact_windows.TOKENS - 1 <= h["rb"]:
+                    p, q = (set(t[i : i + compact_windows.TOKENS].tolist()) for t, i in ((a, x), (b, u)))
+                    brute |= 100 * len(p & q) >= compact_windows.PERCENT * len(p | q)
+        got = bool(compact_windows.verified(a, b, hits))
+        assert got == brute
+        found, true = found + got, true + 1
+    assert found >= 0.9 * true
+
+
 # 9 Jaccard join
 def brute_components(docs):
     def shingles(t):
