@@ -289,6 +289,30 @@ def test_passages_inside_foreign_text_are_verified_at_every_offset():
     assert found >= 0.9 * true
 
 
+def test_equal_windows_have_equal_contents():
+    rng = np.random.default_rng(3)
+    t = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+    both = np.concatenate([rng.integers(0, 1 << 62, 9).astype(np.uint64), t])
+    at = lambda x, left, c, right: compact_windows._contents(*compact_windows._running(x), *(np.array([v]) for v in (left, c, right)))[0]
+    assert at(t, 3, 20, 55) == at(both, 12, 29, 64)
+    assert len({at(t, 3, 20, 55), at(t, 3, 21, 55), at(t, 3, 20, 54), at(t, 4, 21, 56), at(both, 3, 20, 55)}) == 5
+
+
+def test_passages_that_leaders_with_other_contexts_hide(spark):
+    r = random.Random(8)
+    own = lambda n: " ".join(f"u{r.getrandbits(60)}" for _ in range(n))
+    passage = [f"p{i}" for i in range(50)]
+    # earlier documents that hold each phrase of the passage among other words
+    docs = [(i, f"{own(60)} {' '.join(passage[k : k + 12])} {own(60)}") for i, k in enumerate(k for k in range(0, 39, 6) for _ in range(6))]
+    near = [*passage]
+    near[4] = "changed"
+    docs += [(100, f"{own(90)} {' '.join(passage)} {own(90)}"), (101, f"{own(70)} {' '.join(passage)} {own(90)}"), (102, f"{own(80)} {' '.join(near)} {own(60)}")]
+    rows = {x["doc_id"]: x for x in compact_windows.repeated_passages(make_docs(spark, docs)).collect()}
+    assert [(x["begin"], x["end"], x["other"]) for x in rows[101]["spans"] if not x["first"]] == [(70, 120, 100)]
+    assert rows[102]["n_later"] >= 1 and {x["other"] for x in rows[102]["spans"] if not x["first"]} <= {100, 101}
+    assert all(not x["spans"] for i, x in rows.items() if i < 100)
+
+
 # 9 Jaccard join
 def brute_components(docs):
     def shingles(t):
