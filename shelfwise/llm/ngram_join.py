@@ -81,7 +81,8 @@ def docs_type(docs: DataFrame) -> pa.DataType:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n, text) of the sets wanted, each from a document whose id stands for it. Texts are shorter than their sets."""
+    """(sid, n, text) of the sets wanted, each from a document whose id stands for it, or by the set's own id where only
+    documents without an id have it. Texts are shorter than their sets."""
     schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +91,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 some = batch.slice(k, 1000)
                 sets = [shingles.shingle_set(t) for t in some.column(0).to_pylist()]
                 ids = _ids_of(sets)
-                # rows that share an id without sharing the set drop out here
-                pick = np.flatnonzero(ids == some.column(1).to_numpy(zero_copy_only=False))
+                # rows that share an id without sharing the set drop out here; rows without an id all stay
+                sid = some.column(1)
+                pick = np.flatnonzero((ids == sid.fill_null(0).to_numpy(zero_copy_only=False)) | sid.is_null().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array([len(sets[i]) for i in pick], type=pa.int64()), some.column(0).take(pa.array(pick))], schema=schema)
 
-    return docs.join(wanted, "doc_id").select("text", "sid").mapInArrow(run, "sid long, n long, text binary")
+    out = "sid long, n long, text binary"
+    named = docs.join(wanted, "doc_id").select("text", "sid").mapInArrow(run, out)
+    nameless = docs.filter("doc_id is null").select("text", F.lit(None).cast("long").alias("sid")).mapInArrow(run, out)
+    return named.union(nameless.join(wanted.filter("doc_id is null").select("sid"), "sid", "left_semi"))
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -192,21 +197,44 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return members.select("doc_id", "sid", "n"), links if links is not None else docs.sparkSession.createDataFrame([], "u long, v long")
 
 
-def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per document: doc_id, sid, n and root, its component's least set id."""
     members, links = similar_sets(docs, id_col, text_col)
     roots = components(links)
-    rooted = members.join(roots, members["sid"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "sid").alias("root"))
+    return members.join(roots, members["sid"] == roots["node"], "left").select("doc_id", "sid", "n", F.coalesce("root", "sid").alias("root"))
+
+
+def _named(rooted: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
     least = rooted.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = rooted.join(least, "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    return _named(_rooted(docs, id_col, text_col))
+
+
+def _set_id(text: bytes | None) -> int:
+    return int(_ids_of([shingles.shingle_set(text)])[0])
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component the documents with the least id, with all columns. Equal rows are kept once;
-    rows that share an id are kept or dropped together."""
-    kept = join_documents(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    """Of each component the documents with the least id, with all columns; of one without any id, a document with the
+    least set. Equal rows are kept once; rows that share an id are kept or dropped together, but each without an id
+    stands for itself."""
+    rooted = written(_rooted(docs, "doc_id", "text"), "rooted")
+    kept = _named(rooted).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    alone = rooted.groupBy("root").agg(F.max("doc_id").alias("any"), F.min("sid").alias("sid"), F.max("n").alias("n")).filter("any is null and n > 0")
+    set_id = F.udf(_set_id, "long")
+    nameless = docs.filter("doc_id is null").withColumn("_sid", set_id(F.col("text").cast("binary")))
+    first = nameless.join(alone.select(F.col("sid").alias("_sid")), "_sid", "left_semi").groupBy("_sid").agg(F.min("text").alias("_text"))
+    chosen = nameless.join(first.select(F.col("_sid").alias("_s"), "_text"), (F.col("_sid") == F.col("_s")) & (F.col("text") == F.col("_text")), "left_semi").drop("_sid")
+    # texts without words are linked with nothing
+    empty = nameless.filter(F.col("_sid") == F.lit(_set_id(b""))).drop("_sid")
+    return named.union(chosen.union(empty).select(named.columns).dropDuplicates(["doc_id", "text"]))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

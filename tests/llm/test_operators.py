@@ -353,6 +353,29 @@ def test_jaccard_join_edges(spark):
     assert ngram_join.join_documents(make_docs(spark, [])).count() == 0
 
 
+def test_jaccard_join_of_documents_without_ids(spark):
+    base, r = [f"b{i}" for i in range(150)], random.Random(6)
+    near = []
+    for k in range(30):
+        w = list(base)
+        for p in r.sample(range(150), 1 + k % 3):
+            w[p] = f"n{k}p{p}"
+        near.append(" ".join(w))
+    ids = [int(ngram_join._ids_of([ngram_join.shingles.shingle_set(t.encode())])[0]) for t in near]
+    near = [near[i] for i in np.argsort(ids)]  # the least set leads
+    assert len(near) > ngram_join.SHORT
+    docs = [(None if k == 0 else 800 + k, t) for k, t in enumerate(near)]
+    want = brute_components([(i or 10**6, t) for i, t in docs])
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join_documents(make_docs(spark, docs)).collect()}
+    assert {i: v for i, v in got.items() if i} == {i: v for i, v in want.items() if i != 10**6}
+    assert got[None] == want[10**6]
+    # near copies without any id leave one document, those of a document with an id none
+    other = [x.replace("b", "z") for x in near]
+    kept = ngram_join.keep_one(make_docs(spark, docs + [(None, t) for t in other] + [(None, "alone here"), (None, ""), (None, None), (7, "")])).collect()
+    assert sorted(str(x["doc_id"]) for x in kept) == sorted(["801", "7", "None", "None", "None", "None"])
+    assert sum(x["text"] in other for x in kept) == 1 and not any(x["text"] == near[0] for x in kept)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (7, 6), (6, 5)], "u long, v long")
     assert {(r["node"], r["root"]) for r in graph.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 4)}
