@@ -107,27 +107,35 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     for m in _IBAN.finditer(text):
         if 15 <= len(a := m[0].replace(" ", "")) <= 34 and mod97(a):
             yield "iban", m.start(), m.end()
-    for kind, pattern in (("ssn", _SSN), ("local_phone", _LOCAL_PHONE), ("secret", _SECRET)):
+    for kind, pattern in (("ssn", _SSN), ("local_phone", _LOCAL_PHONE)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end()
 
 
+def _secrets(text: str) -> Iterator[tuple[str, int, int]]:
+    for m in _SECRET.finditer(text):
+        yield "secret", m.start(), m.end()
+
+
 def _score(kind: str, text: str, start: int, end: int) -> float:
     near = text[max(0, start - CONTEXT_CHARS) : start] + "\n" + text[end : end + CONTEXT_CHARS]
     score = SCORE[kind] + CONTEXT_BONUS * bool(CONTEXT[kind].search(near)) - AGAINST_MALUS * bool(AGAINST.search(near))
     return round(min(1.0, max(0.0, score)), 2)
 
 
+#: What texts with an account, identity or phone number have, and what those with a secret have.
 _MAYBE = re.compile(r"[0-9]{2}")
+_MAYBE_SECRET = re.compile(r"_[A-Za-z0-9]{20}|[0-9a-f]{32}")
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
     """Base spans, and all spans with their scores; the added ones don't overlap base ones."""
     base = base_spans(text)
     every = [(s, k, e, _score(KINDS[k], text, s, e)) for s, k, e in base]
-    if _MAYBE.search(text):
+    proposed = [*(_proposed(text) if _MAYBE.search(text) else ()), *(_secrets(text) if _MAYBE_SECRET.search(text) else ())]
+    if proposed:
         taken = [(s, e) for s, _, e in base]
-        for kind, s, e in _proposed(text):
+        for kind, s, e in proposed:
             if (score := _score(kind, text, s, e)) >= THRESHOLD and not any(a < e and s < b for a, b in taken):
                 every.append((s, KINDS.index(kind), e, score))
         every.sort()

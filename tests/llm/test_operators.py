@@ -75,6 +75,15 @@ def test_pii_validators_and_context():
     assert pii.redact("mail a@b.co!") == "mail [EMAIL]!"
 
 
+def test_pii_secrets_do_not_depend_on_digits_elsewhere():
+    for secret in ("ghp_" + "aBcDeFgHiJ" * 3, "tok_a1b2" + "cd" * 10, "abcdef" * 6, "a1b2c3d4" * 4):
+        text = f"the api_key: {secret} is here"
+        for t in (text, text + " since 2024"):
+            assert [(pii.KINDS[k], t[s:e]) for s, k, e, _ in pii.find(t)[1]] == [("secret", secret)], t
+        assert pii.redact(text) == "the api_key: [SECRET] is here"
+    assert not pii.find("a word_of_letters and deadbeef, no secret")[1]
+
+
 def test_pii_edges(spark):
     rows = {r["doc_id"]: r for r in pii.detect(make_docs(spark, EDGES)).collect()}
     assert rows[0]["n_email"] == 0 and rows[0]["base_sha256"] == hashlib.sha256(b"").hexdigest() and rows[None]["spans"] == ""
