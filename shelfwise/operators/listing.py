@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import absolute_url, slug
@@ -39,23 +41,42 @@ def plan(desired: DataFrame, existing: DataFrame) -> DataFrame:
     return found.select("key_path", page.alias("page_id"), F.when(page.isNull(), "create").otherwise("update").alias("action"))
 
 
+def page_name(html: Column) -> Column:
+    """A page's whole title; a page without one is named by all it holds."""
+    title = F.trim(F.regexp_extract(html, "(?is)<title(?:\\s[^>]*)?>(.*?)</title\\s*>", 1))
+    return F.when(title != "", title).otherwise(html)
+
+
+def _stored(rows: DataFrame, base: str) -> DataFrame:
+    path = f"{base}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def first_wins(rows: DataFrame) -> DataFrame:
     """In order, a page is skipped if an accepted one has its URL or name; skipped pages reserve nothing.
-    Sequential by nature, so per site; a site's pages are few."""
-
-    def accept(pdf: pd.DataFrame) -> pd.DataFrame:
-        urls: set[str] = set()
-        names: set[str] = set()
-        keep = []
-        for url, name in pdf.sort_values("pos")[["url", "name"]].itertuples(index=False):
-            ok = url not in urls and name not in names
-            keep.append(ok)
-            if ok:
-                urls.add(url)
-                names.add(name)
-        return pdf.sort_values("pos").assign(accepted=keep)[["site", "pos", "accepted"]]
-
-    return rows.groupBy("site").applyInPandas(accept, "site string, pos long, accepted boolean")
+
+    In rounds: of the undecided pages, those that come first for both their URL and their name are accepted, those that
+    share one of them with an accepted page are skipped. A site's first undecided page is always accepted, so the
+    rounds end; no site, URL or name is held by one task. Missing URLs or names are equal to each other."""
+    spark = rows.sparkSession
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
+    order = F.struct(F.col("pos").isNull().alias("late"), "pos", F.monotonically_increasing_id().alias("i"))
+    rest = _stored(rows.select("site", "pos", key("site").alias("s"), key("url").alias("u"), key("name").alias("n"), order.alias("o")), base)
+    done: DataFrame | None = None
+    while not rest.isEmpty():
+        marked = rest
+        for k in "un":
+            marked = marked.join(rest.groupBy("s", k).agg(F.min("o").alias(f"first_{k}")), ["s", k])
+        accepted = _stored(marked.filter("o = first_u and o = first_n").select("site", "pos", "s", "u", "n", "o"), base)
+        for k in "un":
+            rest = rest.join(accepted.select("s", k, F.lit(True).alias(f"taken_{k}")), ["s", k], "left")
+        marked = _stored(rest.join(accepted.select("o", "s", F.lit(True).alias("accepted")), ["s", "o"], "left"), base)
+        decided = marked.filter("taken_u or taken_n").select("site", "pos", F.coalesce("accepted", F.lit(False)).alias("accepted"))
+        done = decided if done is None else done.union(decided)
+        rest = marked.filter("taken_u is null and taken_n is null").select("site", "pos", "s", "u", "n", "o")
+    return rows.select("site", "pos", F.lit(True).alias("accepted")).limit(0) if done is None else done
 
 
 def chunks(rows: DataFrame, order: str, size: int) -> DataFrame:

@@ -253,7 +253,8 @@ def listing_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def listing_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    rows = source.table(spark, d, "pages").select(F.pmod("page_id", F.lit(8)).cast("string").alias("site"), F.col("page_id").alias("pos"), F.col("url"), F.substring("html", 1, 60).alias("name"))
+    host = F.lower(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    rows = source.table(spark, d, "pages").select(host.alias("site"), F.col("page_id").alias("pos"), F.col("url"), listing.page_name(F.col("html")).alias("name"))
     return listing.first_wins(rows)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as s
 from shelfwise.operators import attributes, listing, purchases, reconcile
+from shelfwise.plans.queries import QUERIES
 
 
 def one(spark, column, **values):
@@ -68,6 +72,33 @@ def test_first_wins_skipped_pages_reserve_nothing(spark):
     assert {r["pos"]: r["accepted"] for r in listing.first_wins(rows).collect()} == {1: True, 2: False, 3: True}
 
 
+def in_order(rows):
+    taken, out = set(), {}
+    for site, pos, url, name in sorted(rows, key=lambda r: r[1]):
+        keys = {(site, "u", url), (site, "n", name)}
+        out[pos] = not keys & taken
+        taken |= keys if out[pos] else set()
+    return out
+
+
+def test_first_wins_in_rounds_is_the_sequential_rule(spark):
+    r = random.Random(3)
+    rows = [(r.choice("st"), i, r.choice([None, *"abcdefghijkl"]), r.choice([None, *"mnopqrstuvwx"])) for i in range(150)]
+    rows += [("chain", 1000 + i, f"u{(i + 1) // 2}", f"n{i // 2}") for i in range(9)]
+    got = listing.first_wins(spark.createDataFrame(rows, "site string, pos long, url string, name string"))
+    assert {x["pos"]: x["accepted"] for x in got.collect()} == in_order(rows) and got.count() == len(rows)
+    assert listing.first_wins(spark.createDataFrame([], "site string, pos long, url string, name string")).count() == 0
+
+
+def test_listing_dedupe_names_pages_by_title_and_site_by_host(spark):
+    assert one(spark, listing.page_name(F.col("x")), x="<html><head><TITLE lang=en> A b\n</TITLE><title>c</title>") == "A b\n".strip(" ")
+    assert one(spark, listing.page_name(F.col("x")), x="<html><p>no title") == "<html><p>no title"
+    sf = "/root/testdata/sf0.001"
+    pages = [(re.match(r"[a-z]+://([^/?#]*)", x["url"])[1], x["page_id"], x["url"], re.search(r"(?is)<title[^>]*>(.*?)</title>", x["html"])[1].strip(" ")) for x in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    got = {x["pos"]: x["accepted"] for x in QUERIES["listing_dedupe"](spark, sf).collect()}
+    assert got == in_order(pages) and sum(got.values()) > 32
+
+
 def test_upsert(spark):
     schema = "mapping_id string, target_field string"
     new, old = spark.createDataFrame([("a", "x"), ("b", "y")], schema), spark.createDataFrame([("b", "z"), ("c", "w")], schema)
