@@ -1,4 +1,4 @@
-"""Attribute audit and field mapping."""
+"""Attribute audit and field mapping."""
 
 from __future__ import annotations
 
@@ -27,8 +27,11 @@ def audit_categories(assigned: DataFrame, categories: DataFrame) -> DataFrame:
     return primary.agg(F.count(F.lit(1)).alias("n_products"), F.countDistinct("category_id").alias("n_categories"), F.count_if("online").alias("n_online"))
 
 
-#: Names that a mapping may not write.
-RESERVED = ("documentid", "objecttype", "language", "permanentid", "ec_name", "ec_price")
+#: Names that a mapping may not write, in lower case.
+RESERVED = (
+    "documentid", "fileextension", "model", "language", "permanentid", "ec_product_id", "ec_images", "ec_thumbnails", "ec_swatch", "ec_price", "ec_promo_price", "ec_category",
+    "ec_primary_category", "objecttype", "ec_rating", "ec_brand", "ec_description", "ec_shortdesc", "ec_color", "ec_size", "ec_item_group_id", "ec_sku", "ec_variant_id", "ec_name",
+)
 
 
 def mapping_errors(mappings: DataFrame) -> DataFrame:

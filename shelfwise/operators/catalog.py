@@ -13,6 +13,16 @@ def root_id() -> Column:
     return F.coalesce("master_id", "id")
 
 
+def root_type(master: Column, variant: Column) -> Column:
+    """P8."""
+    return F.when(master, "master").when(variant, "variant").otherwise("standalone")
+
+
+def product_type(variant: Column, master: Column, bundle: Column, product_set: Column) -> Column:
+    """The first that holds; unknown is false."""
+    return F.when(variant, "variant").when(master, "master").when(bundle, "bundle").when(product_set, "set").otherwise("standard")
+
+
 def roots(items: DataFrame, catalog: Column | None = None) -> DataFrame:
     """Distinct roots, of one catalog if a condition is given."""
     return (items if catalog is None else items.filter(catalog)).select(root_id().alias("root_id")).distinct()

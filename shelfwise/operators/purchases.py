@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.scalars import quantity
+from shelfwise.functions.scalars import alias_suffix, quantity
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -33,14 +33,25 @@ def windows(rows: DataFrame, days: tuple[int, ...] = (30, 90, 365)) -> DataFrame
     return dated.groupBy("product_id").agg(*sums)
 
 
-def aliases(documents: DataFrame) -> DataFrame:
-    """Product id and what follows its last hyphen lead to the document."""
-    product = F.regexp_replace("document_id", "^product://pid=s?", "")
-    return documents.select(F.explode(F.array_distinct(F.array(product, F.substring_index(product, "-", -1)))).alias("product_id"), "root_id", "document_id").distinct()
+def aliases(documents: DataFrame, variants: DataFrame | None = None) -> DataFrame:
+    """Product id, sku, what follows the product id's last hyphen, and the ids of its variants (product_id,
+    variant_id, permanent_id) lead to the document. A product id that is not given is the document id's; sku may be absent."""
+    product = F.col("product_id") if "product_id" in documents.columns else F.regexp_replace("document_id", "^product://pid=", "")
+    sku = F.col("sku") if "sku" in documents.columns else F.lit(None).cast("string")
+    rows = documents.select(product.alias("product_id"), sku.alias("sku"), "root_id", "document_id").filter("product_id <> '' and document_id <> ''")
+    names = rows.select(F.explode(F.array("product_id", "sku", alias_suffix(F.col("product_id")))).alias("alias"), "root_id", "document_id")
+    if variants is not None:
+        known = variants.filter("product_id <> '' and variant_id <> ''").select("product_id", F.explode(F.array("variant_id", "permanent_id")).alias("alias"))
+        names = names.union(known.join(rows, "product_id").select("alias", "root_id", "document_id"))
+    return names.select(F.trim("alias").alias("product_id"), "root_id", "document_id").filter("product_id <> ''").distinct()
 
 
 def mapped(counts: DataFrame, alias: DataFrame) -> DataFrame:
-    return counts.join(alias, "product_id").select("product_id", "root_id", "document_id", "units_sold")
+    """A purchased id's units go to its document, once; an id that leads to two documents is an error."""
+    found = counts.join(alias, "product_id").groupBy("product_id", "units_sold").agg(F.min(F.struct("document_id", "root_id")).alias("d"), F.max("document_id").alias("last"))
+    error = F.raise_error(F.concat(F.lit("multiple documents for alias "), F.col("product_id")))
+    document = F.when(F.col("d.document_id") == F.col("last"), F.col("last")).otherwise(error.cast("string"))
+    return found.select("product_id", F.col("d.root_id").alias("root_id"), document.alias("document_id"), "units_sold")
 
 
 def skipped(counts: DataFrame, alias: DataFrame) -> DataFrame:

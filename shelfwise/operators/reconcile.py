@@ -81,7 +81,7 @@ def greedy_batches(rows: DataFrame, within: str, item: str, cost: str, limit: in
 
 
 def validation_errors(items: DataFrame) -> DataFrame:
-    """Rule errors per item; duplicates by count, parents by anti-join."""
+    """The part of P12 that items known by document alone allow: duplicates by count, parents by anti-join."""
     repeated = F.count(F.lit(1)).over(Window.partitionBy("document_id")) > 1
     parents = items.filter("object_type = 'Product'").select(F.col("document_id").alias("parent_id")).distinct()
     orphan = items.filter("object_type = 'Variant'").join(parents, "parent_id", "left_anti").select("document_id", F.lit("missing_parent").alias("error"))
@@ -89,6 +89,31 @@ def validation_errors(items: DataFrame) -> DataFrame:
     return items.withColumn("repeated", repeated).select("document_id", F.explode(checks).alias("error")).union(orphan)
 
 
+def item_errors(items: DataFrame, language: str = "", mode: str = "product_only") -> DataFrame:
+    """(pos, error) of items (pos, legacy_product_id, document_id, language, object_type, product_id, variant_id,
+    permanent_id). An item's own rules, variants whose id an earlier sound variant has, and variants without a sound
+    parent; in product_only mode a variant is one error beside those of all items."""
+    missing = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    only = (mode.strip().lower() or "product_only") == "product_only"
+    product, variant = F.col("object_type") == "Product", F.col("object_type") == "Variant"
+    unlike = lambda c: ~F.col("permanent_id").eqNullSafe(F.col(c))
+    checks = [
+        F.when(~missing("legacy_product_id"), "legacy_product_id"), F.when(missing("document_id"), "missing_document_id"),
+        F.when(missing("language"), "missing_language").when((F.lit(language) != "") & (F.lower("language") != language.lower()), "wrong_language"),
+        F.when(product, F.when(missing("product_id"), "missing_product_id").when(unlike("product_id"), "permanent_id_not_product_id")),
+    ]
+    if only:
+        return items.select("pos", F.explode(F.array_compact(F.array(*checks, F.when(variant, "variant_in_product_only")))).alias("error"))
+    checks += [F.when(variant & missing("product_id"), "missing_product_id"), F.when(variant, F.when(missing("variant_id"), "missing_variant_id").when(unlike("variant_id"), "permanent_id_not_variant_id"))]
+    own = items.select("pos", F.explode(F.array_compact(F.array(*checks))).alias("error"))
+    sound = items.filter(variant & ~missing("variant_id") & ~unlike("variant_id")).select("pos", "variant_id")
+    first = sound.groupBy("variant_id").agg(F.min("pos").alias("first"))
+    again = sound.join(first, "variant_id").filter("pos > first").select("pos", F.lit("duplicate_variant_id").alias("error"))
+    parents = items.filter(product & ~missing("product_id") & ~unlike("product_id")).select("product_id").distinct()
+    orphans = items.filter(variant & ~missing("product_id")).join(parents, "product_id", "left_anti").select("pos", F.lit("missing_parent").alias("error"))
+    return own.union(again).union(orphans)
+
+
 def conflicts(operations_: DataFrame) -> DataFrame:
     """Documents both added and deleted."""
     adds, deletes = (operations_.filter(F.col("op") == op).select("document_id").distinct() for op in ("addOrUpdate", "delete"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as s
-from shelfwise.operators import attributes, listing, purchases, reconcile
+from shelfwise.operators import attributes, catalog, listing, purchases, reconcile
 from shelfwise.plans.queries import QUERIES
 
 
@@ -99,6 +100,44 @@ def test_listing_dedupe_names_pages_by_title_and_site_by_host(spark):
     assert got == in_order(pages) and sum(got.values()) > 32
 
 
+def test_every_reserved_target_is_an_error(spark):
+    names = "documentId FileExtension model language permanentid ec_product_id ec_images ec_thumbnails ec_swatch ec_price ec_promo_price ec_category ec_primary_category objecttype ec_rating ec_brand ec_description ec_shortdesc ec_color ec_size ec_item_group_id ec_sku ec_variant_id ec_name".split()
+    rows = [(n, True, "color", "raw", n.upper()) for n in names] + [("free", True, "color", "raw", "x_free")]
+    got = attributes.mapping_errors(spark.createDataFrame(rows, "mapping_id string, enabled boolean, source_attribute string, value_mode string, target_field string"))
+    assert len(names) == 24 and {tuple(x) for x in got.collect()} == {(n, "reserved_target") for n in names}
+
+
+def test_root_and_product_types(spark):
+    rows = spark.createDataFrame([(True, True, None, None), (None, True, True, True), (False, False, True, True), (False, None, False, True), (False, False, False, False)], "v boolean, m boolean, b boolean, s boolean")
+    got = rows.select(catalog.root_type(F.col("m"), F.col("v")), catalog.product_type(F.col("v"), F.col("m"), F.col("b"), F.col("s"))).collect()
+    assert [tuple(x) for x in got] == [("master", "variant"), ("master", "master"), ("standalone", "bundle"), ("standalone", "set"), ("standalone", "standard")]
+
+
+def test_item_errors(spark):
+    schema = "pos long, legacy_product_id string, document_id string, language string, object_type string, product_id string, variant_id string, permanent_id string"
+    rows = [
+        (0, None, "d", "EN", "Product", "p", None, "p"), (1, "x", "", None, "Product", "q", None, "other"), (2, None, "d", "fr", "Product", "", None, None),
+        (3, None, "d", "en", "Variant", "p", "v", "v"), (4, None, "d", "en", "Variant", "p", "v", "v"), (5, None, "d", "en", "Variant", "q", "", None), (6, None, "d", "en", "Variant", None, "v", "w"),
+    ]
+    items = spark.createDataFrame(rows, schema)
+    common = {(1, "legacy_product_id"), (1, "missing_document_id"), (1, "missing_language"), (2, "wrong_language"), (1, "permanent_id_not_product_id"), (2, "missing_product_id")}
+    assert sorted(map(tuple, reconcile.item_errors(items, "en").collect())) == sorted(common | {(i, "variant_in_product_only") for i in (3, 4, 5, 6)})
+    more = {(4, "duplicate_variant_id"), (5, "missing_variant_id"), (5, "missing_parent"), (6, "missing_product_id"), (6, "permanent_id_not_variant_id")}
+    assert sorted(map(tuple, reconcile.item_errors(items, "en", "product_variant").collect())) == sorted(common | more)
+
+
+def test_aliases_of_products_and_variants(spark):
+    documents = spark.createDataFrame([("r", "d1", "s-12", "k1"), ("r", "d2", "-5", None)], "root_id string, document_id string, product_id string, sku string")
+    variants = spark.createDataFrame([("s-12", "v1", "m1"), ("none", "v2", "m2")], "product_id string, variant_id string, permanent_id string")
+    alias = purchases.aliases(documents, variants)
+    assert {(x["product_id"], x["document_id"]) for x in alias.collect()} == {("s-12", "d1"), ("12", "d1"), ("k1", "d1"), ("v1", "d1"), ("m1", "d1"), ("-5", "d2")}
+    counts = spark.createDataFrame([("12", 3), ("v1", 2), ("zz", 9)], "product_id string, units_sold long")
+    assert {tuple(x) for x in purchases.mapped(counts, alias).collect()} == {("12", "r", "d1", 3), ("v1", "r", "d1", 2)}
+    both = alias.union(spark.createDataFrame([("12", "r2", "d9"), ("unsold", "r", "d1"), ("unsold", "r", "d2")], "product_id string, root_id string, document_id string"))
+    with pytest.raises(Exception, match="multiple documents for alias 12"):
+        purchases.mapped(counts, both).collect()
+
+
 def test_upsert(spark):
     schema = "mapping_id string, target_field string"
     new, old = spark.createDataFrame([("a", "x"), ("b", "y")], schema), spark.createDataFrame([("b", "z"), ("c", "w")], schema)
