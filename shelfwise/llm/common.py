@@ -30,7 +30,9 @@ def shared_dir(spark: SparkSession) -> str:
     if found.isDefined():
         return found.get()
     base = sc.getConf().get("spark.checkpoint.dir", None)
-    # only without a configured folder, as in local tests, a local one serves
+    if not base and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    # without a configured folder a local master, as in tests, takes a local one
     sc.setCheckpointDir(base or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}")
     return sc._jsc.sc().getCheckpointDir().get()
 

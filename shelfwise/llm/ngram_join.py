@@ -1,27 +1,36 @@
 """Jaccard join of the documents' 5-word shingle sets, with set-relation skipping.
 
 1. Documents with equal sets are one set from here on, by a hash over all shingles.
-2. Shingles get one global order, frequent ones last, then by hash. Of each set only the prefix is indexed: two sets
-   that reach the threshold share a shingle of their prefixes. The rest of every index list is skipped by position.
-3. An index list is not compared pair by pair. Its first set leads and is compared with each of the others.
-   Answers of the others follow from the leader's: with a shingles of the leader c missing from x and b new ones,
-   two sets linked to the leader are in its class already; for any other pair x, y of the list
+2. Shingles get one global order, the rarer first, by a table of counts: `TABLE` cells, each the number of times that any
+   of its shingles occurs in a set. The table has the same size whatever the input; the order it gives changes the
+   cost, never the results. Of each set only the prefix is indexed: two sets that reach the threshold share one of theirs.
+3. An index list holds its sets by size, each with the shingle's place in it. Runs of sets that are too large, or in which
+   the shingle stands too far back for the threshold, are skipped as a whole. If the pairs that remain are at most `SHORT` for
+   each set of the list, they are candidates.
+4. A list with more of them has highly similar sets. Its smallest set leads and is compared with each of the others, and
+   their answers follow from the leader's: with a shingles of the leader c missing from x and b new ones,
        |x & y| = |c| - a_x - a_y + shared differences,
-   so x and y link only if they share at least (w_x + w_y - |c|) / 7 differences, w = 4 a + 3 b. The differences' own
-   prefixes, keyed by leader, are the index lists of the next round. Rounds go on until no list is left.
-   Lists of up to `SHORT` sets are compared directly.
-4. Verified links give components.
-
-Every link is found: prefixes and difference prefixes are exact filters, and each candidate is verified on whole sets.
-Hot shingles and leaders are met by map-side minima and by joins whose large partitions Spark splits.
+   so x and y link only if they share at least (w_x + w_y - |c|) / 7 differences, w = 4 a + 3 b. Two sets linked to
+   the leader are in its class already. The differences' own prefixes, keyed by leader, are further index lists, needed
+   only where a set is like the leader without being linked to it.
+   The Jaccard distance is a metric: a set within 1/2 of the leader can link only to sets within 3/4 of it. So all within
+   3/4 give differences, and only those beyond 1/2 stay in the list, which comes back with a new leader. Each list's
+   sets come after its leader in the order (size, set id), so rounds end.
+5. Verified links give components.
+
+Every link is found: prefixes, places, difference prefixes and distances are exact filters, and each candidate is verified
+on whole sets. Lists of shingles that over `HOT` sets may have are led by map-side minima and by a join whose large
+partitions Spark splits; a task reads other lists in sorted order and holds one of them.
 
 Nulls: a null text or one without words has the empty set, linked with nothing. Repeated rows, also of one
-doc_id, each get a row. Null ids are kept; they never name a component that has other ids. An empty table gives none.
+doc_id, each get a row. Null ids are kept; they never name a component that has other ids. Ties (sets of one size)
+go by set id. A very long text is one set like any other, held by one task as long as its batch lasts. An empty table gives none.
 Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,17 +39,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import shingles
-from shelfwise.llm.common import dropped, table, written
+from shelfwise.llm.common import table, written
 from shelfwise.llm.graph import components
 
-#: Links: 100 * intersection >= PERCENT * union. The difference filter's weights (4, 3, 7) are those of 75.
+#: Links: 100 * intersection >= PERCENT * union. The filters' weights (4, 3, 7) and distances are those of 75.
 PERCENT = 75
-SHORT = 16
-#: A shingle is frequent if this share of the sets has it. The list is broadcast: at most the mean set size
-#: divided by the share, whatever the number of documents; the order it gives changes cost, never results.
-FREQUENT = 1 / 2000
-_FREQUENT_LEAST = 8
-_LOCAL_LEAST = 3
+#: Pairs for each set of a list up to which the list is compared directly.
+SHORT = 8
+#: Lists that may be longer are led without being held by one task.
+HOT = 100_000
+#: Cells of the count table: 4 MB a task, 8 MB broadcast, at any size of the input.
+TABLE_BITS = 22
+_CHUNK_BITS = 16
+_SCALE = 64  # counts are broadcast as _SCALE * log2(1 + count)
 _SIGN = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
@@ -55,23 +66,61 @@ def _ids_of(sets: list[np.ndarray]) -> np.ndarray:
     return _signed(shingles.mix(f1 ^ shingles.mix(f2 ^ shingles.mix(n + _SIGN))))
 
 
+def _cells(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
 def _summary(docs: DataFrame) -> DataFrame:
-    """kind 0: a row per document with its set's size and id; kind 1: shingles frequent among a batch's documents."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", docs_type(docs)), ("n", pa.int64()), ("sid", pa.int64())])
+    """kind 0: a row per document with its set's size and id; kinds 1 and 2: a task's count table by chunks (n), the counts'
+    low bytes and what is above them."""
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", docs_type(docs)), ("n", pa.int64()), ("sid", pa.int64()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen = np.zeros(1 << TABLE_BITS, dtype=np.uint32), set()
         for batch in batches:
-            sets = [shingles.shingle_set(t) for t in batch.column(1).to_pylist()]
-            ids = _ids_of(sets)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), dtype=np.int32)), batch.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(ids)], schema=schema)
-            _, firsts = np.unique(ids, return_index=True)  # equal sets count once
-            hashes, counts = np.unique(np.concatenate([sets[i] for i in firsts]), return_counts=True)
-            often = counts >= _LOCAL_LEAST
-            k = int(often.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, dtype=np.int32)), pa.nulls(k, schema.field(1).type), pa.array(counts[often].astype(np.int64)), pa.array(_signed(hashes[often]))], schema=schema)
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                sets = [shingles.shingle_set(t) for t in some.column(1).to_pylist()]
+                ids = _ids_of(sets)
+                for sid, s in zip(ids.tolist(), sets, strict=True):
+                    if sid not in seen:  # equal sets count once
+                        seen.add(sid)
+                        np.add.at(counts, _cells(s), 1)
+                m = len(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, dtype=np.int32)), some.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(ids), pa.nulls(m, pa.binary())], schema=schema)
+        rows: list[tuple[int, int, bytes]] = []
+        for kind, part in ((1, (counts & 255).astype(np.uint8)), (2, counts >> 8)):
+            for c, chunk in enumerate(part.reshape(-1, 1 << _CHUNK_BITS)):
+                if chunk.any():
+                    rows.append((kind, c, zlib.compress(chunk.tobytes(), 1)))
+        m = len(rows)
+        kinds, chunks, data = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, type=pa.int32()), pa.nulls(m, schema.field(1).type), pa.array(chunks, type=pa.int64()), pa.nulls(m, pa.int64()), pa.array(data, type=pa.binary())], schema=schema)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, sid long")
+    return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, sid long, counts binary")
+
+
+def _count_table(summary: DataFrame) -> np.ndarray:
+    """The whole input's counts, as _SCALE * log2(1 + count)."""
+    schema = pa.schema([("n", pa.int64()), ("counts", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for kind, chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(zlib.decompress(data), dtype=np.uint8 if kind == 1 else np.uint32).astype(np.int64)
+                total = sums.setdefault(chunk, np.zeros(len(part), dtype=np.int64))
+                total += part << 8 * (kind - 1)
+        logs = [np.rint(_SCALE * np.log2(1 + v)).astype(np.uint16).tobytes() for v in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int64()), pa.array(logs, type=pa.binary())], schema=schema)
+
+    out = np.zeros(1 << TABLE_BITS, dtype=np.uint16)
+    parts = summary.filter("kind > 0").select("kind", "n", "counts").repartition("n").mapInArrow(run, "n long, counts binary")
+    for chunk, data in parts.collect():  # as many bytes as the table has, whatever the input
+        at = chunk << _CHUNK_BITS
+        out[at : at + (1 << _CHUNK_BITS)] = np.frombuffer(data, dtype=np.uint16)
+    return out
 
 
 def docs_type(docs: DataFrame) -> pa.DataType:
@@ -102,73 +151,177 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return named.union(nameless.join(wanted.filter("doc_id is null").select("sid"), "sid", "left_semi"))
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(key, sid, n, open) for each shingle of each prefix. A task emits equal sets once."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def _hot_cells(logs: np.ndarray, least: int) -> np.ndarray:
+    """Cells that hold a shingle which so many sets may have."""
+    usual = 2.0 ** (np.median(logs) / _SCALE)
+    return 2.0 ** (logs / _SCALE) - usual >= least
+
+
+def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
+    """(key, sid, n, p, open): each shingle of each prefix, with the set's size and the shingle's place in it; those of hot
+    cells or the others. A task emits equal sets once."""
+    shared, least = docs.sparkSession.sparkContext.broadcast(logs), HOT
+    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("p", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
+        counts, seen = shared.value, set()
+        apart = _hot_cells(counts, least)
         for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            sets = [shingles.shingle_set(t) for t in batch.column(1).to_pylist()]
-            sizes = {}
-            for sid, s in zip(_ids_of(sets).tolist(), sets, strict=True):
-                if sid in seen or not len(s):
-                    continue
-                late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s if len(often) else np.zeros(len(s), dtype=bool)
-                length = len(s) - -(-PERCENT * len(s) // 100) + 1
-                seen[sid], sizes[sid] = _signed(np.concatenate([s[~late], s[late]])[:length]), len(s)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.int64()), pa.array(list(sizes.values()), type=pa.int64()), pa.array(list(seen.values()), type=schema.field(2).type)], schema=schema)
+            for k in range(0, batch.num_rows, 1000):
+                sets = [shingles.shingle_set(t) for t in batch.column(1).slice(k, 1000).to_pylist()]
+                parts: list[tuple[np.ndarray, ...]] = []
+                for sid, s in zip(_ids_of(sets).tolist(), sets, strict=True):
+                    if sid in seen or not len(s):
+                        continue
+                    seen.add(sid)
+                    cells = _cells(s)
+                    length = len(s) - -(-PERCENT * len(s) // 100) + 1
+                    first = np.argsort(counts[cells], kind="stable")[:length]  # sets are sorted by hash, so ties go by it
+                    place = np.flatnonzero(apart[cells[first]] == hot)
+                    if len(place):
+                        parts.append((s[first[place]], np.full(len(place), sid, dtype=np.int64), np.full(len(place), len(s), dtype=np.int32), place.astype(np.int32)))
+                if parts:
+                    key, ids, n, p = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(n), pa.array(p)], schema=schema)
+
+    return docs.mapInArrow(run, "key long, sid long, n int, p int").withColumn("open", F.lit(True))
+
+
+def _reach(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes that first share the shingle at these places can reach the threshold."""
+    return 7 * np.minimum(na - pa_, nb - pb) >= 3 * (na + nb)
+
+
+def direct_pairs(n: np.ndarray, p: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The pairs (i, j) of one list, sorted by size, that can link and of which one is open; None if there are over `most`.
+
+    Sizes end each set's run of partners; the runs are met block by block, and a block whose places are all too far back
+    is skipped."""
+    m = len(n)
+    ends = np.searchsorted(n, n * 4 // 3, side="right")
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    found = 0
+    width = 64
+    room = n - p  # shingles from the place on
+    best = np.maximum.reduceat(room, np.arange(0, m, width))
+    need = -(-6 * n // 7)  # at least, with a partner of the same size or larger
+    for i in np.flatnonzero(room >= need).tolist():
+        first, last = (i + 1) // width, -(-int(ends[i]) // width)
+        for k in (np.flatnonzero(best[first:last] >= need[i]) + first).tolist():
+            j = np.arange(max(i + 1, k * width), min(int(ends[i]), (k + 1) * width))
+            j = j[_reach(n[i], n[j], p[i], p[j]) & (open_[i] | open_[j])]
+            if len(j):
+                found += len(j)
+                if found > most:
+                    return None
+                out.append((np.full(len(j), i), j))
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+
+
+_CANDIDATE = "a long, b long, key long, n int, p int, open boolean"
+_CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+
+
+def _lists(entries: DataFrame) -> DataFrame:
+    """Candidates (a, b) of the lists; where a leads a list, with its key and b's entry in it. Tasks read lists in sorted order."""
+    schema = pa.schema([(f.split()[0], t) for f, t in zip(_CANDIDATE.split(", "), _CANDIDATE_TYPES, strict=True)])
+    short = SHORT
+
+    def listed(key: np.ndarray, sid: np.ndarray, n: np.ndarray, p: np.ndarray, open_: np.ndarray) -> pa.RecordBatch | None:
+        """Whole lists, sorted by (key, n, sid)."""
+        fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))  # equal sets of several tasks
+        anyone = np.logical_or.reduceat(open_, fresh)
+        key, sid, n, p, open_ = key[fresh], sid[fresh], n[fresh], p[fresh], anyone
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(key)))
+        rows: list[tuple[np.ndarray, ...]] = []
+        two = starts[sizes == 2]
+        two = two[_reach(n[two], n[two + 1], p[two], p[two + 1]) & (open_[two] | open_[two + 1])]
+        singles = [(two, two + 1)]
+        leads: list[tuple[np.ndarray, np.ndarray]] = []
+        for at, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            here = slice(at, at + m)
+            if (pairs := direct_pairs(n[here], p[here], open_[here], short * m)) is not None:
+                singles.append((pairs[0] + at, pairs[1] + at))
+            else:
+                leads.append((np.full(m - 1, at), np.arange(at + 1, at + m)))
+        for group, star in ((singles, False), (leads, True)):
+            if group:
+                i, j = (np.concatenate(x) for x in zip(*group, strict=True))
+                rows.append((sid[i], sid[j], key[j], n[j], p[j], open_[j], np.full(len(i), not star)))
+        a, b, k, n, p, o, plain = (np.concatenate(c) for c in zip(*rows, strict=True))
+        if not len(a):
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(k, mask=plain), pa.array(n, type=pa.int32(), mask=plain), pa.array(p, type=pa.int32(), mask=plain), pa.array(o, mask=plain)], schema=schema)
 
-    found = docs.mapInArrow(run, "sid long, n long, keys array<long>")
-    return found.select(F.explode("keys").alias("key"), "sid", "n", F.lit(True).alias("open"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
+            now[2:4] = [x.astype(np.int64) for x in now[2:4]]
+            if held:
+                now = [np.concatenate(c) for c in zip(held, now, strict=True)]
+            cut = int(np.searchsorted(now[0], now[0][-1]))  # the last list may go on
+            if cut and (out := listed(*(c[:cut] for c in now))) is not None:
+                yield out
+            held = [c[cut:] for c in now]
+        if held and (out := listed(*held)) is not None:
+            yield out
+
+    return entries.repartition("key").sortWithinPartitions("key", "n", "sid").select("key", "sid", "n", "p", "open").mapInArrow(run, _CANDIDATE)
+
+
+def _hot_lists(entries: DataFrame) -> DataFrame:
+    """The same for lists of any length, led by their smallest sets."""
+    leaders = entries.groupBy("key").agg(F.min(F.struct("n", "sid")).alias("least"), F.max("open").alias("any"), F.max(F.struct("n", "sid")).alias("most"))
+    leaders = leaders.filter("any and least <> most").select("key", F.col("least.sid").alias("a"))
+    led = entries.join(leaders, "key").filter("sid <> a").groupBy("a", F.col("sid").alias("b"), "key", "n", "p").agg(F.max("open").alias("open"))
+    return led.select("a", "b", "key", "n", "p", "open")
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """Pairs (a, b, star): list leaders with the other sets, and all pairs of short lists. Uses up the entries."""
-    several = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    met = written(entries.join(several, "key"), "lists")
-    dropped(entries)
-    lists = met.groupBy("key").agg(F.min("sid").alias("leader"), F.max("sid").alias("other"), F.count(F.lit(1)).alias("m"), F.max("open").alias("any")).filter("leader <> other and any")
-    listed = met.join(lists.select("key", "leader", "m"), "key")
-    star = listed.filter(f"m > {SHORT} and sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b"), F.lit(True).alias("star"))
-    short = listed.filter(f"m <= {SHORT}").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("sid", "n"))).alias("s"))
-    pairs = short.select(F.explode(F.expr("flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> struct(x.sid as a, y.sid as b, x.n as p, y.n as q))))")).alias("p"))
-    pairs = pairs.select("p.*").filter(f"100 * least(p, q) >= {PERCENT} * greatest(p, q)").select("a", "b", F.lit(False).alias("star"))
-    return star.union(pairs).groupBy("a", "b").agg(F.max("star").alias("star"))
+    """Candidates of a later round's lists, whose lengths are counted first."""
+    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(f"m > {HOT}").select("key")
+    long = written(sizes, "hot")
+    return _lists(entries.join(long, "key", "left_anti")).union(_hot_lists(entries.join(long, "key", "left_semi")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, n, linked, keys): keys are the difference prefix of b against its leader a, for the next round."""
-    left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("n"), F.col("text").alias("tb")), "b")
-    both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "n", "ta", "tb")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("keys", pa.list_(pa.int64()))])
+    """(a, b, linked, stays, keys) of pairs (a, b, star): `stays` if b is beyond 1/2 of its leader a; keys, within 3/4 of it, are
+    the prefix of b's differences from a."""
+    left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
+    both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "ta", "tb")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("star", pa.bool_()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[] for _ in schema]
                 last: tuple[int, np.ndarray] | None = None
-                for a, b, star, n, ta, tb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
+                for a, b, star, ta, tb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
                     if last is None or last[0] != a:
                         last = (a, shingles.shingle_set(ta))
                     x, y = last[1], shingles.shingle_set(tb)
                     common = np.intersect1d(x, y, assume_unique=True)
                     inter, c = len(common), len(x)
-                    linked = 100 * inter >= PERCENT * (c + len(y) - inter)
+                    union = c + len(y) - inter
+                    linked = 100 * inter >= PERCENT * union
                     keys = None
-                    if star:
+                    if star and 4 * inter >= union:
                         gone, new = np.setdiff1d(x, common, assume_unique=True), np.setdiff1d(y, common, assume_unique=True)
                         weight = 4 * len(gone) + 3 * len(new)
                         least = -(-(weight - c) // 7) if not linked else -(-(weight + 1) // 7)
                         order = np.sort(np.concatenate([shingles.mix(gone ^ _SIGN), new]))
                         keys = _signed(shingles.mix(order[: max(0, len(order) - max(least, 1) + 1)] ^ np.uint64(a & 0xFFFFFFFFFFFFFFFF)))
-                    for column, v in zip(out, (a, b, n, linked, keys), strict=True):
+                    for column, v in zip(out, (a, b, len(y), star, linked, star and 2 * inter < union, keys), strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
-    return both.mapInArrow(run, "a long, b long, n long, linked boolean, keys array<long>")
+    return both.mapInArrow(run, "a long, b long, n int, star boolean, linked boolean, stays boolean, keys array<long>")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -176,24 +329,31 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     summary = written(_summary(rows), "sets")
     members = summary.filter("kind = 0").select("doc_id", "n", "sid")
-    total = members.count()
-    often = summary.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(_FREQUENT_LEAST, total * FREQUENT))
-    frequent = np.array([r[0] for r in often.select("sid").toLocalIterator()], dtype=np.int64).view(np.uint64)
-    entries = written(_prefixes(rows, frequent), "prefixes")
+    logs = _count_table(summary)
+    found = _lists(_prefixes(rows, logs, False))
+    if _hot_cells(logs, HOT).any():
+        found = found.union(_hot_lists(_prefixes(rows, logs, True)))
     links: DataFrame | None = None
     needed: DataFrame | None = None
     while True:
-        pairs = written(_candidates(entries), "pairs")
-        if pairs.isEmpty():
+        listed = written(found, "pairs")
+        if listed.isEmpty():
             break
+        pairs = listed.groupBy("a", "b").agg(F.max(F.col("key").isNotNull()).alias("star"))
         if needed is None:
-            ids = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+            ids = listed.select(F.col("a").alias("sid")).union(listed.select("b")).distinct()
             first = members.join(ids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
             needed = written(_sets_of(rows, first).dropDuplicates(["sid"]), "sets")
-        found = written(_verified(pairs, needed), "links")
-        linked = found.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        judged = written(_verified(pairs, needed), "links")
+        linked = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = linked if links is None else links.union(linked)
-        entries = written(found.filter("keys is not null").select(F.explode("keys").alias("key"), F.col("b").alias("sid"), "n", (~F.col("linked")).alias("open")), "prefixes")
+        # lists go on with the sets beyond 1/2 of the leader
+        rest = listed.filter("key is not null").join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "n", "p", "open")
+        # differences matter where a set is like its leader and not linked to it
+        like = judged.filter("keys is not null")
+        apart = like.filter("not linked").select("a").distinct()
+        new = like.join(apart, "a", "left_semi").select(F.explode("keys").alias("key"), F.col("b").alias("sid"), "n", F.lit(0).alias("p"), (~F.col("linked")).alias("open"))
+        found = _candidates(written(rest.union(new), "entries"))
     return members.select("doc_id", "sid", "n"), links if links is not None else docs.sparkSession.createDataFrame([], "u long, v long")
 
 

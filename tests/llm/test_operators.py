@@ -342,8 +342,10 @@ def brute_components(docs):
     return {i: (len(s), find(i)) for i, s in sets}
 
 
-def test_jaccard_join_rounds_of_differences(spark, corpus, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SHORT", 2)  # every longer list goes through leaders and differences
+@pytest.mark.parametrize("hot", [100_000, 4])
+def test_jaccard_join_rounds_of_differences(spark, corpus, monkeypatch, hot):
+    monkeypatch.setattr(ngram_join, "SHORT", 0)  # every list with a possible pair goes through leaders and differences
+    monkeypatch.setattr(ngram_join, "HOT", hot)  # 4: and through the way of hot lists
     base, r = [f"b{i}" for i in range(120)], random.Random(4)
     near = []
     for k in range(14):
@@ -351,18 +353,51 @@ def test_jaccard_join_rounds_of_differences(spark, corpus, monkeypatch):
         for p in r.sample(range(120), r.randint(0, 5)):
             w[p] = f"n{k}p{p}"
         near.append((700 + k, " ".join(w)))
+    # sets between 0.4 and 0.75 of each other, some of them linked
+    for k in range(16):
+        w = [*base[:90], *(f"own{k // 2}w{j}" for j in range(28 + k % 3))]
+        near.append((720 + k, " ".join(w)))
     docs = list({i: (i, t) for i, t in corpus + near}.values())
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join_documents(make_docs(spark, docs)).collect()}
     assert got == brute_components(docs)
 
 
+def test_jaccard_pairs_of_a_list():
+    r = np.random.default_rng(3)
+    for m in (2, 5, 70, 300):
+        n = np.sort(r.integers(5, 60, m))
+        p, open_ = (r.random(m) * n / 4).astype(np.int64), r.random(m) < 0.7
+        i, j = ngram_join.direct_pairs(n, p, open_, m * m)
+        want = {(a, b) for a in range(m) for b in range(a + 1, m) if 7 * min(n[a] - p[a], n[b] - p[b]) >= 3 * (n[a] + n[b]) and (open_[a] or open_[b])}
+        assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
+    assert ngram_join.direct_pairs(np.full(50, 20), np.zeros(50, dtype=np.int64), np.ones(50, dtype=bool), 400) is None
+
+
+def test_jaccard_join_with_a_shingle_in_every_set(spark, monkeypatch):
+    """A line that 3,000 unlike documents hold, and short ones that hold little else: few rounds, and no link lost."""
+    r, line = random.Random(8), "this line is in all of the documents here"
+    docs = [(i, line + " " + " ".join(f"v{r.randint(0, 40000)}" for _ in range(r.randint(1, 30)))) for i in range(3000)]
+    docs += [(5000 + i, line + f" again{i % 40}") for i in range(200)]
+    rounds, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda *a: rounds.append(1) or verified(*a))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join_documents(make_docs(spark, docs)).collect()}
+    sets = {}
+    for i, t in docs:
+        w = t.split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    want = brute_components([(i, t) for i, t in docs if len(sets[i]) < 9] )
+    assert {i: v for i, v in got.items() if i in want} == want
+    assert all(got[i] == (len(sets[i]), i) for i in sets if i not in want)
+    assert len(rounds) <= 6
+
+
 def test_jaccard_join_edges(spark):
     rows = ngram_join.join_documents(make_docs(spark, EDGES)).collect()
     assert len(rows) == len(EDGES) and {r["component_id"] for r in rows if r["doc_id"] in (4, 5)} == {4}
     assert ngram_join.join_documents(make_docs(spark, [])).count() == 0
 
 
-def test_jaccard_join_of_documents_without_ids(spark):
+def test_jaccard_join_of_documents_without_ids(spark, monkeypatch):
     base, r = [f"b{i}" for i in range(150)], random.Random(6)
     near = []
     for k in range(30):
@@ -372,7 +407,7 @@ def test_jaccard_join_of_documents_without_ids(spark):
         near.append(" ".join(w))
     ids = [int(ngram_join._ids_of([ngram_join.shingles.shingle_set(t.encode())])[0]) for t in near]
     near = [near[i] for i in np.argsort(ids)]  # the least set leads
-    assert len(near) > ngram_join.SHORT
+    monkeypatch.setattr(ngram_join, "SHORT", 0)
     docs = [(None if k == 0 else 800 + k, t) for k, t in enumerate(near)]
     want = brute_components([(i or 10**6, t) for i, t in docs])
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join_documents(make_docs(spark, docs)).collect()}
