@@ -1,7 +1,7 @@
 """Jaccard join of the documents' 5-word shingle sets, with set-relation skipping.
 
 1. Documents with equal sets are one set from here on, by a hash over all shingles.
-2. Shingles get one global order, the rarer first, by a table of counts: `TABLE` cells, each the number of times that any
+2. Shingles get one global order, the rarer first, by a table of counts (`count_table`), each cell the number of times that any
    of its shingles occurs in a set. The table has the same size whatever the input; the order it gives changes the
    cost, never the results. Of each set only the prefix is indexed: two sets that reach the threshold share one of theirs.
 3. An index list holds its sets by size, each with the shingle's place in it. Runs of sets that are too large, or in which
@@ -30,7 +30,6 @@ Only the named columns are read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import shingles
+from shelfwise.llm import count_table, shingles
 from shelfwise.llm.common import table, written
 from shelfwise.llm.graph import components
 
@@ -48,10 +47,6 @@ PERCENT = 75
 SHORT = 8
 #: Lists that may be longer are led without being held by one task.
 HOT = 100_000
-#: Cells of the count table: 4 MB a task, 8 MB broadcast, at any size of the input.
-TABLE_BITS = 22
-_CHUNK_BITS = 16
-_SCALE = 64  # counts are broadcast as _SCALE * log2(1 + count)
 _SIGN = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
@@ -66,17 +61,13 @@ def _ids_of(sets: list[np.ndarray]) -> np.ndarray:
     return _signed(shingles.mix(f1 ^ shingles.mix(f2 ^ shingles.mix(n + _SIGN))))
 
 
-def _cells(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-
-
 def _summary(docs: DataFrame) -> DataFrame:
     """kind 0: a row per document with its set's size and id; kinds 1 and 2: a task's count table by chunks (n), the counts'
     low bytes and what is above them."""
     schema = pa.schema([("kind", pa.int32()), ("doc_id", docs_type(docs)), ("n", pa.int64()), ("sid", pa.int64()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = np.zeros(1 << TABLE_BITS, dtype=np.uint32), set()
+        counts, seen = count_table.empty(), set()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 some = batch.slice(k, 1000)
@@ -85,44 +76,17 @@ def _summary(docs: DataFrame) -> DataFrame:
                 for sid, s in zip(ids.tolist(), sets, strict=True):
                     if sid not in seen:  # equal sets count once
                         seen.add(sid)
-                        np.add.at(counts, _cells(s), 1)
+                        count_table.add(counts, s)
                 m = len(sets)
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(m, dtype=np.int32)), some.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(ids), pa.nulls(m, pa.binary())], schema=schema)
-        rows: list[tuple[int, int, bytes]] = []
-        for kind, part in ((1, (counts & 255).astype(np.uint8)), (2, counts >> 8)):
-            for c, chunk in enumerate(part.reshape(-1, 1 << _CHUNK_BITS)):
-                if chunk.any():
-                    rows.append((kind, c, zlib.compress(chunk.tobytes(), 1)))
-        m = len(rows)
-        kinds, chunks, data = zip(*rows, strict=True) if rows else ((), (), ())
+        kinds, chunks, data = count_table.pieces(counts)
+        m = len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(kinds, type=pa.int32()), pa.nulls(m, schema.field(1).type), pa.array(chunks, type=pa.int64()), pa.nulls(m, pa.int64()), pa.array(data, type=pa.binary())], schema=schema)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, sid long, counts binary")
 
 
-def _count_table(summary: DataFrame) -> np.ndarray:
-    """The whole input's counts, as _SCALE * log2(1 + count)."""
-    schema = pa.schema([("n", pa.int64()), ("counts", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for kind, chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(zlib.decompress(data), dtype=np.uint8 if kind == 1 else np.uint32).astype(np.int64)
-                total = sums.setdefault(chunk, np.zeros(len(part), dtype=np.int64))
-                total += part << 8 * (kind - 1)
-        logs = [np.rint(_SCALE * np.log2(1 + v)).astype(np.uint16).tobytes() for v in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int64()), pa.array(logs, type=pa.binary())], schema=schema)
-
-    out = np.zeros(1 << TABLE_BITS, dtype=np.uint16)
-    parts = summary.filter("kind > 0").select("kind", "n", "counts").repartition("n").mapInArrow(run, "n long, counts binary")
-    for chunk, data in parts.collect():  # as many bytes as the table has, whatever the input
-        at = chunk << _CHUNK_BITS
-        out[at : at + (1 << _CHUNK_BITS)] = np.frombuffer(data, dtype=np.uint16)
-    return out
-
-
 def docs_type(docs: DataFrame) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -151,12 +115,6 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return named.union(nameless.join(wanted.filter("doc_id is null").select("sid"), "sid", "left_semi"))
 
 
-def _hot_cells(logs: np.ndarray, least: int) -> np.ndarray:
-    """Cells that hold a shingle which so many sets may have."""
-    usual = 2.0 ** (np.median(logs) / _SCALE)
-    return 2.0 ** (logs / _SCALE) - usual >= least
-
-
 def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
     """(key, sid, n, p, open): each shingle of each prefix, with the set's size and the shingle's place in it; those of hot
     cells or the others. A task emits equal sets once."""
@@ -165,7 +123,7 @@ def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
-        apart = _hot_cells(counts, least)
+        apart = count_table.above(counts, least)
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 sets = [shingles.shingle_set(t) for t in batch.column(1).slice(k, 1000).to_pylist()]
@@ -174,7 +132,7 @@ def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
                     if sid in seen or not len(s):
                         continue
                     seen.add(sid)
-                    cells = _cells(s)
+                    cells = count_table.cells(s)
                     length = len(s) - -(-PERCENT * len(s) // 100) + 1
                     first = np.argsort(counts[cells], kind="stable")[:length]  # sets are sorted by hash, so ties go by it
                     place = np.flatnonzero(apart[cells[first]] == hot)
@@ -329,9 +287,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     summary = written(_summary(rows), "sets")
     members = summary.filter("kind = 0").select("doc_id", "n", "sid")
-    logs = _count_table(summary)
+    logs = count_table.gathered(summary.filter("kind > 0").select("kind", F.col("n").alias("chunk"), "counts"))
     found = _lists(_prefixes(rows, logs, False))
-    if _hot_cells(logs, HOT).any():
+    if count_table.above(logs, HOT).any():
         found = found.union(_hot_lists(_prefixes(rows, logs, True)))
     links: DataFrame | None = None
     needed: DataFrame | None = None
