@@ -63,6 +63,11 @@ def gathered(parts: DataFrame) -> np.ndarray:
     return out
 
 
+def usual(logs: np.ndarray) -> float:
+    """What the middle cell holds."""
+    return 2.0 ** (float(np.median(logs)) / _SCALE) - 1
+
+
 def above(logs: np.ndarray, least: float) -> np.ndarray:
     """Cells with at least so many more than is usual: all that hold a shingle of at least so many occurrences, and few others."""
-    return 2.0 ** (logs / _SCALE) - 2.0 ** (np.median(logs) / _SCALE) >= least
+    return 2.0 ** (logs / _SCALE) - 1 - usual(logs) >= least
