@@ -4,21 +4,22 @@
 2. Shingles get one global order, the rarer first, by a table of counts (`count_table`), each cell the number of times that any
    of its shingles occurs in a set. The table has the same size whatever the input; the order it gives changes the
    cost, never the results. Of each set only the prefix is indexed: two sets that reach the threshold share one of theirs.
-3. An index list holds its sets by size, each with the shingle's place in it. Runs of sets that are too large, or in which
-   the shingle stands too far back for the threshold, are skipped as a whole. If the pairs that remain are at most `SHORT` for
-   each set of the list, they are candidates.
+3. An index list holds its sets by size, each with what its shingle's place leaves room for. Runs of sets that are too large, or
+   in which the shingle stands too far back for the threshold, are skipped as a whole. If the pairs that remain are at most
+   `SHORT` for each set of the list, they are candidates.
 4. A list with more of them has highly similar sets. Its smallest set leads and is compared with each of the others, and
-   their answers follow from the leader's: with a shingles of the leader c missing from x and b new ones,
-       |x & y| = |c| - a_x - a_y + shared differences,
-   so x and y link only if they share at least (w_x + w_y - |c|) / 7 differences, w = 4 a + 3 b. Two sets linked to
-   the leader are in its class already. The differences' own prefixes, keyed by leader, are further index lists, needed
-   only where a set is like the leader without being linked to it.
-   The Jaccard distance is a metric: a set within 1/2 of the leader can link only to sets within 3/4 of it. So all within
-   3/4 give differences, and only those beyond 1/2 stay in the list, which comes back with a new leader. Each list's
-   sets come after its leader in the order (size, set id), so rounds end.
+   their answers follow from what they have of a reference R: the leader's common shingles (by the count table), or all of them if
+   those are less than half. With w_x = 4 |R - x| + 3 |x - R|, two sets x and y link exactly if they share at least
+   (w_x + w_y - |R|) / 7 differences from R. So all sets with w_x + w <= |R|, w being the least weight, are in one class
+   with the set that has it, and any other pair shares a difference in the differences' own prefixes, which are further
+   index lists, keyed by the leader, with the places' room among the differences. Sets that are in one class by then, whatever
+   linked them, need no pair; so each set's prefix counts on the least weight among the other classes.
+   x - y has at most a quarter of x if they link. So a set that has a quarter of its size more of R than a quarter of R can
+   link only to sets that have a quarter of R. All those give differences; only sets with less than the former stay in
+   the list, which comes back with a new leader. Each list's sets come after its leader in the order (size, set id), so rounds end.
 5. Verified links give components.
 
-Every link is found: prefixes, places, difference prefixes and distances are exact filters, and each candidate is verified
+Every link is found: prefixes, places, references and their differences are exact filters, and each candidate is verified
 on whole sets. Lists of shingles that over `HOT` sets may have are led by map-side minima and by a join whose large
 partitions Spark splits; a task reads other lists in sorted order and holds one of them.
 
@@ -43,8 +44,10 @@ from shelfwise.llm.graph import components
 
 #: Links: 100 * intersection >= PERCENT * union. The filters' weights (4, 3, 7) and distances are those of 75.
 PERCENT = 75
-#: Pairs for each set of a list up to which the list is compared directly.
-SHORT = 8
+#: Pairs for each set of a list up to which the list is compared directly, at first; each round doubles it.
+SHORT = 16
+#: A shingle of a leader is common if so many more sets have it than is usual.
+COMMON = 8
 #: Lists that may be longer are led without being held by one task.
 HOT = 100_000
 _SIGN = np.uint64(0xA5A5A5A5A5A5A5A5)
@@ -116,10 +119,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
-    """(key, sid, n, p, open): each shingle of each prefix, with the set's size and the shingle's place in it; those of hot
-    cells or the others. A task emits equal sets once."""
+    """(key, sid, need, slack, comp): each shingle of each prefix, those of hot cells or the others; need and slack by the set's
+    size and the shingle's place. A task emits equal sets once."""
     shared, least = docs.sparkSession.sparkContext.broadcast(logs), HOT
-    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("p", pa.int32())])
+    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("need", pa.int32()), ("slack", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
@@ -137,37 +140,30 @@ def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
                     first = np.argsort(counts[cells], kind="stable")[:length]  # sets are sorted by hash, so ties go by it
                     place = np.flatnonzero(apart[cells[first]] == hot)
                     if len(place):
-                        parts.append((s[first[place]], np.full(len(place), sid, dtype=np.int64), np.full(len(place), len(s), dtype=np.int32), place.astype(np.int32)))
+                        parts.append((s[first[place]], np.full(len(place), sid, dtype=np.int64), np.full(len(place), 6 * len(s), dtype=np.int32), (8 * len(s) - 14 * place).astype(np.int32)))
                 if parts:
-                    key, ids, n, p = (np.concatenate(c) for c in zip(*parts, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(n), pa.array(p)], schema=schema)
+                    key, ids, need, slack = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(need), pa.array(slack)], schema=schema)
 
-    return docs.mapInArrow(run, "key long, sid long, n int, p int").withColumn("open", F.lit(True))
+    return docs.mapInArrow(run, "key long, sid long, need int, slack int").withColumn("comp", F.col("sid"))
 
 
-def _reach(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
-    """Whether sets of these sizes that first share the shingle at these places can reach the threshold."""
-    return 7 * np.minimum(na - pa_, nb - pb) >= 3 * (na + nb)
+def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The pairs (i, j) of one list, sorted by need, that can link and are not in one class yet; None if there are over `most`.
 
-
-def direct_pairs(n: np.ndarray, p: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """The pairs (i, j) of one list, sorted by size, that can link and of which one is open; None if there are over `most`.
-
-    Sizes end each set's run of partners; the runs are met block by block, and a block whose places are all too far back
-    is skipped."""
-    m = len(n)
-    ends = np.searchsorted(n, n * 4 // 3, side="right")
+    What two entries still have room for must reach what both need: with slack = 14 room - need, each one's slack must
+    reach the other's need. Slack ends each entry's run of partners; the runs are met block by block, and a block whose
+    slack is too small, be it by size or by place, is skipped."""
+    m = len(need)
+    ends = np.searchsorted(need, slack, side="right")
     out: list[tuple[np.ndarray, np.ndarray]] = []
-    found = 0
-    width = 64
-    room = n - p  # shingles from the place on
-    best = np.maximum.reduceat(room, np.arange(0, m, width))
-    need = -(-6 * n // 7)  # at least, with a partner of the same size or larger
-    for i in np.flatnonzero(room >= need).tolist():
+    found, width = 0, 64
+    best = np.maximum.reduceat(slack, np.arange(0, m, width))
+    for i in np.flatnonzero(ends > np.arange(m) + 1).tolist():
         first, last = (i + 1) // width, -(-int(ends[i]) // width)
         for k in (np.flatnonzero(best[first:last] >= need[i]) + first).tolist():
             j = np.arange(max(i + 1, k * width), min(int(ends[i]), (k + 1) * width))
-            j = j[_reach(n[i], n[j], p[i], p[j]) & (open_[i] | open_[j])]
+            j = j[(slack[j] >= need[i]) & (comp[j] != comp[i])]
             if len(j):
                 found += len(j)
                 if found > most:
@@ -178,41 +174,36 @@ def direct_pairs(n: np.ndarray, p: np.ndarray, open_: np.ndarray, most: int) ->
     return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
-_CANDIDATE = "a long, b long, key long, n int, p int, open boolean"
-_CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+_CANDIDATE = "a long, b long, key long, need int, slack int"
+_CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
 
-def _lists(entries: DataFrame) -> DataFrame:
+def _lists(entries: DataFrame, short: int) -> DataFrame:
     """Candidates (a, b) of the lists; where a leads a list, with its key and b's entry in it. Tasks read lists in sorted order."""
     schema = pa.schema([(f.split()[0], t) for f, t in zip(_CANDIDATE.split(", "), _CANDIDATE_TYPES, strict=True)])
-    short = SHORT
 
-    def listed(key: np.ndarray, sid: np.ndarray, n: np.ndarray, p: np.ndarray, open_: np.ndarray) -> pa.RecordBatch | None:
-        """Whole lists, sorted by (key, n, sid)."""
+    def listed(key: np.ndarray, sid: np.ndarray, need: np.ndarray, slack: np.ndarray, comp: np.ndarray) -> pa.RecordBatch | None:
+        """Whole lists, sorted by (key, need, sid)."""
         fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))  # equal sets of several tasks
-        anyone = np.logical_or.reduceat(open_, fresh)
-        key, sid, n, p, open_ = key[fresh], sid[fresh], n[fresh], p[fresh], anyone
+        key, sid, need, slack, comp = (v[fresh] for v in (key, sid, need, slack, comp))
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
-        rows: list[tuple[np.ndarray, ...]] = []
         two = starts[sizes == 2]
-        two = two[_reach(n[two], n[two + 1], p[two], p[two + 1]) & (open_[two] | open_[two + 1])]
+        two = two[(slack[two] >= need[two + 1]) & (slack[two + 1] >= need[two]) & (comp[two] != comp[two + 1])]
         singles = [(two, two + 1)]
         leads: list[tuple[np.ndarray, np.ndarray]] = []
         for at, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             here = slice(at, at + m)
-            if (pairs := direct_pairs(n[here], p[here], open_[here], short * m)) is not None:
+            if (pairs := direct_pairs(need[here], slack[here], comp[here], short * m)) is not None:
                 singles.append((pairs[0] + at, pairs[1] + at))
             else:
                 leads.append((np.full(m - 1, at), np.arange(at + 1, at + m)))
-        for group, star in ((singles, False), (leads, True)):
-            if group:
-                i, j = (np.concatenate(x) for x in zip(*group, strict=True))
-                rows.append((sid[i], sid[j], key[j], n[j], p[j], open_[j], np.full(len(i), not star)))
-        a, b, k, n, p, o, plain = (np.concatenate(c) for c in zip(*rows, strict=True))
-        if not len(a):
+        i, j = (np.concatenate(x) for x in zip(*singles, *leads, strict=True))
+        plain = np.arange(len(i)) < sum(len(x) for x, _ in singles)
+        if not len(i):
             return None
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(k, mask=plain), pa.array(n, type=pa.int32(), mask=plain), pa.array(p, type=pa.int32(), mask=plain), pa.array(o, mask=plain)], schema=schema)
+        own = (pa.array(v, type=t, mask=plain) for v, t in zip((key[j], need[j], slack[j]), _CANDIDATE_TYPES[2:], strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(sid[i]), pa.array(sid[j]), *own], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -230,95 +221,127 @@ def _lists(entries: DataFrame) -> DataFrame:
         if held and (out := listed(*held)) is not None:
             yield out
 
-    return entries.repartition("key").sortWithinPartitions("key", "n", "sid").select("key", "sid", "n", "p", "open").mapInArrow(run, _CANDIDATE)
+    return entries.repartition("key").sortWithinPartitions("key", "need", "sid").select("key", "sid", "need", "slack", "comp").mapInArrow(run, _CANDIDATE)
 
 
 def _hot_lists(entries: DataFrame) -> DataFrame:
     """The same for lists of any length, led by their smallest sets."""
-    leaders = entries.groupBy("key").agg(F.min(F.struct("n", "sid")).alias("least"), F.max("open").alias("any"), F.max(F.struct("n", "sid")).alias("most"))
-    leaders = leaders.filter("any and least <> most").select("key", F.col("least.sid").alias("a"))
-    led = entries.join(leaders, "key").filter("sid <> a").groupBy("a", F.col("sid").alias("b"), "key", "n", "p").agg(F.max("open").alias("open"))
-    return led.select("a", "b", "key", "n", "p", "open")
+    leaders = entries.groupBy("key").agg(F.min(F.struct("need", "sid")).alias("least"), F.min("comp").alias("first"), F.max("comp").alias("last"))
+    leaders = leaders.filter("first <> last").select("key", F.col("least.sid").alias("a"))
+    return entries.join(leaders, "key").filter("sid <> a").select("a", F.col("sid").alias("b"), "key", "need", "slack").distinct()
 
 
-def _candidates(entries: DataFrame) -> DataFrame:
+def _candidates(entries: DataFrame, short: int) -> DataFrame:
     """Candidates of a later round's lists, whose lengths are counted first."""
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(f"m > {HOT}").select("key")
     long = written(sizes, "hot")
-    return _lists(entries.join(long, "key", "left_anti")).union(_hot_lists(entries.join(long, "key", "left_semi")))
+    return _lists(entries.join(long, "key", "left_anti"), short).union(_hot_lists(entries.join(long, "key", "left_semi")))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, linked, stays, keys) of pairs (a, b, star): `stays` if b is beyond 1/2 of its leader a; keys, within 3/4 of it, are
-    the prefix of b's differences from a."""
+def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFrame:
+    """Of pairs (a, b, star): whether they link; and under a leader a with reference R whether b stays in the list, and if b is
+    near R its weight w, the leader's own, R's size c and b's differences from R in the order of their hashes."""
+    shared = pairs.sparkSession.sparkContext.broadcast(common)
     left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
     both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "ta", "tb")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("star", pa.bool_()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("w", pa.int64()), ("wa", pa.int64()), ("c", pa.int64()), ("keys", pa.list_(pa.int64()))])
+
+    def reference(x: np.ndarray) -> np.ndarray:
+        r = x[shared.value[count_table.cells(x)]]
+        return r if 2 * len(r) >= len(x) else x
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 out: list[list] = [[] for _ in schema]
-                last: tuple[int, np.ndarray] | None = None
+                last: tuple[int, np.ndarray, np.ndarray] | None = None
                 for a, b, star, ta, tb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
                     if last is None or last[0] != a:
-                        last = (a, shingles.shingle_set(ta))
-                    x, y = last[1], shingles.shingle_set(tb)
-                    common = np.intersect1d(x, y, assume_unique=True)
-                    inter, c = len(common), len(x)
-                    union = c + len(y) - inter
-                    linked = 100 * inter >= PERCENT * union
-                    keys = None
-                    if star and 4 * inter >= union:
-                        gone, new = np.setdiff1d(x, common, assume_unique=True), np.setdiff1d(y, common, assume_unique=True)
-                        weight = 4 * len(gone) + 3 * len(new)
-                        least = -(-(weight - c) // 7) if not linked else -(-(weight + 1) // 7)
-                        order = np.sort(np.concatenate([shingles.mix(gone ^ _SIGN), new]))
-                        keys = _signed(shingles.mix(order[: max(0, len(order) - max(least, 1) + 1)] ^ np.uint64(a & 0xFFFFFFFFFFFFFFFF)))
-                    for column, v in zip(out, (a, b, len(y), star, linked, star and 2 * inter < union, keys), strict=True):
+                        x = shingles.shingle_set(ta)
+                        last = (a, x, reference(x))
+                    _, x, r = last
+                    y = shingles.shingle_set(tb)
+                    inter = len(np.intersect1d(x, y, assume_unique=True))
+                    row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None)
+                    if star:
+                        held = np.intersect1d(r, y, assume_unique=True)
+                        c, m = len(r), len(held)
+                        if near := 4 * m >= c:
+                            gone, new = np.setdiff1d(r, held, assume_unique=True), np.setdiff1d(y, held, assume_unique=True)
+                            order = np.sort(np.concatenate([shingles.mix(gone ^ _SIGN), new]))
+                            keys = _signed(shingles.mix(order ^ np.uint64(a & 0xFFFFFFFFFFFFFFFF)))
+                            row = (*row[:4], 4 * len(gone) + 3 * len(new), 3 * (len(x) - c), c, keys)
+                        row = (*row[:3], not near or 4 * m < c + len(y), *row[4:])
+                    for column, v in zip(out, row, strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
-    return both.mapInArrow(run, "a long, b long, n int, star boolean, linked boolean, stays boolean, keys array<long>")
+    return both.mapInArrow(run, "a long, b long, linked boolean, stays boolean, w long, wa long, c long, keys array<long>")
+
+
+def _implied(judged: DataFrame) -> DataFrame:
+    """Links (u, v) that follow from the references: of the least weight's set with all whose weights reach the threshold with it."""
+    near = judged.filter("keys is not null")
+    least = near.groupBy("a").agg(F.min(F.struct("w", "b")).alias("m"), F.first("wa").alias("wa"))
+    own = F.col("wa") <= F.col("m.w")
+    least = least.select("a", F.when(own, F.col("wa")).otherwise(F.col("m.w")).alias("least"), F.when(own, F.col("a")).otherwise(F.col("m.b")).alias("rep"))
+    return near.join(least, "a").filter("w + least <= c and b <> rep").select(F.col("rep").alias("u"), F.col("b").alias("v"))
+
+
+def _in_classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds comp, the class of the set sid so far."""
+    return rows.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
+
+
+def _differences(judged: DataFrame, roots: DataFrame) -> DataFrame:
+    """The entries of the differences that sets near one reference must share with those of other classes near it."""
+    near = _in_classes(judged.filter("keys is not null").select("a", F.col("b").alias("sid"), "w", "c", "keys"), roots)
+    by_class = near.groupBy("a", "comp").agg(F.min("w").alias("least"))
+    first = by_class.groupBy("a").agg(F.min(F.struct("least", "comp")).alias("one"))
+    lightest = by_class.join(first, "a").filter("comp <> one.comp").groupBy("a").agg(F.first("one").alias("one"), F.min("least").alias("second"))
+    every = near.join(lightest, "a")
+    partner = F.when(F.col("comp") == F.col("one.comp"), F.col("second")).otherwise(F.col("one.least"))
+    length = F.size("keys") - F.greatest(F.ceil((F.col("w") + partner - F.col("c")) / 7), F.lit(1)) + 1
+    prefix = F.slice("keys", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
+    need = 2 * F.col("w") - F.col("c")
+    keyed = every.select(F.posexplode(prefix).alias("p", "key"), "sid", need.cast("int").alias("need"), (14 * F.size("keys") - need).alias("slack"), "comp")
+    return keyed.select("key", "sid", "need", (F.col("slack") - 14 * F.col("p")).cast("int").alias("slack"), "comp")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Per document (doc_id, sid, n), and the links (u, v) between set ids that were verified."""
+    """Per document (doc_id, sid, n), and the class (node, root) of each set that links."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     summary = written(_summary(rows), "sets")
     members = summary.filter("kind = 0").select("doc_id", "n", "sid")
     logs = count_table.gathered(summary.filter("kind > 0").select("kind", F.col("n").alias("chunk"), "counts"))
-    found = _lists(_prefixes(rows, logs, False))
+    common, short = count_table.above(logs, max(COMMON, 4 * count_table.usual(logs) ** 0.5)), SHORT
+    found = _lists(_prefixes(rows, logs, False), short)
     if count_table.above(logs, HOT).any():
         found = found.union(_hot_lists(_prefixes(rows, logs, True)))
-    links: DataFrame | None = None
+    links = docs.sparkSession.createDataFrame([], "u long, v long")
     needed: DataFrame | None = None
-    while True:
-        listed = written(found, "pairs")
-        if listed.isEmpty():
-            break
+    while not (listed := written(found, "pairs")).isEmpty():
         pairs = listed.groupBy("a", "b").agg(F.max(F.col("key").isNotNull()).alias("star"))
         if needed is None:
             ids = listed.select(F.col("a").alias("sid")).union(listed.select("b")).distinct()
             first = members.join(ids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
             needed = written(_sets_of(rows, first).dropDuplicates(["sid"]), "sets")
-        judged = written(_verified(pairs, needed), "links")
-        linked = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = linked if links is None else links.union(linked)
-        # lists go on with the sets beyond 1/2 of the leader
-        rest = listed.filter("key is not null").join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "n", "p", "open")
-        # differences matter where a set is like its leader and not linked to it
-        like = judged.filter("keys is not null")
-        apart = like.filter("not linked").select("a").distinct()
-        new = like.join(apart, "a", "left_semi").select(F.explode("keys").alias("key"), F.col("b").alias("sid"), "n", F.lit(0).alias("p"), (~F.col("linked")).alias("open"))
-        found = _candidates(written(rest.union(new), "entries"))
-    return members.select("doc_id", "sid", "n"), links if links is not None else docs.sparkSession.createDataFrame([], "u long, v long")
+        judged = written(_verified(pairs, needed, common), "links")
+        links = links.union(judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))).union(_implied(judged))
+        roots = components(links)
+        led = listed.filter("key is not null")
+        if led.isEmpty():
+            return members, roots
+        rest = led.join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "need", "slack")
+        entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "comp").union(_differences(judged, roots)), "entries")
+        short *= 2
+        found = _candidates(entries, short)
+    return members, components(links)
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document: doc_id, sid, n and root, its component's least set id."""
-    members, links = similar_sets(docs, id_col, text_col)
-    roots = components(links)
+    members, roots = similar_sets(docs, id_col, text_col)
     return members.join(roots, members["sid"] == roots["node"], "left").select("doc_id", "sid", "n", F.coalesce("root", "sid").alias("root"))
 
 

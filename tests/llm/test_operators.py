@@ -417,11 +417,11 @@ def test_jaccard_pairs_of_a_list():
     r = np.random.default_rng(3)
     for m in (2, 5, 70, 300):
         n = np.sort(r.integers(5, 60, m))
-        p, open_ = (r.random(m) * n / 4).astype(np.int64), r.random(m) < 0.7
-        i, j = ngram_join.direct_pairs(n, p, open_, m * m)
-        want = {(a, b) for a in range(m) for b in range(a + 1, m) if 7 * min(n[a] - p[a], n[b] - p[b]) >= 3 * (n[a] + n[b]) and (open_[a] or open_[b])}
+        p, comp = (r.random(m) * n / 4).astype(np.int64), r.integers(0, m // 2 + 1, m)
+        i, j = ngram_join.direct_pairs(6 * n, 8 * n - 14 * p, comp, m * m)
+        want = {(a, b) for a in range(m) for b in range(a + 1, m) if 7 * min(n[a] - p[a], n[b] - p[b]) >= 3 * (n[a] + n[b]) and comp[a] != comp[b]}
         assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
-    assert ngram_join.direct_pairs(np.full(50, 20), np.zeros(50, dtype=np.int64), np.ones(50, dtype=bool), 400) is None
+    assert ngram_join.direct_pairs(np.full(50, 120), np.full(50, 160), np.arange(50), 400) is None
 
 
 def test_jaccard_join_with_a_shingle_in_every_set(spark, monkeypatch):
