@@ -20,6 +20,11 @@ def truthy(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c.cast("string"))) == "true", F.lit(False))
 
 
+def optional_truthy(c: Column) -> Column:
+    """as F22, null when blank."""
+    return F.when(trimmed(c) != "", truthy(c))
+
+
 def hierarchy_prefixes(path: Column) -> Column:
     """[A, B] becomes [A, A|B]."""
     return F.transform(F.sequence(F.lit(1), F.size(path)), lambda i: F.array_join(F.slice(path, F.lit(1), i), "|"))
@@ -60,7 +65,7 @@ def alias_suffix(c: Column) -> Column:
 
 def ordered_ids(c: Column) -> Column:
     """Trimmed, without blanks, distinct and sorted."""
-    return F.array_sort(F.array_distinct(F.filter(F.transform(c, F.trim), lambda x: x != "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != "")))
 
 
 def language(locale: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Attribute audit and field mapping."""
+"""Attribute audit and field mapping."""
 
 from __future__ import annotations
 
@@ -44,21 +44,6 @@ def mapping_errors(mappings: DataFrame) -> DataFrame:
     return on.select("mapping_id", F.explode(checks).alias("error"))
 
 
-def mapped_fields(rows: DataFrame, mappings: list[dict]) -> DataFrame:
-    """The configured extra fields of each product, empty values left out, as one map."""
-    pairs = []
-    for m in sorted(mappings, key=lambda m: m["sort_order"]):
-        value = F.col(m["source_attribute"]).cast("string")
-        pairs.append(F.struct(F.lit(m["target_field"]).alias("key"), (F.upper(value) if m["value_mode"] == "displayValue" else value).alias("value")))
-    return rows.select("id", F.explode(F.filter(F.array(*pairs), lambda p: F.coalesce(p["value"], F.lit("")) != "")).alias("p")).select("id", F.col("p.key").alias("field"), "p.value")
-
-
-def index_fields(mappings: DataFrame) -> DataFrame:
-    """The index field of each enabled mapping, with its type and whether the name is valid."""
-    name = F.lower("target_field")
-    return mappings.filter("enabled").select("mapping_id", name.alias("field"), F.when(F.col("value_mode") == "raw", "LONG").otherwise("STRING").alias("type"), (F.col("value_mode") == "displayValueArray").alias("multi_value"), name.rlike("^[a-z][a-z0-9_]{0,254}$").alias("valid"))
-
-
 def upserted(new: DataFrame, old: DataFrame, replace: bool = False) -> DataFrame:
     """Insert or overwrite by key; in replace mode old keys that were not imported go."""
     both = new.alias("n").join(old.alias("o"), "mapping_id", "left" if replace else "full_outer")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -274,16 +273,6 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
     return source.products(spark, d).select("id", rating(F.col("id")).alias("rating"))
 
 
-@query
-def mapped_fields(spark: SparkSession, d: str) -> DataFrame:
-    rules = [
-        {"sort_order": 2, "source_attribute": "size", "target_field": "x_size", "value_mode": "raw"},
-        {"sort_order": 1, "source_attribute": "color", "target_field": "x_color", "value_mode": "displayValue"},
-        {"sort_order": 3, "source_attribute": "master_id", "target_field": "x_master", "value_mode": "raw"},
-    ]
-    return attributes.mapped_fields(source.products(spark, d), rules)
-
-
 def _mappings(spark: SparkSession, d: str) -> DataFrame:
     """One mapping per nation, some of them faulty."""
     n = F.col("n_nationkey")
@@ -297,11 +286,6 @@ def mapping_errors(spark: SparkSession, d: str) -> DataFrame:
     return attributes.mapping_errors(_mappings(spark, d))
 
 
-@query
-def index_fields(spark: SparkSession, d: str) -> DataFrame:
-    return attributes.index_fields(_mappings(spark, d))
-
-
 @query
 def mapping_upsert(spark: SparkSession, d: str) -> DataFrame:
     rows = _mappings(spark, d)
@@ -322,8 +306,7 @@ def streamed_units_sold(spark: SparkSession, d: str) -> DataFrame:
 @query
 def delta_microbatch(spark: SparkSession, d: str) -> DataFrame:
     """Current descriptors arrive as a stream; each micro-batch is reconciled against the manifest in storage."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
-    at = f"{base}/delta-{uuid.uuid4().hex}"
+    at = f"{source.shared_folder(spark)}/delta-{uuid.uuid4().hex}"
     current = catalog.descriptors(_eligible(spark, d))
     current.write.parquet(f"{at}/current")
     reconcile.previous_manifest(spark.read.parquet(f"{at}/current")).write.parquet(f"{at}/manifest")

@@ -130,7 +130,6 @@ ORACLE_SQL: dict[str, str] = {
     "slugs": "SELECT doc_id, " + SLUG.format(x="coalesce(text, '')") + " AS slug FROM documents",
     "html_documents": "SELECT page_id AS id, CASE WHEN coalesce(html, '') = '' THEN '' WHEN regexp_matches(html, '(?i)<html[\\s>]') THEN html ELSE '<html><body>' || html || '</body></html>' END AS html FROM pages UNION ALL SELECT -1 - doc_id, CASE WHEN coalesce(text, '') = '' THEN '' WHEN regexp_matches(text, '(?i)<html[\\s>]') THEN text ELSE '<html><body>' || text || '</body></html>' END FROM documents",
     "ratings": _with(CATALOG, ", s AS (SELECT id, list_sum(list_transform(string_split(id, ''), lambda x: ascii(x)))::INT AS s FROM e), r AS (SELECT id, s, ceil((s % 3) + 2 + (s % 10) / 10 + 0.1) AS r FROM s) SELECT id, (CASE WHEN r < 5 THEN r + ((s % 10) * 0.1::DOUBLE + 0.1::DOUBLE) ELSE r END)::DOUBLE AS rating FROM r".lstrip()),
-    "mapped_fields": _with(CATALOG, "SELECT id, 'x_color' AS field, upper(color) AS value FROM e WHERE coalesce(color, '') <> '' UNION ALL SELECT id, 'x_size', size::VARCHAR FROM e WHERE size IS NOT NULL UNION ALL SELECT id, 'x_master', master_id FROM e WHERE master_id IS NOT NULL"),
     "source_ownership": "SELECT s_nationkey AS organization, s_suppkey % 10 AS source, count(DISTINCT s_suppkey) AS n_targets FROM supplier GROUP BY ALL HAVING count(DISTINCT s_suppkey) > 1",
     "streamed_units_sold": "SELECT strftime(ts, '%Y-%m-%d') AS day, 'P' || json_extract_string(props, '$.k') AS product_id, sum(floor(value + 0.5))::BIGINT AS units, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY ALL",
 }
@@ -138,6 +137,5 @@ ORACLE_SQL: dict[str, str] = {
 _MAPPINGS = "mp AS (SELECT 'map-' || n_nationkey AS mapping_id, n_nationkey % 6 <> 0 AS enabled, CASE WHEN n_nationkey % 7 = 0 THEN '' ELSE 'color' END AS source_attribute, CASE WHEN n_nationkey % 11 = 0 THEN 'EC_Name' WHEN n_nationkey % 5 = 0 THEN 'x_shared' ELSE 'x_' || n_nationkey END AS target_field, CASE WHEN n_nationkey % 4 = 0 THEN 'raw' WHEN n_nationkey % 4 = 1 THEN 'displayValue' WHEN n_nationkey % 4 = 2 THEN 'displayValueArray' ELSE 'odd' END AS value_mode FROM nation),"
 ORACLE_SQL |= {
     "mapping_errors": _with(_MAPPINGS, ", o AS (SELECT *, lower(target_field) AS t, count(*) OVER (PARTITION BY lower(target_field)) AS n FROM mp WHERE enabled) SELECT mapping_id, 'missing_source' AS error FROM o WHERE source_attribute = '' UNION ALL SELECT mapping_id, 'unknown_mode' FROM o WHERE value_mode = 'odd' UNION ALL SELECT mapping_id, 'reserved_target' FROM o WHERE t = 'ec_name' UNION ALL SELECT mapping_id, 'repeated_target' FROM o WHERE n > 1".lstrip()),
-    "index_fields": _with(_MAPPINGS, "SELECT mapping_id, lower(target_field) AS field, CASE WHEN value_mode = 'raw' THEN 'LONG' ELSE 'STRING' END AS type, value_mode = 'displayValueArray' AS multi_value, true AS valid FROM mp WHERE enabled"),
     "mapping_upsert": _with(_MAPPINGS, "SELECT mapping_id, target_field, CASE WHEN right(mapping_id, 1) = '1' THEN 'created' WHEN enabled THEN 'updated' ELSE 'kept' END AS state FROM mp WHERE enabled OR right(mapping_id, 1) <> '1'"),
 }

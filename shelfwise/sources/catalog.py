@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which driver and executors share; only a local master may do without one."""
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return at or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variants and standalone products: one row per part."""
     times = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min("l_shipdate").alias("created"), F.max("l_shipdate").alias("modified"), F.max("l_discount").alias("discount"))

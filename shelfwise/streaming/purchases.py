@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.sources.catalog import shared_folder
+
 
 def event_purchases(events: DataFrame) -> DataFrame:
     """The stream's time is cast to TIMESTAMP, which watermarks need."""
@@ -22,13 +23,15 @@ def daily_units(rows: DataFrame) -> DataFrame:
 
 
 def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
-    """Runs a stream over what is there and returns its result table."""
-    name = f"shelfwise_{uuid.uuid4().hex}"
+    """Runs a stream over what is there; each micro-batch replaces the result table in shared storage, so nothing passes the driver."""
     spark = stream.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/result")
+
+    stream.writeStream.outputMode(mode).foreachBatch(replace).option("checkpointLocation", f"{at}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{at}/result")
 
 
 def streamed_units(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from shelfwise.plans.queries import QUERIES
-from shelfwise.plans.sql import ORACLE_SQL
+from shelfwise.plans.registry import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
