@@ -1,13 +1,15 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks that are coded independently: each starts with empty models and carries its own
-checksum, so any block can be read alone. All blocks of a call advance in lockstep, one id per step, as numpy lanes.
-
-The model of a block mixes three predictions of the next id x:
-    P(x) = h2 [x = p2] + (1 - h2) (h1 [x = p1] + (1 - h1) P0(x))
-p2 and p1 are the ids that last followed the same two and the same one ids; h2 and h1 are their recent hit rates at
-the same confidence. P0 counts the bit lengths of ids; the bits below the leading one are stored as they are.
-All arithmetic is on integers, so every machine codes alike.
+Ids are cut into blocks that are coded independently: each starts with empty models and carries its own checksum, so any
+block can be read alone. A block's ids lie in lanes of up to `STEPS` consecutive ids. All lanes of a call advance in
+lockstep, one id per step, as numpy arrays; the lanes of a block share its models, and no other block's.
+
+Three predictions of the next id x are mixed:
+    P(x) = w2 [x = p2] + w1 [x = p1] + w0 P0(x)
+p2 and p1 are the ids that last followed the same two and the same one ids, each with a confidence. The weights are learned:
+for each pair of confidences they follow how often order 2, order 1 or neither was right. P0 is order 0: the frequencies
+of the ids so far, with an escape for ids that are new, whose share follows how many ids have been new. The frequencies are
+counted anew whenever the ids have grown by a part. All arithmetic is on integers, so every machine codes alike.
 """
 
 from __future__ import annotations
@@ -17,191 +19,209 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
+#: Ids of a block and of a lane, at most.
+BLOCK, STEPS = 1 << 20, 2048
 MAX_ID = 65535
-_MAGIC = b"TKR1"
-_TABLE_BITS = 11  # contexts per block and order
-_CLASSES = 17
-_TOTAL_BITS = 16
-_TOTAL = 1 << _TOTAL_BITS
-_MASK48 = np.uint64((1 << 48) - 1)
-_LOW32 = np.uint64((1 << 32) - 1)
-_U16, _U32 = np.uint64(16), np.uint64(32)
-#: Steps after which the bit lengths' shares follow their counts, and what each id adds to them.
-_PERIOD, _STEP = 16, 24
-_PLACE = np.arange(_CLASSES + 1, dtype=np.uint32)[:, None]
+_MAGIC = b"TKR2"
+_IDS = MAX_ID + 1
+_PAIR_BITS = 18  # contexts of order 2
+_MIX_BITS, _ID_BITS = 12, 20
+_MIX, _ID = 1 << _MIX_BITS, 1 << _ID_BITS
+_STATES = 32
+_LOW32, _U32 = np.uint64((1 << 32) - 1), np.uint64(32)
+_FULL = np.uint64((1 << 64) - 1)
+#: Weights follow their counts each step at first, then each so many steps; counts are halved beyond the limit.
+_EVERY, _LIMIT = 8, 1 << 16
+
+
+def shape(n: int) -> tuple[int, int, int]:
+    """Blocks, lanes of each and steps for n ids; all blocks have the same, and ids 0 fill the end up."""
+    blocks = -(-n // BLOCK)
+    lanes = -(-n // (blocks * STEPS))
+    return blocks, lanes, -(-n // (blocks * lanes))
 
 
 class _Model:
-    """The models of all lanes. A context's entry is its predicted id times 4 plus a confidence, 0 while empty."""
-
-    def __init__(self, lanes: int):
-        self.row = np.arange(lanes)
-        self.entries = [np.full(lanes << _TABLE_BITS, (MAX_ID + 1) << 2, dtype=np.int32) for _ in range(2)]
-        self.rates = [np.full(lanes * 4, _TOTAL // 2, dtype=np.int32) for _ in range(2)]
-        self.counts = np.ones(_CLASSES * lanes, dtype=np.int64)
-        self.cdf, self.time = np.zeros((_CLASSES + 1, lanes), dtype=np.uint32), 0
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.mixed = np.zeros(lanes, dtype=np.int64)
-        self.base, self.base4 = self.row << _TABLE_BITS, (self.row * 4).astype(np.int32)
-
-    def predict(self) -> None:
-        """Predicted ids g2 and g1, their parts f2 and f1 of the code space, and what is left for bit lengths."""
-        if self.time % _PERIOD == 0:
-            total = np.cumsum(self.counts.reshape(_CLASSES, -1), axis=0)
-            self.cdf[1:] = (total << _TOTAL_BITS) // total[-1]
-        self.time += 1
-        mask = (1 << _TABLE_BITS) - 1
-        one = self.last * 40503
-        self.slots = (self.base + (((one + self.mixed) >> 5) & mask), self.base + ((one >> 3) & mask))
-        self.found = [self.entries[k].take(self.slots[k]) for k in (0, 1)]
-        self.guess = [e >> 2 for e in self.found]
-        self.state = [self.base4 + (e & 3) for e in self.found]
-        self.rate = [self.rates[k].take(self.state[k]) for k in (0, 1)]
-        self.f2 = ((self.rate[0] * np.int64(60000)) >> _TOTAL_BITS) + 16
-        self.f1 = ((_TOTAL - self.f2) * (((self.rate[1] * np.int64(60000)) >> _TOTAL_BITS) + 16)) >> _TOTAL_BITS
-        self.head = self.f2 + self.f1
-        self.room = _TOTAL - _CLASSES - self.head
-
-    def bound(self, k: np.ndarray) -> np.ndarray:
-        """Where bit length k's part begins; each has at least one unit."""
-        return self.head + k + ((self.cdf.take(k * len(self.row) + self.row) * self.room) >> _TOTAL_BITS)
-
-    def class_at(self, above: np.ndarray) -> np.ndarray:
-        """The bit length whose part holds this place, counted from where the parts begin."""
-        begins = ((self.cdf[1:_CLASSES] * self.room.astype(np.uint32)) >> np.uint32(_TOTAL_BITS)) + _PLACE[1:_CLASSES]
-        return np.add.reduce((begins <= np.maximum(above, 0).astype(np.uint32)).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
-
-    def update(self, ids: np.ndarray, cls: np.ndarray) -> None:
-        fresh = ((ids << 2) + 1).astype(np.int32)
+    """The models of all blocks. A context's entry is its predicted id times 4 plus a confidence, 0 while empty."""
+
+    def __init__(self, blocks: int, lanes: int):
+        self.blocks, self.lanes = blocks, lanes
+        self.block = np.repeat(np.arange(blocks, dtype=np.int64), lanes)
+        self.entries = [np.full(blocks << bits, _IDS << 2, dtype=np.int64) for bits in (_PAIR_BITS, 16)]
+        self.base = [self.block << _PAIR_BITS, self.block << 16]
+        self.state_base = self.block * _STATES
+        self.wins = np.tile(np.array([1, 1, 2], dtype=np.int64), (blocks * _STATES, 1))
+        self.counts = np.zeros((blocks, _IDS), dtype=np.int64)
+        self.last, self.before = np.zeros(blocks * lanes, dtype=np.int64), np.zeros(blocks * lanes, dtype=np.int64)
+        self.step, self.counted, self.next = 0, 0, 0
+        self.begin, self.size = np.zeros(blocks << 16, dtype=np.int64), np.zeros(blocks << 16, dtype=np.int64)
+
+    def predict(self, grid: np.ndarray) -> None:
+        """Guesses of orders 2 and 1 and the parts of the code space that they have; `grid` holds the ids so far."""
+        if self.step >= self.next:
+            self._count(grid)
+        if self.step < 64 or self.step % _EVERY == 0:
+            self.wins[self.wins.sum(axis=1) > _LIMIT] >>= 1
+            share = self.wins * (_MIX - 3) // np.maximum(self.wins.sum(axis=1, keepdims=True), 1) + 1
+            self.share2, self.share1 = share[:, 0].copy(), share[:, 1].copy()
+        self.slots = (self.base[0] + ((self.last * 40503 + self.before * 179424673 >> 7) & ((1 << _PAIR_BITS) - 1)), self.base[1] + self.last)
+        self.found = (self.entries[0].take(self.slots[0]), self.entries[1].take(self.slots[1]))
+        self.guess = (self.found[0] >> 2, self.found[1] >> 2)
+        self.state = self.state_base + (self.guess[0] == self.guess[1]) * 16 + (self.found[0] & 3) * 4 + (self.found[1] & 3)
+        self.part2, self.part1 = self.share2.take(self.state), self.share1.take(self.state)
+        self.head = self.part2 + self.part1
+
+    def _count(self, grid: np.ndarray) -> None:
+        """Order 0 anew, from all ids before this step; a new time is set when they have grown by an eighth."""
+        for k in range(self.blocks):
+            fresh = grid[self.counted : self.step, k * self.lanes : (k + 1) * self.lanes]
+            if fresh.size:
+                self.counts[k] += np.bincount(fresh.ravel(), minlength=_IDS)
+        self.counted = self.step
+        self.next = self.step + max(1, self.step // 8)
+        ids, limits = [], []
+        for k in range(self.blocks):
+            known = np.flatnonzero(self.counts[k])
+            c = self.counts[k][known]
+            n, d = int(c.sum()), len(known)
+            escape = max(_ID // 4096, _ID * d // (n + d)) if n else _ID
+            size = 1 + c * (_ID - escape - d) // max(n, 1)
+            end = np.cumsum(size)
+            at = slice(k << 16, (k + 1) << 16)
+            self.begin[at], self.size[at] = 0, 0
+            self.begin[(k << 16) + known], self.size[(k << 16) + known] = end - size, size
+            top = int(end[-1]) if d else 0
+            # for decoding: ids and where they begin, with the escape as a last one
+            ids.append(np.append(known, -1))
+            limits.append((k << _ID_BITS) + np.append(end - size, top))
+        self.ids, self.limits = np.concatenate(ids), np.concatenate(limits)
+        self.tops = np.array([int(x[-1]) & (_ID - 1) for x in limits], dtype=np.int64)
+
+    def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
+        fresh = (ids << 2) + 1
         for k in (0, 1):
-            entry, rate, hit = self.found[k], self.rate[k], self.guess[k] == ids
-            self.rates[k][self.state[k]] = rate + (((hit * np.int32(_TOTAL)) - rate) >> 4)
+            entry = self.found[k]
             conf = entry & 3
-            self.entries[k][self.slots[k]] = np.where(hit, entry + (conf < 3), np.where(conf > 1, entry - 1, fresh))
-        self.counts[cls * len(self.row) + self.row] += _STEP
-        self.mixed, self.last = self.last * 30011, ids
-
-
-_LENGTHS = np.array([int(i).bit_length() for i in range(MAX_ID + 1)], dtype=np.int64)
-
+            self.entries[k][self.slots[k]] = np.where(self.guess[k] == ids, entry + (conf < 3), np.where(conf > 1, entry - 1, fresh))
+        self.wins += np.bincount(self.state * 3 + kind, minlength=self.wins.size).reshape(-1, 3) * 2
+        self.before, self.last = self.last, ids
+        self.step += 1
 
-def bit_length(ids: np.ndarray) -> np.ndarray:
-    return _LENGTHS.take(ids)
 
-
-def _pack_bits(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
-    """The values' low bits one after another, least significant first, as 32-bit words."""
-    if not len(values):
-        return np.zeros(0, dtype="<u4")
-    at = np.cumsum(widths) - widths
-    shifted = values.astype(np.uint64) << (at & 31).astype(np.uint64)
-    n = int(at[-1] + widths[-1] + 31) // 32 + 1
-    # the parts of a word don't overlap, so a sum of them is exact
-    low = np.bincount(at >> 5, weights=(shifted & _LOW32).astype(np.float64), minlength=n)
-    high = np.bincount((at >> 5) + 1, weights=(shifted >> _U32).astype(np.float64), minlength=n)[:n]
-    return (low + high).astype("<u4")
-
-
-def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
+def encode(ids: np.ndarray) -> bytes:
     """All ids (0 to 65535) as one string of independent blocks."""
     n = len(ids)
-    lanes = max(1, -(-n // block)) if n else 0
-    if not lanes:
-        return _MAGIC + struct.pack("<I", 0)
+    if not n:
+        return _MAGIC + struct.pack("<Q", 0)
     if int(ids.max()) > MAX_ID or int(ids.min()) < 0:
         raise ValueError("ids must lie between 0 and 65535")
-    steps = block if lanes > 1 else n
-    grid = np.zeros(lanes * steps, dtype=np.int64)
+    blocks, lanes, steps = shape(n)
+    every = blocks * lanes
+    grid = np.zeros(every * steps, dtype=np.int64)
     grid[:n] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    counts = np.full(lanes, steps, dtype=np.int64)
-    counts[-1] = n - steps * (lanes - 1)
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, _MASK48, dtype=np.uint64)
-    width = steps * 5 // 4 + 16
-    out, size, at = np.zeros(lanes * width, dtype="<u2"), np.zeros(lanes, dtype=np.int64), model.row * width
-    raw = np.zeros((steps, lanes), dtype=bool)
+    grid = np.ascontiguousarray(grid.reshape(every, steps).T)
+    model = _Model(blocks, lanes)
+    low, span = np.zeros(every, dtype=np.uint64), np.full(every, _FULL, dtype=np.uint64)
+    width = steps + 8
+    out, used, at = np.zeros(every * width, dtype="<u4"), np.zeros(every, dtype=np.int64), np.arange(every) * width
+    new: list[tuple[np.ndarray, np.ndarray]] = []
     for t in range(steps):
         x = grid[t]
-        model.predict()
-        kind = np.where(x == model.guess[0], 0, 2 - (x == model.guess[1]))
-        cls = bit_length(x)
-        first = model.bound(cls)
-        start = np.where(kind == 2, first, kind * model.f2)
-        freq = np.where(kind == 2, model.bound(cls + 1) - first, np.where(kind == 0, model.f2, model.f1))
-        raw[t] = kind == 2
-        part = span >> _U16
-        low = (low + part * start.astype(np.uint64)) & _MASK48
-        span = part * freq.astype(np.uint64)
-        while (short := span <= _LOW32).any():
-            span = np.where(short & (((low ^ (low + span)) >> _U32) != 0), -low & _LOW32, span)
-            out[at + size] = low >> _U32  # stays only where the size moves on
-            size += short
-            low, span = np.where(short, (low << _U16) & _MASK48, low), np.where(short, (span << _U16) & _MASK48, span)
-        model.update(x, cls)
-    for shift in (32, 16, 0):
-        out[at + size] = (low >> np.uint64(shift)) & np.uint64(0xFFFF)
-        size += 1
+        model.predict(grid)
+        second = x == model.guess[0]
+        kind = np.where(second, 0, 2 - (x == model.guess[1]))
+        part = span >> np.uint64(_MIX_BITS)
+        low = low + part * np.where(second, 0, np.where(kind == 1, model.part2, model.head)).astype(np.uint64)
+        span = part * np.where(second, model.part2, np.where(kind == 1, model.part1, _MIX - model.head)).astype(np.uint64)
+        if len(miss := np.flatnonzero(kind == 2)):
+            cell = model.base[1][miss] + x[miss]
+            begin, size = model.begin[cell], model.size[cell]
+            if len(fresh := np.flatnonzero(size == 0)):
+                top = model.tops[model.block[miss[fresh]]]
+                begin[fresh], size[fresh] = top, _ID - top
+                new.append((model.block[miss[fresh]], x[miss[fresh]]))
+            part = span[miss] >> np.uint64(_ID_BITS)
+            low[miss] += part * begin.astype(np.uint64)
+            span[miss] = part * size.astype(np.uint64)
+        if len(short := np.flatnonzero(span <= _LOW32)):
+            a, s = low[short], span[short]
+            s = np.where((a ^ (a + s - np.uint64(1))) >> _U32 != 0, (~a + np.uint64(1)) & _LOW32, s)
+            out[at[short] + used[short]] = a >> _U32
+            used[short] += 1
+            low[short], span[short] = a << _U32, s << _U32
+        model.update(x, kind)
+    for shift in (32, 0):
+        out[at + used] = (low >> np.uint64(shift)) & _LOW32
+        used += 1
+    which, values = (np.concatenate(v) for v in zip(*new, strict=True))
     heads, bodies = [], []
-    for k in range(lanes):
-        x = grid[: counts[k], k][raw[: counts[k], k]]
-        below = np.maximum(bit_length(x) - 1, 0)
-        body = out[at[k] : at[k] + size[k]].tobytes() + (bits := _pack_bits(x & ((1 << below) - 1), below)).tobytes()
-        heads.append(struct.pack("<IIII", counts[k], size[k], len(bits), zlib.crc32(body)))
+    for k in range(blocks):
+        mine = range(k * lanes, (k + 1) * lanes)
+        raw = values[which == k].astype("<u2")
+        body = used[k * lanes : (k + 1) * lanes].astype("<u4").tobytes() + b"".join(out[at[j] : at[j] + used[j]].tobytes() for j in mine) + raw.tobytes()
+        heads.append(struct.pack("<QII", len(body), len(raw), zlib.crc32(body)))
         bodies.append(body)
-    return _MAGIC + struct.pack("<I", lanes) + b"".join(heads) + b"".join(bodies)
+    return _MAGIC + struct.pack("<Q", n) + b"".join(heads) + b"".join(bodies)
 
 
 def decode(data: bytes) -> np.ndarray:
     """The ids; a damaged block is an error."""
     if data[:4] != _MAGIC:
         raise ValueError("not a token segment")
-    lanes = struct.unpack_from("<I", data, 4)[0]
-    if not lanes:
+    n = struct.unpack_from("<Q", data, 4)[0]
+    if not n:
         return np.zeros(0, dtype=np.int64)
-    heads = np.frombuffer(data, dtype="<u4", count=4 * lanes, offset=8).reshape(lanes, 4).astype(np.int64)
-    counts, n_words, n_bits = heads[:, 0], heads[:, 1], heads[:, 2]
-    words = np.zeros((lanes, int(n_words.max()) + 4), dtype=np.uint64)
-    bits = np.zeros((lanes, int(n_bits.max()) + 2), dtype=np.uint64)
-    at = 8 + 16 * lanes
-    for k in range(lanes):
-        end = at + 2 * int(n_words[k]) + 4 * int(n_bits[k])
-        if zlib.crc32(data[at:end]) != heads[k, 3]:
+    blocks, lanes, steps = shape(n)
+    every, at = blocks * lanes, 12 + 16 * blocks
+    bodies, raws = [], []
+    for k in range(blocks):
+        length, n_raw, crc = struct.unpack_from("<QII", data, 12 + 16 * k)
+        body = data[at : at + length]
+        if len(body) != length or zlib.crc32(body) != crc:
             raise ValueError(f"block {k}: wrong checksum")
-        words[k, : n_words[k]] = np.frombuffer(data, dtype="<u2", count=int(n_words[k]), offset=at)
-        bits[k, : n_bits[k]] = np.frombuffer(data, dtype="<u4", count=int(n_bits[k]), offset=at + 2 * int(n_words[k]))
-        at = end
-    steps = int(counts.max())
-    model = _Model(lanes)
-    first_word, flat, first_bits, flat_bits = model.row * words.shape[1], words.ravel(), model.row * bits.shape[1], bits.ravel()
-    last_word, last_bits = first_word + words.shape[1] - 1, bits.shape[1] - 2
-    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, _MASK48, dtype=np.uint64)
-    code = (words[:, 0] << _U32) | (words[:, 1] << _U16) | words[:, 2]
-    used, bit = np.full(lanes, 3, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-    grid = np.zeros((steps, lanes), dtype=np.int64)
+        bodies.append(body)
+        raws.append(np.frombuffer(body, dtype="<u2", count=n_raw, offset=length - 2 * n_raw).astype(np.int64))
+        at += length
+    used = np.concatenate([np.frombuffer(b, dtype="<u4", count=lanes) for b in bodies]).astype(np.int64)
+    words = np.concatenate([*(np.frombuffer(b, dtype="<u4", count=(len(b) - 2 * len(r)) // 4 - lanes, offset=4 * lanes) for b, r in zip(bodies, raws, strict=True)), np.zeros(2, dtype="<u4")]).astype(np.uint64)
+    raw, raw_at = np.concatenate(raws), np.cumsum([0, *(len(r) for r in raws)])[:-1]
+    model = _Model(blocks, lanes)
+    place = np.cumsum(used) - used
+    low, span = np.zeros(every, dtype=np.uint64), np.full(every, _FULL, dtype=np.uint64)
+    code = words[place] << _U32 | words[place + 1]
+    place = place + 2
+    grid = np.zeros((steps, every), dtype=np.int64)
     for t in range(steps):
-        model.predict()
-        part = span >> _U16
-        value = np.minimum(((code - low) & _MASK48) // part, np.uint64(_TOTAL - 1)).astype(np.int64)
-        kind = (value >= model.f2).astype(np.int64) + (value >= model.head)
-        cls = model.class_at(value - model.head)
-        first = model.bound(cls)
-        start = np.where(kind == 2, first, kind * model.f2)
-        freq = np.where(kind == 2, model.bound(cls + 1) - first, np.where(kind == 0, model.f2, model.f1))
-        width = np.where(kind == 2, np.maximum(cls - 1, 0), 0)
-        word = first_bits + np.minimum(bit >> 5, last_bits)
-        low_bits = ((flat_bits.take(word) | (flat_bits.take(word + 1) << _U32)) >> (bit & 31).astype(np.uint64)).astype(np.int64) & ((1 << width) - 1)
-        bit += width
-        x = np.where(kind == 0, model.guess[0], np.where(kind == 1, model.guess[1], np.where(cls > 0, (1 << width) + low_bits, 0)))
-        x = np.clip(x, 0, MAX_ID).astype(np.int64)  # lanes past their end decode noise
+        model.predict(grid)
+        part = span >> np.uint64(_MIX_BITS)
+        value = np.minimum((code - low) // part, np.uint64(_MIX - 1)).astype(np.int64)
+        kind = (value >= model.part2).astype(np.int64) + (value >= model.head)
+        low = low + part * np.where(kind == 0, 0, np.where(kind == 1, model.part2, model.head)).astype(np.uint64)
+        span = part * np.where(kind == 0, model.part2, np.where(kind == 1, model.part1, _MIX - model.head)).astype(np.uint64)
+        x = np.where(kind == 0, model.guess[0], model.guess[1])
+        if len(miss := np.flatnonzero(kind == 2)):
+            block = model.block[miss]
+            part = span[miss] >> np.uint64(_ID_BITS)
+            value = np.minimum((code[miss] - low[miss]) // part, np.uint64(_ID - 1)).astype(np.int64)
+            hit = np.searchsorted(model.limits, (block << _ID_BITS) + value, side="right") - 1
+            ids = model.ids[hit]
+            begin = model.limits[hit] & (_ID - 1)
+            size = model.size[(block << 16) + np.maximum(ids, 0)]
+            if len(fresh := np.flatnonzero(ids < 0)):
+                size[fresh] = _ID - begin[fresh]
+                own = block[fresh]  # in ascending order
+                rank = np.arange(len(own)) - np.searchsorted(own, own)
+                ids[fresh] = raw[raw_at[own] + rank]
+                raw_at += np.bincount(own, minlength=blocks)
+            low[miss] += part * begin.astype(np.uint64)
+            span[miss] = part * size.astype(np.uint64)
+            x[miss] = ids
         grid[t] = x
-        low = (low + part * start.astype(np.uint64)) & _MASK48
-        span = part * freq.astype(np.uint64)
-        while (short := span <= _LOW32).any():
-            span = np.where(short & (((low ^ (low + span)) >> _U32) != 0), -low & _LOW32, span)
-            code = np.where(short, ((code << _U16) & _MASK48) | flat.take(np.minimum(first_word + used, last_word)), code)
-            used += short
-            low, span = np.where(short, (low << _U16) & _MASK48, low), np.where(short, np.maximum((span << _U16) & _MASK48, np.uint64(1)), span)
-        model.update(x, bit_length(x))
-    return np.concatenate([grid[: counts[k], k] for k in range(lanes)])
+        if len(short := np.flatnonzero(span <= _LOW32)):
+            a, s = low[short], span[short]
+            s = np.where((a ^ (a + s - np.uint64(1))) >> _U32 != 0, (~a + np.uint64(1)) & _LOW32, s)
+            code[short] = code[short] << _U32 | words[np.minimum(place[short], len(words) - 1)]
+            place[short] += 1
+            low[short], span[short] = a << _U32, s << _U32
+        model.update(x, kind)
+    return grid.T.ravel()[:n]

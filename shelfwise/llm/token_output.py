@@ -1,14 +1,16 @@
 """Token-ID output: documents are tokenized in ascending doc_id order and written as coded binary segments.
 
 Documents are dealt by range of doc_id, each partition is sorted, and consecutive documents fill segments
-of about `SEGMENT_IDS` ids, never splitting one. A segment is one row: partition, number, the documents' ids and
+of about `SEGMENT_IDS` ids, never splitting one, and are tokenized `BATCH_BYTES` of text at a time. A segment is one row: partition, number, the documents' ids and
 lengths, and the payload of `token_coder`: independent, checksummed blocks. Rows lie in Parquet in shared storage.
 
-Reading decodes segments in parallel; a document's start is its place in the segment after all earlier ones'
+Reading decodes each segment once, in parallel; a document's start is its place in the segment after all earlier ones'
 totals, which are summed first by segment and then by partition.
 
 Nulls: a null text is an end id alone; null doc_ids come first. Repeated doc_ids keep all their rows, ordered by a hash
-of the text. An empty table writes no segment. Only the named columns are read.
+of the text; ties of that too are equal rows. A very long text is one batch and one part of a segment, held whole by its
+task. An empty table writes no segment. Only the named columns are read. Other tokenizers than the one of `_Encoder`'s shortcuts are
+noticed by a probe and encode whole texts.
 """
 
 from __future__ import annotations
@@ -30,10 +32,25 @@ from shelfwise.llm.common import table, written
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_IDS = 6_000_000
+BATCH_BYTES, BATCH_TEXTS = 8_000_000, 2000
 #: Words that a worker keeps encoded between batches.
 CACHE_WORDS = 700_000
 
-_encoders: dict[str, _Encoder] = {}
+#: What shows whether a tokenizer may be run word by word: letter cases, punctuation, digits, white space, other scripts.
+_PROBE = "The quick, brown (fox)  Jumps!? over\t3.14 dogs; it's na\u00efve\u2014\u4e2d\u6587 re-use end.\nNew Line: A1b2 #tag $5 ...Ok "
+
+_encoders: dict[str, _Encoder | _WholeTexts] = {}
+
+
+class _WholeTexts:
+    """Any tokenizer, one text after another."""
+
+    def __init__(self, tokenizer: Any):
+        self.tokenizer = tokenizer
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids + [END_ID] for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+        return np.array([i for x in found for i in x], dtype=np.int64), np.array([len(x) for x in found], dtype=np.int64)
 
 
 class _Encoder:
@@ -116,12 +133,29 @@ class _Encoder:
         return ids, np.diff(ends[last], prepend=0)
 
 
-def _encoder(path: str) -> _Encoder:
+def _encoder(path: str) -> _Encoder | _WholeTexts:
     if path not in _encoders:
-        _encoders[path] = _Encoder(path)
+        made = _Encoder(path)
+        if made.encode([_PROBE.encode()])[0].tolist() != [*made.tokenizer.encode(_PROBE, add_special_tokens=False).ids, END_ID]:
+            made = _WholeTexts(made.tokenizer)
+        _encoders[path] = made
     return _encoders[path]
 
 
+def _lots(batch: pa.RecordBatch) -> Iterator[tuple[list[Any], list[bytes]]]:
+    """Ids and texts of a batch, so many or so many bytes at a time."""
+    ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        ids.append(doc_id)
+        texts.append(text.as_py())
+        size += len(texts[-1])
+        if size >= BATCH_BYTES or len(texts) >= BATCH_TEXTS:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if texts:
+        yield ids, texts
+
+
 def write_tokens(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The segments as written to shared storage: part, segment, doc_ids, lengths, n_ids, payload."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
@@ -142,10 +176,8 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None, id_col: str = "d
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 2000):
-                ids, lengths = _encoder(path).encode(texts[k : k + 2000])
-                held.append((doc_ids[k : k + 2000], ids, lengths))
+            for doc_ids, texts in _lots(batch):
+                held.append((doc_ids, *_encoder(path).encode(texts)))
                 if sum(len(x[1]) for x in held) >= SEGMENT_IDS:
                     yield full()
         if held:
@@ -172,6 +204,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(([part] * n, [segment] * n, doc_ids, starts, lengths, crc), schema, strict=True)], schema=schema)
 
     decoded = segments.select("part", "segment", "doc_ids", "lengths", "payload").mapInArrow(run, "part int, segment int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    decoded = written(decoded, "decoded")  # a join that is planned anew would decode again
     zero = F.lit(0).cast("long")
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
     parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), zero).alias("part_start"))
