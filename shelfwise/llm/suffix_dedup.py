@@ -10,6 +10,9 @@
    round's by a stable sort, the common prefixes by range minima. Neighbours with a common prefix of 100 share a window.
 4. Of each window the first in (doc_id, start) stays; the others' bytes go.
 
+The surroundings of an anchor with over `HOT` occurrences are dealt window by window, by the hash of all 100 bytes, so that no task
+holds a whole anchor; only equal windows meet then.
+
 All comparisons are of bytes; hashes only bring equal windows together. Memory of a round is one column and one
 order; buckets are partitions of Spark.
 
@@ -25,16 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import table, written
+from shelfwise.llm.common import dropped, table, written
 from shelfwise.llm.shingles import mix
 
 LENGTH, ANCHOR = 100, 32
 #: Anchors of a window, and so the most bytes of a short document before its anchor plus one.
 _PLACES = LENGTH - ANCHOR + 1
 _COLUMNS = _PLACES - 1 + LENGTH
+#: Occurrences of an anchor beyond which its windows are dealt by their whole content.
+HOT = 100_000
 _NULL_ID = -(1 << 63)
 _MULTIPLY = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLY, -1, 1 << 64)
@@ -196,12 +202,38 @@ def _judged(short: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, spans) of documents (doc, text as bytes): the maximal runs of bytes to remove, sorted."""
     places = _anchor_rows(docs)
-    twice = written(places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "twice")
-    marks = written(places.join(twice, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("marks")), "anchors")
+    counted = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = written(counted.select("anchor", (F.col("n") > HOT).alias("hot")), "twice")
+    marks = written(places.join(twice.select("anchor"), "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("marks")), "anchors")
     pieces = written(_cut(docs.join(marks, "doc").select("doc", "text", "marks")), "pieces")
-    short = pieces.filter("bytes is not null").repartition("anchor").sortWithinPartitions("anchor")
+    dropped(marks)
+    short = pieces.filter("bytes is not null")
+    if not (hot := twice.filter("hot").select("anchor")).isEmpty():
+        short = short.join(hot, "anchor", "left_anti").union(_single_windows(short.join(hot, "anchor", "left_semi")))
+    short = short.repartition("anchor").sortWithinPartitions("anchor")
     whole = pieces.filter("bytes is null").select("doc", (F.col("at") - F.col("left")).alias("first"), (F.col("at") - F.col("last")).alias("last"))
-    return _judged(short).union(whole).groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    judged = _judged(short).union(whole).groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    runs = written(judged, "runs")
+    dropped(pieces)
+    dropped(twice)
+    return runs
+
+
+def _single_windows(short: DataFrame) -> DataFrame:
+    """Each window of the short documents as one of its own, under its whole content's hash: surroundings of a hot anchor are many."""
+    schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("left", pa.int32()), ("last", pa.int32()), ("bytes", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                rows = []
+                for _, doc, at, left, last, data in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
+                    for begin in range(left - last + 1):
+                        window = data[begin : begin + LENGTH]
+                        rows.append((xxhash.xxh3_64_intdigest(window) - (1 << 63), doc, at, left - begin, left - begin, window))
+                yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return short.select("anchor", "doc", "at", "left", "last", "bytes").mapInArrow(run, "anchor long, doc long, at long, left int, last int, bytes binary")
 
 
 def remove(text: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -223,7 +255,7 @@ def remove(text: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, list[tuple[
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, kept (bytes), spans, n_bytes, n_removed, n_spans, kept_sha256."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    runs = written(repeated_spans(rows.select("doc", "text")), "runs")
+    runs = repeated_spans(rows.select("doc", "text"))
     joined = rows.join(runs, "doc", "left").select("doc_id", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
