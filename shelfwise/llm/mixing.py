@@ -8,7 +8,8 @@ Whole passes over a source (repeats) come on top of the threshold. DataFrame fun
 
 Nulls: a null text has size 0; a null source is a source of its own, the last; null ids are hashed by their text.
 Rows with equal id and text share a hash and are taken together. A source without words has target 0. An empty table gives an empty mix.
-Only the named columns are read. The per-source tables have one row per source and budget.
+Only the named columns are read. The per-source tables have one row per source and budget. A very long text is one document that is
+taken or left whole; its size may be more than what is left of a small budget.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ MAX_REPEAT = 3
 #: Shares of the targets for which nested thresholds are found; the last is the mix itself.
 BUDGETS = (0.25, 0.5, 1.0)
 HASH_BITS, LEVEL_BITS = 60, 12
+#: Rows of a table by source up to which it is broadcast: some 10 MB.
+BROADCAST_ROWS = 100_000
 
 
 def _hash() -> Column:
@@ -56,6 +59,12 @@ def _same_source(a: str, b: str) -> Column:
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
+def _small(per_source: DataFrame) -> DataFrame:
+    """A table of a few rows per source, broadcast while it is small, so that a hot source is not dealt to one task. With more
+    sources than that none of them is many tasks' work, and Spark joins by source, splitting what is skewed."""
+    return F.broadcast(per_source) if per_source.count() <= BROADCAST_ROWS else per_source
+
+
 def thresholds(sizes: DataFrame, goals: DataFrame, budgets: tuple[float, ...] = BUDGETS) -> DataFrame:
     """Per source and budget: whole passes `copies` and the hash `limit` below which one more copy is taken."""
     wanted = F.explode(F.array(*(F.struct(F.lit(i).alias("budget"), F.lit(float(b)).alias("share")) for i, b in enumerate(budgets))))
@@ -65,9 +74,10 @@ def thresholds(sizes: DataFrame, goals: DataFrame, budgets: tuple[float, ...] =
     state = state.select(
         "source", "budget", copies.alias("copies"), (F.col("goal") - copies * F.col("source_size")).alias("rest"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("prefix")
     )
+    rows = sizes.select("source", "size", "hash")
     for done in range(0, HASH_BITS, LEVEL_BITS):
         left = HASH_BITS - done
-        inside = sizes.alias("d").join(state.alias("s"), _same_source("d", "s") & (F.shiftright("d.hash", left) == F.col("s.prefix")))
+        inside = rows.alias("d").join(_small(state).alias("s"), _same_source("d", "s") & (F.shiftright("d.hash", left) == F.col("s.prefix")))
         bucket = F.shiftright("d.hash", left - LEVEL_BITS)
         counted = inside.groupBy("s.source", "s.budget", bucket.alias("bucket")).agg(
             F.sum("d.size").alias("words"), *(F.first(f"s.{c}").alias(c) for c in ("copies", "rest", "before"))
@@ -77,6 +87,11 @@ def thresholds(sizes: DataFrame, goals: DataFrame, budgets: tuple[float, ...] =
         # the boundary: the last bucket that starts within the budget
         edge = F.max_by(F.struct("copies", "rest", F.col("start").alias("before"), F.col("bucket").alias("prefix"), "words"), F.when(F.col("start") <= F.col("rest"), F.col("bucket")))
         state = placed.groupBy("source", "budget").agg(edge.alias("e")).select("source", "budget", "e.*").checkpoint()
+        # only the boundary buckets' rows are read again
+        edges = state.select("source", "prefix").distinct()
+        rows = rows.alias("d").join(_small(edges).alias("s"), _same_source("d", "s") & (F.shiftright("d.hash", left - LEVEL_BITS) == F.col("s.prefix"))).select("d.*")
+        if not done:
+            rows = written(rows, "mix-boundary")
     # one hash value is left at the boundary: it is taken if that comes nearer to the goal
     take = 2 * (F.col("rest") - F.col("before")) >= F.col("words")
     return state.select("source", "budget", "copies", (F.col("prefix") + F.when(take, 1).otherwise(0)).alias("limit"))
@@ -91,9 +106,10 @@ def mix(docs: DataFrame, budgets: tuple[float, ...] = BUDGETS, id_col: str = "do
     goals = written(targets(sizes), "mix-targets")
     limits = thresholds(sizes.drop("row"), goals, budgets)
     by_source = limits.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("budget", "copies", "limit"))).alias("limits"))
-    plan = goals.alias("g").join(by_source.alias("l"), _same_source("g", "l"), "left").select("g.*", "l.limits")
-    taken = F.transform(F.coalesce("limits", F.array()), lambda x: x["copies"] + F.when(F.col("hash") < x["limit"], 1).otherwise(0))
-    mixed = sizes.alias("d").join(plan.alias("p"), _same_source("d", "p")).select("d.*", "p.source_size", "p.target", taken.alias("each"))
+    plan = written(goals.alias("g").join(by_source.alias("l"), _same_source("g", "l"), "left").select("g.*", "l.limits"), "mix-plan")
+    # where the boundary falls behind the last words, a document without words would come once more than the most
+    taken = F.transform(F.coalesce("limits", F.array()), lambda x: F.least(x["copies"] + F.when(F.col("hash") < x["limit"], 1).otherwise(0), F.lit(MAX_REPEAT)))
+    mixed = sizes.alias("d").join(_small(plan).alias("p"), _same_source("d", "p")).select("d.*", "p.source_size", "p.target", taken.alias("each"))
     copies = F.coalesce(F.get("each", F.lit(len(budgets) - 1)), F.lit(0)).cast("long")
     shares = F.array(*(F.lit(float(b)) for b in budgets))
     first = F.get(F.filter(F.transform("each", lambda x, i: F.when(x > 0, F.get(shares, i))), lambda x: x.isNotNull()), F.lit(0))
