@@ -49,3 +49,28 @@ def upserted(new: DataFrame, old: DataFrame, replace: bool = False) -> DataFrame
     both = new.alias("n").join(old.alias("o"), "mapping_id", "left" if replace else "full_outer")
     state = F.when(F.col("o.target_field").isNull(), "created").when(F.col("n.target_field").isNull(), "kept").otherwise("updated")
     return both.select("mapping_id", F.coalesce("n.target_field", "o.target_field").alias("target_field"), state.alias("state"))
+
+
+def imported(config: DataFrame) -> DataFrame:
+    """(profile_id, mapping_id, site_id, enabled, ..., error) of nested configurations (profile struct, mappings array of
+    structs): what a mapping leaves blank is its profile's; error is the first rule it breaks."""
+    rows = config.select(F.col("profile.profile_id").alias("p_id"), F.col("profile.site_id").alias("p_site"), F.explode("mappings").alias("m"))
+    blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
+    out = rows.select(
+        F.col("p_id").alias("profile_id"), "p_site", F.trim("m.mapping_id").alias("mapping_id"), F.when(blank("m.site_id"), F.col("p_site")).otherwise(F.trim("m.site_id")).alias("site_id"),
+        F.when(blank("m.profile_id"), F.col("p_id")).otherwise(F.trim("m.profile_id")).alias("own_profile"), F.coalesce("m.enabled", F.lit(True)).alias("enabled"), *(F.trim(f"m.{c}").alias(c) for c in REQUIRED[1:]),
+    )
+    again = F.count(F.lit(1)).over(Window.partitionBy("profile_id", "mapping_id")) > 1
+    error = F.coalesce(*(F.when(blank(c), f"missing_{c}") for c in REQUIRED), F.when(F.col("site_id") != F.col("p_site"), "other_site"), F.when(F.col("own_profile") != F.col("profile_id"), "other_profile"), F.when(again, "repeated_mapping"))
+    return out.withColumn("error", error).drop("p_site", "own_profile")
+
+
+#: What a mapping in an import must have.
+REQUIRED = ("mapping_id", "applies_to", "source_object", "source_scope", "source_attribute", "target_field", "value_mode")
+
+
+def final_errors(new: DataFrame, old: DataFrame, replace: bool = False) -> DataFrame:
+    """P14 over the table as it is after an import of `new` over `old` (mapping_id, enabled, source_attribute, target_field,
+    value_mode); in replace mode old rows that were not imported are gone."""
+    kept = new if replace else new.unionByName(old.join(new.select("mapping_id"), "mapping_id", "left_anti"))
+    return mapping_errors(kept)

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions.scalars import hierarchy_prefixes, price_pair
 
 
+#: Doublings of the way to the top book: more than a chain of any length needs.
+ROUNDS = 40
+
+
 def root_id() -> Column:
     """A variant's master, else the product itself."""
     return F.coalesce("master_id", "id")
@@ -40,12 +44,37 @@ def merged_roots(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.union(extra).filter("root_id <> ''").distinct()
 
 
-def with_eligibility(items: DataFrame, masters: DataFrame) -> DataFrame:
-    """Online and searchable, and so is the master if there is one."""
+def with_eligibility(items: DataFrame, masters: DataFrame, mode: str = "online_and_searchable") -> DataFrame:
+    """Online and searchable, and so is the master if there is one; in the other modes every product."""
+    if mode.strip().lower() != "online_and_searchable":
+        return items.withColumn("eligible", F.lit(True))
     m = masters.select(F.col("id").alias("master_id"), (F.col("online") & F.col("searchable")).alias("master_ok"))
     return items.join(m, "master_id", "left").withColumn("eligible", F.col("online") & F.col("searchable") & F.coalesce("master_ok", F.lit(True)))
 
 
+def root_books(books: DataFrame) -> DataFrame:
+    """(book_id, root_book) of books (book_id, parent_id), by doubling the step to the ancestor until none moves; a book whose
+    parent is not there is a top one, and books in a circle have no top and lead to the least of those they meet."""
+    known = books.select(F.col("book_id").alias("root"))
+    now = books.join(known, books["parent_id"] == known["root"], "left").select("book_id", F.coalesce("root", "book_id").alias("root"))
+    for _ in range(ROUNDS):
+        up = now.select(F.col("book_id").alias("root"), F.col("root").alias("above"))
+        after = now.join(up, "root").select("book_id", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved"))
+        after = after.checkpoint() if books.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else after
+        if not after.agg(F.coalesce(F.max("moved"), F.lit(False))).first()[0]:
+            return now.select("book_id", F.col("root").alias("root_book"))
+        now = after.drop("moved")
+    raise ValueError("price books lead in a circle")
+
+
+def book_prices(items: DataFrame, amounts: DataFrame, books: DataFrame) -> DataFrame:
+    """(id, price, promo_price) of items (id, book_id, price, least, most); the sales price is the first of price,
+    least and most, the base price that of the book's root (amounts: product_id, book_id, amount), else most."""
+    top = items.join(root_books(books), "book_id", "left").join(amounts.select(F.col("product_id").alias("id"), F.col("book_id").alias("root_book"), "amount"), ["id", "root_book"], "left")
+    price, promo = price_pair(F.coalesce("price", "least", "most"), F.coalesce("amount", "most"))
+    return top.select("id", F.round(price, 2).alias("price"), F.round(promo, 2).alias("promo_price"))
+
+
 def category_paths(spark: SparkSession, categories: DataFrame) -> DataFrame:
     """Root-to-leaf names per category; an offline, unnamed or repeated ancestor voids the path."""
     categories.createOrReplaceTempView("shelfwise_categories")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as s
-from shelfwise.operators import catalog, fields, packing, products, purchases, reconcile, report, state, targets
+from shelfwise.operators import attributes, catalog, fields, packing, products, purchases, reconcile, report, state, targets
 from shelfwise.plans import queries as base
 from shelfwise.plans.queries import _eligible, query
 from shelfwise.plans.sql import CATALOG, CATEGORIES, DESCRIPTORS, DOCUMENTS, ENTRIES, PURCHASES, STATE, _with
@@ -477,3 +477,64 @@ SQL["item_errors"] = _with(CATALOG, """, i AS (SELECT key * 2 + kind AS pos, key
     UNION ALL SELECT pos, 'missing_product_id' FROM j WHERE pid = '' UNION ALL SELECT pos, 'permanent_id_not_product_id' FROM j WHERE product AND pid <> '' AND perm <> pid UNION ALL SELECT pos, 'missing_variant_id' FROM j WHERE NOT product AND vid = ''
     UNION ALL SELECT pos, 'permanent_id_not_variant_id' FROM j WHERE NOT product AND vid <> '' AND perm <> vid UNION ALL SELECT pos, 'duplicate_variant_id' FROM sound WHERE pos > f
     UNION ALL SELECT pos, 'missing_parent' FROM j WHERE NOT product AND pid <> '' AND pid NOT IN (SELECT pid FROM j WHERE product AND pid <> '' AND perm = pid)""".lstrip())
+
+
+@query
+def eligible_in_all_mode(spark: SparkSession, d: str) -> DataFrame:
+    items = source.products(spark, d)
+    return catalog.with_eligibility(items, source.masters(items), " ALL").filter("eligible").groupBy(catalog.root_id().alias("root_id")).agg(F.count(F.lit(1)).alias("n_eligible"))
+
+
+SQL["eligible_in_all_mode"] = _with(CATALOG, "SELECT root_id, count(*) AS n_eligible FROM e GROUP BY root_id")
+
+
+@query
+def book_prices(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as price books in chains of halves; each part sold under one book, with list amounts in top books."""
+    k, b = F.col("p_partkey"), F.col("s_suppkey")
+    supplier, part = table(spark, d, "supplier"), table(spark, d, "part")
+    books = supplier.select(F.concat(F.lit("B"), b).alias("book_id"), F.when(b > 3, F.concat(F.lit("B"), F.floor(b / 2).cast("long"))).when(b == 3, "nowhere").alias("parent_id"))
+    items = part.select(F.concat(F.lit("P"), k).alias("id"), F.concat(F.lit("B"), k % 17).alias("book_id"), F.when(k % 3 == 0, F.col("p_retailprice") * 0.8).alias("price"), F.when(k % 5 == 0, F.col("p_retailprice") * 0.9).alias("least"), F.when(k % 7 != 0, F.col("p_retailprice")).alias("most"))
+    amounts = part.select(F.concat(F.lit("P"), k).alias("product_id"), F.explode(F.array(F.lit("B2"), F.lit("B3"))).alias("book_id"), F.col("p_retailprice").alias("amount")).filter("book_id = 'B2' or amount > 905")
+    return catalog.book_prices(items, amounts, books)
+
+
+SQL["book_prices"] = """WITH RECURSIVE up AS (SELECT s_suppkey AS b, s_suppkey AS r FROM supplier UNION ALL SELECT b, r // 2 FROM up WHERE r > 3), top AS (SELECT b, min(r) AS r FROM up WHERE r <= 3 GROUP BY b),
+    i AS (SELECT p_partkey AS k, p_retailprice AS v, r, CASE WHEN p_partkey % 3 = 0 THEN v * 0.8::DOUBLE END AS price, CASE WHEN p_partkey % 5 = 0 THEN v * 0.9::DOUBLE END AS least, CASE WHEN p_partkey % 7 <> 0 THEN v END AS most FROM part LEFT JOIN top ON b = p_partkey % 17),
+    j AS (SELECT *, coalesce(price, least, most) AS sales, coalesce(CASE WHEN r = 2 OR (r = 3 AND v > 905) THEN v END, most) AS base FROM i)
+    SELECT 'P' || k AS id, round(coalesce(base, sales), 2) AS price, round(CASE WHEN sales < base THEN sales END, 2) AS promo_price FROM j"""
+
+
+def _imports(spark: SparkSession, d: str) -> DataFrame:
+    """A configuration per nation with its suppliers as mappings, written as JSON and read back."""
+    n, k = F.col("s_nationkey"), F.col("s_suppkey")
+    profile = F.struct(F.concat(F.lit("prof"), n).alias("profile_id"), F.lit("site1").alias("site_id"))
+    mapping = F.struct(
+        F.concat(F.lit(" m"), k % 40).alias("mapping_id"), F.when(k % 8 == 0, "site2").alias("site_id"), F.when(k % 9 == 0, "elsewhere").alias("profile_id"), F.when(k % 4 == 0, False).alias("enabled"), F.when(k % 10 == 0, " ").otherwise("Both").alias("applies_to"),
+        F.lit("product").alias("source_object"), F.lit("custom").alias("source_scope"), F.lit("style").alias("source_attribute"), F.concat(F.lit("x_"), k).alias("target_field"), F.when(k % 11 != 0, "raw").alias("value_mode"),
+    )
+    at = f"{_folder(spark)}/imports"
+    config = table(spark, d, "supplier").groupBy(profile.alias("profile")).agg(F.collect_list(mapping).alias("mappings"))
+    config.write.json(at)
+    return spark.read.schema(config.schema).json(at)
+
+
+@query
+def mapping_imports(spark: SparkSession, d: str) -> DataFrame:
+    return attributes.imported(_imports(spark, d)).select("profile_id", "mapping_id", "site_id", "enabled", "target_field", "error")
+
+
+SQL["mapping_imports"] = """SELECT 'prof' || s_nationkey AS profile_id, 'm' || s_suppkey % 40 AS mapping_id, CASE WHEN s_suppkey % 8 = 0 THEN 'site2' ELSE 'site1' END AS site_id, s_suppkey % 4 <> 0 AS enabled, 'x_' || s_suppkey AS target_field,
+    CASE WHEN s_suppkey % 10 = 0 THEN 'missing_applies_to' WHEN s_suppkey % 11 = 0 THEN 'missing_value_mode' WHEN s_suppkey % 8 = 0 THEN 'other_site' WHEN s_suppkey % 9 = 0 THEN 'other_profile' WHEN count(*) OVER (PARTITION BY s_nationkey, s_suppkey % 40) > 1 THEN 'repeated_mapping' END AS error FROM supplier"""
+
+
+@query
+def final_mapping_errors(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select(F.concat(F.lit("m"), k).alias("mapping_id"), (k % 6 != 0).alias("enabled"), F.lit("color").alias("source_attribute"), F.concat(F.lit("X_"), k % 20).alias("target_field"), F.lit("raw").alias("value_mode"), k.alias("k"))
+    new = rows.filter("k % 2 = 0").withColumn("target_field", F.when(F.col("k") % 4 == 0, F.concat(F.lit("y_"), "k")).otherwise("EC_Brand"))
+    return attributes.final_errors(new.drop("k"), rows.filter("k % 3 <> 0").drop("k"))
+
+
+SQL["final_mapping_errors"] = """WITH r AS (SELECT 'm' || s_suppkey AS mapping_id, lower(CASE WHEN s_suppkey % 4 = 0 THEN 'y_' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'EC_Brand' ELSE 'X_' || s_suppkey % 20 END) AS t FROM supplier WHERE s_suppkey % 6 <> 0 AND (s_suppkey % 2 = 0 OR s_suppkey % 3 <> 0))
+    SELECT mapping_id, 'reserved_target' AS error FROM r WHERE t = 'ec_brand' UNION ALL SELECT mapping_id, 'repeated_target' FROM (SELECT mapping_id, count(*) OVER (PARTITION BY t) AS n FROM r) WHERE n > 1"""

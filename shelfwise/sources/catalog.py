@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,9 +53,10 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product to category; the first is the primary one."""
-    pairs = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("P"), "l_partkey").alias("product_id"), F.col("l_suppkey").alias("pos")).distinct()
-    first = F.min("pos").over(Window.partitionBy("product_id"))
-    return pairs.select("product_id", F.concat(F.lit("S"), "pos").alias("category_id"), "pos", (F.col("pos") == first).alias("is_primary"))
+    lines = table(spark, sf_dir, "lineitem")
+    every = lines.groupBy("l_partkey").agg(F.collect_set("l_suppkey").alias("all"))  # a product's suppliers are few
+    rows = every.select(F.concat(F.lit("P"), "l_partkey").alias("product_id"), F.array_min("all").alias("first"), F.explode("all").alias("pos"))
+    return rows.select("product_id", F.concat(F.lit("S"), "pos").alias("category_id"), "pos", (F.col("pos") == F.col("first")).alias("is_primary"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
