@@ -7,8 +7,8 @@
 3. An index list holds its sets by size, each with what its shingle's place leaves room for. Runs of sets that are too large, or
    in which the shingle stands too far back for the threshold, are skipped as a whole. If the pairs that remain are at most
    `SHORT` for each set of the list, they are candidates.
-4. A list with more of them has highly similar sets. Its smallest set leads and is compared with each of the others, and
-   their answers follow from what they have of a reference R: the leader's common shingles (by the count table), or all of them if
+4. A list with more of them has highly similar sets. The set with the fewest uncommon shingles leads, such as the one that others are
+   copies of. It is compared with each of the others, and their answers follow from what they have of a reference R: the leader's common shingles (by the count table), or all of them if
    those are less than half. With w_x = 4 |R - x| + 3 |x - R|, two sets x and y link exactly if they share at least
    (w_x + w_y - |R|) / 7 differences from R. So all sets with w_x + w <= |R|, w being the least weight, are in one class
    with the set that has it, and any other pair shares a difference in the differences' own prefixes, which are further
@@ -16,7 +16,7 @@
    linked them, need no pair; so each set's prefix counts on the least weight among the other classes.
    x - y has at most a quarter of x if they link. So a set that has a quarter of its size more of R than a quarter of R can
    link only to sets that have a quarter of R. All those give differences; only sets with less than the former stay in
-   the list, which comes back with a new leader. Each list's sets come after its leader in the order (size, set id), so rounds end.
+   the list, which comes back with a new leader. Each round doubles `SHORT`, so that rounds end.
 5. Verified links give components.
 
 Every link is found: prefixes, places, references and their differences are exact filters, and each candidate is verified
@@ -118,11 +118,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return named.union(nameless.join(wanted.filter("doc_id is null").select("sid"), "sid", "left_semi"))
 
 
-def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
-    """(key, sid, need, slack, comp): each shingle of each prefix, those of hot cells or the others; need and slack by the set's
-    size and the shingle's place. A task emits equal sets once."""
-    shared, least = docs.sparkSession.sparkContext.broadcast(logs), HOT
-    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("need", pa.int32()), ("slack", pa.int32())])
+def _prefixes(docs: DataFrame, logs: np.ndarray, common: np.ndarray, hot: bool) -> DataFrame:
+    """(key, sid, need, slack, odd, comp): each shingle of each prefix, those of hot cells or the others; need and slack by the
+    set's size and the shingle's place, odd is how many of its shingles are not common. A task emits equal sets once."""
+    shared, often, least = docs.sparkSession.sparkContext.broadcast(logs), docs.sparkSession.sparkContext.broadcast(common), HOT
+    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64()), ("need", pa.int32()), ("slack", pa.int32()), ("odd", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
@@ -140,12 +140,12 @@ def _prefixes(docs: DataFrame, logs: np.ndarray, hot: bool) -> DataFrame:
                     first = np.argsort(counts[cells], kind="stable")[:length]  # sets are sorted by hash, so ties go by it
                     place = np.flatnonzero(apart[cells[first]] == hot)
                     if len(place):
-                        parts.append((s[first[place]], np.full(len(place), sid, dtype=np.int64), np.full(len(place), 6 * len(s), dtype=np.int32), (8 * len(s) - 14 * place).astype(np.int32)))
+                        parts.append((s[first[place]], np.full(len(place), sid, dtype=np.int64), np.full(len(place), 6 * len(s), dtype=np.int32), (8 * len(s) - 14 * place).astype(np.int32), np.full(len(place), len(s) - int(often.value[cells].sum()), dtype=np.int32)))
                 if parts:
-                    key, ids, need, slack = (np.concatenate(c) for c in zip(*parts, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(need), pa.array(slack)], schema=schema)
+                    key, ids, need, slack, odd = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(need), pa.array(slack), pa.array(odd)], schema=schema)
 
-    return docs.mapInArrow(run, "key long, sid long, need int, slack int").withColumn("comp", F.col("sid"))
+    return docs.mapInArrow(run, "key long, sid long, need int, slack int, odd int").withColumn("comp", F.col("sid"))
 
 
 def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -174,18 +174,18 @@ def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: in
     return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
-_CANDIDATE = "a long, b long, key long, need int, slack int"
-_CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+_CANDIDATE = "a long, b long, key long, need int, slack int, odd int"
+_CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
 
 
 def _lists(entries: DataFrame, short: int) -> DataFrame:
     """Candidates (a, b) of the lists; where a leads a list, with its key and b's entry in it. Tasks read lists in sorted order."""
     schema = pa.schema([(f.split()[0], t) for f, t in zip(_CANDIDATE.split(", "), _CANDIDATE_TYPES, strict=True)])
 
-    def listed(key: np.ndarray, sid: np.ndarray, need: np.ndarray, slack: np.ndarray, comp: np.ndarray) -> pa.RecordBatch | None:
+    def listed(key: np.ndarray, sid: np.ndarray, need: np.ndarray, slack: np.ndarray, odd: np.ndarray, comp: np.ndarray) -> pa.RecordBatch | None:
         """Whole lists, sorted by (key, need, sid)."""
         fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))  # equal sets of several tasks
-        key, sid, need, slack, comp = (v[fresh] for v in (key, sid, need, slack, comp))
+        key, sid, need, slack, odd, comp = (v[fresh] for v in (key, sid, need, slack, odd, comp))
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
         two = starts[sizes == 2]
@@ -197,12 +197,13 @@ def _lists(entries: DataFrame, short: int) -> DataFrame:
             if (pairs := direct_pairs(need[here], slack[here], comp[here], short * m)) is not None:
                 singles.append((pairs[0] + at, pairs[1] + at))
             else:
-                leads.append((np.full(m - 1, at), np.arange(at + 1, at + m)))
+                leader = at + int(np.argmin(odd[here]))
+                leads.append((np.full(m - 1, leader), np.delete(np.arange(at, at + m), leader - at)))
         i, j = (np.concatenate(x) for x in zip(*singles, *leads, strict=True))
         plain = np.arange(len(i)) < sum(len(x) for x, _ in singles)
         if not len(i):
             return None
-        own = (pa.array(v, type=t, mask=plain) for v, t in zip((key[j], need[j], slack[j]), _CANDIDATE_TYPES[2:], strict=True))
+        own = (pa.array(v, type=t, mask=plain) for v, t in zip((key[j], need[j], slack[j], odd[j]), _CANDIDATE_TYPES[2:], strict=True))
         return pa.RecordBatch.from_arrays([pa.array(sid[i]), pa.array(sid[j]), *own], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +211,8 @@ def _lists(entries: DataFrame, short: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
-            now[2:4] = [x.astype(np.int64) for x in now[2:4]]
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
+            now[2:5] = [x.astype(np.int64) for x in now[2:5]]
             if held:
                 now = [np.concatenate(c) for c in zip(held, now, strict=True)]
             cut = int(np.searchsorted(now[0], now[0][-1]))  # the last list may go on
@@ -221,14 +222,14 @@ def _lists(entries: DataFrame, short: int) -> DataFrame:
         if held and (out := listed(*held)) is not None:
             yield out
 
-    return entries.repartition("key").sortWithinPartitions("key", "need", "sid").select("key", "sid", "need", "slack", "comp").mapInArrow(run, _CANDIDATE)
+    return entries.repartition("key").sortWithinPartitions("key", "need", "sid").select("key", "sid", "need", "slack", "odd", "comp").mapInArrow(run, _CANDIDATE)
 
 
 def _hot_lists(entries: DataFrame) -> DataFrame:
-    """The same for lists of any length, led by their smallest sets."""
-    leaders = entries.groupBy("key").agg(F.min(F.struct("need", "sid")).alias("least"), F.min("comp").alias("first"), F.max("comp").alias("last"))
+    """The same for lists of any length."""
+    leaders = entries.groupBy("key").agg(F.min(F.struct("odd", "sid")).alias("least"), F.min("comp").alias("first"), F.max("comp").alias("last"))
     leaders = leaders.filter("first <> last").select("key", F.col("least.sid").alias("a"))
-    return entries.join(leaders, "key").filter("sid <> a").select("a", F.col("sid").alias("b"), "key", "need", "slack").distinct()
+    return entries.join(leaders, "key").filter("sid <> a").select("a", F.col("sid").alias("b"), "key", "need", "slack", "odd").distinct()
 
 
 def _candidates(entries: DataFrame, short: int) -> DataFrame:
@@ -244,7 +245,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
     shared = pairs.sparkSession.sparkContext.broadcast(common)
     left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
     both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "ta", "tb")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("w", pa.int64()), ("wa", pa.int64()), ("c", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("w", pa.int64()), ("wa", pa.int64()), ("c", pa.int64()), ("odd", pa.int32()), ("keys", pa.list_(pa.int64()))])
 
     def reference(x: np.ndarray) -> np.ndarray:
         r = x[shared.value[count_table.cells(x)]]
@@ -262,7 +263,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
                     _, x, r = last
                     y = shingles.shingle_set(tb)
                     inter = len(np.intersect1d(x, y, assume_unique=True))
-                    row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None)
+                    row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None, None)
                     if star:
                         held = np.intersect1d(r, y, assume_unique=True)
                         c, m = len(r), len(held)
@@ -270,13 +271,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
                             gone, new = np.setdiff1d(r, held, assume_unique=True), np.setdiff1d(y, held, assume_unique=True)
                             order = np.sort(np.concatenate([shingles.mix(gone ^ _SIGN), new]))
                             keys = _signed(shingles.mix(order ^ np.uint64(a & 0xFFFFFFFFFFFFFFFF)))
-                            row = (*row[:4], 4 * len(gone) + 3 * len(new), 3 * (len(x) - c), c, keys)
+                            row = (*row[:4], 4 * len(gone) + 3 * len(new), 3 * (len(x) - c), c, len(y) - int(shared.value[count_table.cells(y)].sum()), keys)
                         row = (*row[:3], not near or 4 * m < c + len(y), *row[4:])
                     for column, v in zip(out, row, strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
-    return both.mapInArrow(run, "a long, b long, linked boolean, stays boolean, w long, wa long, c long, keys array<long>")
+    return both.mapInArrow(run, "a long, b long, linked boolean, stays boolean, w long, wa long, c long, odd int, keys array<long>")
 
 
 def _implied(judged: DataFrame) -> DataFrame:
@@ -295,7 +296,7 @@ def _in_classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _differences(judged: DataFrame, roots: DataFrame) -> DataFrame:
     """The entries of the differences that sets near one reference must share with those of other classes near it."""
-    near = _in_classes(judged.filter("keys is not null").select("a", F.col("b").alias("sid"), "w", "c", "keys"), roots)
+    near = _in_classes(judged.filter("keys is not null").select("a", F.col("b").alias("sid"), "w", "c", "odd", "keys"), roots)
     by_class = near.groupBy("a", "comp").agg(F.min("w").alias("least"))
     first = by_class.groupBy("a").agg(F.min(F.struct("least", "comp")).alias("one"))
     lightest = by_class.join(first, "a").filter("comp <> one.comp").groupBy("a").agg(F.first("one").alias("one"), F.min("least").alias("second"))
@@ -304,8 +305,8 @@ def _differences(judged: DataFrame, roots: DataFrame) -> DataFrame:
     length = F.size("keys") - F.greatest(F.ceil((F.col("w") + partner - F.col("c")) / 7), F.lit(1)) + 1
     prefix = F.slice("keys", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
     need = 2 * F.col("w") - F.col("c")
-    keyed = every.select(F.posexplode(prefix).alias("p", "key"), "sid", need.cast("int").alias("need"), (14 * F.size("keys") - need).alias("slack"), "comp")
-    return keyed.select("key", "sid", "need", (F.col("slack") - 14 * F.col("p")).cast("int").alias("slack"), "comp")
+    keyed = every.select(F.posexplode(prefix).alias("p", "key"), "sid", need.cast("int").alias("need"), (14 * F.size("keys") - need).alias("slack"), "odd", "comp")
+    return keyed.select("key", "sid", "need", (F.col("slack") - 14 * F.col("p")).cast("int").alias("slack"), "odd", "comp")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -315,9 +316,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = summary.filter("kind = 0").select("doc_id", "n", "sid")
     logs = count_table.gathered(summary.filter("kind > 0").select("kind", F.col("n").alias("chunk"), "counts"))
     common, short = count_table.above(logs, max(COMMON, 4 * count_table.usual(logs) ** 0.5)), SHORT
-    found = _lists(_prefixes(rows, logs, False), short)
+    found = _lists(_prefixes(rows, logs, common, False), short)
     if count_table.above(logs, HOT).any():
-        found = found.union(_hot_lists(_prefixes(rows, logs, True)))
+        found = found.union(_hot_lists(_prefixes(rows, logs, common, True)))
     links = docs.sparkSession.createDataFrame([], "u long, v long")
     needed: DataFrame | None = None
     while not (listed := written(found, "pairs")).isEmpty():
@@ -332,8 +333,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         led = listed.filter("key is not null")
         if led.isEmpty():
             return members, roots
-        rest = led.join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "need", "slack")
-        entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "comp").union(_differences(judged, roots)), "entries")
+        rest = led.join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "need", "slack", "odd")
+        entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "odd", "comp").union(_differences(judged, roots)), "entries")
         short *= 2
         found = _candidates(entries, short)
     return members, components(links)
