@@ -8,8 +8,8 @@ Words never seen form a class of their own, whose weight in a state is learned f
 when they came). Class probabilities are smoothed towards the unigram ones, so every word has a probability and they
 sum to 1.
 
-Baum-Welch: each round, tasks run forward and backward over their documents' segments and emit expected counts,
-which Spark sums; states start from random tilts that hash each class. Scoring: the scaled forward recursion over the whole
+Baum-Welch: each round, tasks run forward and backward over their whole documents and emit expected counts and the
+likelihood, which Spark sums; states start from random tilts that hash each class. Scoring: the scaled forward recursion over the whole
 document gives its exact likelihood. Long documents are cut into blocks whose transfer matrices are multiplied in order,
 which is the same recursion.
 
@@ -40,8 +40,8 @@ CLASSES = 1 << 14
 STAY = 0.95
 #: Weight of the unigram distribution in each state, in tokens.
 PRIOR = 200.0
-#: Tokens of a chunk, of a training segment, of a block of the forward recursion.
-CHUNK, SEGMENT, BLOCK = 4_000_000, 64, 64
+#: Tokens of a chunk, of documents that are trained together, of a block of the forward recursion.
+CHUNK, LOT, BLOCK = 4_000_000, 400_000, 64
 FOLDS, HELD = 5, 1
 _END = b"\n"
 
@@ -119,44 +119,49 @@ class Model:
         return Model((start + 1.0) / (start + 1.0).sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def expected_counts(model: Model, cls: np.ndarray, once: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions over the documents, cut into segments, by the scaled forward and backward recursions."""
-    ends = np.cumsum(lengths)
-    pieces = -(-lengths // SEGMENT)
-    begin = np.repeat(ends - lengths, pieces) + (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEGMENT
-    size = np.minimum(np.repeat(ends, pieces) - begin, SEGMENT)
-    order = np.argsort(-size, kind="stable")
-    begin, size = begin[order], size[order]
+def expected_counts(model: Model, cls: np.ndarray, once: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions over whole documents, by the scaled forward and backward recursions, and the log10
+    likelihood. Documents of like lengths advance together, at most about LOT tokens at a time; none is cut."""
     k = STATES
-    start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, model.emit.shape[1]))
+    start, move, emit, total = np.zeros(k), np.zeros((k, k)), np.zeros((k, model.emit.shape[1])), 0.0
     weights = np.ascontiguousarray(model.emit.T)
-    for lot in range(0, len(begin), 8192):
-        b, s = begin[lot : lot + 8192], size[lot : lot + 8192]
-        active = [int((s > t).sum()) for t in range(int(s[0]))]
-        alphas, scales, seen = [], [], []
+    order = np.argsort(-lengths, kind="stable")
+    begin, size = (np.cumsum(lengths) - lengths)[order], lengths[order]
+    lots = (np.cumsum(size) - size) // LOT
+    for lot in np.split(np.arange(len(size)), np.flatnonzero(np.diff(lots)) + 1):
+        b, s = begin[lot], size[lot]
+        if not len(s) or not s[0]:
+            continue
+        active = np.searchsorted(-s, -np.arange(int(s[0])), side="left")  # documents longer than t, the first ones
+        off = np.append(0, np.cumsum(active))
+        lane = np.arange(off[-1]) - np.repeat(off[:-1], active)
+        at = b[lane] + np.repeat(np.arange(len(active)), active)
+        seen = weights[cls[at]]
+        alphas, scales = np.empty_like(seen), np.empty((len(at), 1))
         alpha = np.broadcast_to(model.start, (len(b), k))
-        for t, n in enumerate(active):
-            seen.append(w := weights[cls[b[:n] + t]])
-            alpha = (alpha[:n] if t == 0 else alpha[:n] @ model.move) * w
-            scales.append(c := alpha.sum(axis=1, keepdims=True))
-            alpha = alpha / c
-            alphas.append(alpha)
-        beta = np.ones((active[-1], k))
+        for t, n in enumerate(active.tolist()):
+            here = slice(off[t], off[t] + n)
+            now = (alpha[:n] if t == 0 else alpha[:n] @ model.move) * seen[here]
+            scales[here] = c = now.sum(axis=1, keepdims=True)
+            alphas[here] = alpha = now / c
+        total += float(np.log10(scales).sum())
+        seen /= scales
+        beta = np.ones((int(active[-1]), k))
         for t in range(len(active) - 1, -1, -1):
-            n = active[t]
+            n = int(active[t])
+            here = slice(off[t], off[t] + n)
             if t + 1 < len(active):
-                m = active[t + 1]
-                ahead = seen[t + 1] * beta / scales[t + 1]
-                move += model.move * (alphas[t][:m].T @ ahead)
-                beta = np.concatenate([ahead @ model.move.T, np.ones((n - m, k))])
-            gamma = alphas[t] * beta
-            at = b[:n] + t
-            tokens, fresh = cls[at], once[at]
-            for i in range(k):
-                emit[i] += np.bincount(tokens, weights=gamma[:, i], minlength=emit.shape[1])
-                emit[i, -1] += gamma[fresh, i].sum()
-        start += (alphas[0] * beta).sum(axis=0)
-    return start, move, emit
+                m = int(active[t + 1])
+                ahead = seen[off[t + 1] : off[t + 1] + m] * beta
+                move += model.move * (alphas[off[t] : off[t] + m].T @ ahead)
+                beta = np.concatenate([ahead @ model.move.T, np.ones((n - m, k))]) if n > m else ahead @ model.move.T
+            alphas[here] *= beta
+        tokens, fresh = cls[at], once[at]
+        for i in range(k):
+            emit[i] += np.bincount(tokens, weights=alphas[:, i], minlength=emit.shape[1])
+            emit[i, -1] += alphas[fresh, i].sum()
+        start += alphas[: len(b)].sum(axis=0)
+    return start, move, emit, total
 
 
 def log_likelihood(model: Model, cls: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -208,8 +213,9 @@ def _decoded(batch: pa.RecordBatch, k: int) -> tuple[list, np.ndarray, np.ndarra
     return doc_ids, np.array(lengths, dtype=np.int64), classes[at], counts[at], np.array([not is_held_out(i) for i in doc_ids], dtype=bool)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score."""
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history: list[float] | None = None) -> DataFrame:
+    """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score. `history` takes the training texts' log10
+    likelihood (of classes) before each round."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     made = written(_chunks(rows), "lm-chunks")
@@ -233,7 +239,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     model = Model.initial(unigram)
     for _ in range(ROUNDS):
-        model = _trained(spark, chunks, model, unigram)
+        model, total = _trained(spark, chunks, model, unigram)
+        if history is not None:
+            history.append(total)
 
     shared = spark.sparkContext.broadcast((model, mass))
     schema = pa.schema([("doc_id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -257,8 +265,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return scored.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _trained(spark: SparkSession, chunks: DataFrame, model: Model, unigram: np.ndarray) -> Model:
-    """One Baum-Welch round: expected counts from every chunk, summed by Spark."""
+def _trained(spark: SparkSession, chunks: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
+    """One Baum-Welch round: expected counts from every chunk, summed by Spark; and the log10 likelihood under the model before."""
     shared = spark.sparkContext.broadcast(model)
     schema = pa.schema([("kind", pa.int32()), ("at", pa.int32()), ("counts", pa.list_(pa.float64()))])
 
@@ -269,24 +277,26 @@ def _trained(spark: SparkSession, chunks: DataFrame, model: Model, unigram: np.n
                 keep = np.repeat(trains, lengths)
                 if not keep.any():
                     continue
-                start, move, emit = expected_counts(shared.value, cls[keep], counts[keep] == 1, lengths[trains])
+                start, move, emit, total = expected_counts(shared.value, cls[keep], counts[keep] == 1, lengths[trains])
                 used = np.nonzero(emit.sum(axis=0))[0]
-                kinds = np.concatenate([[0], np.ones(STATES), np.full(len(used), 2)]).astype(np.int32)
-                at = np.concatenate([[0], np.arange(STATES), used]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(at), pa.array([start, *move, *emit.T[used]], type=schema.field(2).type)], schema=schema)
+                kinds = np.concatenate([[0], np.ones(STATES), np.full(len(used), 2), [3]]).astype(np.int32)
+                at = np.concatenate([[0], np.arange(STATES), used, [0]]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(at), pa.array([start, *move, *emit.T[used], [total] + [0.0] * (STATES - 1)], type=schema.field(2).type)], schema=schema)
 
     emitted = chunks.select("doc_ids", "lengths", "numbers", "cls", "counts").mapInArrow(run, "kind int, at int, counts array<double>")
     summed = emitted.groupBy("kind", "at").agg(*(F.sum(F.col("counts")[i]).alias(f"s{i}") for i in range(STATES)))
-    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES + 1))
-    for r in summed.collect():  # at most CLASSES + STATES + 2 rows
+    start, move, emit, total = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES + 1)), 0.0
+    for r in summed.collect():  # at most CLASSES + STATES + 3 rows
         v = np.array(r[2:], dtype=float)
         if r["kind"] == 0:
             start = v
         elif r["kind"] == 1:
             move[r["at"]] = v
-        else:
+        elif r["kind"] == 2:
             emit[:, r["at"]] = v
-    return Model.estimated(start, move, emit, unigram)
+        else:
+            total = float(v[0])
+    return Model.estimated(start, move, emit, unigram), total
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
