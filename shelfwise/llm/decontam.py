@@ -3,19 +3,19 @@ with block-max WAND; what it retrieves is verified by question and answer overla
 
 Scores are BM25 divided by the item's score for its own words, so that one threshold fits all items: 1 means that the
 passage has every term of the item. Passages are windows of twice the longest item's words, half overlapping, so an
-item always lies in one of them. A bound from each term's largest share rules out most passages at once; the
-others run WAND over postings in blocks. All items above the threshold are retrieved, none is cut off by rank.
+item always lies in one of them. Bounds from the blocks' largest shares, for all passages at once, rule out those that reach no
+item at all; each of the others runs WAND over the whole shard. All items above the threshold are retrieved, none is cut off by rank.
 
-The index is broadcast in shards of bounded size (`SHARD_POSTINGS`); more items mean more shards, each searched by all passages.
-Term statistics always cover all items.
+The index is broadcast in shards of bounded size (`SHARD_POSTINGS`); more items mean more shards, each searched by all passages, one
+after another. Term statistics always cover all items.
 
-Nulls: a null text has no passage, a null item no term. Repeated documents each get a row, equal items are found together.
+Nulls: a null text has no passage, a null item no term. Repeated documents each get a row, repeated items count once. Ties: of a
+document's passages with the same item the best counts. A very long text is searched `WINDOWS` passages at a time, all of them.
 Without items nothing is contaminated. Only the named columns are read.
 """
 
 import math
 import re
-from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -31,6 +31,8 @@ THRESHOLD = 0.6
 #: Shares of the question's and the answer's word triples that the passage must hold.
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.6, 0.5
 BLOCK_ITEMS = 8
+#: Windows of one text whose bounds are computed together.
+WINDOWS = 256
 SHARD_POSTINGS = 2_000_000
 _LEAST_HALF = 32
 
@@ -48,9 +50,9 @@ def plain_words(text: bytes) -> list[bytes]:
 
 
 def postings(items: DataFrame) -> DataFrame:
-    """(item_id, text, terms: array of (term, tf, df)) with the statistics n_items and mean_length."""
-    rows = items.select("item_id", "text", words(_plain(F.col("text"))).alias("w")).filter(F.size("w") > 0)
-    stats = rows.agg(F.count(F.lit(1)).alias("n_items"), F.avg(F.size("w")).alias("mean_length"))
+    """(item_id, text, terms: array of (term, tf, df)) with the statistics n_items, mean_length and max_length."""
+    rows = items.select("item_id", "text").distinct().select("item_id", "text", words(_plain(F.col("text"))).alias("w")).filter(F.size("w") > 0)
+    stats = rows.agg(F.count(F.lit(1)).alias("n_items"), F.avg(F.size("w")).alias("mean_length"), F.max(F.size("w")).alias("max_length"))
     counts = rows.select("item_id", "text", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("item_id", "text", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     gathered = counts.join(df, "term").groupBy("item_id", "text", "length").agg(F.collect_list(F.struct("term", "tf", "df")).alias("terms"))
@@ -107,16 +109,12 @@ class Index:
         self.term_starts = np.cumsum(self.term_lengths) - self.term_lengths
         self.term_blocks = np.array([k for x in held for k in x], dtype=np.int64)
         self.term_bounds = np.array([max(v for i, v in zip(x, y, strict=True) if i // BLOCK_ITEMS == k) for x, y, h in zip(self.items, self.impacts, held, strict=True) for k in h])
-        self.half = max([_LEAST_HALF, *(r["length"] for r in rows)])
-
-    def search(self, query: list[int], threshold: float = THRESHOLD, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
-        """Block-max WAND: every item from `first` to before `end` whose share reaches the threshold."""
-        found, n = [], len(self.ids) if end is None else end
-        cursors = []
-        for t in query:
-            at = bisect_left(self.items[t], first)
-            if at < len(self.items[t]) and self.items[t][at] < n:
-                cursors.append([self.items[t][at], at, t])
+        self.half = max([_LEAST_HALF, *(r["max_length"] for r in rows[:1])])
+
+    def search(self, query: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
+        """Block-max WAND: every item whose share reaches the threshold."""
+        found, n = [], len(self.ids)
+        cursors = [[self.items[t][0], 0, t] for t in query]
         while True:
             cursors.sort()
             total, pivot = 0.0, -1
@@ -163,6 +161,16 @@ class Index:
             at += 1
         cursor[0], cursor[1] = (items[at] if at < len(items) else len(self.ids)), at
 
+    def _possible(self, window: np.ndarray, term: np.ndarray) -> list[int]:
+        """Windows of which some block's bound reaches the threshold; no other can have a hit."""
+        first = int(window[0])
+        lengths = self.term_lengths[term]
+        ends = np.cumsum(lengths)
+        entry = np.repeat(self.term_starts[term] - (ends - lengths), lengths) + np.arange(ends[-1])
+        cell = np.repeat(window - first, lengths) * self.n_blocks + self.term_blocks[entry]
+        bounds = np.bincount(cell, weights=self.term_bounds[entry])
+        return (np.unique(np.flatnonzero(bounds >= THRESHOLD - 1e-9) // self.n_blocks) + first).tolist()
+
     def find(self, text: bytes) -> list[tuple[int, float, float, float]]:
         """(item, best share, question overlap, answer overlap) of the verified items of one document."""
         row = plain_words(text)
@@ -175,21 +183,17 @@ class Index:
         for shift in (0, self.half):
             if shift and len(row) <= self.half:
                 break
-            keys = np.unique((at + shift) // size * v + ids[at])  # each window's distinct terms
-            window, term = np.divmod(keys, v)
-            lengths = self.term_lengths[term]
-            ends = np.cumsum(lengths)
-            entry = np.repeat(self.term_starts[term] - (ends - lengths), lengths) + np.arange(ends[-1])
-            cell = np.repeat(window, lengths) * self.n_blocks + self.term_blocks[entry]
-            bounds = np.bincount(cell, weights=self.term_bounds[entry])
-            for hit in np.flatnonzero(bounds >= THRESHOLD - 1e-9).tolist():
-                w, block = divmod(hit, self.n_blocks)
-                begin, end = max(0, w * size - shift), (w + 1) * size - shift
-                query = term[np.searchsorted(window, w) : np.searchsorted(window, w + 1)].tolist()
-                for item, score in self.search(query, THRESHOLD, block * BLOCK_ITEMS, min(len(self.ids), (block + 1) * BLOCK_ITEMS)):
-                    question, answer = (len(p & _grams(row[begin:end], n)) / len(p) if p else 1.0 for n, p in self.parts[item])
-                    if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP and score > best.get(item, (0, 0.0))[1]:
-                        best[item] = (item, score, question, answer)
+            every = np.unique((at + shift) // size * v + ids[at])  # each window's distinct terms
+            cuts = np.searchsorted(every // v, np.arange(0, int(every[-1]) // v + 1 + WINDOWS, WINDOWS))
+            for keys in (every[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i):
+                window, term = np.divmod(keys, v)
+                for w in self._possible(window, term):
+                    begin, end = max(0, w * size - shift), (w + 1) * size - shift
+                    query = term[np.searchsorted(window, w) : np.searchsorted(window, w + 1)].tolist()
+                    for item, score in self.search(query):
+                        question, answer = (len(p & _grams(row[begin:end], n)) / len(p) if p else 1.0 for n, p in self.parts[item])
+                        if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP and score > best.get(item, (0, 0.0))[1]:
+                            best[item] = (item, score, question, answer)
         return list(best.values())
 
 
@@ -202,6 +206,8 @@ def contamination(docs: DataFrame, items: DataFrame, carry: bool = False) -> Dat
     for k in range(shards):
         rows = index.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k).orderBy("item_id", "text").collect()  # at most about SHARD_POSTINGS postings
         out = _with_shard(out, rows, k)
+        if shards > 1:  # one index at a time in the workers
+            out = written(out, "searched")
     parts = [F.col(f"hits_{k}") for k in range(shards)]
     hits = F.concat(*parts)
     found = out.select("doc_id", *(["row"] if carry else []), hits.alias("hits"))
