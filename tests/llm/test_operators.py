@@ -147,19 +147,53 @@ def test_hmm_forward_is_exact():
 def test_baum_welch_counts_by_enumeration():
     rng = np.random.default_rng(1)
     m = lm_score.Model.initial(rng.dirichlet(np.ones(8)))
-    cls, k = np.array([3, 1, 4]), lm_score.STATES
-    start, move, emit = lm_score.expected_counts(m, cls, np.zeros(3, dtype=bool), np.array([3]))
-    total, want = 0.0, np.zeros(k)
-    for path in itertools.product(range(k), repeat=3):
-        p = m.start[path[0]] * m.emit[path[0], 3] * m.move[path[0], path[1]] * m.emit[path[1], 1] * m.move[path[1], path[2]] * m.emit[path[2], 4]
-        total += p
-        want[path[0]] += p
-    assert np.allclose(start, want / total) and np.isclose(move.sum(), 2) and np.isclose(emit.sum(), 3)
+    k, texts = lm_score.STATES, [[3, 1, 4], [2], [0, 5, 5, 1]]
+    cls, lengths = np.array([c for t in texts for c in t]), np.array([len(t) for t in texts])
+    start, move, emit, total = lm_score.expected_counts(m, cls, np.zeros(len(cls), dtype=bool), lengths)
+    want_start, want_move, want_emit, want_total = np.zeros(k), np.zeros((k, k)), np.zeros((k, 8)), 0.0
+    for t in texts:
+        paths = {}
+        for path in itertools.product(range(k), repeat=len(t)):
+            p = m.start[path[0]] * m.emit[path[0], t[0]]
+            for x, y, c in zip(path, path[1:], t[1:], strict=False):
+                p *= m.move[x, y] * m.emit[y, c]
+            paths[path] = p
+        whole = sum(paths.values())
+        want_total += math.log10(whole)
+        for path, p in paths.items():
+            want_start[path[0]] += p / whole
+            for x, y in zip(path, path[1:], strict=False):
+                want_move[x, y] += p / whole
+            for x, c in zip(path, t, strict=True):
+                want_emit[x, c] += p / whole
+    assert np.allclose(start, want_start) and np.allclose(move, want_move) and np.allclose(emit, want_emit) and np.isclose(total, want_total)
+
+
+def test_baum_welch_counts_do_not_depend_on_lots(monkeypatch):
+    rng = np.random.default_rng(4)
+    m = lm_score.Model.initial(rng.dirichlet(np.ones(50)))
+    lengths = np.array([700, 3, 1, 64, 65, 200, 1, 9])
+    cls = rng.integers(0, 50, lengths.sum())
+    whole = lm_score.expected_counts(m, cls, cls == 7, lengths)
+    monkeypatch.setattr(lm_score, "LOT", 90)
+    assert all(np.allclose(x, y) for x, y in zip(whole, lm_score.expected_counts(m, cls, cls == 7, lengths), strict=True))
+    assert np.isclose(whole[3], lm_score.log_likelihood(m, cls, lengths).sum())
+
+
+def test_lm_edges(spark):
+    rows = lm_score.score(make_docs(spark, [(None, "a b"), (None, None), (1, ""), (1, "a a"), (2, LONG)])).collect()
+    assert len(rows) == 5 and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in rows)
+    assert lm_score.score(make_docs(spark, [])).count() == 0
+    held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
+    (only,) = lm_score.score(make_docs(spark, [(held, "nothing to learn from")])).collect()
+    assert (only["held_out"], only["n_known"], only["train_tokens"]) == (True, 0, 0) and math.isfinite(only["score"])
 
 
 def test_lm_base_score_and_held_out_gain(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] + [(900 + i, t) for i, t in EDGES[:5]]
-    rows = {r["doc_id"]: r for r in lm_score.score(make_docs(spark, docs)).collect()}
+    history: list[float] = []
+    rows = {r["doc_id"]: r for r in lm_score.score(make_docs(spark, docs), history=history).collect()}
+    assert history == sorted(history) and len(history) == lm_score.ROUNDS
     tokens = lambda t: (t or "").encode().lower().split() + [b"\n"]
     count = Counter(w for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1 for w in tokens(t))
     n, v = sum(count.values()), len(count)
@@ -168,7 +202,8 @@ def test_lm_base_score_and_held_out_gain(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(x in count for x in w), n)
         assert abs(r["base_score"] - sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) < 1e-6 * max(1, abs(r["base_score"]))
     held = [r for r in rows.values() if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    perplexity = [10 ** (-sum(r[c] for r in held) / sum(r["n_tokens"] for r in held)) for c in ("score", "base_score")]
+    assert perplexity[0] < perplexity[1]
 
 
 # 4 suffix dedup
@@ -214,6 +249,44 @@ def test_wand_finds_all_above_threshold_and_leaks(spark):
     assert not any(x["contaminated"] for x in decontam.contamination(make_docs(spark, EDGES), items.limit(0)).collect())
 
 
+def test_decontamination_by_brute_force(spark, monkeypatch):
+    """Every window against every item, with the plain BM25 formula."""
+    monkeypatch.setattr(decontam, "WINDOWS", 2)
+    monkeypatch.setattr(decontam, "SHARD_POSTINGS", 300)
+    r = random.Random(9)
+    item = lambda k: " ".join(f"w{r.randint(0, 90)}" for _ in range(r.randint(6, 30))) + f"? Answer {k} is x{k} y{k} z{k}."
+    texts = [(k, item(k)) for k in range(40)] + [(None, item(99))]
+    docs = []
+    for i in range(60):
+        w = [f"w{r.randint(0, 90)}" for _ in range(r.randint(0, 400))]
+        if i % 2:
+            part = texts[r.randrange(40)][1].split()
+            for _ in range(r.randint(0, 6)):
+                part[r.randrange(len(part))] = "changed"
+            w[r.randint(0, len(w)) :] = part + w[-40:]
+        docs.append((i, " ".join(w)))
+    got = {x["doc_id"]: (x["items"], x["best_score"]) for x in decontam.contamination(make_docs(spark, docs), spark.createDataFrame([*texts, texts[3], (41, None), (42, "")], "item_id long, text string")).collect()}
+    bag = {k: decontam.plain_words(t.encode()) for k, t in texts}
+    mean, df = sum(map(len, bag.values())) / len(bag), Counter(w for ws in bag.values() for w in set(ws))
+    impact = {}
+    for k, ws in bag.items():
+        raw = {w: math.log(1 + (len(bag) - df[w] + 0.5) / (df[w] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(ws) / mean)) for w, n in Counter(ws).items()}
+        impact[k] = {w: v / sum(raw.values()) for w, v in raw.items()}
+    half = max(32, *map(len, bag.values()))
+    for i, t in docs:
+        row, best = decontam.plain_words(t.encode()), {}
+        for begin in [s for s in range(-half, len(row), half)]:
+            window = row[max(0, begin) : begin + 2 * half]
+            for k, parts in impact.items():
+                score = sum(v for w, v in parts.items() if w in set(window))
+                halves = decontam.halves(dict(texts)[k])
+                ok = [len((g := decontam._grams(p, min(3, len(p))) if p else set()) & decontam._grams(window, min(3, len(p)) or 1)) / len(g) if g else 1.0 for p in halves]
+                if score >= decontam.THRESHOLD - 1e-9 and ok[0] >= decontam.QUESTION_OVERLAP and ok[1] >= decontam.ANSWER_OVERLAP:
+                    best[k] = max(best.get(k, 0), score)
+        assert sorted(got[i][0], key=str) == sorted(best, key=str) and abs(got[i][1] - max(best.values(), default=0.0)) < 1e-9
+    assert sum(bool(v[0]) for v in got.values()) >= 5
+
+
 # 7 tokens
 def test_coder_round_trip(monkeypatch):
     rng = np.random.default_rng(0)
