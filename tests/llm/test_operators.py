@@ -231,6 +231,14 @@ def test_suffix_dedup(spark, corpus):
     assert [r["n_removed"] for r in twice if r["doc_id"] == 1] == [0, 0]
 
 
+def test_suffix_dedup_with_hot_anchors(spark, corpus, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 2)  # all anchors that occur three times are dealt by whole windows
+    line = "a line that very many documents have in common, each among other words " * 2
+    docs = list({i: (i, t) for i, t in corpus}.values()) + [(400 + i, f"{i * 7919} {line} {i * 104729} {line}") for i in range(40)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffix_dedup.remove_repeats(make_docs(spark, docs)).collect()}
+    assert got == brute_removed(docs)
+
+
 # 6 decontamination
 def test_wand_finds_all_above_threshold_and_leaks(spark):
     items = spark.createDataFrame([(i, f"What is the {chr(97 + i)}{chr(97 + i)} of river number {i} in winter? It is the colour of stone {i} and sand."[: 400]) for i in range(20)] + [(99, None), (98, "")], "item_id long, text string")

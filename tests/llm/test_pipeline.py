@@ -7,6 +7,8 @@ import itertools
 import corpus_pipeline
 from shelfwise.llm import decontam, mixing, quality
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_run_follows_its_stages(spark):
     sf = "/root/testdata/sf0.001"
@@ -28,3 +30,19 @@ def test_run_follows_its_stages(spark):
     assert [r["doc_id"] for r in rows] == [i for i in sorted(copies) for _ in range(copies[i])]
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in every column, repeated rows, a very long text, clashing names; then no rows at all."""
+    good = " ".join(f"word{i} is followed by some other thing number {i * 7}," for i in range(30))
+    long = " ".join(f"v{i}" for i in range(40_000))
+    other = " ".join(f"another{i} text that goes on for a while {i}." for i in range(30))
+    rows = [(1, good, "en", "a", 5, "x", 1, "k"), (1, good, "en", "a", 5, "x", 1, "k"), (None, other, None, None, None, None, None, None), (2, None, "en", "a", 0, "x", 1, "k"), (3, "", "en", None, 0, "x", 1, "k"), (4, long, "en", "b", 5, "x", 1, "k"), (None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size string, root long, kept_id string")
+    for now, left in ((docs, {1, None, 4}), (docs.limit(0), set())):
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            now = spark.createDataFrame(stage(spark, now, SF).collect(), now.schema)
+            assert now.columns == docs.columns, name
+            assert {r["doc_id"] for r in now.collect()} <= left
+        out = corpus_pipeline.STAGES[4][1](spark, now, SF).collect()
+        assert {r["doc_id"] for r in out} == {r["doc_id"] for r in now.collect()}
