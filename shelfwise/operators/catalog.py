@@ -77,14 +77,13 @@ def book_prices(items: DataFrame, amounts: DataFrame, books: DataFrame) -> DataF
 
 def category_paths(spark: SparkSession, categories: DataFrame) -> DataFrame:
     """Root-to-leaf names per category; an offline, unnamed or repeated ancestor voids the path."""
-    categories.createOrReplaceTempView("shelfwise_categories")
     return spark.sql("""
         WITH RECURSIVE walk(id, names, ids, sound) AS (
-            SELECT id, array(name), array(id), online AND name <> '' FROM shelfwise_categories WHERE parent_id = 'root'
+            SELECT id, array(name), array(id), online AND name <> '' FROM {tree} WHERE parent_id = 'root'
             UNION ALL
             SELECT c.id, concat(w.names, array(c.name)), concat(w.ids, array(c.id)), w.sound AND c.online AND c.name <> ''
-            FROM walk w JOIN shelfwise_categories c ON c.parent_id = w.id WHERE NOT array_contains(w.ids, c.id))
-        SELECT id AS category_id, names AS path FROM walk WHERE sound""")
+            FROM walk w JOIN {tree} c ON c.parent_id = w.id WHERE NOT array_contains(w.ids, c.id))
+        SELECT id AS category_id, names AS path FROM walk WHERE sound""", tree=categories)
 
 
 def product_categories(assigned: DataFrame, paths: DataFrame) -> DataFrame:

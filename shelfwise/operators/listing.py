@@ -1,4 +1,4 @@
-"""Listing pages from the category tree."""
+"""Listing pages from the category tree."""
 
 from __future__ import annotations
 
@@ -13,14 +13,14 @@ from shelfwise.functions.scalars import absolute_url, slug
 
 def entries(spark: SparkSession, categories: DataFrame, excluded: list[str]) -> DataFrame:
     """the online tree without excluded roots, parents first: ids and names from the root."""
-    categories.createOrReplaceTempView("shelfwise_tree")
-    out = ", ".join(f"'{x.lower()}'" for x in excluded) or "''"
-    return spark.sql(f"""
+    out = [x.lower() for x in excluded]
+    tree = categories.withColumn("banned", (F.col("parent_id") == "root") & (F.lower("id").isin(out) | F.lower("name").isin(out)))
+    return spark.sql("""
         WITH RECURSIVE walk(id, ids, names, depth) AS (
-            SELECT id, array(id), array(name), 1 FROM shelfwise_tree WHERE parent_id = 'root' AND online AND lower(id) NOT IN ({out}) AND lower(name) NOT IN ({out})
+            SELECT id, array(id), array(name), 1 FROM {tree} WHERE parent_id = 'root' AND online AND NOT banned
             UNION ALL
-            SELECT c.id, concat(w.ids, array(c.id)), concat(w.names, array(c.name)), w.depth + 1 FROM walk w JOIN shelfwise_tree c ON c.parent_id = w.id AND c.online)
-        SELECT id AS category_id, array_join(ids, '|') AS key_path, names, array_join(names, '|') AS name_path, depth FROM walk""")
+            SELECT c.id, concat(w.ids, array(c.id)), concat(w.names, array(c.name)), w.depth + 1 FROM walk w JOIN {tree} c ON c.parent_id = w.id AND c.online)
+        SELECT id AS category_id, array_join(ids, '|') AS key_path, names, array_join(names, '|') AS name_path, depth FROM walk""", tree=tree)
 
 
 def pages(rows: DataFrame, locales: list[tuple[str, str]]) -> DataFrame:
@@ -32,13 +32,34 @@ def pages(rows: DataFrame, locales: list[tuple[str, str]]) -> DataFrame:
     return each.groupBy("key_path").agg(F.first("category_id").alias("category_id"), F.first("name_path").alias("filter_value"), F.array_join(patterns, " ").alias("patterns"), F.min("path").alias("primary_url"), F.count(F.lit(1)).alias("n_rules"))
 
 
+def existing_pages(rows: DataFrame) -> DataFrame:
+    """Pages read under several tracking ids (tracking_id, page_id, name, patterns), each once: by its id, else by name and first
+    pattern; the first tracking id's stays."""
+    known = F.coalesce(F.trim("page_id"), F.lit("")) != ""
+    key = F.when(known, F.concat(F.lit("id|"), "page_id")).otherwise(F.concat(F.lit("name|"), F.coalesce("name", F.lit("")), F.lit("|"), primary_url(F.col("patterns"))))
+    return rows.withColumn("key", key).groupBy("key").agg(F.min_by(F.struct("tracking_id", "page_id", "name", "patterns"), F.struct("tracking_id", "patterns", "name")).alias("p")).select("p.*")
+
+
+def primary_url(patterns: Column) -> Column:
+    """of patterns joined by spaces."""
+    return F.coalesce(F.get(F.split(patterns, " "), F.lit(0)), F.lit(""))
+
+
+def unverified(written: DataFrame, fresh: DataFrame) -> DataFrame:
+    """P25: pages written (name, patterns) that a fresh read doesn't have."""
+    return written.join(fresh.select("name", "patterns"), ["name", "patterns"], "left_anti")
+
+
 def plan(desired: DataFrame, existing: DataFrame) -> DataFrame:
-    """Matched by primary URL against any pattern, else by name; matched pages are updated."""
-    by_url = existing.select(F.explode(F.split("patterns", " ")).alias("primary_url"), F.col("page_id").alias("by_url"))
-    by_name = existing.select(F.col("name").alias("filter_value"), F.col("page_id").alias("by_name"))
+    """Matched by primary URL against any pattern, else by name; matched pages are updated. A page that more than
+    one existing page matches is an error."""
+    pages_by = lambda rows, key: rows.groupBy(key).agg(F.min("page_id").alias(f"least_{key}"), F.max("page_id").alias(f"most_{key}"))
+    by_url = pages_by(existing.select(F.explode(F.split("patterns", " ")).alias("primary_url"), "page_id"), "primary_url")
+    by_name = pages_by(existing.select(F.col("name").alias("filter_value"), "page_id"), "filter_value")
     found = desired.join(by_url, "primary_url", "left").join(by_name, "filter_value", "left")
-    page = F.coalesce("by_url", "by_name")
-    return found.select("key_path", page.alias("page_id"), F.when(page.isNull(), "create").otherwise("update").alias("action"))
+    one = lambda key: F.when(F.col(f"least_{key}") < F.col(f"most_{key}"), F.raise_error(F.concat(F.lit("several pages match "), F.col(key))).cast("string")).otherwise(F.col(f"least_{key}"))
+    page = F.when(F.col("least_primary_url").isNotNull(), one("primary_url")).otherwise(one("filter_value"))
+    return found.select("key_path", page.alias("page_id")).withColumn("action", F.when(F.col("page_id").isNull(), "create").otherwise("update"))
 
 
 def page_name(html: Column) -> Column:

@@ -58,6 +58,11 @@ def operations(reasons: DataFrame) -> DataFrame:
     return adds.union(deletes)
 
 
+def write_batches(rows: DataFrame, at: str) -> None:
+    """K1: operations (batch, op, document_id, payload) as JSON lines, a folder for each batch."""
+    rows.repartition("batch").write.mode("overwrite").partitionBy("batch").json(at)
+
+
 def fixed_batches(rows: DataFrame, within: str, order: str, size: int) -> DataFrame:
     """Chunks of a fixed size, numbered within each group."""
     n = F.row_number().over(Window.partitionBy(within).orderBy(order))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import scalars as s
-from shelfwise.operators import attributes, catalog, fields, packing, products, purchases, reconcile, report, state, targets
+from shelfwise.operators import attributes, catalog, fields, listing, packing, products, purchases, reconcile, report, state, targets
 from shelfwise.plans import queries as base
 from shelfwise.plans.queries import _eligible, query
 from shelfwise.plans.sql import CATALOG, CATEGORIES, DESCRIPTORS, DOCUMENTS, ENTRIES, PURCHASES, STATE, _with
@@ -538,3 +538,40 @@ def final_mapping_errors(spark: SparkSession, d: str) -> DataFrame:
 
 SQL["final_mapping_errors"] = """WITH r AS (SELECT 'm' || s_suppkey AS mapping_id, lower(CASE WHEN s_suppkey % 4 = 0 THEN 'y_' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'EC_Brand' ELSE 'X_' || s_suppkey % 20 END) AS t FROM supplier WHERE s_suppkey % 6 <> 0 AND (s_suppkey % 2 = 0 OR s_suppkey % 3 <> 0))
     SELECT mapping_id, 'reserved_target' AS error FROM r WHERE t = 'ec_brand' UNION ALL SELECT mapping_id, 'repeated_target' FROM (SELECT mapping_id, count(*) OVER (PARTITION BY t) AS n FROM r) WHERE n > 1"""
+
+
+def _read_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages that exist, as three tracking ids show them: some without an id, some twice."""
+    k = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select(F.explode(F.array(*(F.lit(x) for x in ("tr1", "tr2", "tr3")))).alias("tracking_id"), k)
+    shown = rows.filter("s_suppkey % 3 <> 0 or tracking_id <> 'tr1'")
+    return shown.select("tracking_id", F.when(k % 4 != 0, F.concat(F.lit("page-"), k)).alias("page_id"), F.concat(F.lit("name "), F.floor(k / 8)).alias("name"), F.concat(F.lit("/u/"), k % 16, F.lit(" /v")).alias("patterns"))
+
+
+@query
+def existing_pages(spark: SparkSession, d: str) -> DataFrame:
+    return listing.existing_pages(_read_pages(spark, d))
+
+
+_PAGES_READ = "rd AS (SELECT tr AS tracking_id, CASE WHEN s_suppkey % 4 <> 0 THEN 'page-' || s_suppkey END AS page_id, 'name ' || s_suppkey // 8 AS name, '/u/' || s_suppkey % 16 || ' /v' AS patterns FROM supplier, (SELECT unnest(['tr1', 'tr2', 'tr3']) AS tr) WHERE s_suppkey % 3 <> 0 OR tr <> 'tr1'),"
+SQL["existing_pages"] = _with(_PAGES_READ, "SELECT min(tracking_id) AS tracking_id, page_id, min(name) AS name, min(patterns) AS patterns FROM rd WHERE page_id IS NOT NULL GROUP BY page_id UNION ALL SELECT min(tracking_id), NULL, name, patterns FROM rd WHERE page_id IS NULL GROUP BY name, patterns")
+
+
+@query
+def unverified_pages(spark: SparkSession, d: str) -> DataFrame:
+    now = listing.existing_pages(_read_pages(spark, d)).select("name", "patterns").distinct()
+    return listing.unverified(now, now.filter("name not like '%1'"))
+
+
+SQL["unverified_pages"] = _with(_PAGES_READ, "SELECT DISTINCT name, patterns FROM rd WHERE right(name, 1) = '1'")
+
+
+@query
+def operation_files(spark: SparkSession, d: str) -> DataFrame:
+    """The operations of a delta run in batches, written as JSON lines and read back."""
+    at, ops = f"{_folder(spark)}/operations", reconcile.operations(base._reasons(spark, d))
+    reconcile.write_batches(reconcile.fixed_batches(ops, "op", "document_id", 50).withColumn("payload", F.concat(F.lit("p:"), "document_id")), at)
+    return spark.read.schema("op string, document_id string, payload string, batch long").json(at)
+
+
+SQL["operation_files"] = _with(CATALOG + DESCRIPTORS, "SELECT op, document_id, 'p:' || document_id AS payload, ((row_number() OVER (PARTITION BY op ORDER BY document_id) - 1) // 50)::BIGINT AS batch FROM ops")
