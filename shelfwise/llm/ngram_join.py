@@ -16,7 +16,7 @@
    linked them, need no pair; so each set's prefix counts on the least weight among the other classes.
    x - y has at most a quarter of x if they link. So a set that has a quarter of its size more of R than a quarter of R can
    link only to sets that have a quarter of R. All those give differences; only sets with less than the former stay in
-   the list, which comes back with a new leader. Each round doubles `SHORT`, so that rounds end.
+   the list, which comes back with a new leader. Each round takes four times `SHORT`, so that rounds end.
 5. Verified links give components.
 
 Every link is found: prefixes, places, references and their differences are exact filters, and each candidate is verified
@@ -44,10 +44,12 @@ from shelfwise.llm.graph import components
 
 #: Links: 100 * intersection >= PERCENT * union. The filters' weights (4, 3, 7) and distances are those of 75.
 PERCENT = 75
-#: Pairs for each set of a list up to which the list is compared directly, at first; each round doubles it.
+#: Pairs for each set of a list up to which the list is compared directly, at first; each round takes four times as many.
 SHORT = 16
 #: A shingle of a leader is common if so many more sets have it than is usual.
 COMMON = 8
+#: Shingles of sets that a verifying task keeps at hand: 32 MB.
+HELD = 4_000_000
 #: Lists that may be longer are led without being held by one task.
 HOT = 100_000
 _SIGN = np.uint64(0xA5A5A5A5A5A5A5A5)
@@ -233,9 +235,12 @@ def _hot_lists(entries: DataFrame) -> DataFrame:
 
 
 def _candidates(entries: DataFrame, short: int) -> DataFrame:
-    """Candidates of a later round's lists, whose lengths are counted first."""
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(f"m > {HOT}").select("key")
-    long = written(sizes, "hot")
+    """Candidates of a later round's lists, whose lengths are counted first if any can be long."""
+    if entries.count() <= HOT:
+        return _lists(entries, short)
+    long = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(f"m > {HOT}").select("key"), "hot")
+    if long.isEmpty():
+        return _lists(entries, short)
     return _lists(entries.join(long, "key", "left_anti"), short).union(_hot_lists(entries.join(long, "key", "left_semi")))
 
 
@@ -252,16 +257,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
         return r if 2 * len(r) >= len(x) else x
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}  # sets met before
+        size = 0
+
+        def set_of(sid: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal size
+            if (found := known.get(sid)) is None:
+                if size > HELD:
+                    known.clear()
+                    size = 0
+                known[sid] = found = shingles.shingle_set(text.as_py())
+                size += len(found)
+            return found
+
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 out: list[list] = [[] for _ in schema]
                 last: tuple[int, np.ndarray, np.ndarray] | None = None
-                for a, b, star, ta, tb in zip(*(c.to_pylist() for c in batch.slice(k, 500).columns), strict=True):
+                some = batch.slice(k, 500)
+                for a, b, star, ta, tb in zip(*(some.column(c).to_pylist() for c in range(3)), some.column(3), some.column(4), strict=True):
                     if last is None or last[0] != a:
-                        x = shingles.shingle_set(ta)
+                        x = set_of(a, ta)
                         last = (a, x, reference(x))
                     _, x, r = last
-                    y = shingles.shingle_set(tb)
+                    y = set_of(b, tb)
                     inter = len(np.intersect1d(x, y, assume_unique=True))
                     row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None, None)
                     if star:
@@ -335,7 +354,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return members, roots
         rest = led.join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "need", "slack", "odd")
         entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "odd", "comp").union(_differences(judged, roots)), "entries")
-        short *= 2
+        short *= 4
         found = _candidates(entries, short)
     return members, components(links)
 
