@@ -22,6 +22,7 @@ from typing import Any
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,10 +55,12 @@ class _WholeTexts:
 
 
 class _Encoder:
-    """Encodes by white-space words, each once: this tokenizer drops white space and splits on it, so no token spans two words.
+    """Encodes by white-space words, each different one once: this tokenizer drops white space and splits on it, so no token spans two words.
 
-    Words of letters alone are encoded many at a time: each is one piece there, and its last id is one that ends words.
-    A word of ASCII letters and closing punctuation is the lower-case word and the punctuation, as the tokenizer parts them.
+    It lower-cases, so ASCII letters are lower-cased first, and it parts letters from the closing punctuation that follows them, so
+    these are words of their own here. Words of letters alone are encoded many at a time: each is one piece there, and its last
+    id is one that ends words. Splitting and numbering words is Arrow's. Texts in which a special token shows up by lower-casing
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -67,6 +70,7 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def _pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,54 +87,51 @@ class _Encoder:
         return np.fromiter((i for x in new for i in x), dtype=np.int64, count=int(lengths.sum())), lengths
 
     def _add(self, words: list[str]) -> None:
-        """Encodes pieces that are not known yet."""
+        """Encodes words that are not known yet."""
         for alone, encode in ((True, self._pieces), (False, self._each)):
             some = [w for w in words if w.isalpha() == alone]
-            for k in range(0, len(some), 2000):
-                ids, lengths = encode(some[k : k + 2000])
-                self.pieces.update(zip(some[k : k + 2000], range(len(self.piece_starts), len(self.piece_starts) + len(lengths)), strict=True))
-                self.piece_starts = np.concatenate([self.piece_starts, len(self.piece_ids) + np.cumsum(lengths) - lengths])
-                self.piece_lengths, self.piece_ids = np.concatenate([self.piece_lengths, lengths]), np.concatenate([self.piece_ids, ids])
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts = []
-        for w in words:
-            text = w.decode()
-            body = text.rstrip(".,;:!?")
-            parts.append((body.lower(), text[len(body) :]) if body.isalpha() and body.isascii() else (text, ""))
-        self._add(list({p for pair in parts for p in pair}.difference(self.pieces)))
-        self.index.update(zip(words, range(len(self.first), len(self.first) + len(words)), strict=True))
-        pairs = np.array([(self.pieces[a], self.pieces[b]) for a, b in parts], dtype=np.int64)
-        self.first, self.second = np.concatenate([self.first, pairs[:, 0]]), np.concatenate([self.second, pairs[:, 1]])
+            parts = [encode(some[k : k + 2000]) for k in range(0, len(some), 2000)]
+            if parts:
+                ids, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+                self.index.update(zip(some, range(len(self.starts), len(self.starts) + len(some)), strict=True))
+                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+                self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
 
     def clear(self) -> None:
-        # piece 0 is empty, piece 1 the end of a document, which stands in for the empty word
-        self.pieces, self.piece_ids = {"": 0}, np.array([END_ID], dtype=np.int64)
-        self.piece_starts, self.piece_lengths = np.zeros(2, dtype=np.int64), np.array([0, 1], dtype=np.int64)
-        self.index, self.first, self.second = {b"": 0}, np.ones(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        # word 0 is empty
+        self.index, self.ids = {"": 0}, np.zeros(0, dtype=np.int64)
+        self.starts, self.lengths = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, an end id after each text, and the number of ids of each text."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        rows, fresh, index = [], set(), self.index
-        for text in texts:
-            rows.append(row := text.split())
-            fresh.update(set(row).difference(index))
-        if fresh:
-            self._learn(fresh)
-        places, counts = [], np.array([len(row) + 1 for row in rows], dtype=np.int64)
-        for row in rows:
-            row.append(b"")
-            places.append(np.fromiter(map(index.__getitem__, row), dtype=np.int64, count=len(row)))
-        at = np.concatenate(places)
-        pieces = np.stack([self.first[at], self.second[at]], axis=1).ravel()
-        lengths = self.piece_lengths[pieces]
-        ends = np.cumsum(lengths)
-        ids = self.piece_ids[np.repeat(self.piece_starts[pieces] - (ends - lengths), lengths) + np.arange(ends[-1])]
-        ends = ends[1::2]
-        last = np.cumsum(counts) - 1
-        return ids, np.diff(ends[last], prepend=0)
+        lower = pc.ascii_lower(pa.array(texts, type=pa.large_binary()).cast(pa.large_string()))
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.special:
+            whole |= pc.match_substring(lower, token).to_numpy(zero_copy_only=False)
+        marked = pc.replace_substring_regex(pc.binary_join_element_wise(lower, *(pa.scalar(x, pa.large_string()) for x in ("\n", ""))), r"([a-z])([.,;:!?]+)([\t-\r ])", r"\1 \2\3")
+        words = pc.ascii_split_whitespace(marked)
+        coded = words.flatten().dictionary_encode()
+        unique = coded.dictionary.to_pylist()
+        self._add([w for w in unique if w not in self.index])
+        known = np.fromiter(map(self.index.__getitem__, unique), dtype=np.int64, count=len(unique))
+        word = known[coded.indices.to_numpy()]
+        lengths = self.lengths[word]
+        ends = np.append(0, np.cumsum(lengths))
+        ids = self.ids[np.repeat(self.starts[word] - ends[:-1], lengths) + np.arange(ends[-1])]
+        offsets = words.offsets.to_numpy().astype(np.int64)
+        made = np.diff(ends[offsets - offsets[0]])
+        if whole.any():
+            parts = np.split(ids, np.cumsum(made)[:-1])
+            for k in np.flatnonzero(whole).tolist():
+                parts[k] = np.array(self.tokenizer.encode(texts[k].decode(), add_special_tokens=False).ids, dtype=np.int64)
+            ids, made = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
+        out = np.full(len(ids) + len(texts), END_ID, dtype=np.int64)
+        inner = np.ones(len(out), dtype=bool)
+        inner[np.cumsum(made + 1) - 1] = False
+        out[inner] = ids
+        return out, made + 1
 
 
 def _encoder(path: str) -> _Encoder | _WholeTexts:
