@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 300_000
 
 
 class _Hashes(dict):

@@ -117,7 +117,7 @@ def encode(ids: np.ndarray) -> bytes:
         raise ValueError("ids must lie between 0 and 65535")
     blocks, lanes, steps = shape(n)
     every = blocks * lanes
-    grid = np.zeros(every * steps, dtype=np.int64)
+    grid = np.zeros(every * steps, dtype=np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(every, steps).T)
     model = _Model(blocks, lanes)
@@ -126,7 +126,7 @@ def encode(ids: np.ndarray) -> bytes:
     out, used, at = np.zeros(every * width, dtype="<u4"), np.zeros(every, dtype=np.int64), np.arange(every) * width
     new: list[tuple[np.ndarray, np.ndarray]] = []
     for t in range(steps):
-        x = grid[t]
+        x = grid[t].astype(np.int64)
         model.predict(grid)
         second = x == model.guess[0]
         kind = np.where(second, 0, 2 - (x == model.guess[1]))
@@ -170,7 +170,7 @@ def decode(data: bytes) -> np.ndarray:
         raise ValueError("not a token segment")
     n = struct.unpack_from("<Q", data, 4)[0]
     if not n:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int32)
     blocks, lanes, steps = shape(n)
     every, at = blocks * lanes, 12 + 16 * blocks
     bodies, raws = [], []
@@ -190,7 +190,7 @@ def decode(data: bytes) -> np.ndarray:
     low, span = np.zeros(every, dtype=np.uint64), np.full(every, _FULL, dtype=np.uint64)
     code = words[place] << _U32 | words[place + 1]
     place = place + 2
-    grid = np.zeros((steps, every), dtype=np.int64)
+    grid = np.zeros((steps, every), dtype=np.int32)
     for t in range(steps):
         model.predict(grid)
         part = span >> np.uint64(_MIX_BITS)

@@ -32,10 +32,10 @@ from shelfwise.llm.common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-SEGMENT_IDS = 6_000_000
+SEGMENT_IDS = 4_000_000
 BATCH_BYTES, BATCH_TEXTS = 8_000_000, 2000
 #: Words that a worker keeps encoded between batches.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 
 #: What shows whether a tokenizer may be run word by word: letter cases, punctuation, digits, white space, other scripts.
 _PROBE = "The quick, brown (fox)  Jumps!? over\t3.14 dogs; it's na\u00efve\u2014\u4e2d\u6587 re-use end.\nNew Line: A1b2 #tag $5 ...Ok "
@@ -127,7 +127,7 @@ class _Encoder:
             for k in np.flatnonzero(whole).tolist():
                 parts[k] = np.array(self.tokenizer.encode(texts[k].decode(), add_special_tokens=False).ids, dtype=np.int64)
             ids, made = np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
-        out = np.full(len(ids) + len(texts), END_ID, dtype=np.int64)
+        out = np.full(len(ids) + len(texts), END_ID, dtype=np.int32)
         inner = np.ones(len(out), dtype=bool)
         inner[np.cumsum(made + 1) - 1] = False
         out[inner] = ids
