@@ -56,6 +56,22 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows (doc_id, text) with doc, a long per document in the order of ids, nulls first; and whether doc is the id itself.
+
+    It is where ids are whole numbers, none missing and none repeated. Otherwise rows of one id and one text are one document, and
+    different texts of one id, or without an id, are different ones, in the order of their texts' digests.
+    """
+    whole = rows.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    if whole and rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").isEmpty():
+        return rows.withColumn("doc", F.col("doc_id").cast("long")), True
+    known = rows.withColumn("digest", F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("digest")]
+    in_order = known.select("doc_id", "digest").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    numbers = written(in_order.select(F.col("doc_id").alias("id"), F.col("digest").alias("sha"), F.monotonically_increasing_id().alias("doc")), "numbers")
+    return known.join(numbers, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))).select("doc_id", "text", "doc"), False
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list] | None], schema: str, rows: int = 1000) -> DataFrame:
     """Applies `fn`, from lists by column to lists by column, to so many rows at a time."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -16,8 +16,9 @@ holds a whole anchor; only equal windows meet then.
 All comparisons are of bytes; hashes only bring equal windows together. Memory of a round is one column and one
 order; buckets are partitions of Spark.
 
-Nulls: a null text is an empty one. Rows that share a doc_id count as one document: what equals at the same place is
-the same occurrence, so repeated rows keep what one would. Null ids come before all others. An empty table gives none; texts under 100 bytes lose nothing. Only the named columns are read.
+Nulls: a null text is an empty one. Rows that share a doc_id and a text count as one document: what equals at the same place is
+the same occurrence, so repeated rows keep what one would. Different texts of one doc_id, or without one, are different documents, in the order of
+their SHA-256. Null ids come before all others. An empty table gives none; texts under 100 bytes lose nothing. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import dropped, table, written
+from shelfwise.llm.common import dropped, numbered, table, written
 from shelfwise.llm.shingles import mix
 
 LENGTH, ANCHOR = 100, 32
@@ -41,7 +42,6 @@ _PLACES = LENGTH - ANCHOR + 1
 _COLUMNS = _PLACES - 1 + LENGTH
 #: Occurrences of an anchor beyond which its windows are dealt by their whole content.
 HOT = 100_000
-_NULL_ID = -(1 << 63)
 _MULTIPLY = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLY, -1, 1 << 64)
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -254,7 +254,7 @@ def remove(text: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, list[tuple[
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, kept (bytes), spans, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows, _ = numbered(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")))
     runs = repeated_spans(rows.select("doc", "text"))
     joined = rows.join(runs, "doc", "left").select("doc_id", "text", "runs")
 

@@ -231,6 +231,21 @@ def test_suffix_dedup(spark, corpus):
     assert [r["n_removed"] for r in twice if r["doc_id"] == 1] == [0, 0]
 
 
+def test_suffix_dedup_without_or_with_repeated_ids(spark):
+    """Rows of one id and text are one document; other texts of that id, or without one, are documents of their own, by digest."""
+    r = random.Random(31)
+    own = lambda n: " ".join(f"u{r.getrandbits(40)}" for _ in range(n))
+    c, a, shared = own(40), own(40), own(30)
+    rows = [(None, c), (None, "zz " + c), (None, None), (1, c), (7, c), (7, a), (7, a), (8, a[:300]), (9, own(50)), (9, shared + own(20)), (9, own(9) + shared), (None, own(60)), (None, "é" * 70), (-5, "x" + "é" * 70)]
+    order = sorted(set(rows), key=lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256((x[1] or "").encode()).hexdigest()))
+    want = brute_removed(list(enumerate(t for _, t in order)))
+    got = suffix_dedup.remove_repeats(make_docs(spark, rows)).collect()
+    assert sorted((str(x["doc_id"]), x["n_bytes"], x["n_removed"], x["kept_sha256"]) for x in got) == sorted((str(x[0]), *want[order.index(x)]) for x in rows)
+    assert sum(want[i][1] == 0 and len(order[i][1] or "") > 300 for i in range(len(order))) >= 4  # the first of each kind stays whole
+    named = spark.createDataFrame([("b", c), ("a", c), ("b", a)], "doc_id string, text string")
+    assert {(x["doc_id"], x["n_removed"]) for x in suffix_dedup.remove_repeats(named).collect()} == {("a", 0), ("b", len(c)), ("b", 0)}
+
+
 def test_suffix_dedup_with_hot_anchors(spark, corpus, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 2)  # all anchors that occur three times are dealt by whole windows
     line = "a line that very many documents have in common, each among other words " * 2
@@ -481,9 +496,22 @@ def test_repeated_passages_edges(spark):
     rows = compact_windows.repeated_passages(make_docs(spark, docs)).collect()
     assert len(rows) == len(docs)
     assert all(x["n_later"] >= 1 for x in rows if x["doc_id"] in (5, 20, 21))
+    # texts without an id are different documents, the least of all
+    nameless = [x for x in rows if x["doc_id"] is None and x["spans"]]
+    assert len(nameless) == 2 and sum(x["n_later"] for x in nameless) == 1 and all(None in {s["other"] for s in x["spans"]} for x in nameless)
+    assert all(any(s["other"] is None for s in x["spans"]) for x in rows if x["doc_id"] in (20, 21))
     assert not any(x["spans"] for x in rows if x["doc_id"] in (0, 1, 2, 3, 6, 7, 8))
 
 
+def test_passages_of_different_texts_under_one_id(spark):
+    r = random.Random(41)
+    own = lambda n: " ".join(f"u{r.getrandbits(40)}" for _ in range(n))
+    one, two = own(60), own(60)
+    rows = compact_windows.repeated_passages(make_docs(spark, [(7, f"{own(20)} {one}"), (7, f"{one} {own(30)}"), (7, own(80)), (None, f"{two} x"), (None, f"y {two}"), (None, own(70))])).collect()
+    assert sorted(len(x["spans"]) for x in rows) == [0, 0, 1, 1, 1, 1]
+    assert [s["other"] for x in rows for s in x["spans"]].count(7) == 2 and sum(x["n_later"] for x in rows) == 2
+
+
 def test_a_passage_in_a_thousand_documents(spark, monkeypatch):
     monkeypatch.setattr(compact_windows, "SHORT", 8)
     r = random.Random(5)
