@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.scalars import hierarchy_prefixes, price_pair
+from shelfwise.functions.scalars import hierarchy_prefixes, iso_time, price_pair
 
 
 #: Doublings of the way to the top book: more than a chain of any length needs.
@@ -125,16 +125,31 @@ def documents_product_variant(eligible: DataFrame) -> DataFrame:
     return groups.union(variants)
 
 
-def descriptors(eligible: DataFrame) -> DataFrame:
-    """Per root the last modification, three signatures and the documents of eligible products."""
-    day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(""))
-    record = F.concat_ws("|", "id", day("created"), day("modified"))
-    state = F.concat_ws("|", "id", F.col("online").cast("string"), F.col("searchable").cast("string"))
-    digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\u0001"), 256)
-    document = F.when(F.col("eligible"), F.concat(F.lit("product://pid="), "id"))
-    return eligible.groupBy(root_id().alias("root_id")).agg(
-        F.date_format(F.max(F.greatest("created", "modified")), "yyyy-MM-dd").alias("modified_at"), digest(record).alias("modification_signature"), digest(state).alias("eligibility_signature"),
-        digest(document).alias("ownership_signature"), F.array_sort(F.collect_set(document)).alias("document_ids"),
+def descriptors(eligible: DataFrame, masters: DataFrame, structure: str = "product_only", mode: str = "online_and_searchable") -> DataFrame:
+    """Per root the last modification to the millisecond, three signatures and the documents of eligible products.
+
+    A root's records are its own, its master's and those of all variants, each in its role: a master is the root of its variants and their master."""
+    variant = F.col("is_variant")
+    own = eligible.select(root_id().alias("root_id"), F.when(variant, "variant").otherwise("root").alias("role"), "id", F.coalesce("master_id", F.lit("")).alias("master_id"), F.lit(False).alias("master"), variant.alias("variant"), "online", "searchable", "eligible", "created", "modified")
+    roots_of = masters.join(eligible.select("master_id").distinct(), masters["id"] == F.col("master_id"), "left_semi")
+    sound = F.col("online") & F.col("searchable") if mode.strip().lower() == "online_and_searchable" else F.lit(True)
+    above = roots_of.select(F.col("id").alias("root_id"), F.explode(F.array(F.lit("root"), F.lit("master"))).alias("role"), "id", F.lit("").alias("master_id"), F.lit(True).alias("master"), F.lit(False).alias("variant"), "online", "searchable", sound.alias("eligible"), "created", "modified")
+    text = lambda *c: F.concat_ws("|", *(F.col(x).cast("string") for x in c))
+    rows = own.union(above).select("root_id", "role", "id", "master_id", "master", "eligible", "created", "modified", text("role", "id", "master_id", "master", "variant").alias("r"), text("id", "master_id", "online", "searchable").alias("e"))
+    rows = rows.withColumn("m", F.concat_ws("|", "r", iso_time(F.col("created")), iso_time(F.col("modified"))))
+    listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
+    item = F.when(F.col("eligible") & ~F.col("master"), F.col("id"))
+    found = rows.groupBy("root_id").agg(
+        F.max(F.greatest("created", "modified")).alias("last"), listed("role", "id", "m").alias("ms"), listed("id", "master_id", "role", "e").alias("es"), F.max(F.when(F.col("role") == "root", F.col("eligible"))).alias("sound"),
+        F.max("master").alias("master"), F.array_sort(F.collect_set(item)).alias("ids"),
+    )
+    head = F.concat_ws("|", F.lit("1"), "root_id", F.when(F.col("master"), "master").otherwise("standalone"))
+    state = F.concat_ws("|", head, F.lit(structure), F.lit(mode), F.col("sound").cast("string"), F.array_join("ids", ","))
+    digest = lambda first, rest: F.sha2(F.array_join(F.concat(F.array(first), rest), "\u0001"), 256)
+    documents = F.transform("ids", lambda i: F.concat(F.lit("product://pid="), i))
+    return found.select(
+        "root_id", iso_time(F.col("last")).alias("modified_at"), digest(head, F.transform("ms", lambda x: x["m"])).alias("modification_signature"), digest(state, F.transform("es", lambda x: x["e"])).alias("eligibility_signature"),
+        digest(state, documents).alias("ownership_signature"), documents.alias("document_ids"),
     )
 
 

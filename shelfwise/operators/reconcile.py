@@ -1,4 +1,4 @@
-"""Comparing the current roots with the last manifest."""
+"""Comparing the current roots with the last manifest."""
 
 from __future__ import annotations
 
@@ -22,7 +22,8 @@ def dirty_reasons(current: DataFrame, previous: DataFrame, touched: DataFrame, d
     """One full outer join; the first reason that holds. Removed roots are in the previous manifest only."""
     c, p = current.alias("c"), previous.alias("p")
     joined = c.join(p, F.col("c.root_id") == F.col("p.root_id"), "full_outer")
-    wide = joined.select(F.coalesce("c.root_id", "p.root_id").alias("root_id"), *(F.col(f"{s}.{k}").alias(f"{s}_{k}") for s in "cp" for k in ("root_id", *SIGNATURES, "document_ids")))
+    paid = [F.col("p.payload_checksum").alias("previous_checksum")] if "payload_checksum" in previous.columns else []
+    wide = joined.select(F.coalesce("c.root_id", "p.root_id").alias("root_id"), *paid, *(F.col(f"{s}.{k}").alias(f"{s}_{k}") for s in "cp" for k in ("root_id", *SIGNATURES, "document_ids")))
     marked = wide.join(touched.distinct().withColumn("touched", F.lit(True)), "root_id", "left")
     reason = F.when(F.col("c_root_id").isNull(), "removed")
     if deep:
@@ -36,7 +37,47 @@ def dirty_reasons(current: DataFrame, previous: DataFrame, touched: DataFrame, d
             .when(F.col("touched"), "purchase")
             .otherwise("clean")
         )
-    return marked.select("root_id", reason.alias("reason"), F.col("c_document_ids").alias("document_ids"), F.col("p_document_ids").alias("previous_ids"))
+    return marked.select("root_id", reason.alias("reason"), F.col("c_document_ids").alias("document_ids"), F.col("p_document_ids").alias("previous_ids"), *(["previous_checksum"] if paid else []))
+
+
+def with_checksums(reasons: DataFrame, checksums: DataFrame) -> DataFrame:
+    """Adds payload_checksum: that of the dirty roots' payloads, made for this run; clean roots carry theirs over."""
+    rows = reasons.join(checksums.select("root_id", F.col("payload_checksum").alias("made")), "root_id", "left")
+    made = F.coalesce("made", F.sha2(F.lit(""), 256))  # a root without documents has an empty payload
+    return rows.withColumn("payload_checksum", F.when(F.col("reason") == "clean", F.col("previous_checksum")).when(F.col("reason") != "removed", made)).drop("made")
+
+
+def gated_operations(judged: DataFrame, owned: DataFrame) -> DataFrame:
+    """Documents of dirty roots whose payload isn't the one that was sent last; candidates that no root in `owned` (document_id) has
+    are deleted."""
+    changed = judged.filter("reason not in ('clean', 'removed') and not payload_checksum <=> previous_checksum")
+    adds = changed.select(F.lit("addOrUpdate").alias("op"), F.explode("document_ids").alias("document_id")).distinct()
+    deletes = delete_candidates(judged).join(owned.select("document_id").distinct(), "document_id", "left_anti").select(F.lit("delete").alias("op"), "document_id")
+    return adds.union(deletes)
+
+
+def unstable_roots(before: DataFrame, after: DataFrame, generated: DataFrame) -> DataFrame:
+    """(root_id, problem) of roots whose descriptor isn't the same before and after their items were made (appeared, disappeared, a signature
+    that differs), or whose items (root_id, document_ids) aren't those of the descriptor. One grouping over both reads and the items."""
+    side = lambda rows, n: rows.select("root_id", F.lit(n).alias("side"), *SIGNATURES, F.array_sort("document_ids").alias("ids"))
+    items = generated.select("root_id", F.lit("g").alias("side"), *(F.lit(None).cast("string").alias(s) for s in SIGNATURES), F.array_sort("document_ids").alias("ids"))
+    rows = side(before, "b").union(side(after, "a")).union(items)
+    of = lambda n: F.first(F.when(F.col("side") == n, F.struct(*SIGNATURES, "ids")), ignorenulls=True).alias(n)
+    seen = rows.groupBy("root_id").agg(of("b"), of("a"), of("g"))
+    nothing = F.array().cast("array<string>")
+    problem = (
+        F.when(F.col("b").isNull() & F.col("a").isNotNull(), "appeared").when(F.col("b").isNotNull() & F.col("a").isNull(), "disappeared")
+        .when(F.coalesce(*(F.when(~F.col(f"b.{s}").eqNullSafe(F.col(f"a.{s}")), F.lit(s)) for s in SIGNATURES), F.lit("")) != "", F.concat(F.coalesce(*(F.when(~F.col(f"b.{s}").eqNullSafe(F.col(f"a.{s}")), F.lit(s)) for s in SIGNATURES)), F.lit(" differs")))
+        .when(F.coalesce("g.ids", nothing) != F.coalesce("b.ids", nothing), "other documents")
+    )
+    return seen.select("root_id", problem.alias("problem")).filter("problem is not null")
+
+
+def assert_stable(before: DataFrame, after: DataFrame, generated: DataFrame) -> None:
+    """Fails a run before it is published, naming the first unstable roots and how many there are."""
+    worst = unstable_roots(before, after, generated).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("root_id", "problem")).alias("first")).first()
+    if worst["n"]:
+        raise ValueError(f"{worst['n']} roots changed while the run went on, first {worst['first']['root_id']}: {worst['first']['problem']}; run it again")
 
 
 def statistics(reasons: DataFrame) -> DataFrame:

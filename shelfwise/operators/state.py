@@ -1,32 +1,50 @@
-"""Manifests, snapshots and target state in storage.
+"""Manifests, snapshots and target state in storage.
 
-Each is a folder of Parquet (or CSV) files in shared storage, partitioned by generation or tracking id. A generation is written
-whole before the row that names it, so a reader never sees half of one; writing it again after a lost run replaces it.
+Each place is a folder in shared storage whose tables are published through `generations`: what is written is staged, and one record makes it
+visible, so a reader never sees half of it, and a run that fails leaves what was there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators import generations
 from shelfwise.operators.purchases import totals
 
 #: Hours after which a full reconciliation is due, minutes for which a snapshot is fresh, the descriptors' version.
 MAX_AGE_HOURS, FRESH_MINUTES, DESCRIPTOR_VERSION = 24, 60, 1
 
 
-def write_manifest(descriptors: DataFrame, at: str, generation: str, started: str) -> None:
-    """The descriptors as a generation, then its run row with totals (A7) and the time when the run began."""
-    descriptors.write.mode("overwrite").parquet(f"{at}/manifest/generation={generation}")
+def write_manifest(descriptors: DataFrame, at: str, generation: str, started: str, mode: str = "deep", completed: str = "", check: Callable[[generations.Run], None] | None = None) -> dict:
+    """The descriptors and their run row, with totals (A7) and the time when the run began, as a generation."""
     spark = descriptors.sparkSession
-    kept = spark.read.parquet(f"{at}/manifest/generation={generation}")
-    run_totals(kept).select(F.lit(started).alias("started"), "*").write.mode("overwrite").parquet(f"{at}/runs/generation={generation}")
+    run = generations.begin(spark, at, mode, started, generation)
+    try:
+        totals_ = run_totals(generations.stage(run, "manifest", descriptors))
+        generations.stage(run, "run", totals_.select(F.lit(started).alias("started"), "*"))
+        if check:
+            check(run)
+        return generations.promote(spark, run, ["manifest", "run"], completed)
+    except BaseException:
+        generations.abort(spark, run)
+        raise
+
+
+def read_manifest(spark: SparkSession, at: str, generation: str | None = None) -> DataFrame:
+    """The published manifest; another generation than the one asked for, or none, is an error."""
+    record = generations.active(spark, at)
+    if record is None or generation not in (None, record["generation"]):
+        raise ValueError(f"{at} has no manifest {generation or ''}")
+    return generations.table(spark, at, "manifest")
 
 
-def read_manifest(spark: SparkSession, at: str, generation: str) -> DataFrame:
-    """A generation whose run row exists; one that is not there, or not finished, is an error."""
-    spark.read.parquet(f"{at}/runs/generation={generation}")
-    return spark.read.parquet(f"{at}/manifest/generation={generation}")
+def high_water(spark: SparkSession, at: str) -> str | None:
+    """When the published run began, from where the next one looks for changes."""
+    return None if generations.active(spark, at) is None else generations.table(spark, at, "run").first()["started"]
 
 
 def run_totals(descriptors: DataFrame) -> DataFrame:
@@ -58,44 +76,84 @@ def fresh(taken: Column, now: Column, minutes: int = FRESH_MINUTES) -> Column:
     return F.coalesce((age >= 0) & (age <= minutes * 60_000_000), F.lit(False))
 
 
-def write_snapshot(counts: DataFrame, at: str, tracking_id: str, window_days: int, taken: str) -> None:
-    """K6: counts (product_id, units_sold) of one tracking id and window, then the row that says when they were taken."""
-    part = f"tracking_id={tracking_id}/window_days={window_days}"
-    counts.write.mode("overwrite").parquet(f"{at}/counts/{part}")
-    counts.sparkSession.range(1).select(F.lit(taken).alias("taken")).write.mode("overwrite").parquet(f"{at}/snapshots/{part}")
+def _counts(tracking_id: str, window_days: int) -> str:
+    return f"counts {window_days} {tracking_id}"
+
+
+def _state(target: str, part: str) -> str:
+    return f"{part} {target}"
+
+
+def write_snapshot(counts: DataFrame, at: str, tracking_id: str, window_days: int, taken: str) -> dict:
+    """K6: counts (product_id, units_sold) of one tracking id and window, and when they were taken."""
+    name = _counts(tracking_id, window_days)
+    return generations.publish(counts.sparkSession, at, {name: counts}, {name: {"tracking_id": tracking_id, "window_days": window_days, "taken": taken}})
 
 
 def read_snapshots(spark: SparkSession, at: str, tracking_id: str) -> DataFrame:
-    """All windows of a tracking id; a window without counts is an error."""
-    known = spark.read.parquet(f"{at}/snapshots").filter(F.col("tracking_id") == tracking_id)
-    counts = spark.read.parquet(f"{at}/counts").filter(F.col("tracking_id") == tracking_id)
-    held = counts.select("window_days").distinct().withColumn("held", F.lit(True))
-    sound = known.join(held, "window_days", "left").withColumn("taken", F.when(F.col("held"), F.col("taken")).otherwise(F.raise_error(F.lit("a snapshot's counts are missing")).cast("string")))
-    return counts.join(sound.select("window_days", "taken"), "window_days").select("window_days", "product_id", "units_sold", "taken")
+    """(window_days, product_id, units_sold, taken) of all windows of a tracking id; a window whose counts are gone is an error, and so is a
+    tracking id without any."""
+    record = generations.active(spark, at) or {"tables": {}, "info": {}}
+    known = {name: x for name, x in record["info"].items() if name.startswith("counts ") and x["tracking_id"] == tracking_id}
+    if not known:
+        raise ValueError(f"{at} has no snapshot of {tracking_id}")
+    gone = [name for name in known if name not in record["tables"] or not generations.exists(spark, f"{record['tables'][name]}/_SUCCESS")]
+    if gone:
+        raise ValueError(f"a snapshot's counts are missing: {', '.join(sorted(gone))}")
+    parts = [spark.read.parquet(record["tables"][name]).select(F.lit(x["window_days"]).alias("window_days"), "product_id", "units_sold", F.lit(x["taken"]).alias("taken")) for name, x in sorted(known.items())]
+    return reduce(DataFrame.union, parts)
+
+
+def _summary(mapped: DataFrame, skipped: DataFrame) -> DataFrame:
+    """One row, from one count each."""
+    both = mapped.select(F.lit(1).alias("m")).union(skipped.select(F.lit(0)))
+    return both.agg(F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_mapped"), F.coalesce(F.sum(1 - F.col("m")), F.lit(0)).cast("long").alias("n_skipped"))
+
 
+def _target_outputs(mapped: DataFrame, skipped: DataFrame, target: str) -> dict[str, DataFrame]:
+    return {_state(target, "skipped"): skipped, _state(target, "summary"): _summary(mapped, skipped), _state(target, "current"): mapped}
 
-def write_target_state(mapped: DataFrame, skipped: DataFrame, at: str) -> None:
-    """The reports of mapped and skipped products, their counts, and the current state last."""
-    mapped.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{at}/mapped")
-    skipped.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{at}/skipped")
-    summary = mapped.agg(F.count(F.lit(1)).alias("n_mapped")).join(skipped.agg(F.count(F.lit(1)).alias("n_skipped")))  # one row each
-    summary.write.mode("overwrite").parquet(f"{at}/summary")
-    mapped.write.mode("overwrite").parquet(f"{at}/current")
 
+def write_target_state(mapped: DataFrame, skipped: DataFrame, at: str, target: str = "") -> dict:
+    """A target's mapped products, which are its current state, the skipped ones and their counts."""
+    return generations.publish(mapped.sparkSession, at, _target_outputs(mapped, skipped, target))
 
-def read_target_state(spark: SparkSession, at: str, which: str = "current") -> DataFrame:
+
+def publish_metrics(counts: DataFrame, mapped: DataFrame, skipped: DataFrame, at: str, tracking_id: str, window_days: int, taken: str, target: str) -> dict:
+    """K8: the snapshot that all targets of a tracking id share and one target's state, both or neither."""
+    name = _counts(tracking_id, window_days)
+    return generations.publish(counts.sparkSession, at, {name: counts, **_target_outputs(mapped, skipped, target)}, {name: {"tracking_id": tracking_id, "window_days": window_days, "taken": taken}})
+
+
+def read_target_state(spark: SparkSession, at: str, which: str = "current", target: str = "") -> DataFrame:
     """Product, root, document and units; none are zero. A state that was never written is empty."""
-    schema = "product_id string, root_id string, document_id string, units_sold long"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{at}/{which}")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{at}/{which}").withColumn("units_sold", F.coalesce("units_sold", F.lit(0)))
+    rows = generations.table(spark, at, _state(target, which), "product_id string, root_id string, document_id string, units_sold long")
+    return rows.withColumn("units_sold", F.coalesce("units_sold", F.lit(0)))
+
+
+def target_summary(spark: SparkSession, at: str, target: str = "") -> DataFrame:
+    return generations.table(spark, at, _state(target, "summary"))
+
+
+def write_target_reports(spark: SparkSession, at: str, to: str, target: str = "") -> None:
+    """K7, K9: the mapped and the skipped products of the published state as CSV."""
+    write_sorted_csv(read_target_state(spark, at, "current", target), "product_id", f"{to}/mapped")
+    write_sorted_csv(generations.table(spark, at, _state(target, "skipped")), "product_id", f"{to}/skipped")
+
+
+def advance_full(spark: SparkSession, at: str, target: str = "") -> DataFrame:
+    """After a full export the applied state is the current one: the record names its table twice, nothing is copied."""
+    run, record = generations.begin(spark, at), generations.active(spark, at) or {"tables": {}, "info": {}}
+    if (current := record["tables"].get(_state(target, "current"))) is None:
+        raise ValueError(f"{at} has no state of {target}")
+    generations.promote(spark, run, [], record.get("completed", ""), record["info"], {**record["tables"], _state(target, "applied"): current})
+    return read_target_state(spark, at, "applied", target)
 
 
-def advance_full(spark: SparkSession, at: str) -> DataFrame:
-    """After a full export the applied state is the current one."""
-    read_target_state(spark, at).write.mode("overwrite").parquet(f"{at}/applied")
-    return read_target_state(spark, at, "applied")
+def advance_delta(spark: SparkSession, at: str, applied: DataFrame, target: str = "") -> DataFrame:
+    """The state after a delta run, as `purchases.advanced` gives it."""
+    generations.publish(spark, at, {_state(target, "applied"): applied})
+    return read_target_state(spark, at, "applied", target)
 
 
 def header_of(columns: list[str], dimension: str) -> str:

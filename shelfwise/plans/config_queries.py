@@ -240,7 +240,7 @@ def _folder(spark: SparkSession) -> str:
 @query
 def manifest_totals(spark: SparkSession, d: str) -> DataFrame:
     at = _folder(spark)
-    state.write_manifest(catalog.descriptors(_eligible(spark, d)), at, "1", "2026-01-01T00:00:00.000Z")
+    state.write_manifest(base._descriptors(spark, d), at, "1", "2026-01-01T00:00:00.000Z")
     return state.run_totals(state.read_manifest(spark, at, "1"))
 
 
@@ -249,7 +249,7 @@ SQL["manifest_totals"] = _with(CATALOG + DESCRIPTORS, "SELECT count(*) AS n_root
 
 @query
 def manifest_documents(spark: SparkSession, d: str) -> DataFrame:
-    return state.document_index(catalog.descriptors(_eligible(spark, d)))
+    return state.document_index(base._descriptors(spark, d))
 
 
 SQL["manifest_documents"] = _with(CATALOG + DESCRIPTORS, "SELECT unnest(document_ids) AS document_id, root_id FROM sig")
@@ -291,7 +291,7 @@ def applied_after_full(spark: SparkSession, d: str) -> DataFrame:
     at = _folder(spark)
     alias = purchases.aliases(base.documents_product_only(spark, d))
     state.write_target_state(base._state(spark, d), purchases.skipped(base.purchase_totals(spark, d), alias), at)
-    summary = spark.read.parquet(f"{at}/summary").select(F.lit("summary").alias("product_id"), F.lit("").alias("root_id"), F.col("n_skipped").cast("string").alias("document_id"), F.col("n_mapped").alias("units_sold"))
+    summary = state.target_summary(spark, at).select(F.lit("summary").alias("product_id"), F.lit("").alias("root_id"), F.col("n_skipped").cast("string").alias("document_id"), F.col("n_mapped").alias("units_sold"))
     never = state.read_target_state(spark, at, "missing")
     return state.advance_full(spark, at).union(never).union(summary)
 

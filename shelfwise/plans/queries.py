@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import html_document, rating, slug
-from shelfwise.operators import attributes, catalog, listing, purchases, reconcile
+from shelfwise.operators import attributes, catalog, incremental, listing, purchases, reconcile
 from shelfwise.sources import catalog as source
 from shelfwise.streaming import purchases as streams
 
@@ -30,12 +30,18 @@ def _eligible(spark: SparkSession, d: str) -> DataFrame:
     return catalog.with_eligibility(items, source.masters(items))
 
 
+def _descriptors(spark: SparkSession, d: str) -> DataFrame:
+    items = source.products(spark, d)
+    masters = source.masters(items)
+    return catalog.descriptors(catalog.with_eligibility(items, masters), masters)
+
+
 def _touched(spark: SparkSession, d: str) -> DataFrame:
     return source.products(spark, d).filter("key % 19 = 0").select(catalog.root_id().alias("root_id")).distinct()
 
 
 def _reasons(spark: SparkSession, d: str) -> DataFrame:
-    current = catalog.descriptors(_eligible(spark, d))
+    current = _descriptors(spark, d)
     return reconcile.dirty_reasons(current, reconcile.previous_manifest(current), _touched(spark, d))
 
 
@@ -100,7 +106,7 @@ def documents_product_variant(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def root_descriptors(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.descriptors(_eligible(spark, d)).withColumn("document_ids", F.array_join("document_ids", ","))
+    return _descriptors(spark, d).withColumn("document_ids", F.array_join("document_ids", ","))
 
 
 @query
@@ -305,17 +311,25 @@ def streamed_units_sold(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def delta_microbatch(spark: SparkSession, d: str) -> DataFrame:
-    """Current descriptors arrive as a stream; each micro-batch is reconciled against the manifest in storage."""
+    """Changes arrive as a stream of three files, each a batch against the manifest in storage; then the second comes again. What the batches
+    leave to do is what one run over everything gives."""
     at = f"{source.shared_folder(spark)}/delta-{uuid.uuid4().hex}"
-    current = catalog.descriptors(_eligible(spark, d))
+    current = _descriptors(spark, d)
     current.write.parquet(f"{at}/current")
-    reconcile.previous_manifest(spark.read.parquet(f"{at}/current")).write.parquet(f"{at}/manifest")
-    touched = _touched(spark, d)
-
-    def apply(batch: DataFrame, number: int) -> None:
-        manifest = batch.sparkSession.read.parquet(f"{at}/manifest")
-        reconcile.operations(reconcile.dirty_reasons(batch, manifest, touched)).write.mode("overwrite").parquet(f"{at}/operations/batch={number}")
-
-    stream = spark.readStream.schema(current.schema).parquet(f"{at}/current")
-    stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{at}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{at}/operations").select("op", "document_id")
+    current = spark.read.parquet(f"{at}/current")
+    previous = reconcile.previous_manifest(current)
+    incremental.load(spark, f"{at}/state", previous.withColumn("modified_at", F.lit("")).withColumn("payload_checksum", F.lit(None).cast("string")))
+    gone = previous.join(current.select("root_id"), "root_id", "left_anti").select("root_id")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in current.schema.fields[1:]]
+    changes = current.withColumn("removed", F.lit(False)).union(gone.select("root_id", *nothing, F.lit(True)))
+    part = F.pmod(F.crc32("root_id"), F.lit(3))
+    batches = [changes.filter(part == k) for k in range(3)]
+    for k, rows in enumerate(batches):
+        rows.coalesce(1).write.parquet(f"{at}/changes/{k}")
+    touched, payloads = _touched(spark, d), documents_product_only(spark, d)
+    checksums = lambda dirty: catalog.payload_checksums(payloads.join(dirty, "root_id", "left_semi"))
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/changes/*")
+    incremental.applied_stream(stream, f"{at}/state", touched, checksums, f"{at}/progress")
+    if incremental.apply(spark, f"{at}/state", batches[1], 1, touched, checksums):
+        raise ValueError("a batch was applied twice")
+    return incremental.net_operations(incremental.operations(spark, f"{at}/state"))

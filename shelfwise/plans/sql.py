@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 CATALOG = """
-t AS (SELECT l_partkey, min(l_shipdate) AS created, max(l_shipdate) AS modified, max(l_discount) AS discount FROM lineitem GROUP BY l_partkey),
+t AS (SELECT l_partkey, min(l_shipdate + to_milliseconds(l_orderkey * 7919 % 86400000)) AS created, max(l_shipdate + to_milliseconds(l_orderkey * 7919 % 86400000)) AS modified, max(l_discount) AS discount FROM lineitem GROUP BY l_partkey),
 p AS (SELECT 'P' || p_partkey AS id, p_partkey AS key, p_partkey % 10 <> 0 AS is_variant,
         CASE WHEN p_partkey % 10 <> 0 THEN 'M-' || regexp_replace(p_brand, '[^0-9]', '', 'g') || '-' || p_type END AS master_id,
         p_name AS name, p_brand AS brand, p_type AS type, string_split(p_name, ' ')[1] AS color, p_size AS size, p_partkey % 7 <> 0 AS online, p_partkey % 11 <> 0 AS searchable,
         created, modified, p_retailprice AS list_price, CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * (1 - discount) END AS sale_price FROM part LEFT JOIN t ON l_partkey = p_partkey),
-m AS (SELECT master_id AS id, min(type) <> 'PROMO' AS online, max(modified) AS modified FROM p WHERE is_variant GROUP BY master_id),
+m AS (SELECT master_id AS id, min(type) <> 'PROMO' AS online, min(created) - to_milliseconds(1) AS created, max(modified) + to_milliseconds(1) AS modified FROM p WHERE is_variant GROUP BY master_id),
 e AS (SELECT p.*, p.online AND p.searchable AND coalesce(m.online, true) AS eligible, coalesce(p.master_id, p.id) AS root_id FROM p LEFT JOIN m ON m.id = p.master_id),
 """
 CATEGORIES = """
@@ -30,11 +30,13 @@ d AS (SELECT 'product://pid=' || id AS document_id, root_id, CASE WHEN is_varian
         round(list_price, 2) AS price, round(CASE WHEN sale_price < list_price THEN sale_price END, 2) AS promo_price, color, size FROM e WHERE eligible),
 """
 DESCRIPTORS = """
-sig AS (SELECT root_id, strftime(max(greatest(created, modified)), '%Y-%m-%d') AS modified_at,
-        sha256(string_agg(concat_ws('|', id, coalesce(strftime(created, '%Y-%m-%d'), ''), coalesce(strftime(modified, '%Y-%m-%d'), '')), chr(1) ORDER BY concat_ws('|', id, coalesce(strftime(created, '%Y-%m-%d'), ''), coalesce(strftime(modified, '%Y-%m-%d'), '')))) AS modification_signature,
-        sha256(string_agg(concat_ws('|', id, online::VARCHAR, searchable::VARCHAR), chr(1) ORDER BY concat_ws('|', id, online::VARCHAR, searchable::VARCHAR))) AS eligibility_signature,
-        sha256(coalesce(string_agg(CASE WHEN eligible THEN 'product://pid=' || id END, chr(1) ORDER BY id), '')) AS ownership_signature,
-        coalesce(list_sort(list('product://pid=' || id) FILTER (WHERE eligible)), []) AS document_ids FROM e GROUP BY root_id),
+rec AS (SELECT root_id, CASE WHEN is_variant THEN 'variant' ELSE 'root' END AS role, id, coalesce(master_id, '') AS mid, false AS master, is_variant AS variant, online, searchable, eligible, created, modified FROM e
+    UNION ALL SELECT id, role, id, '', true, false, online, true, online, created, modified FROM m, (VALUES ('root'), ('master')) v(role)),
+txt AS (SELECT *, concat_ws('|', role, id, mid, master::VARCHAR, variant::VARCHAR, coalesce(strftime(created, '%Y-%m-%dT%H:%M:%S.%gZ'), ''), coalesce(strftime(modified, '%Y-%m-%dT%H:%M:%S.%gZ'), '')) AS mt, concat_ws('|', id, mid, online::VARCHAR, searchable::VARCHAR) AS et FROM rec),
+agg AS (SELECT root_id, coalesce(strftime(max(greatest(created, modified)), '%Y-%m-%dT%H:%M:%S.%gZ'), '') AS modified_at, string_agg(mt, chr(1) ORDER BY role, id) AS ms, string_agg(et, chr(1) ORDER BY id, mid, role) AS es,
+        concat_ws('|', '1', root_id, CASE WHEN max(master) THEN 'master' ELSE 'standalone' END) AS head, max(eligible) FILTER (WHERE role = 'root') AS sound, coalesce(list_sort(list(id) FILTER (WHERE eligible AND NOT master)), []) AS ids FROM txt GROUP BY root_id),
+st AS (SELECT *, concat_ws('|', head, 'product_only', 'online_and_searchable', sound::VARCHAR, array_to_string(ids, ',')) AS state, list_transform(ids, lambda i: 'product://pid=' || i) AS document_ids FROM agg),
+sig AS (SELECT root_id, modified_at, sha256(head || chr(1) || ms) AS modification_signature, sha256(state || chr(1) || es) AS eligibility_signature, sha256(array_to_string([state] || document_ids, chr(1))) AS ownership_signature, document_ids FROM st),
 h AS (SELECT *, ('0x' || substr(md5(root_id), 1, 6))::BIGINT AS k FROM sig),
 prev AS (SELECT root_id, CASE WHEN k % 5 = 0 THEN 'old' ELSE modification_signature END AS ms, CASE WHEN k % 11 = 0 THEN 'other' ELSE eligibility_signature END AS es, ownership_signature AS os,
         CASE WHEN k % 7 = 0 THEN list_append(document_ids, 'product://pid=OLD-' || root_id) ELSE document_ids END AS ids FROM h WHERE k % 13 <> 0

@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variants and standalone products: one row per part."""
-    times = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min("l_shipdate").alias("created"), F.max("l_shipdate").alias("modified"), F.max("l_discount").alias("discount"))
+    at = F.expr("l_shipdate + make_dt_interval(0, 0, 0, CAST((l_orderkey * 7919 % 86400000) / 1000 AS DECIMAL(18, 6)))")  # a time of the day for each order
+    times = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.min(at).alias("created"), F.max(at).alias("modified"), F.max("l_discount").alias("discount"))
     part = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     variant = key % 10 != 0
@@ -36,8 +37,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def masters(items: DataFrame) -> DataFrame:
-    """One master per brand and type of the variants."""
-    return items.filter("is_variant").groupBy("master_id").agg(F.first("type").alias("type"), F.first("brand").alias("brand"), F.min("created").alias("created"), F.max("modified").alias("modified")).select(
+    """One master per brand and type of the variants; made just before the first of them, changed just after the last."""
+    milli = F.expr("make_dt_interval(0, 0, 0, 0.001)")
+    return items.filter("is_variant").groupBy("master_id").agg(F.first("type").alias("type"), F.first("brand").alias("brand"), (F.min("created") - milli).alias("created"), (F.max("modified") + milli).alias("modified")).select(
         F.col("master_id").alias("id"), "brand", "type", (F.col("type") != "PROMO").alias("online"), F.lit(True).alias("searchable"), "created", "modified"
     )
 
