@@ -18,7 +18,7 @@ result. Ties: runs of one start are told by their period. Only the named columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -204,16 +204,25 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(run, f"doc_id {kind}, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string")
 
 
+def _bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """fn of the value, which is computed once and not at each place where fn has it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def with_repeats(doc_id: Column, text: Column) -> Column:
     """The text in which every tenth document, by the checksum of its id, repeats a stretch of its words to its end."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
-    g, w = F.floor(h / 10), words(text)
-    n = F.size(w)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    place = lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")
-    repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i))), " ")
-    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(text)
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i, v: F.when(i >= v["a"], v["a"] + (i - v["a"]) % v["p"]).otherwise(i).cast("int")
+        every = lambda v: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i, v)))
+        return F.when(n > 0, F.array_join(_bound(F.struct(a.alias("a"), p.alias("p")), every), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, _bound(words(text), repeated)).otherwise(text)
 
 
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
