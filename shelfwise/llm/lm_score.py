@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,17 @@ def is_held_out(doc_id: object) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == HELD
 
 
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^31, all low bytes first, then the next ones: high bytes repeat much and take little room."""
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of chunks (word null): doc_ids, lengths, numbers; and rows of their vocabularies: word, number, count in training."""
     schema = pa.schema([("chunk", pa.int64()), ("word", pa.binary()), ("number", pa.int32()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.string())), ("lengths", pa.list_(pa.int64())), ("numbers", pa.binary())])
@@ -74,7 +86,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             n = len(words)
             nothing = [pa.nulls(n, schema.field(k).type) for k in (4, 5, 6)]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(list(words), type=pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts.astype(np.int64)), *nothing], schema=schema)
-            values = [chunk, None, None, int(counts.sum()), ids, lengths, zlib.compress(flat.astype(np.int32).tobytes(), 1)]
+            values = [chunk, None, None, int(counts.sum()), ids, lengths, packed_numbers(flat)]
             yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
             words, ids, lengths, tokens, size, made = _Numbers({_END: 0}), [], [], [], 0, made + 1
 
@@ -207,7 +219,7 @@ def log_likelihood(model: Model, cls: np.ndarray, lengths: np.ndarray) -> np.nda
 def _decoded(batch: pa.RecordBatch, k: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc_ids, lengths, and per token the class, the word's count; the vocabulary in order of its numbers."""
     doc_ids, lengths, numbers, cls, counts = (batch.column(c)[k].as_py() for c in ("doc_ids", "lengths", "numbers", "cls", "counts"))
-    at = np.frombuffer(zlib.decompress(numbers), dtype=np.int32)
+    at = unpacked_numbers(numbers)
     counts = np.array(counts, dtype=np.int64)
     classes = np.where(counts > 0, np.array(cls, dtype=np.int64), CLASSES)
     return doc_ids, np.array(lengths, dtype=np.int64), classes[at], counts[at], np.array([not is_held_out(i) for i in doc_ids], dtype=bool)
