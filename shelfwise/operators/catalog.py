@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import hierarchy_prefixes, iso_time, price_pair
-
-
-#: Doublings of the way to the top book: more than a chain of any length needs.
-ROUNDS = 40
+from shelfwise.operators import hierarchy
+from shelfwise.sources.catalog import shared_folder
 
 
 def root_id() -> Column:
@@ -53,18 +53,8 @@ def with_eligibility(items: DataFrame, masters: DataFrame, mode: str = "online_a
 
 
 def root_books(books: DataFrame) -> DataFrame:
-    """(book_id, root_book) of books (book_id, parent_id), by doubling the step to the ancestor until none moves; a book whose
-    parent is not there is a top one, and books in a circle have no top and lead to the least of those they meet."""
-    known = books.select(F.col("book_id").alias("root"))
-    now = books.join(known, books["parent_id"] == known["root"], "left").select("book_id", F.coalesce("root", "book_id").alias("root"))
-    for _ in range(ROUNDS):
-        up = now.select(F.col("book_id").alias("root"), F.col("root").alias("above"))
-        after = now.join(up, "root").select("book_id", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved"))
-        after = after.checkpoint() if books.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else after
-        if not after.agg(F.coalesce(F.max("moved"), F.lit(False))).first()[0]:
-            return now.select("book_id", F.col("root").alias("root_book"))
-        now = after.drop("moved")
-    raise ValueError("price books lead in a circle")
+    """(book_id, root_book) of books (book_id, parent_id); a book whose parent is not there is a top one, books in a circle are an error."""
+    return hierarchy.tops(books.select(F.col("book_id").alias("id"), "parent_id")).select(F.col("id").alias("book_id"), F.col("top").alias("root_book"))
 
 
 def book_prices(items: DataFrame, amounts: DataFrame, books: DataFrame) -> DataFrame:
@@ -76,14 +66,25 @@ def book_prices(items: DataFrame, amounts: DataFrame, books: DataFrame) -> DataF
 
 
 def category_paths(spark: SparkSession, categories: DataFrame) -> DataFrame:
-    """Root-to-leaf names per category; an offline, unnamed or repeated ancestor voids the path."""
-    return spark.sql("""
-        WITH RECURSIVE walk(id, names, ids, sound) AS (
-            SELECT id, array(name), array(id), online AND name <> '' FROM {tree} WHERE parent_id = 'root'
-            UNION ALL
-            SELECT c.id, concat(w.names, array(c.name)), concat(w.ids, array(c.id)), w.sound AND c.online AND c.name <> ''
-            FROM walk w JOIN {tree} c ON c.parent_id = w.id WHERE NOT array_contains(w.ids, c.id))
-        SELECT id AS category_id, names AS path FROM walk WHERE sound""", tree=categories)
+    """Root-to-leaf names per category, at any depth; an ancestor that is offline, unnamed or its own ancestor voids the path."""
+    sound = F.col("online") & (F.coalesce("name", F.lit("")) != "")
+    ways, _ = hierarchy.ways_up(categories.withColumn("step", F.struct("name", sound.alias("sound"))), "step")
+    return ways.filter((F.col("above") == "root") & F.forall("values", lambda v: F.coalesce(v["sound"], F.lit(False)))).select(F.col("id").alias("category_id"), F.transform("values", lambda v: v["name"]).alias("path"))
+
+
+def adjacent_roots(hits: DataFrame) -> DataFrame:
+    """(pos, root_id) of hits (pos, root_id) in order of pos, without blank roots and without those that equal the one before.
+
+    Hits lie in ranges of pos; the last root of each range is handed to the next, a row for each range."""
+    spark = hits.sparkSession
+    at = f"{shared_folder(spark)}/hits-{uuid.uuid4().hex}"
+    ranged = hits.filter("root_id <> ''").select("pos", "root_id").repartitionByRange("pos").withColumn("range", F.spark_partition_id())
+    ranged.write.parquet(at)  # what range a hit is in must not change
+    rows = spark.read.schema(ranged.schema).parquet(at)
+    lasts = rows.groupBy("range").agg(F.max_by("root_id", "pos").alias("last"))
+    handed = lasts.select("range", F.lag("last").over(Window.orderBy("range")).alias("handed"))
+    before = rows.withColumn("before", F.lag("root_id").over(Window.partitionBy("range").orderBy("pos"))).join(F.broadcast(handed), "range")
+    return before.filter("not root_id <=> coalesce(before, handed)").select("pos", "root_id")
 
 
 def product_categories(assigned: DataFrame, paths: DataFrame) -> DataFrame:

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import absolute_url, slug
+from shelfwise.operators import hierarchy
+from shelfwise.sources.catalog import shared_folder
 
 
 def entries(spark: SparkSession, categories: DataFrame, excluded: list[str]) -> DataFrame:
-    """the online tree without excluded roots, parents first: ids and names from the root."""
+    """the online tree without excluded roots, at any depth: ids and names from the root."""
     out = [x.lower() for x in excluded]
-    tree = categories.withColumn("banned", (F.col("parent_id") == "root") & (F.lower("id").isin(out) | F.lower("name").isin(out)))
-    return spark.sql("""
-        WITH RECURSIVE walk(id, ids, names, depth) AS (
-            SELECT id, array(id), array(name), 1 FROM {tree} WHERE parent_id = 'root' AND online AND NOT banned
-            UNION ALL
-            SELECT c.id, concat(w.ids, array(c.id)), concat(w.names, array(c.name)), w.depth + 1 FROM walk w JOIN {tree} c ON c.parent_id = w.id AND c.online)
-        SELECT id AS category_id, array_join(ids, '|') AS key_path, names, array_join(names, '|') AS name_path, depth FROM walk""", tree=tree)
+    banned = (F.col("parent_id") == "root") & (F.lower("id").isin(out) | F.lower("name").isin(out))
+    ways, _ = hierarchy.ways_up(categories.withColumn("step", F.struct("name", (F.col("online") & ~F.coalesce(banned, F.lit(False))).alias("sound"))), "step")
+    sound = ways.filter((F.col("above") == "root") & F.forall("values", lambda v: F.coalesce(v["sound"], F.lit(False))))
+    names = F.transform("values", lambda v: v["name"])
+    return sound.select(F.col("id").alias("category_id"), F.array_join("ids", "|").alias("key_path"), names.alias("names"), F.array_join(names, "|").alias("name_path"), F.size("ids").alias("depth"))
 
 
 def pages(rows: DataFrame, locales: list[tuple[str, str]]) -> DataFrame:
@@ -81,7 +80,7 @@ def first_wins(rows: DataFrame) -> DataFrame:
     share one of them with an accepted page are skipped. A site's first undecided page is always accepted, so the
     rounds end; no site, URL or name is held by one task. Missing URLs or names are equal to each other."""
     spark = rows.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
+    base = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
     order = F.struct(F.col("pos").isNull().alias("late"), "pos", F.monotonically_increasing_id().alias("i"))
     rest = _stored(rows.select("site", "pos", key("site").alias("s"), key("url").alias("u"), key("name").alias("n"), order.alias("o")), base)

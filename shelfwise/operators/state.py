@@ -119,10 +119,10 @@ def write_target_state(mapped: DataFrame, skipped: DataFrame, at: str, target: s
     return generations.publish(mapped.sparkSession, at, _target_outputs(mapped, skipped, target))
 
 
-def publish_metrics(counts: DataFrame, mapped: DataFrame, skipped: DataFrame, at: str, tracking_id: str, window_days: int, taken: str, target: str) -> dict:
+def publish_metrics(counts: DataFrame, mapped: DataFrame, skipped: DataFrame, at: str, tracking_id: str, window_days: int, taken: str, target: str, check: Callable[[generations.Run], None] | None = None) -> dict:
     """K8: the snapshot that all targets of a tracking id share and one target's state, both or neither."""
     name = _counts(tracking_id, window_days)
-    return generations.publish(counts.sparkSession, at, {name: counts, **_target_outputs(mapped, skipped, target)}, {name: {"tracking_id": tracking_id, "window_days": window_days, "taken": taken}})
+    return generations.publish(counts.sparkSession, at, {name: counts, **_target_outputs(mapped, skipped, target)}, {name: {"tracking_id": tracking_id, "window_days": window_days, "taken": taken}}, check=check)
 
 
 def read_target_state(spark: SparkSession, at: str, which: str = "current", target: str = "") -> DataFrame:
