@@ -34,6 +34,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -377,25 +378,27 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _named(_rooted(docs, id_col, text_col))
 
 
-def _set_id(text: bytes | None) -> int:
-    return int(_ids_of([shingles.shingle_set(text)])[0])
+def _set_ids(texts: pd.Series) -> pd.Series:
+    return pd.Series([int(_ids_of([shingles.shingle_set(t)])[0]) for t in texts], dtype="int64")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each component the documents with the least id, with all columns; of one without any id, a document with the
-    least set. Equal rows are kept once; rows that share an id are kept or dropped together, but each without an id
-    stands for itself."""
+    least set. Rows that share an id are kept or dropped together, but each without an id stands for itself. Of rows that share id and text
+    one stays, the least by a hash of all its columns. Columns may have any names: rows travel as one."""
     rooted = written(_rooted(docs, "doc_id", "text"), "rooted")
-    kept = _named(rooted).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").alias("id"), F.col("row.text").alias("text"))
+    once = lambda some: some.groupBy("id", "text").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    kept = _named(rooted).filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    named = rows.join(kept, "id", "left_semi")
     alone = rooted.groupBy("root").agg(F.max("doc_id").alias("any"), F.min("sid").alias("sid"), F.max("n").alias("n")).filter("any is null and n > 0")
-    set_id = F.udf(_set_id, "long")
-    nameless = docs.filter("doc_id is null").withColumn("_sid", set_id(F.col("text").cast("binary")))
-    first = nameless.join(alone.select(F.col("sid").alias("_sid")), "_sid", "left_semi").groupBy("_sid").agg(F.min("text").alias("_text"))
-    chosen = nameless.join(first.select(F.col("_sid").alias("_s"), "_text"), (F.col("_sid") == F.col("_s")) & (F.col("text") == F.col("_text")), "left_semi").drop("_sid")
+    set_ids = F.pandas_udf(_set_ids, "long")
+    nameless = rows.filter("id is null").withColumn("sid", set_ids(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    first = nameless.join(alone.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.min("text").alias("text"))
+    chosen = nameless.join(first, ["sid", "text"], "left_semi")
     # texts without words are linked with nothing
-    empty = nameless.filter(F.col("_sid") == F.lit(_set_id(b""))).drop("_sid")
-    return named.union(chosen.union(empty).select(named.columns).dropDuplicates(["doc_id", "text"]))
+    empty = nameless.filter(F.col("sid") == F.lit(int(_ids_of([shingles.shingle_set(b"")])[0])))
+    return once(named).union(once(chosen.unionByName(empty))).select("row.*")
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
