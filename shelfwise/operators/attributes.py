@@ -44,6 +44,27 @@ def mapping_errors(mappings: DataFrame) -> DataFrame:
     return on.select("mapping_id", F.explode(checks).alias("error"))
 
 
+#: What a mapping's columns may say.
+DOMAINS = {"applies_to": ("Product", "Variant", "Both"), "source_object": ("product", "masterProduct", "primaryCategory"), "source_scope": ("system", "custom"), "value_mode": ("raw", "displayValue", "displayValueArray")}
+_MUST_HAVE = ("mapping_id", "site_id", "profile_id", "source_attribute", "target_field")
+
+
+def first_rule_broken(mappings: DataFrame) -> DataFrame:
+    """(place, mapping_id, error) of mappings in order of `place`: the first rule that a mapping breaks: missing values, each domain, a reserved
+    target, then a target that an earlier sound mapping of its profile has, in any case."""
+    blank = [F.when(F.coalesce(F.trim(c), F.lit("")) == "", F.lit(c)) for c in _MUST_HAVE]
+    missing = F.array_join(F.array_compact(F.array(*blank)), ", ")
+    error = F.when(missing != "", F.concat(F.lit("missing "), missing))
+    for column, values in DOMAINS.items():
+        error = error.when(~F.coalesce(F.col(column).isin(*values), F.lit(False)), f"unsupported {column}")
+    error = error.when(F.lower(F.trim("target_field")).isin(*RESERVED), "reserved target_field")
+    rows = mappings.withColumn("own", error).withColumn("target", F.lower(F.trim("target_field")))
+    earlier = Window.partitionBy("site_id", "profile_id", "target").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    again = F.coalesce(F.max(F.col("own").isNull()).over(earlier), F.lit(False))
+    found = rows.withColumn("again", again).withColumn("error", F.coalesce("own", F.when(F.col("again"), "duplicate target_field")))
+    return found.filter("error is not null").select("place", "mapping_id", "error")
+
+
 def upserted(new: DataFrame, old: DataFrame, replace: bool = False) -> DataFrame:
     """Insert or overwrite by key; in replace mode old keys that were not imported go."""
     both = new.alias("n").join(old.alias("o"), "mapping_id", "left" if replace else "full_outer")

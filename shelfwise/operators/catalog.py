@@ -32,6 +32,25 @@ def roots(items: DataFrame, catalog: Column | None = None) -> DataFrame:
     return (items if catalog is None else items.filter(catalog)).select(root_id().alias("root_id")).distinct()
 
 
+def scoped(items: DataFrame, catalogs: DataFrame, catalog_id: str) -> DataFrame:
+    """S3: the products (catalog_id) of one catalog; a catalog that doesn't exist is an error."""
+    if catalogs.filter(F.col("catalog_id") == catalog_id).isEmpty():
+        raise ValueError(f"the target's catalog {catalog_id} does not exist")
+    return items.filter(F.col("catalog_id") == catalog_id)
+
+
+def scan(items: DataFrame, masters: DataFrame, delta: bool, since: str | None = None, catalogs: DataFrame | None = None, catalog_id: str = "", purchased: DataFrame | None = None) -> DataFrame:
+    """The roots that a run looks at: of the target's catalog where it names one, else of all; a delta run only those changed since, and with
+    them those whose purchases changed (S5)."""
+    here = scoped(items, catalogs, catalog_id) if catalog_id and catalogs is not None else items
+    if not delta:
+        return roots(here)
+    if since is None:
+        raise ValueError("a delta run needs the time of the run before")
+    changed = modified_roots(here, masters, since)
+    return changed if purchased is None else merged_roots(changed, purchased)
+
+
 def modified_roots(items: DataFrame, masters: DataFrame, since: str) -> DataFrame:
     """Product or master modified, or product created, at the time or later; not the master's creation."""
     t = F.lit(since).cast("timestamp_ntz")

@@ -1,8 +1,8 @@
-"""Purchase enrichment: totals, alias mapping, metrics and state."""
+"""Purchase enrichment: totals, alias mapping, metrics and state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import alias_suffix, quantity
@@ -16,6 +16,12 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("units", units).withColumn("state", state)
 
 
+def extracted(events: DataFrame, tracking_id: str, days: int, now: Column, event_type: str = "purchase") -> DataFrame:
+    """Events (tracking_id, event_type, ts, others) of one tracking id and type in the `days` up to `now`, both ends included; the filters reach the scan."""
+    since = now - F.make_dt_interval(F.lit(days))
+    return events.filter((F.col("tracking_id") == tracking_id) & (F.col("event_type") == event_type) & F.col("ts").between(since, now))
+
+
 def totals(rows: DataFrame) -> DataFrame:
     """A1."""
     return counted(rows).filter("state = 'processed'").groupBy("product_id").agg(F.sum("units").alias("units_sold"))
@@ -64,6 +70,19 @@ def document_metrics(documents: DataFrame, state: DataFrame) -> DataFrame:
     return documents.select("document_id").join(sums, "document_id", "left").select("document_id", F.coalesce("units_sold", F.lit(0)).alias("units_sold"))
 
 
+def metric_fields(documents: DataFrame, alias_counts: DataFrame, document_counts: DataFrame, fields: list[str]) -> DataFrame:
+    """A column for each field, that is for each window's snapshot, of documents (document_id, object_type, aliases). A Product has
+    what its document was counted with (document_counts: field, document_id, units_sold); where that doesn't name it, and for all others, the
+    counts of the aliases are added up (alias_counts: field, product_id, units_sold). One pass over each, whatever the number of fields."""
+    wide = lambda prefix: [F.sum(F.when(F.col("field") == f, F.col("units_sold"))).alias(f"{prefix}{f}") for f in fields]
+    one = documents.select("document_id", F.explode("aliases").alias("product_id")).distinct()
+    by_alias = one.join(alias_counts, "product_id").groupBy("document_id").agg(*wide("a_"))
+    by_document = document_counts.groupBy("document_id").agg(*wide("d_"))
+    rows = documents.select("document_id", "object_type").join(by_alias, "document_id", "left").join(by_document, "document_id", "left")
+    value = lambda f: F.coalesce(F.when(F.col("object_type") == "Product", F.col(f"d_{f}")), F.col(f"a_{f}"), F.lit(0)).alias(f)
+    return rows.select("document_id", *(value(f) for f in fields))
+
+
 def changed_roots(current: DataFrame, applied: DataFrame) -> DataFrame:
     """Roots of rows that are new, changed or gone; a moved row reports its current root."""
     c, a = current.alias("c"), applied.alias("a")

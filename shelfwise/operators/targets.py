@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import language, trimmed
@@ -110,3 +110,8 @@ def alternate_texts(documents: DataFrame, texts: DataFrame) -> DataFrame:
     field = lambda base, on, c: F.when(on, F.struct(F.concat(F.lit(f"ec_{base}_"), "language").alias("field"), trimmed(F.col(c)).alias("value")))
     every = F.array_compact(F.array(field("name", F.lit(True), "t_name"), field("description", product, "t_description"), field("shortdesc", product, "t_short")))
     return met.select("document_id", F.explode(every).alias("f")).select("document_id", "f.*").filter("value <> ''")
+
+
+def of_site(targets: DataFrame, site: str) -> DataFrame:
+    """The targets (site_id, created, target_id) of one site, with their place by creation."""
+    return targets.filter(F.col("site_id") == site).withColumn("place", F.row_number().over(Window.partitionBy("site_id").orderBy("created", "target_id")).cast("long"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfwise.plans import config_queries, queries, sql, state_queries
+from shelfwise.plans import config_queries, queries, scan_queries, sql, state_queries
 
 QUERIES = queries.QUERIES
-ORACLE_SQL = sql.ORACLE_SQL | config_queries.SQL | state_queries.SQL
+ORACLE_SQL = sql.ORACLE_SQL | config_queries.SQL | state_queries.SQL | scan_queries.SQL

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.sources.catalog import shared_folder
@@ -22,6 +22,13 @@ def daily_units(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.window("ts", "1 day").alias("w"), "product_id").agg(F.sum(F.floor(F.col("value") + 0.5)).alias("units"), F.count(F.lit(1)).alias("n")).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "product_id", "units", "n")
 
 
+def rolled(daily: DataFrame, days: int) -> DataFrame:
+    """G1: of daily buckets (day, product_id, units), the units of the last `days` days at each day on which a product was bought."""
+    when = F.unix_date(F.to_date("day"))
+    back = Window.partitionBy("product_id").orderBy("on").rangeBetween(1 - days, 0)
+    return daily.withColumn("on", when).select("day", "product_id", F.sum("units").over(back).alias("units"))
+
+
 def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
     """Runs a stream over what is there; each micro-batch replaces the result table in shared storage, so nothing passes the driver."""
     spark = stream.sparkSession
