@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -86,6 +86,18 @@ def imported(config: DataFrame) -> DataFrame:
     return out.withColumn("error", error).drop("p_site", "own_profile")
 
 
+def read_imports(spark: SparkSession, path: str) -> DataFrame:
+    """Nested configurations for `imported` from files of JSON text, one document each; one that isn't an object with a profile and a list
+    of mappings is an error."""
+    text = spark.read.option("wholetext", True).text(path)
+    mapping = ", ".join(f"{c}: {'boolean' if c == 'enabled' else 'string'}" for c in ("mapping_id", "site_id", "profile_id", "enabled", *REQUIRED[1:]))
+    parsed = F.from_json("value", f"profile struct<profile_id: string, site_id: string>, mappings array<struct<{mapping}>>", {"mode": "PERMISSIVE"})
+    rows = text.select(F.col("value").rlike(r"^\s*\{").alias("object"), parsed.alias("c"))
+    sound = F.col("object") & F.col("c.profile.profile_id").isNotNull() & F.col("c.mappings").isNotNull()
+    fails = F.raise_error(F.lit("a configuration must be an object with a profile and mappings")).cast(f"array<struct<{mapping}>>")
+    return rows.select("c.profile", F.when(sound, F.col("c.mappings")).otherwise(fails).alias("mappings"))
+
+
 #: What a mapping in an import must have.
 REQUIRED = ("mapping_id", "applies_to", "source_object", "source_scope", "source_attribute", "target_field", "value_mode")
 

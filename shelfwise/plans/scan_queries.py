@@ -9,7 +9,7 @@ from shelfwise.operators import attributes, catalog, fields, purchases, report,
 from shelfwise.plans import config_queries as config
 from shelfwise.plans import queries as base
 from shelfwise.plans.queries import SINCE, query
-from shelfwise.plans.sql import CATALOG, DOCUMENTS, PURCHASES, _with
+from shelfwise.plans.sql import CATALOG, DOCUMENTS, ORACLE_SQL, PURCHASES, _with
 from shelfwise.sources import catalog as source
 from shelfwise.sources.catalog import table
 from shelfwise.streaming import purchases as streams
@@ -96,6 +96,27 @@ def mappings_in_order(spark: SparkSession, d: str) -> DataFrame:
 SQL["mappings_in_order"] = _with(_RULES_SQL, "SELECT mapping_id, target AS target_field, k % 4 AS sort_order, -k AS created_pos FROM r WHERE site = 'site1' AND profile = 'p1' ORDER BY k % 4, -k LIMIT 20")
 
 
+@query
+def mapping_imports_from_files(spark: SparkSession, d: str) -> DataFrame:
+    """The configurations as JSON files, read back and imported."""
+    at = config._folder(spark)
+    config._imports(spark, d).select(F.to_json(F.struct("profile", "mappings")).alias("value"), F.col("profile.profile_id").alias("p")).repartition("p").write.partitionBy("p").text(at)
+    return attributes.imported(attributes.read_imports(spark, at)).select("profile_id", "mapping_id", "site_id", "enabled", "target_field", "error")
+
+
+SQL["mapping_imports_from_files"] = config.SQL["mapping_imports"]
+
+
+@query
+def mapping_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """An import that replaces: mappings that it doesn't have go."""
+    rows = base._mappings(spark, d)
+    return attributes.upserted(rows.filter("enabled"), rows.filter("mapping_id not like '%1'"), replace=True)
+
+
+SQL["mapping_replaced"] = ORACLE_SQL["mapping_upsert"].replace("WHERE enabled OR right(mapping_id, 1) <> '1'", "WHERE enabled")
+
+
 @query
 def targets_by_creation(spark: SparkSession, d: str) -> DataFrame:
     """A site's targets in the order of their creation."""

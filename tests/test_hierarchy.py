@@ -75,3 +75,21 @@ def test_samples_are_cut_before_they_meet(spark):
     assert {x["attribute"]: x["samples"] for x in found.collect()} == {"a0": "v0 | v2 | v4", "a1": "v1 | v3 | v5"}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert any("WindowGroupLimit" in x and "Partial" in x for x in plan.splitlines())
+
+
+def test_scans_and_imports_that_fail(spark, tmp_path):
+    items = spark.createDataFrame([("a", None, "c1"), ("b", "m", "c2")], "id string, master_id string, catalog_id string")
+    catalogs = items.select("catalog_id")
+    assert [x["root_id"] for x in catalog.scan(items, items, False, catalogs=catalogs, catalog_id="c2").collect()] == ["m"]
+    with pytest.raises(ValueError, match="c3 does not exist"):
+        catalog.scan(items, items, False, catalogs=catalogs, catalog_id="c3")
+    with pytest.raises(ValueError, match="the run before"):
+        catalog.scan(items, items, True)
+    for k, text in enumerate(["[1]", '{"profile": {}}', "no json"]):
+        at = tmp_path / f"{k}.json"
+        at.write_text(text)
+        with pytest.raises(Exception, match="must be an object"):
+            attributes.imported(attributes.read_imports(spark, f"file://{at}")).collect()
+    good = tmp_path / "good.json"
+    good.write_text('\n {"profile": {"profile_id": "p", "site_id": "s"},\n "mappings": [{"mapping_id": " m ", "target_field": "x"}, {"mapping_id": "n", "enabled": false}]}')
+    assert [(x["mapping_id"], x["enabled"], x["site_id"], x["error"]) for x in attributes.imported(attributes.read_imports(spark, f"file://{good}")).collect()] == [("m", True, "s", "missing_applies_to"), ("n", False, "s", "missing_applies_to")]
