@@ -89,7 +89,7 @@ def imported(config: DataFrame) -> DataFrame:
 def read_imports(spark: SparkSession, path: str) -> DataFrame:
     """Nested configurations for `imported` from files of JSON text, one document each; one that isn't an object with a profile and a list
     of mappings is an error."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     mapping = ", ".join(f"{c}: {'boolean' if c == 'enabled' else 'string'}" for c in ("mapping_id", "site_id", "profile_id", "enabled", *REQUIRED[1:]))
     parsed = F.from_json("value", f"profile struct<profile_id: string, site_id: string>, mappings array<struct<{mapping}>>", {"mode": "PERMISSIVE"})
     rows = text.select(F.col("value").rlike(r"^\s*\{").alias("object"), parsed.alias("c"))
