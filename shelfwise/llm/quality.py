@@ -10,10 +10,13 @@ An empty table gives an empty ledger. Only the named columns are read, so others
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import SPACE, table
+from shelfwise.llm.common import SPACE, table, written
 
 #: Rule -> failure condition over the measurements. The position is the bit; append only, never reorder.
 RULES: dict[str, str] = {
@@ -35,7 +38,7 @@ POLICIES: dict[str, tuple[str, ...]] = {
 }
 
 
-def mask(rules: tuple[str, ...]) -> int:
+def mask(rules: Iterable[str]) -> int:
     names = list(RULES)
     return sum(1 << names.index(r) for r in rules)
 
@@ -120,6 +123,29 @@ def filter_documents(docs: DataFrame, version: str = "v2") -> DataFrame:
     return apply_policy(rows, version).withColumn("place", F.monotonically_increasing_id()).filter("kept and place >= 0").select("doc_id.*")
 
 
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger as a table in shared storage: texts are read once, whatever policies and ablations then ask of it."""
+    return written(ledger(docs, id_col, text_col), "ledger")
+
+
+def quality_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each policy version over one stored ledger: documents that it keeps, and those that the version before would have judged otherwise."""
+    rows = stored_ledger(table(spark, sf_dir, "documents"))
+    versions = list(POLICIES)
+    kept = {v: F.col("failed").bitwiseAND(F.lit(mask(POLICIES[v]))) == 0 for v in versions}
+    sums = [F.count_if(kept[v]).alias(f"kept_{v}") for v in versions] + [F.count_if(kept[v] != kept[u]).alias(f"moved_{v}") for u, v in zip(versions, versions[1:], strict=False)]
+    one = rows.agg(F.count(F.lit(1)).alias("n_docs"), *sums)
+    each = [F.struct(F.lit(v).alias("version"), F.col(f"kept_{v}").alias("n_kept"), (F.col(f"moved_{v}") if k else F.lit(0)).cast("long").alias("n_moved")) for k, v in enumerate(versions)]
+    return one.select("n_docs", F.explode(F.array(*each)).alias("p")).select("p.version", "n_docs", "p.n_kept", "p.n_moved")
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each policy version and rule of one stored ledger: documents that fail it, and that it alone rejects."""
+    rows = stored_ledger(table(spark, sf_dir, "documents"))
+    parts = [ablations(rows, v).select(F.lit(v).alias("version"), "rule", "n_failed", "n_only_this") for v in POLICIES]
+    return reduce(DataFrame.union, parts)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(table(spark, sf_dir, "documents")))
     base = F.col("failed").bitwiseAND(F.lit(mask(BASE))) != 0
@@ -142,3 +168,11 @@ b AS (SELECT *, (""" + " | ".join(f"(CASE WHEN {rule} THEN {1 << i} ELSE 0 END)"
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {mask(BASE)}) <> 0 AS base_failed,
        (failed & {mask(POLICIES["v2"])}) = 0 AS kept, failed FROM b
 """
+_LEDGER_SQL = OP5_SQL[: OP5_SQL.rindex("SELECT doc_id, n_words")]
+POLICIES_SQL = _LEDGER_SQL + " UNION ALL ".join(
+    f"SELECT '{v}' AS version, count(*) AS n_docs, count(*) FILTER (WHERE failed & {mask(POLICIES[v])} = 0) AS n_kept, count(*) FILTER (WHERE (failed & {mask(POLICIES[v])} = 0) <> (failed & {mask(POLICIES[u])} = 0)) AS n_moved FROM b"
+    for u, v in zip([next(iter(POLICIES)), *POLICIES], POLICIES, strict=False)
+)
+ABLATIONS_SQL = _LEDGER_SQL + " UNION ALL ".join(
+    f"SELECT '{v}' AS version, '{r}' AS rule, count(*) FILTER (WHERE failed & {mask([r])} <> 0) AS n_failed, count(*) FILTER (WHERE failed & {mask(POLICIES[v])} = {mask([r])}) AS n_only_this FROM b" for v in POLICIES for r in POLICIES[v]
+)

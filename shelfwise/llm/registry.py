@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm": lm_score.op3_lm,
     "op4_suffix": suffix_dedup.op4_suffix,
     "op5_quality": quality.op5_quality,
+    "quality_policies": quality.quality_policies,
+    "quality_ablations": quality.quality_ablations,
     "op6_decontam": decontam.op6_decontam,
     "op7_tokens": token_output.op7_tokens,
     "op8_windows": compact_windows.op8_windows,
@@ -26,6 +28,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op5_quality": quality.OP5_SQL,
+    "quality_policies": quality.POLICIES_SQL,
+    "quality_ablations": quality.ABLATIONS_SQL,
     "op9_jaccard": ngram_join.OP9_SQL,
     "op10_chat": chat_format.OP10_SQL,
     "op11_phrases": phrases.OP11_SQL,

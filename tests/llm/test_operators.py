@@ -92,7 +92,7 @@ def test_pii_edges(spark):
 
 
 # 2 mixing, 5 quality, 10 chat: against SQL
-@pytest.mark.parametrize("name", ["op2_mixing", "op5_quality", "op10_chat"])
+@pytest.mark.parametrize("name", ["op2_mixing", "op5_quality", "quality_policies", "quality_ablations", "op10_chat", "op11_phrases"])
 def test_matches_sql(spark, name):
     sf, con = "/root/testdata/sf0.001", duckdb.connect()
     for t in ("documents", "conversations"):
@@ -503,6 +503,35 @@ def test_repeated_passages_edges(spark):
     assert not any(x["spans"] for x in rows if x["doc_id"] in (0, 1, 2, 3, 6, 7, 8))
 
 
+def test_passages_of_a_random_corpus_against_all_windows(spark):
+    """Pairs of documents with passages that are edited more and more: what is found has two windows of 50 words at 0.75 or more; of those that have,
+    nine in ten are found."""
+    r = random.Random(77)
+    common = [f"c{i}" for i in range(300)]
+    word = lambda: r.choice(common) if r.random() < 0.3 else f"u{r.getrandbits(40)}"
+    docs = []
+    for k in range(120):
+        shared = [word() for _ in range(r.randint(45, 80))]
+        other = list(shared)
+        for _ in range(k % 9):
+            at = r.randrange(len(other))
+            other[at : at + r.randint(0, 1)] = [word() for _ in range(r.randint(0, 2))]
+        docs += [(2 * k + i, " ".join([word() for _ in range(r.randint(0, 40))] + body + [word() for _ in range(r.randint(0, 40))])) for i, body in enumerate((shared, other))]
+
+    def windows(text):
+        w = text.split()
+        g = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)]
+        return [frozenset(g[i : i + 46]) for i in range(len(g) - 45)]
+
+    of = {i: windows(t) for i, t in docs}
+    similar = {k for k in range(120) if any(100 * len(a & b) >= 75 * len(a | b) for a in of[2 * k] for b in of[2 * k + 1])}
+    rows = compact_windows.repeated_passages(make_docs(spark, docs)).collect()
+    found = {(x["doc_id"], s["other"]) for x in rows for s in x["spans"]}
+    assert all(a // 2 == b // 2 for a, b in found) and {a // 2 for a, _ in found} <= similar
+    assert 40 <= len(similar) <= 110 and len({a // 2 for a, _ in found}) >= 0.9 * len(similar)
+    assert all((b, a) in found for a, b in found)
+
+
 def test_passages_of_different_texts_under_one_id(spark):
     r = random.Random(41)
     own = lambda n: " ".join(f"u{r.getrandbits(40)}" for _ in range(n))
