@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import absolute_url, slug
-from shelfwise.operators import hierarchy
+from shelfwise.operators import generations, hierarchy
 from shelfwise.sources.catalog import shared_folder
 
 
@@ -67,8 +67,7 @@ def page_name(html: Column) -> Column:
     return F.when(title != "", title).otherwise(html)
 
 
-def _stored(rows: DataFrame, base: str) -> DataFrame:
-    path = f"{base}/{uuid.uuid4().hex}"
+def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -83,17 +82,22 @@ def first_wins(rows: DataFrame) -> DataFrame:
     base = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
     order = F.struct(F.col("pos").isNull().alias("late"), "pos", F.monotonically_increasing_id().alias("i"))
-    rest = _stored(rows.select("site", "pos", key("site").alias("s"), key("url").alias("u"), key("name").alias("n"), order.alias("o")), base)
+    rest = _stored(rows.select("site", "pos", key("site").alias("s"), key("url").alias("u"), key("name").alias("n"), order.alias("o")), f"{base}/0")
     done: DataFrame | None = None
+    round_ = 0
     while not rest.isEmpty():
+        round_ += 1
         marked = rest
         for k in "un":
             marked = marked.join(rest.groupBy("s", k).agg(F.min("o").alias(f"first_{k}")), ["s", k])
-        accepted = _stored(marked.filter("o = first_u and o = first_n").select("site", "pos", "s", "u", "n", "o"), base)
+        accepted = _stored(marked.filter("o = first_u and o = first_n").select("site", "pos", "s", "u", "n", "o"), f"{base}/accepted-{round_}")
         for k in "un":
             rest = rest.join(accepted.select("s", k, F.lit(True).alias(f"taken_{k}")), ["s", k], "left")
-        marked = _stored(rest.join(accepted.select("o", "s", F.lit(True).alias("accepted")), ["s", "o"], "left"), base)
-        decided = marked.filter("taken_u or taken_n").select("site", "pos", F.coalesce("accepted", F.lit(False)).alias("accepted"))
+        marked = _stored(rest.join(accepted.select("o", "s", F.lit(True).alias("accepted")), ["s", "o"], "left"), f"{base}/{round_}")
+        # decided pages go out, so that the round's tables can
+        decided = _stored(marked.filter("taken_u or taken_n").select("site", "pos", F.coalesce("accepted", F.lit(False)).alias("accepted")), f"{base}/decided-{round_}")
+        for old in (f"{base}/{round_ - 1}", f"{base}/accepted-{round_}"):
+            generations.removed(spark, old)
         done = decided if done is None else done.union(decided)
         rest = marked.filter("taken_u is null and taken_n is null").select("site", "pos", "s", "u", "n", "o")
     return rows.select("site", "pos", F.lit(True).alias("accepted")).limit(0) if done is None else done

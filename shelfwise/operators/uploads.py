@@ -118,6 +118,8 @@ def uploads(rows: DataFrame, order: list[Column], max_items: int = MAX_ITEMS, ma
 
     entered = dealt(costs.join(known, "block").select("block", "i", "n", "size", "entry"))
     nth = _stored(entered.mapInArrow(numbered, "i long, block long, nth long"), at, "nth")
+    for name in ("sorted", *(f"{t}-{j}" for t in ("jump", "known") for j in range(k + 1))):
+        generations.removed(spark, f"{at}/{name}")
     begun = nth.groupBy("block").agg(F.max("nth").alias("n"))
     before = begun.select("block", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("before"))  # a number per block
     numbers = nth.join(F.broadcast(before), "block").select("i", (F.col("before") + F.col("nth") - 1).alias("upload"))
