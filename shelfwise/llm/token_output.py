@@ -33,7 +33,7 @@ from shelfwise.llm.common import table, written
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_IDS = 4_000_000
-BATCH_BYTES, BATCH_TEXTS = 8_000_000, 2000
+BATCH_BYTES, BATCH_TEXTS = 4_000_000, 2000
 #: Words that a worker keeps encoded between batches.
 CACHE_WORDS = 500_000
 
@@ -192,6 +192,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
     schema = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoders.clear()  # words that this worker kept encoded; decoding needs the room
         for batch in batches:
             for k in range(batch.num_rows):
                 part, segment, doc_ids, lengths, payload = (batch.column(c)[k].as_py() for c in range(5))
