@@ -36,7 +36,7 @@ WIDTH, BUDGET, BITS, SEED = 3, 2, 64, 42
 #: Fingerprints of a leaf: the more there are, the larger, from LEAST to MOST.
 LEAVES, LEAST_LOT, MOST_LOT = 256, 256, 1_000_000
 #: Pairs of trie nodes, and fingerprints that pass by, that are handled at once.
-_FRONT, _CHUNK = 500_000, 200_000
+_FRONT, CHUNK = 500_000, 200_000
 #: Links that become stars at once.
 _LINKS = 2_000_000
 #: Pairs of fingerprints below two nodes that are compared without walking on.
@@ -221,7 +221,7 @@ def top_of(kinds: DataFrame, lot: int, budget: int = BUDGET) -> Top:
     return Top(sorted(leaves) or [(0, 0)], budget)
 
 
-def _links(kinds: DataFrame, top: Top) -> DataFrame:
+def _links(kinds: DataFrame, top: Top, chunk: int = CHUNK) -> DataFrame:
     """(u, v): stars of linked fingerprints, for each leaf and chunk."""
     shared = kinds.sparkSession.sparkContext.broadcast(top)
     places = pa.schema([("leaf", pa.int32()), ("other", pa.bool_()), ("fp", pa.int64())])
@@ -272,7 +272,7 @@ def _links(kinds: DataFrame, top: Top) -> DataFrame:
                     yield from done()
                     leaf = leaves[lo]
                 (passing if other[lo] else waiting).append(fp[lo:hi])
-                if other[lo] and (waiting or sum(map(len, passing)) >= _CHUNK):
+                if other[lo] and (waiting or sum(map(len, passing)) >= chunk):
                     yield from done()
         yield from done()
 
