@@ -37,11 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The rows, written as Parquet to shared storage and read back: lineage is cut, losing an executor costs nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     spark.sparkContext._jvm.System.gc()  # shuffle files that nothing needs any more go at once
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path  # type: ignore[attr-defined]

@@ -203,9 +203,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, spans) of documents (doc, text as bytes): the maximal runs of bytes to remove, sorted."""
     places = _anchor_rows(docs)
     counted = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    twice = written(counted.select("anchor", (F.col("n") > HOT).alias("hot")), "twice")
-    marks = written(places.join(twice.select("anchor"), "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("marks")), "anchors")
-    pieces = written(_cut(docs.join(marks, "doc").select("doc", "text", "marks")), "pieces")
+    twice = written(counted.select("anchor", (F.col("n") > HOT).alias("hot")), "twice", "zstd")
+    marks = written(places.join(twice.select("anchor"), "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "place")).alias("marks")), "anchors", "zstd")
+    pieces = written(_cut(docs.join(marks, "doc").select("doc", "text", "marks")), "pieces", "zstd")
     dropped(marks)
     short = pieces.filter("bytes is not null")
     if not (hot := twice.filter("hot").select("anchor")).isEmpty():
@@ -213,7 +213,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     short = short.repartition("anchor").sortWithinPartitions("anchor")
     whole = pieces.filter("bytes is null").select("doc", (F.col("at") - F.col("left")).alias("first"), (F.col("at") - F.col("last")).alias("last"))
     judged = _judged(short).union(whole).groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
-    runs = written(judged, "runs")
+    runs = written(judged, "runs", "zstd")
     dropped(pieces)
     dropped(twice)
     return runs
