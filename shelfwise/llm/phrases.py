@@ -1,12 +1,14 @@
 """Phrases that are more than chance, counted in suffix trees cut at a few words, by vertical partitioning.
 
-1. Each place of a piece of text starts a suffix; its first `MOST` words are a path below the language. A task merges equal paths
-   of a lot of documents, so what leaves it are paths with counts.
+1. Phrases of one to `MOST` words are counted by the cell of their hash, in a table of fixed size. What a cell with fewer than `LEAST`
+   occurrences holds is no candidate and no part of one. Cells that hold several phrases let more through and lose nothing.
+   Each place of a piece of text starts a suffix; its first words are a path below the language, which ends where the phrase would be too
+   seldom. A task merges equal paths of a lot of documents, so what leaves it are paths with counts, in order.
 2. Vertical partitioning: paths are counted by the cell of their first word's hash. Cells that hold more paths than `BUDGET`
    are told apart by two words, and if they still do, by three. Cells of hashed prefixes are packed into groups of at most
    `BUDGET` paths, in order; a cell of whole paths alone may hold more. A hot word is thus many groups, never one task.
-3. Each group builds its subtrees by itself: its paths, sorted, are read once from left to right; a node is closed when the
-   path leaves it, and its count is the sum of the leaves below. Only the open path is in memory. What a group has of a prefix that is spread over several
+3. Each group builds its subtrees by itself: its paths, sorted, are read once; a node is a run of paths that begin alike, and its
+   count is the sum of the leaves there. What a group has of a prefix that is spread over several
    is added up, as is the number of words of each language.
 4. Candidates, their parts, and the phrases that longer ones stand for are joined by phrase. Only nodes with `LEAST`
    occurrences take part: the parts of a phrase have no fewer.
@@ -20,15 +22,18 @@ like any others. Ties go by count, then by phrase in byte order. A very long tex
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm import shingles
 from shelfwise.llm.common import dropped, table, written
 
 #: What ends a piece, but for "." that all of them become.
@@ -36,10 +41,15 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 MOST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Merged paths of a group; hashed prefixes a level tells apart; groups at most, beyond which they grow.
 BUDGET, CELLS, GROUPS = 1_000_000, 1 << 16, 1 << 16
-#: Bytes of documents whose paths are merged at once.
-_LOT = 6_000_000
+#: Cells, as a power of two, by which phrases that come too seldom are told beforehand: 128 MB in a task, 8 MB broadcast.
+BITS, _CHUNK, _STEP = 26, 1 << 16, 60_000
+#: Sorted paths that become nodes at once.
+_ROWS = 100_000
+#: Bytes of documents whose paths are merged at once, and merged paths of several such lots that are merged again.
+LOT, AGAIN = 6_000_000, 1_500_000
 #: Parts of a language's candidates that are cut to the top each by itself, before fewer are.
 _PARTS = (256, 16)
+_MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _ONE_DOT = bytes.maketrans(ENDS, b"." * len(ENDS))
 
 
@@ -58,34 +68,124 @@ def _word(symbol: bytes) -> bytes:
     return re.sub(b"\x01(.)", lambda m: bytes([m[1][0] - 1]), symbol, flags=re.DOTALL) if b"\1" in symbol else symbol
 
 
-def merged_paths(texts: list[bytes], most: int = MOST) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
-    """Different suffixes of all pieces, cut at `most` words: each place's numbers (0: none), counts, and the words by number."""
+def _marked(texts: list[bytes], ordered: bool = True) -> tuple[np.ndarray, list[bytes]]:
+    """The numbers of all words of all pieces in order, 0 after each piece, and the words by number, in the order of their symbols if wanted."""
     numbers = _Numbers()
     numbers[b"."]  # number 0 ends pieces
-    marked = b" . ".join(t.lower().translate(_ONE_DOT).replace(b".", b" . ") for t in texts).split()
-    ids = np.fromiter((numbers[w] for w in marked), dtype=np.int64, count=len(marked))
-    ids = np.append(ids, np.zeros(most, dtype=np.int64))
-    n = len(marked)
-    columns = [ids[:n]]
-    for k in range(1, most):
-        columns.append(np.where(columns[-1] > 0, ids[k : n + k], 0))
-    begins = columns[0] > 0
-    bits = (len(numbers) - 1).bit_length()
+    whole = b" . ".join(t.lower().translate(_ONE_DOT).replace(b".", b" . ") for t in texts)
+    marked = whole.split()
+    ids = np.fromiter(map(numbers.__getitem__, marked), dtype=np.int64, count=len(marked))
+    names = list(numbers)
+    if not ordered:
+        return ids, names
+    plain = b"\0" not in whole and b"\1" not in whole
+    names = [b".", *sorted(names[1:], key=None if plain else _symbol)]
+    rank = np.empty(len(names), dtype=np.int64)
+    rank[np.fromiter(map(numbers.__getitem__, names), dtype=np.int64, count=len(names))] = np.arange(len(names))
+    return rank[ids], names
+
+
+def _hashes(lang: str, names: list[bytes]) -> np.ndarray:
+    seed = zlib.crc32(lang.encode())
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names), dtype=np.uint64, count=len(names))
+
+
+def _cells_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (shingles.mix(hashes) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _grams(ids: np.ndarray, hashes: np.ndarray, most: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1, 2, ... words: the places where so many stand in one piece, and the cells of what stands there."""
+    at = np.flatnonzero(ids > 0)
+    h = hashes[ids[at]]
+    for k in range(1, most + 1):
+        yield at, _cells_of(h, bits)
+        longer = at + k < len(ids)
+        longer[longer] = ids[at[longer] + k] > 0
+        at, h = at[longer], h[longer]
+        h = h * _MULTIPLY + hashes[ids[at + k]] if len(at) else h
+
+
+def _lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts by language, as many as make a lot of bytes; a text is never cut."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            data = text.as_py()
+            held.setdefault(lang, []).append(data)
+            size += len(data)
+            if size >= most:
+                yield from held.items()
+                held, size = {}, 0
+    yield from held.items()
+
+
+def _frequent(docs: DataFrame, least: int, bits: int = BITS, lot: int = LOT) -> np.ndarray:
+    """A bit for each of 2^bits cells: whether the phrases of up to `MOST` words of that cell come at least so often in all. A task counts into a
+    table of its own; Spark adds them up, and a bit for each cell reaches the driver, whatever the input."""
+    least = min(least, 255)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, dtype=np.uint16)  # beyond `least` nothing needs to be told apart
+        for lang, texts in _lots(batches, lot):
+            ids, names = _marked(texts, ordered=False)
+            for _, cells in _grams(ids, _hashes(lang, names), MOST, bits):
+                for k in range(0, len(cells), _STEP):  # so few that no count runs over
+                    some = cells[k : k + _STEP]
+                    np.add.at(counts, some, np.uint16(1))
+                    counts[some] = np.minimum(counts[some], least)
+        parts = [(k, zlib.compress(part.astype(np.uint8).tobytes(), 1)) for k, part in enumerate(counts.reshape(-1, min(_CHUNK, 1 << bits))) if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], type=pa.int64()), pa.array([c for _, c in parts], type=pa.binary())], names=["chunk", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+                sums[chunk] = np.minimum(sums.get(chunk, 0) + part.astype(np.uint16), least)
+        marks = [np.packbits(v >= least).tobytes() for v in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int64()), pa.array(marks, type=pa.binary())], names=["chunk", "bits"])
+
+    parts = docs.mapInArrow(counted, "chunk long, counts binary").repartition("chunk")
+    out = np.zeros(1 << bits >> 3, dtype=np.uint8)
+    for chunk, marks in parts.mapInArrow(added, "chunk long, bits binary").collect():
+        out[chunk * len(marks) : (chunk + 1) * len(marks)] = np.frombuffer(marks, dtype=np.uint8)
+    return out
+
+
+def merged_paths(ids: np.ndarray, words: int, reach: np.ndarray, most: int = MOST) -> tuple[list[np.ndarray], np.ndarray]:
+    """Different suffixes, each as far as `reach` says, at most `most` words: each word's numbers (0: none), and counts."""
+    begins = np.flatnonzero(reach > 0)
+    padded = np.append(ids, np.zeros(most, dtype=np.int64))
+    columns = [np.where(reach[begins] > k, padded[begins + k], 0) for k in range(most)]
+    bits = max(words - 1, 1).bit_length()
     if most * bits > 62:  # a text of millions of different words
-        paths, counts = np.unique(np.stack([c[begins] for c in columns]), axis=1, return_counts=True)
-        return list(paths), counts, list(numbers)
-    key, counts = np.unique(reduce(lambda a, c: a << bits | c, columns)[begins], return_counts=True)
-    return [key >> bits * (most - 1 - k) & ((1 << bits) - 1) for k in range(most)], counts, list(numbers)
+        paths, counts = np.unique(np.stack(columns), axis=1, return_counts=True)
+        return list(paths), counts
+    key, counts = np.unique(reduce(lambda a, c: a << bits | c, columns), return_counts=True)
+    return [key >> bits * (most - 1 - k) & ((1 << bits) - 1) for k in range(most)], counts
 
 
-def _paths(docs: DataFrame) -> DataFrame:
-    """(path, n) of documents (lang, text): language and words with byte 0 between them, merged by lot."""
+def _paths(docs: DataFrame, frequent: np.ndarray, lot: int = LOT) -> DataFrame:
+    """(path, n) of documents (lang, text): language and words with byte 0 between them, merged by lot. Suffixes that no frequent word starts
+    count for the language alone."""
+    shared, bits = docs.sparkSession.sparkContext.broadcast(frequent), (8 * len(frequent)).bit_length() - 1
     schema = pa.schema([("path", pa.binary()), ("n", pa.int64())])
 
-    def lot(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        columns, counts, names = merged_paths(texts)
+    def merged(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        ids, names = _marked(texts)
+        hashes = _hashes(lang, names)
+        reach = np.zeros(len(ids), dtype=np.int64)  # how many words from here on may be a candidate or a part of one
+        for k, (at, cells) in enumerate(_grams(ids, hashes, MOST, bits)):
+            held = (shared.value[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
+            at = at[held & (reach[at] == k)]
+            reach[at] = k + 1
+        columns, counts = merged_paths(ids, len(names), reach)
         symbols = pa.array([None, *map(_symbol, names[1:])], type=pa.binary())
         first = pa.array([_symbol(lang.encode())], type=pa.binary())
+        if rest := int(((reach == 0) & (ids > 0)).sum()):
+            yield pa.RecordBatch.from_arrays([first, pa.array([rest])], schema=schema)
         for k in range(0, len(counts), 1 << 18):
             some = [symbols.take(pa.array(c[k : k + (1 << 18)])) for c in columns]
             start = first.take(pa.array(np.zeros(len(some[0]), dtype=np.int64)))
@@ -93,23 +193,27 @@ def _paths(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([path, pa.array(counts[k : k + (1 << 18)])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
+        held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = text.as_py()
-                held.setdefault(lang, []).append(data)
-                size += len(data)
-                if size >= _LOT:
-                    for key, texts in held.items():
-                        yield from lot(key, texts)
-                    held, size = {}, 0
-        for key, texts in held.items():
-            yield from lot(key, texts)
+        for lang, texts in _lots(batches, lot):
+            for batch in merged(lang, texts):
+                held.append(batch)
+                size += batch.num_rows
+            if size >= AGAIN:
+                yield from _merged_again(held)
+                held, size = [], 0
+        if held:
+            yield from _merged_again(held)
 
     return docs.mapInArrow(run, "path binary, n long")
 
 
+def _merged_again(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal paths of several lots as one, in order: neighbours that begin alike take little room."""
+    one = pa.Table.from_batches(parts).group_by("path", use_threads=False).aggregate([("n", "sum")]).rename_columns(["path", "n"])
+    yield from one.take(pc.sort_indices(one, [("path", "ascending")])).to_batches(max_chunksize=1 << 17)
+
+
 def _cell(depth: int) -> Column:
     """The cell of a path's prefix of so many words below the language."""
     text = F.col("path").cast("string")
@@ -149,59 +253,75 @@ def grouped(paths: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, int]:
     return rows, max(groups, 1)
 
 
+def _common(paths: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """How many symbols each path has in common with the one before it, and how many it has."""
+    sizes = np.array([len(p) for p in paths], dtype=np.int64)
+    width = int(sizes.max()) + 1
+    text = np.zeros((len(paths), width), dtype=np.uint8)
+    text.ravel()[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(paths)) * width - (np.cumsum(sizes) - sizes), sizes)] = np.frombuffer(b"".join(paths), dtype=np.uint8)
+    ends = np.cumsum(text == 0, axis=1, dtype=np.int16)  # byte 0 stands behind each symbol, the last one too
+    symbols = 1 + ends[np.arange(len(paths)), sizes - 1].astype(np.int64)
+    differ = text[1:] != text[:-1]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    row = np.arange(1, len(paths))
+    # symbols that end before the first byte that differs
+    same = np.where(first > 0, ends[row, np.minimum(first, width) - 1], 0).astype(np.int64)
+    same = np.where(first == width, symbols[1:], np.minimum(same, np.minimum(symbols[1:], symbols[:-1])))
+    return np.append(0, same), symbols
+
+
+def tree_nodes(paths: list[bytes], counts: np.ndarray, parted: np.ndarray, least: int) -> list[tuple[bytes, int]]:
+    """Nodes of the tree of sorted paths with their counts, the sums of what is below them: those with at least `least`, and all
+    of at most as many words as `parted` says minus one, which have other parts elsewhere."""
+    if not paths:
+        return []
+    same, symbols = _common(paths)
+    out: list[tuple[bytes, int]] = []
+    for depth in range(1, int(symbols.max()) + 1):
+        start = np.flatnonzero((same < depth) & (symbols >= depth))
+        if not len(start):
+            continue
+        inside = np.where(symbols >= depth, counts, 0)
+        sums = np.add.reduceat(inside, start)
+        for k in np.flatnonzero((sums >= least) | (depth - 1 < parted[start])).tolist():
+            out.append((b"\0".join(paths[start[k]].split(b"\0")[:depth]), int(sums[k])))
+    return out
+
+
 def _counted(rows: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, n_words, n) of the subtrees of each partition, whose paths come sorted; a phrase of no words is the language."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n_words", pa.int32()), ("n", pa.int64())])
 
+    def made(paths: list[bytes], counts: list[int], depths: list[int]) -> pa.RecordBatch:
+        found = tree_nodes(paths, np.array(counts, dtype=np.int64), np.array(depths, dtype=np.int64), least)
+        names = [[_word(s).decode() for s in path.split(b"\0")] for path, _ in found]
+        columns = [[p[0] for p in names], [" ".join(p[1:]) for p in names], [len(p) - 1 for p in names], [n for _, n in found]]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: list[bytes] = []
-        sums: list[int] = []
-        out: list[tuple[list[bytes], int]] = []
-
-        def close(depth: int) -> None:
-            while len(open_) > depth:
-                n = sums.pop()
-                # what is shorter than its group's prefixes has other parts elsewhere
-                if n >= least or len(open_) - 1 < parted:
-                    out.append((open_.copy(), n))
-                open_.pop()
-                if sums:
-                    sums[-1] += n
-
-        def batch_of() -> pa.RecordBatch:
-            names = [[_word(s).decode() for s in path] for path, _ in out]
-            columns = [[p[0] for p in names], [" ".join(p[1:]) for p in names], [len(p) - 1 for p in names], [n for _, n in out]]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-        last, parted = None, 1
+        held: tuple[list, list, list] = ([], [], [])
         for batch in batches:
-            for path, n, depth in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                if path != last:
-                    now = path.split(b"\0")
-                    same = 0
-                    for a, b in zip(open_, now, strict=False):
-                        if a != b:
-                            break
-                        same += 1
-                    close(same)
-                    open_ += now[same:]
-                    sums += [0] * (len(now) - same)
-                    last, parted = path, depth
-                sums[-1] += n
-            if len(out) >= 10_000:
-                yield batch_of()
-        close(0)
-        if out:
-            yield batch_of()
+            for column, new in zip(held, batch.columns, strict=True):
+                column += new.to_pylist()
+            if len(held[0]) >= _ROWS:
+                # a lot ends where the prefix that its group was made by does; what is shorter is added up later
+                cut = len(held[0]) - 1
+                prefix = held[0][cut].split(b"\0")[: held[2][cut] + 1]
+                while cut and held[0][cut - 1].split(b"\0")[: len(prefix)] == prefix:
+                    cut -= 1
+                if cut:
+                    yield made(*(c[:cut] for c in held))
+                    held = tuple(c[cut:] for c in held)
+        if held[0]:
+            yield made(*held)
 
     return rows.mapInArrow(run, "lang string, phrase string, n_words int, n long")
 
 
-def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, budget: int = BUDGET) -> DataFrame:
+def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, budget: int = BUDGET, bits: int = BITS, lot: int = LOT) -> DataFrame:
     """(lang, phrase, n_words, n): how often phrases of up to `MOST` words come, those with `least` occurrences, and with n_words 0 the words of each language."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    paths = written(_paths(rows), "paths")
+    paths = written(_paths(rows, _frequent(rows, least, bits, lot), lot), "paths", "zstd")
     dealt, groups = grouped(paths, budget)
     trees = _counted(dealt.repartitionById(groups, "group").sortWithinPartitions("path").select("path", "n", "depth"), least)
     nodes = written(trees.groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n")).filter(f"n >= {least} or n_words = 0"), "nodes")

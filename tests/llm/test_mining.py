@@ -56,31 +56,49 @@ def phrase_rows(n=150):
     return [*rows, ("en", None), (None, ""), ("fr", " \t. ,"), ("en", LONG)] + [("de", "New York City hall")] * 12 + [("de", "new york")] * 9
 
 
-@pytest.mark.parametrize(("budget", "cells", "lot"), [(10**6, 1 << 16, 6_000_000), (40, 32, 6_000_000), (5, 4, 300)])
-def test_phrases_by_brute_force(spark, monkeypatch, budget, cells, lot):
-    """Also with so little memory that hot words, and pairs of words, are many groups."""
+@pytest.mark.parametrize(("budget", "cells", "lot", "bits"), [(10**6, 1 << 16, 6_000_000, 24), (40, 32, 6_000_000, 16), (5, 4, 300, 24)])
+def test_phrases_by_brute_force(spark, monkeypatch, budget, cells, lot, bits):
+    """Also with so little memory that hot words, and pairs of words, are many groups, and a table that tells little."""
     monkeypatch.setattr(phrases, "CELLS", cells)
-    monkeypatch.setattr(phrases, "_LOT", lot)
     rows = phrase_rows()
     docs = spark.createDataFrame([(i, t, lang, "s", "p", "n", 1) for i, (lang, t) in enumerate(rows)], DOCS)
     want = brute_phrases(rows)
     assert want and any(x[0] == "und" for x in want) and any(x[2] == "york city hall" for x in want) and not any(x[2] == "york city" for x in want)
-    assert sorted(tuple(x) for x in phrases.collocations(phrases.phrase_counts(docs, budget=budget)).collect()) == want
+    assert sorted(tuple(x) for x in phrases.collocations(phrases.phrase_counts(docs, budget=budget, bits=bits, lot=lot)).collect()) == want
 
 
 def test_phrases_of_large_vocabularies_and_no_rows(spark):
-    paths, counts, names = phrases.merged_paths([b"a b. a b c", b"B"], most=3)
+    ids, names = phrases._marked([b"a b. a b c", b"B"])
+    assert names == [b".", b"a", b"b", b"c"] and ids.tolist() == [1, 2, 0, 1, 2, 3, 0, 2]
+    reach = np.array([2, 1, 0, 3, 2, 1, 0, 1])
+    paths, counts = phrases.merged_paths(ids, len(names), reach)
     assert {tuple(names[i].decode() for i in p if i): c for p, c in zip(zip(*(x.tolist() for x in paths), strict=True), counts.tolist(), strict=True)} == {("a", "b"): 1, ("a", "b", "c"): 1, ("b",): 2, ("b", "c"): 1, ("c",): 1}
-    wide, counts_, _ = phrases.merged_paths([b"a b. a b c", b"B"], most=40)  # too wide for one number
+    wide, counts_ = phrases.merged_paths(ids, len(names), reach, most=40)  # too wide for one number
     assert sorted(counts_.tolist()) == sorted(counts.tolist()) and len(wide) == 40
+    cut, _ = phrases.merged_paths(ids, len(names), np.array([1, 0, 0, 1, 0, 1, 0, 0]))
+    assert {tuple(names[i].decode() for i in p if i) for p in zip(*(x.tolist() for x in cut), strict=True)} == {("a",), ("c",)}
     assert phrases.collocations(phrases.phrase_counts(make_docs(spark, []))).count() == 0
     assert phrases.collocations(phrases.phrase_counts(make_docs(spark, [(None, None), (1, "")]))).count() == 0
 
 
+def test_tree_nodes_are_sums_of_leaves():
+    r = random.Random(5)
+    for _ in range(60):
+        leaves = Counter(tuple([b"l", *(bytes([r.choice(b"\x02ab"), *r.choice([b"", b"a"])]) for _ in range(r.randint(0, 3)))]) for _ in range(r.randint(1, 60)))
+        paths = sorted(b"\0".join(p) for p in leaves)
+        counts = np.array([leaves[tuple(p.split(b"\0"))] for p in paths])
+        want = Counter()
+        for p, c in leaves.items():
+            want.update({p[:k]: c for k in range(1, len(p) + 1)})
+        for least in (1, 4):
+            got = {tuple(p.split(b"\0")): n for p, n in phrases.tree_nodes(paths, counts, np.ones(len(paths), dtype=np.int64), least)}
+            assert got == {p: n for p, n in want.items() if n >= least or len(p) == 1}
+
+
 def test_phrase_groups_respect_the_budget(spark):
     r = random.Random(4)
     docs = make_docs(spark, [(i, " ".join(r.choice(["the", f"w{r.randint(0, 200)}"]) for _ in range(300))) for i in range(60)])
-    paths = phrases._paths(docs.select("lang", F.col("text").cast("binary").alias("text"))).cache()
+    paths = phrases._paths(docs.select("lang", F.col("text").cast("binary").alias("text")), np.full(1 << phrases.BITS - 3, 255, dtype=np.uint8)).cache()
     dealt, groups = phrases.grouped(paths, 1000)
     sizes = [x["count"] for x in dealt.groupBy("group").count().collect()]
     assert sum(sizes) == paths.count() and max(sizes) <= 1000 and len(sizes) == groups
@@ -212,9 +230,8 @@ def test_trie_walk_finds_all_near_pairs():
 
 
 @pytest.mark.parametrize("lot", [10**6, 40, 1])
-def test_links_by_brute_force(spark, monkeypatch, lot):
+def test_links_by_brute_force(spark, lot):
     """Leaves of any size, down to single fingerprints, and crowds below one long prefix."""
-    monkeypatch.setattr(simhash, "_CHUNK", 50)
     r = random.Random(8)
     base = [r.getrandbits(64) for _ in range(4)]
     prints = [0, 1, (1 << 64) - 1, 1 << 63]
@@ -233,7 +250,7 @@ def test_links_by_brute_force(spark, monkeypatch, lot):
             x = root[x]
         return x
 
-    for u, v in simhash._links(kinds, top).collect():
+    for u, v in simhash._links(kinds, top, chunk=50).collect():
         assert u != v
         a, b = sorted((find(u % (1 << 64)), find(v % (1 << 64))))
         root[b] = a
