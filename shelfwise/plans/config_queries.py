@@ -360,7 +360,7 @@ def _payload_items(spark: SparkSession, d: str) -> DataFrame:
     rows = variation(items, labels).select(
         "*", F.col("id").alias("product_id"), F.when(F.col("is_variant"), F.concat("master_id", F.lit("-"), "color")).otherwise(F.col("id")).alias("group_id"), F.lit("en").alias("language"), images.alias("images"),
         F.when(k % 6 == 0, url("swatch", 1)).alias("swatch"), products.view_types(F.lit(" large ;medium,large"), products.IMAGE_TYPES).alias("image_types"), products.view_types(F.lit(None).cast("string"), products.THUMBNAIL_TYPES).alias("thumbnail_types"),
-        F.lit("HTTPS://img.example/none").alias("image_placeholder"), F.lit("").alias("thumbnail_placeholder"), F.round(price, 2).alias("price"), F.round(promo, 2).alias("promo_price"),
+        F.lit("HTTPS://img.example/none").alias("image_placeholder"), F.lit("").alias("thumbnail_placeholder"), s.money(price).alias("price"), s.money(promo).alias("promo_price"),
         F.lit("").alias("hierarchies"), F.lit("").alias("primary_hierarchy"), F.when(k % 2 == 0, F.concat(F.lit("<HTML lang=en>"), "name", F.lit("</HTML>"))).alias("long_description"), F.when(k % 10 != 1, F.col("name")).alias("short_description"),
     )
     return rows

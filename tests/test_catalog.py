@@ -148,3 +148,14 @@ def test_upsert(spark):
 def test_empty_tables(spark):
     rows = spark.createDataFrame([], "product_id string, quantity string")
     assert purchases.totals(rows).collect() == []
+
+
+def test_prices_at_half_a_cent_are_those_of_sql(spark):
+    import duckdb
+
+    rows = spark.range(100_000).select(F.col("id").cast("string").alias("id"), ((90_000 + F.col("id") / 2) / 100).cast("double").alias("list_price"), F.lit(0.05).alias("discount"))
+    rows = rows.withColumn("list_price", F.floor(F.col("list_price") * 100) / 100).withColumn("sale_price", F.col("list_price") * (1 - F.col("discount")))
+    found = catalog.prices(rows).toPandas()
+    given = rows.select("id", "sale_price").toPandas()
+    expected = duckdb.sql("SELECT g.id, f.promo_price AS found, round(g.sale_price, 2) AS expected FROM given g JOIN found f ON f.id = g.id WHERE found IS DISTINCT FROM expected").fetchall()
+    assert len(found) == len(given) and expected == []
