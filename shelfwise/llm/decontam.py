@@ -4,7 +4,8 @@ with block-max WAND; what it retrieves is verified by question and answer overla
 Scores are BM25 divided by the item's score for its own words, so that one threshold fits all items: 1 means that the
 passage has every term of the item. Passages are windows of twice the longest item's words, half overlapping, so an
 item always lies in one of them. Bounds from the blocks' largest shares, for all passages at once, rule out those that reach no
-item at all; each of the others runs WAND over the whole shard. All items above the threshold are retrieved, none is cut off by rank.
+item at all; each of the others runs WAND over the whole shard, whose cursors pass the blocks of items that the same bounds rule out
+in one step. All items above the threshold are retrieved, none is cut off by rank.
 
 The index is broadcast in shards of bounded size (`SHARD_POSTINGS`); more items mean more shards, each searched by all passages, one
 after another. Term statistics always cover all items.
@@ -16,7 +17,9 @@ Without items nothing is contaminated. Only the named columns are read.
 
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -72,13 +75,6 @@ def _grams(w: list[bytes], n: int = 3) -> set[tuple[bytes, ...]]:
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
-class _Numbers(dict):
-    """Numbers of the index's terms, -1 for other words."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Index:
     """One shard of the inverted index, with impacts as shares of an item's own score."""
 
@@ -97,7 +93,6 @@ class Index:
             for term, v in impact.items():
                 lists[self.terms.setdefault(term.encode(), len(self.terms))].append((i, v / whole))
             self.parts.append([(n := min(3, len(p)), _grams(p, n) if n else set()) for p in halves(r["text"])])
-        self.numbers = _Numbers(self.terms)
         self.items = [[i for i, _ in lists[t]] for t in range(len(self.terms))]
         self.impacts = [[v for _, v in lists[t]] for t in range(len(self.terms))]
         self.blocks = [[max(v[k : k + BLOCK_ITEMS]) for k in range(0, len(v), BLOCK_ITEMS)] for v in self.impacts]
@@ -111,8 +106,9 @@ class Index:
         self.term_bounds = np.array([max(v for i, v in zip(x, y, strict=True) if i // BLOCK_ITEMS == k) for x, y, h in zip(self.items, self.impacts, held, strict=True) for k in h])
         self.half = max([_LEAST_HALF, *(r["max_length"] for r in rows[:1])])
 
-    def search(self, query: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """Block-max WAND: every item whose share reaches the threshold."""
+    def search(self, query: list[int], threshold: float = THRESHOLD, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+        """Block-max WAND: every item whose share reaches the threshold. `blocks` are those of the items, ascending, whose bounds reach it: cursors
+        pass the others at once."""
         found, n = [], len(self.ids)
         cursors = [[self.items[t][0], 0, t] for t in query]
         while True:
@@ -128,6 +124,16 @@ class Index:
             if pivot < 0:
                 return found
             target = cursors[pivot][0]
+            if blocks is not None:
+                k = bisect_left(blocks, target // BLOCK_ITEMS)
+                begin = blocks[k] * BLOCK_ITEMS if k < len(blocks) else n
+                if begin > target:
+                    if begin == n:
+                        return found
+                    for c in cursors:
+                        if c[0] < begin:
+                            self._seek(c, begin)
+                    continue
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == target:
                 pivot += 1
             # the blocks that hold the target must be able to reach the threshold
@@ -156,25 +162,27 @@ class Index:
                     self._seek(c, max(after, target + 1))
 
     def _seek(self, cursor: list[int], item: int) -> None:
-        items, at = self.items[cursor[2]], cursor[1]
-        while at < len(items) and items[at] < item:
-            at += 1
+        items = self.items[cursor[2]]
+        at = bisect_left(items, item, cursor[1])
         cursor[0], cursor[1] = (items[at] if at < len(items) else len(self.ids)), at
 
-    def _possible(self, window: np.ndarray, term: np.ndarray) -> list[int]:
-        """Windows of which some block's bound reaches the threshold; no other can have a hit."""
+    def _possible(self, window: np.ndarray, term: np.ndarray) -> dict[int, list[int]]:
+        """Windows of which some block's bound reaches the threshold, with these blocks; no other can have a hit."""
         first = int(window[0])
         lengths = self.term_lengths[term]
         ends = np.cumsum(lengths)
         entry = np.repeat(self.term_starts[term] - (ends - lengths), lengths) + np.arange(ends[-1])
         cell = np.repeat(window - first, lengths) * self.n_blocks + self.term_blocks[entry]
         bounds = np.bincount(cell, weights=self.term_bounds[entry])
-        return (np.unique(np.flatnonzero(bounds >= THRESHOLD - 1e-9) // self.n_blocks) + first).tolist()
+        out: dict[int, list[int]] = {}
+        for hit in np.flatnonzero(bounds >= THRESHOLD - 1e-9).tolist():
+            out.setdefault(hit // self.n_blocks + first, []).append(hit % self.n_blocks)
+        return out
 
     def find(self, text: bytes) -> list[tuple[int, float, float, float]]:
         """(item, best share, question overlap, answer overlap) of the verified items of one document."""
         row = plain_words(text)
-        ids = np.fromiter(map(self.numbers.__getitem__, row), dtype=np.int64, count=len(row))
+        ids = np.fromiter(map(self.terms.get, row, repeat(-1)), dtype=np.int64, count=len(row))
         at = np.nonzero(ids >= 0)[0]
         if not len(at):
             return []
@@ -187,10 +195,10 @@ class Index:
             cuts = np.searchsorted(every // v, np.arange(0, int(every[-1]) // v + 1 + WINDOWS, WINDOWS))
             for keys in (every[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i):
                 window, term = np.divmod(keys, v)
-                for w in self._possible(window, term):
+                for w, blocks in self._possible(window, term).items():
                     begin, end = max(0, w * size - shift), (w + 1) * size - shift
                     query = term[np.searchsorted(window, w) : np.searchsorted(window, w + 1)].tolist()
-                    for item, score in self.search(query):
+                    for item, score in self.search(query, THRESHOLD, blocks):
                         question, answer = (len(p & _grams(row[begin:end], n)) / len(p) if p else 1.0 for n, p in self.parts[item])
                         if question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP and score > best.get(item, (0, 0.0))[1]:
                             best[item] = (item, score, question, answer)

@@ -272,6 +272,20 @@ def test_wand_finds_all_above_threshold_and_leaks(spark):
     assert not any(x["contaminated"] for x in decontam.contamination(make_docs(spark, EDGES), items.limit(0)).collect())
 
 
+def test_wand_passes_blocks_that_are_ruled_out(spark):
+    """A passage that holds eight items, of which only the last one's block is given: that item with the same score, in fewer steps."""
+    items = spark.createDataFrame([(i, f"of the river and stone {chr(97 + i % 26)}{i} {'in winter ' * (i // 8)} sand{i} hill{i}") for i in range(80)], "item_id long, text string")
+    index = decontam.Index([r.asDict(recursive=True) for r in decontam.postings(items).collect()])
+    steps, seek = [], index._seek
+    index._seek = lambda c, item: steps.append(1) or seek(c, item)
+    query = sorted({index.terms[w] for x in items.filter("item_id % 10 = 9").collect() for w in decontam.plain_words(x["text"].encode())})
+    place = index.ids.index(79)
+    want, all_steps = [x for x in index.search(query) if x[0] == place], len(steps)
+    steps.clear()
+    got = index.search(query, blocks=[place // decontam.BLOCK_ITEMS])
+    assert [(i, round(v, 9)) for i, v in got if i == place] == [(i, round(v, 9)) for i, v in want] and want and len(steps) < all_steps
+
+
 def test_decontamination_by_brute_force(spark, monkeypatch):
     """Every window against every item, with the plain BM25 formula."""
     monkeypatch.setattr(decontam, "WINDOWS", 2)
