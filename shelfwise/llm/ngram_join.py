@@ -12,7 +12,9 @@
    those are less than half. With w_x = 4 |R - x| + 3 |x - R|, two sets x and y link exactly if they share at least
    (w_x + w_y - |R|) / 7 differences from R. So all sets with w_x + w <= |R|, w being the least weight, are in one class
    with the set that has it, and any other pair shares a difference in the differences' own prefixes, which are further
-   index lists, keyed by the leader, with the places' room among the differences. Sets that are in one class by then, whatever
+   index lists, keyed by the leader, with the places' room among the differences. There each set carries `MARKS` bits, one for each
+   difference by its hash: two sets have at least as many differences from one another as their bits differ in, so pairs that can't share
+   enough are no candidates. Sets that are in one class by then, whatever
    linked them, need no pair; so each set's prefix counts on the least weight among the other classes.
    x - y has at most a quarter of x if they link. So a set that has a quarter of its size more of R than a quarter of R can
    link only to sets that have a quarter of R. All those give differences; only sets with less than the former stay in
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import count_table, shingles
-from shelfwise.llm.common import table, written
+from shelfwise.llm.common import lean, table, written
 from shelfwise.llm.graph import components
 
 #: Links: 100 * intersection >= PERCENT * union. The filters' weights (4, 3, 7) and distances are those of 75.
@@ -53,6 +55,8 @@ COMMON = 8
 HELD = 4_000_000
 #: Lists that may be longer are led without being held by one task.
 HOT = 100_000
+#: Bits by which the differences of two sets are compared: longs.
+MARKS = 256
 _SIGN = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
@@ -90,7 +94,7 @@ def _summary(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(kinds, type=pa.int32()), pa.nulls(m, schema.field(1).type), pa.array(chunks, type=pa.int64()), pa.nulls(m, pa.int64()), pa.array(data, type=pa.binary())], schema=schema)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"kind int, doc_id {kind}, n long, sid long, counts binary")
+    return docs.mapInArrow(lean(run), f"kind int, doc_id {kind}, n long, sid long, counts binary")
 
 
 def docs_type(docs: DataFrame) -> pa.DataType:
@@ -116,8 +120,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[pick]), pa.array([len(sets[i]) for i in pick], type=pa.int64()), some.column(0).take(pa.array(pick))], schema=schema)
 
     out = "sid long, n long, text binary"
-    named = docs.join(wanted, "doc_id").select("text", "sid").mapInArrow(run, out)
-    nameless = docs.filter("doc_id is null").select("text", F.lit(None).cast("long").alias("sid")).mapInArrow(run, out)
+    named = docs.join(wanted, "doc_id").select("text", "sid").mapInArrow(lean(run), out)
+    nameless = docs.filter("doc_id is null").select("text", F.lit(None).cast("long").alias("sid")).mapInArrow(lean(run), out)
     return named.union(nameless.join(wanted.filter("doc_id is null").select("sid"), "sid", "left_semi"))
 
 
@@ -148,10 +152,23 @@ def _prefixes(docs: DataFrame, logs: np.ndarray, common: np.ndarray, hot: bool)
                     key, ids, need, slack, odd = (np.concatenate(c) for c in zip(*parts, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(ids), pa.array(need), pa.array(slack), pa.array(odd)], schema=schema)
 
-    return docs.mapInArrow(run, "key long, sid long, need int, slack int, odd int").withColumn("comp", F.col("sid"))
+    return docs.mapInArrow(lean(run), "key long, sid long, need int, slack int, odd int").withColumn("comp", F.col("sid"))
 
 
-def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+def marks_of(keys: np.ndarray) -> np.ndarray:
+    """`MARKS` bits as longs, those of the keys' hashes set."""
+    bits = np.zeros(MARKS, dtype=np.uint8)
+    bits[keys.view(np.uint64) >> np.uint64(64 - MARKS.bit_length() + 1)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def can_share(i: np.ndarray | int, j: np.ndarray, need: np.ndarray, size: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Whether the sets i and j can share what both need, (need_i + need_j) / 14: they differ at least where their marks do. A size below 0 is unknown."""
+    apart = np.bitwise_count((marks[i] ^ marks[j]).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+    return (7 * (size[i] + size[j] - apart) >= need[i] + need[j]) | (size[i] < 0) | (size[j] < 0)
+
+
+def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: int, size: np.ndarray | None = None, marks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray] | None:
     """The pairs (i, j) of one list, sorted by need, that can link and are not in one class yet; None if there are over `most`.
 
     What two entries still have room for must reach what both need: with slack = 14 room - need, each one's slack must
@@ -167,6 +184,8 @@ def direct_pairs(need: np.ndarray, slack: np.ndarray, comp: np.ndarray, most: in
         for k in (np.flatnonzero(best[first:last] >= need[i]) + first).tolist():
             j = np.arange(max(i + 1, k * width), min(int(ends[i]), (k + 1) * width))
             j = j[(slack[j] >= need[i]) & (comp[j] != comp[i])]
+            if size is not None and marks is not None:
+                j = j[can_share(i, j, need, size, marks)]
             if len(j):
                 found += len(j)
                 if found > most:
@@ -181,23 +200,30 @@ _CANDIDATE = "a long, b long, key long, need int, slack int, odd int"
 _CANDIDATE_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
 
 
+#: What entries of differences have besides: how many there are, and their marks.
+_MARKED = ("size", *(f"mark_{k}" for k in range(MARKS // 64)))
+
+
 def _lists(entries: DataFrame, short: int) -> DataFrame:
     """Candidates (a, b) of the lists; where a leads a list, with its key and b's entry in it. Tasks read lists in sorted order."""
     schema = pa.schema([(f.split()[0], t) for f, t in zip(_CANDIDATE.split(", "), _CANDIDATE_TYPES, strict=True)])
 
-    def listed(key: np.ndarray, sid: np.ndarray, need: np.ndarray, slack: np.ndarray, odd: np.ndarray, comp: np.ndarray) -> pa.RecordBatch | None:
+    def listed(key: np.ndarray, sid: np.ndarray, need: np.ndarray, slack: np.ndarray, odd: np.ndarray, comp: np.ndarray, *marked: np.ndarray) -> pa.RecordBatch | None:
         """Whole lists, sorted by (key, need, sid)."""
         fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))  # equal sets of several tasks
         key, sid, need, slack, odd, comp = (v[fresh] for v in (key, sid, need, slack, odd, comp))
+        size, marks = (marked[0][fresh], np.stack([v[fresh] for v in marked[1:]], axis=1)) if marked else (None, None)
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
         two = starts[sizes == 2]
         two = two[(slack[two] >= need[two + 1]) & (slack[two + 1] >= need[two]) & (comp[two] != comp[two + 1])]
+        if size is not None and marks is not None:
+            two = two[can_share(two, two + 1, need, size, marks)]
         singles = [(two, two + 1)]
         leads: list[tuple[np.ndarray, np.ndarray]] = []
         for at, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             here = slice(at, at + m)
-            if (pairs := direct_pairs(need[here], slack[here], comp[here], short * m)) is not None:
+            if (pairs := direct_pairs(need[here], slack[here], comp[here], short * m, *(() if size is None or marks is None else (size[here], marks[here])))) is not None:
                 singles.append((pairs[0] + at, pairs[1] + at))
             else:
                 leader = at + int(np.argmin(odd[here]))
@@ -214,7 +240,7 @@ def _lists(entries: DataFrame, short: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(batch.num_columns)]
             now[2:5] = [x.astype(np.int64) for x in now[2:5]]
             if held:
                 now = [np.concatenate(c) for c in zip(held, now, strict=True)]
@@ -225,7 +251,7 @@ def _lists(entries: DataFrame, short: int) -> DataFrame:
         if held and (out := listed(*held)) is not None:
             yield out
 
-    return entries.repartition("key").sortWithinPartitions("key", "need", "sid").select("key", "sid", "need", "slack", "odd", "comp").mapInArrow(run, _CANDIDATE)
+    return entries.repartition("key").sortWithinPartitions("key", "need", "sid").select("key", "sid", "need", "slack", "odd", "comp", *(c for c in _MARKED if c in entries.columns)).mapInArrow(lean(run), _CANDIDATE)
 
 
 def _hot_lists(entries: DataFrame) -> DataFrame:
@@ -251,7 +277,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
     shared = pairs.sparkSession.sparkContext.broadcast(common)
     left = pairs.join(sets.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
     both = left.join(sets.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "star", "ta", "tb")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("w", pa.int64()), ("wa", pa.int64()), ("c", pa.int64()), ("odd", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("stays", pa.bool_()), ("w", pa.int64()), ("wa", pa.int64()), ("c", pa.int64()), ("odd", pa.int32()), ("keys", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
 
     def reference(x: np.ndarray) -> np.ndarray:
         r = x[shared.value[count_table.cells(x)]]
@@ -283,7 +309,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
                     _, x, r = last
                     y = set_of(b, tb)
                     inter = len(np.intersect1d(x, y, assume_unique=True))
-                    row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None, None)
+                    row: tuple = (a, b, 100 * inter >= PERCENT * (len(x) + len(y) - inter), False, None, None, None, None, None, None)
                     if star:
                         held = np.intersect1d(r, y, assume_unique=True)
                         c, m = len(r), len(held)
@@ -291,13 +317,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray) -> DataFram
                             gone, new = np.setdiff1d(r, held, assume_unique=True), np.setdiff1d(y, held, assume_unique=True)
                             order = np.sort(np.concatenate([shingles.mix(gone ^ _SIGN), new]))
                             keys = _signed(shingles.mix(order ^ np.uint64(a & 0xFFFFFFFFFFFFFFFF)))
-                            row = (*row[:4], 4 * len(gone) + 3 * len(new), 3 * (len(x) - c), c, len(y) - int(shared.value[count_table.cells(y)].sum()), keys)
+                            row = (*row[:4], 4 * len(gone) + 3 * len(new), 3 * (len(x) - c), c, len(y) - int(shared.value[count_table.cells(y)].sum()), keys, marks_of(keys))
                         row = (*row[:3], not near or 4 * m < c + len(y), *row[4:])
                     for column, v in zip(out, row, strict=True):
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
-    return both.mapInArrow(run, "a long, b long, linked boolean, stays boolean, w long, wa long, c long, odd int, keys array<long>")
+    return both.mapInArrow(lean(run), "a long, b long, linked boolean, stays boolean, w long, wa long, c long, odd int, keys array<long>, marks array<long>")
 
 
 def _implied(judged: DataFrame) -> DataFrame:
@@ -316,7 +342,7 @@ def _in_classes(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _differences(judged: DataFrame, roots: DataFrame) -> DataFrame:
     """The entries of the differences that sets near one reference must share with those of other classes near it."""
-    near = _in_classes(judged.filter("keys is not null").select("a", F.col("b").alias("sid"), "w", "c", "odd", "keys"), roots)
+    near = _in_classes(judged.filter("keys is not null").select("a", F.col("b").alias("sid"), "w", "c", "odd", "keys", "marks"), roots)
     by_class = near.groupBy("a", "comp").agg(F.min("w").alias("least"))
     first = by_class.groupBy("a").agg(F.min(F.struct("least", "comp")).alias("one"))
     lightest = by_class.join(first, "a").filter("comp <> one.comp").groupBy("a").agg(F.first("one").alias("one"), F.min("least").alias("second"))
@@ -325,8 +351,9 @@ def _differences(judged: DataFrame, roots: DataFrame) -> DataFrame:
     length = F.size("keys") - F.greatest(F.ceil((F.col("w") + partner - F.col("c")) / 7), F.lit(1)) + 1
     prefix = F.slice("keys", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
     need = 2 * F.col("w") - F.col("c")
-    keyed = every.select(F.posexplode(prefix).alias("p", "key"), "sid", need.cast("int").alias("need"), (14 * F.size("keys") - need).alias("slack"), "odd", "comp")
-    return keyed.select("key", "sid", "need", (F.col("slack") - 14 * F.col("p")).cast("int").alias("slack"), "odd", "comp")
+    keyed = every.select(F.posexplode(prefix).alias("p", "key"), "sid", need.cast("int").alias("need"), (14 * F.size("keys") - need).alias("slack"), "odd", "comp", F.size("keys").cast("long").alias("size"), "marks")
+    marks = [F.col("marks")[k].alias(f"mark_{k}") for k in range(MARKS // 64)]
+    return keyed.select("key", "sid", "need", (F.col("slack") - 14 * F.col("p")).cast("int").alias("slack"), "odd", "comp", "size", *marks)
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -354,7 +381,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if led.isEmpty():
             return members, roots
         rest = led.join(judged.filter("stays").select("a", "b"), ["a", "b"], "left_semi").select("key", F.col("b").alias("sid"), "need", "slack", "odd")
-        entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "odd", "comp").union(_differences(judged, roots)), "entries")
+        unmarked = [F.lit(-1 if c == "size" else 0).cast("long").alias(c) for c in _MARKED]
+        entries = written(_in_classes(rest, roots).select("key", "sid", "need", "slack", "odd", "comp", *unmarked).union(_differences(judged, roots)), "entries")
         short *= 4
         found = _candidates(entries, short)
     return members, components(links)

@@ -615,6 +615,33 @@ def test_jaccard_pairs_of_a_list():
     assert ngram_join.direct_pairs(np.full(50, 120), np.full(50, 160), np.arange(50), 400) is None
 
 
+def test_marks_leave_out_no_pair_that_shares_enough():
+    r = np.random.default_rng(5)
+    for _ in range(100):
+        pool = r.integers(0, 1 << 64, 60, dtype=np.uint64).view(np.int64)
+        sets = [r.choice(pool, r.integers(1, 60), replace=False) for _ in range(40)]
+        size, marks = np.array([len(x) for x in sets]), np.stack([ngram_join.marks_of(x) for x in sets])
+        need = r.integers(0, 14 * 30, 40)
+        for i in range(40):
+            can = ngram_join.can_share(i, np.arange(40), need, size, marks)
+            assert all(can[j] or 14 * len(np.intersect1d(sets[i], sets[j])) < need[i] + need[j] for j in range(40))
+
+
+def test_pairs_near_one_leader_that_share_too_little_are_no_candidates(spark, monkeypatch):
+    """300 copies of one text with six words changed, some of them alike: two copies share a change or two, which is too little."""
+    r, n, verified = random.Random(4), [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *a: n.append(pairs.count()) or verified(pairs, *a))
+    base = [f"w{k}" for k in range(200)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 300):
+        w = base.copy()
+        for k in r.sample(range(200), 6):
+            w[k] = f"x{k}" if r.random() < 0.5 else f"x{i}-{k}"
+        docs.append((i, " ".join(w)))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join_documents(make_docs(spark, docs)).collect()}
+    assert got == brute_components(docs) and sum(n) <= 20 * len(docs)
+
+
 def test_jaccard_join_with_a_shingle_in_every_set(spark, monkeypatch):
     """A line that 3,000 unlike documents hold, and short ones that hold little else: few rounds, and no link lost."""
     r, line = random.Random(8), "this line is in all of the documents here"
