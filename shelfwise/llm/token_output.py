@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm import token_coder
-from shelfwise.llm.common import table, written
+from shelfwise.llm.common import lean, table, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -184,7 +184,7 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None, id_col: str = "d
         if held:
             yield full()
 
-    return written(ordered.mapInArrow(run, "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, payload binary"), "tokens")
+    return written(ordered.mapInArrow(lean(run), "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, payload binary"), "tokens")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                 n = len(doc_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(([part] * n, [segment] * n, doc_ids, starts, lengths, crc), schema, strict=True)], schema=schema)
 
-    decoded = segments.select("part", "segment", "doc_ids", "lengths", "payload").mapInArrow(run, "part int, segment int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    decoded = segments.select("part", "segment", "doc_ids", "lengths", "payload").mapInArrow(lean(run), "part int, segment int, doc_id long, local long, n_tokens long, ids_crc32 long")
     decoded = written(decoded, "decoded")  # a join that is planned anew would decode again
     zero = F.lit(0).cast("long")
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))

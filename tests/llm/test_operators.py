@@ -705,3 +705,20 @@ def test_chat_escapes_and_round_trips(spark):
     back = {x["conv_id"]: x for x in chat_format.read_back(chat_format.format_conversations(rows)).collect()}
     assert back[1]["n_turns"] == 4 and back[1]["loss_sha256"] == hashlib.sha256("a </s> bé🙂".encode()).hexdigest()
     assert back[None]["n_turns"] == 1 and chat_format.format_conversations(rows.limit(0)).count() == 0
+
+
+def test_a_task_leaves_nothing_behind_in_its_worker(monkeypatch):
+    from shelfwise.llm import common, shingles
+
+    released = []
+    monkeypatch.setattr(common, "release", lambda: released.append(len(shingles._words)))
+
+    def run(batches):
+        for b in batches:
+            yield len(shingles.word_hashes(b))
+
+    assert list(common.lean(run)(iter([b"a b", b"c"]))) == [2, 1] and released == [0]
+    early = common.lean(run)(iter([b"a b", b"c"]))
+    next(early)
+    early.close()
+    assert released == [0, 0] and common.lean(run).__name__ == "run"
