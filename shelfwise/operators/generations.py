@@ -142,14 +142,15 @@ def sweep(spark: SparkSession, at: str) -> list[str]:
     return gone
 
 
-def publish(spark: SparkSession, at: str, outputs: Mapping[str, DataFrame], info: Mapping[str, object] | None = None, mode: str = "deep", started: str = "", completed: str = "", check: Callable[[Run], None] | None = None, generation: str | None = None) -> dict:
+def publish(spark: SparkSession, at: str, outputs: Mapping[str, DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]], info: Mapping[str, object] | None = None, mode: str = "deep", started: str = "", completed: str = "", check: Callable[[Run], None] | None = None, generation: str | None = None) -> dict:
     """K8: writes all outputs and publishes them beside the tables of other names, all or none: whatever fails, both old ones stay.
 
-    `check` looks at the staged tables before they count and raises if they may not."""
+    An output may be a function of the tables staged before it, which reads what they hold rather than making it again. `check` looks at the staged tables before they count and raises if they may not."""
     run = begin(spark, at, mode, started, generation)
     try:
+        staged: dict[str, DataFrame] = {}
         for name, rows in outputs.items():
-            stage(run, name, rows)
+            staged[name] = stage(run, name, rows(staged) if callable(rows) else rows)
         if check:
             check(run)
         before = active(spark, at) or {}

@@ -6,7 +6,7 @@ visible, so a reader never sees half of it, and a run that fails leaves what was
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,8 +110,10 @@ def _summary(mapped: DataFrame, skipped: DataFrame) -> DataFrame:
     return both.agg(F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_mapped"), F.coalesce(F.sum(1 - F.col("m")), F.lit(0)).cast("long").alias("n_skipped"))
 
 
-def _target_outputs(mapped: DataFrame, skipped: DataFrame, target: str) -> dict[str, DataFrame]:
-    return {_state(target, "skipped"): skipped, _state(target, "summary"): _summary(mapped, skipped), _state(target, "current"): mapped}
+def _target_outputs(mapped: DataFrame, skipped: DataFrame, target: str) -> dict[str, DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """The summary counts what was staged: neither table is made a second time for it."""
+    lost, current = _state(target, "skipped"), _state(target, "current")
+    return {lost: skipped, current: mapped, _state(target, "summary"): lambda staged: _summary(staged[current], staged[lost])}
 
 
 def write_target_state(mapped: DataFrame, skipped: DataFrame, at: str, target: str = "") -> dict:

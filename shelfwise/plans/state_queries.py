@@ -22,6 +22,13 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
 
 
+def _kept(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows, written to shared storage and read back: what several outputs need is made once."""
+    at = _folder(spark)
+    rows.write.parquet(at)
+    return spark.read.schema(rows.schema).parquet(at)
+
+
 def _number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long")
 
@@ -84,9 +91,10 @@ SQL["generation_runs"] = _with(CATALOG + DESCRIPTORS, """, runs(step, outcome, m
 def published_metrics(spark: SparkSession, d: str) -> DataFrame:
     """A snapshot and a target's state that are published together; a second publication fails when its outputs are
     written, and readers find the first one."""
-    at, alias = _folder(spark), purchases.aliases(base.documents_product_only(spark, d))
-    counts, mapped = base.purchase_totals(spark, d), base._state(spark, d)
-    skipped = purchases.skipped(counts, alias)
+    at = _folder(spark)
+    alias = _kept(spark, purchases.aliases(base.documents_product_only(spark, d)))
+    counts = _kept(spark, base.purchase_totals(spark, d))
+    mapped, skipped = purchases.mapped(counts, alias), purchases.skipped(counts, alias)
     state.publish_metrics(counts, mapped, skipped, at, "tr1", 30, "2001-01-01", "en")
 
     def refuse(run: generations.Run) -> None:

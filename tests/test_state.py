@@ -77,6 +77,14 @@ def test_both_outputs_or_neither(spark, at):
         generations.table(spark, at, "c")
 
 
+def test_an_output_may_read_what_was_staged_before_it(spark, at):
+    generations.publish(spark, at, {"a": numbers(spark, 1), "b": lambda staged: staged["a"]})
+    assert (held(spark, at), held(spark, at, "b")) == ([1], [1])
+    places = state._target_outputs(mapped(spark, ("P", "R", "D", 5)), counts(spark, ("S", 1)), "en")
+    with pytest.raises(KeyError):  # the summary has no tables but the staged ones
+        places["summary en"]({})
+
+
 def counts(spark, *rows):
     return spark.createDataFrame(list(rows), "product_id string, units_sold long")
 
