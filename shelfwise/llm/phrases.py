@@ -34,15 +34,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm import shingles
-from shelfwise.llm.common import dropped, table, written
+from shelfwise.llm.common import dropped, lean, table, written
 
 #: What ends a piece, but for "." that all of them become.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 MOST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Merged paths of a group; hashed prefixes a level tells apart; groups at most, beyond which they grow.
 BUDGET, CELLS, GROUPS = 1_000_000, 1 << 16, 1 << 16
-#: Cells, as a power of two, by which phrases that come too seldom are told beforehand: 128 MB in a task, 8 MB broadcast.
-BITS, _CHUNK, _STEP = 26, 1 << 16, 60_000
+#: Cells, as a power of two, by which phrases that come too seldom are told beforehand: 64 MB in a task, 8 MB broadcast.
+BITS, _CHUNK = 26, 1 << 16
 #: Sorted paths that become nodes at once.
 _ROWS = 100_000
 #: Bytes of documents whose paths are merged at once, and merged paths of several such lots that are merged again.
@@ -121,21 +121,26 @@ def _lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, l
     yield from held.items()
 
 
+def _add(counts: np.ndarray, cells: np.ndarray, least: int) -> None:
+    """Counts cells, each up to `least`, beyond which nothing needs to be told apart."""
+    cells = np.sort(cells.astype(np.int32))
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    some = cells[first]
+    counts[some] = np.minimum(counts[some] + np.diff(first, append=len(cells)), least)
+
+
 def _frequent(docs: DataFrame, least: int, bits: int = BITS, lot: int = LOT) -> np.ndarray:
     """A bit for each of 2^bits cells: whether the phrases of up to `MOST` words of that cell come at least so often in all. A task counts into a
     table of its own; Spark adds them up, and a bit for each cell reaches the driver, whatever the input."""
     least = min(least, 255)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.uint16)  # beyond `least` nothing needs to be told apart
+        counts = np.zeros(1 << bits, dtype=np.uint8)
         for lang, texts in _lots(batches, lot):
             ids, names = _marked(texts, ordered=False)
             for _, cells in _grams(ids, _hashes(lang, names), MOST, bits):
-                for k in range(0, len(cells), _STEP):  # so few that no count runs over
-                    some = cells[k : k + _STEP]
-                    np.add.at(counts, some, np.uint16(1))
-                    counts[some] = np.minimum(counts[some], least)
-        parts = [(k, zlib.compress(part.astype(np.uint8).tobytes(), 1)) for k, part in enumerate(counts.reshape(-1, min(_CHUNK, 1 << bits))) if part.any()]
+                _add(counts, cells, least)
+        parts = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(counts.reshape(-1, min(_CHUNK, 1 << bits))) if part.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], type=pa.int64()), pa.array([c for _, c in parts], type=pa.binary())], names=["chunk", "counts"])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,9 +152,9 @@ def _frequent(docs: DataFrame, least: int, bits: int = BITS, lot: int = LOT) ->
         marks = [np.packbits(v >= least).tobytes() for v in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int64()), pa.array(marks, type=pa.binary())], names=["chunk", "bits"])
 
-    parts = docs.mapInArrow(counted, "chunk long, counts binary").repartition("chunk")
+    parts = docs.mapInArrow(lean(counted), "chunk long, counts binary").repartition("chunk")
     out = np.zeros(1 << bits >> 3, dtype=np.uint8)
-    for chunk, marks in parts.mapInArrow(added, "chunk long, bits binary").collect():
+    for chunk, marks in parts.mapInArrow(lean(added), "chunk long, bits binary").collect():
         out[chunk * len(marks) : (chunk + 1) * len(marks)] = np.frombuffer(marks, dtype=np.uint8)
     return out
 
@@ -201,17 +206,20 @@ def _paths(docs: DataFrame, frequent: np.ndarray, lot: int = LOT) -> DataFrame:
                 size += batch.num_rows
             if size >= AGAIN:
                 yield from _merged_again(held)
-                held, size = [], 0
+                size = 0
         if held:
             yield from _merged_again(held)
 
-    return docs.mapInArrow(run, "path binary, n long")
+    return docs.mapInArrow(lean(run), "path binary, n long")
 
 
 def _merged_again(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal paths of several lots as one, in order: neighbours that begin alike take little room."""
-    one = pa.Table.from_batches(parts).group_by("path", use_threads=False).aggregate([("n", "sum")]).rename_columns(["path", "n"])
-    yield from one.take(pc.sort_indices(one, [("path", "ascending")])).to_batches(max_chunksize=1 << 17)
+    """Equal paths of several lots as one, in order: neighbours that begin alike take little room. The list is emptied."""
+    one = pa.Table.from_batches(parts)
+    parts.clear()
+    one = one.group_by("path", use_threads=False).aggregate([("n", "sum")]).rename_columns(["path", "n"])
+    one = one.take(pc.sort_indices(one, [("path", "ascending")]))
+    yield from one.to_batches(max_chunksize=1 << 17)
 
 
 def _cell(depth: int) -> Column:
@@ -253,69 +261,81 @@ def grouped(paths: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, int]:
     return rows, max(groups, 1)
 
 
-def _common(paths: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _common(paths: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """How many symbols each path has in common with the one before it, and how many it has."""
-    sizes = np.array([len(p) for p in paths], dtype=np.int64)
-    width = int(sizes.max()) + 1
-    text = np.zeros((len(paths), width), dtype=np.uint8)
-    text.ravel()[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(paths)) * width - (np.cumsum(sizes) - sizes), sizes)] = np.frombuffer(b"".join(paths), dtype=np.uint8)
-    ends = np.cumsum(text == 0, axis=1, dtype=np.int16)  # byte 0 stands behind each symbol, the last one too
-    symbols = 1 + ends[np.arange(len(paths)), sizes - 1].astype(np.int64)
-    differ = text[1:] != text[:-1]
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    row = np.arange(1, len(paths))
-    # symbols that end before the first byte that differs
-    same = np.where(first > 0, ends[row, np.minimum(first, width) - 1], 0).astype(np.int64)
-    same = np.where(first == width, symbols[1:], np.minimum(same, np.minimum(symbols[1:], symbols[:-1])))
-    return np.append(0, same), symbols
-
-
-def tree_nodes(paths: list[bytes], counts: np.ndarray, parted: np.ndarray, least: int) -> list[tuple[bytes, int]]:
-    """Nodes of the tree of sorted paths with their counts, the sums of what is below them: those with at least `least`, and all
-    of at most as many words as `parted` says minus one, which have other parts elsewhere."""
-    if not paths:
-        return []
+    parts = pc.split_pattern(paths, pattern="\0")
+    offsets = parts.offsets.to_numpy().astype(np.int64)
+    symbols = np.diff(offsets)
+    numbers = parts.flatten().dictionary_encode().indices.to_numpy()
+    rows = np.full((len(paths), int(symbols.max())), -1, dtype=np.int32)
+    rows[np.repeat(np.arange(len(paths)), symbols), np.arange(len(numbers)) - np.repeat(offsets[:-1] - offsets[0], symbols)] = numbers
+    alike = (rows[1:] == rows[:-1]) & (rows[1:] >= 0)
+    return np.append(0, np.logical_and.accumulate(alike, axis=1).sum(axis=1)), symbols
+
+
+def _nodes(paths: pa.Array, counts: np.ndarray, parted: np.ndarray, least: int, ended: bool) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
+    """The nodes of sorted paths as `tree_nodes` says. Unless the paths have ended, those above the last path are still open: they are no
+    nodes yet but paths with what they have so far, for the next ones to begin with."""
     same, symbols = _common(paths)
     out: list[tuple[bytes, int]] = []
+    still: list[int] = []
     for depth in range(1, int(symbols.max()) + 1):
         start = np.flatnonzero((same < depth) & (symbols >= depth))
         if not len(start):
             continue
-        inside = np.where(symbols >= depth, counts, 0)
-        sums = np.add.reduceat(inside, start)
-        for k in np.flatnonzero((sums >= least) | (depth - 1 < parted[start])).tolist():
-            out.append((b"\0".join(paths[start[k]].split(b"\0")[:depth]), int(sums[k])))
-    return out
+        sums = np.add.reduceat(np.where(symbols >= depth, counts, 0), start)
+        keep = (sums >= least) | (depth - 1 < parted[start])
+        if not ended and symbols[-1] >= depth:
+            still.append(int(sums[-1]))
+            keep[-1] = False
+        found = paths.take(pa.array(start[keep])).to_pylist()
+        out += [(b"\0".join(p.split(b"\0")[:depth]), n) for p, n in zip(found, sums[keep].tolist(), strict=True)]
+    last = paths[-1].as_py().split(b"\0")
+    return out, [(b"\0".join(last[: k + 1]), n - below) for k, (n, below) in enumerate(zip(still, [*still, 0][1:], strict=True))]
+
+
+def tree_nodes(paths: list[bytes], counts: np.ndarray, parted: np.ndarray, least: int) -> list[tuple[bytes, int]]:
+    """Nodes of the tree of sorted paths with their counts, the sums of what is below them: those with at least `least`, and all
+    of at most as many words as `parted` says minus one, which have other parts elsewhere."""
+    return _nodes(pa.array(paths, type=pa.binary()), counts, parted, least, True)[0] if paths else []
+
+
+def nodes_of(batches: Iterator[pa.RecordBatch], least: int, rows: int = _ROWS) -> Iterator[list[tuple[bytes, int]]]:
+    """The nodes of sorted paths (path, n, depth), so many rows at a time; a node that goes on is carried, whatever its size."""
+    held: list[pa.RecordBatch] = []
+    still: list[tuple[bytes, int]] = []
+    size, depth = 0, 0
+
+    def made(ended: bool) -> list[tuple[bytes, int]]:
+        nonlocal still, depth, size
+        path = pa.concat_arrays([pa.array([p for p, _ in still], type=pa.binary()), *(b.column(0) for b in held)])
+        n, parted = (np.concatenate([first, *(b.column(c).to_numpy() for b in held)]) for c, first in ((1, [n for _, n in still]), (2, [depth] * len(still))))
+        held.clear()
+        out, still = _nodes(path, n.astype(np.int64), parted.astype(np.int64), least, ended)
+        depth, size = int(parted[-1]), 0
+        return out
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield made(False)
+    if held or still:
+        yield made(True)
 
 
 def _counted(rows: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, n_words, n) of the subtrees of each partition, whose paths come sorted; a phrase of no words is the language."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n_words", pa.int32()), ("n", pa.int64())])
 
-    def made(paths: list[bytes], counts: list[int], depths: list[int]) -> pa.RecordBatch:
-        found = tree_nodes(paths, np.array(counts, dtype=np.int64), np.array(depths, dtype=np.int64), least)
-        names = [[_word(s).decode() for s in path.split(b"\0")] for path, _ in found]
-        columns = [[p[0] for p in names], [" ".join(p[1:]) for p in names], [len(p) - 1 for p in names], [n for _, n in found]]
-        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list] = ([], [], [])
-        for batch in batches:
-            for column, new in zip(held, batch.columns, strict=True):
-                column += new.to_pylist()
-            if len(held[0]) >= _ROWS:
-                # a lot ends where the prefix that its group was made by does; what is shorter is added up later
-                cut = len(held[0]) - 1
-                prefix = held[0][cut].split(b"\0")[: held[2][cut] + 1]
-                while cut and held[0][cut - 1].split(b"\0")[: len(prefix)] == prefix:
-                    cut -= 1
-                if cut:
-                    yield made(*(c[:cut] for c in held))
-                    held = tuple(c[cut:] for c in held)
-        if held[0]:
-            yield made(*held)
-
-    return rows.mapInArrow(run, "lang string, phrase string, n_words int, n long")
+        for found in nodes_of(batches, least):
+            names = [[_word(s).decode() for s in path.split(b"\0")] for path, _ in found]
+            columns = [[p[0] for p in names], [" ".join(p[1:]) for p in names], [len(p) - 1 for p in names], [n for _, n in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(lean(run), "lang string, phrase string, n_words int, n long")
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, budget: int = BUDGET, bits: int = BITS, lot: int = LOT) -> DataFrame:

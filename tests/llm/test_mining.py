@@ -6,11 +6,13 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -95,6 +97,37 @@ def test_tree_nodes_are_sums_of_leaves():
             assert got == {p: n for p, n in want.items() if n >= least or len(p) == 1}
 
 
+def test_nodes_take_little_memory_and_go_on_over_batches():
+    """A very long word doesn't widen what other paths take; a word that starts all paths is read a few rows at a time."""
+    long = sorted([b"l\0" + b"x" * 1_000_000, *(b"l\0w%03d" % k for k in range(300))])
+    tracemalloc.start()
+    got = phrases.tree_nodes(long, np.full(len(long), 10), np.ones(len(long), dtype=np.int64), 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 302 and peak < 30_000_000
+    r = random.Random(6)
+    leaves = Counter(b"\0".join([b"l", *([b"hot"] if r.random() < 0.9 else []), *(r.choice([b"a", b"b", b"cc", b"d"]) for _ in range(r.randint(0, 2)))]) for _ in range(2000))
+    paths = sorted(p for p, n in leaves.items() for _ in range(min(n, 40)))  # equal paths of several lots
+    counts = np.array([r.randint(1, 9) for _ in paths])
+    for depth, least in ((1, 10), (2, 500), (3, 10)):
+        parted = np.full(len(paths), depth)
+        want = sorted(phrases.tree_nodes(paths, counts, parted, least))
+        for rows in (1, 7, 10**6):
+            batches = [pa.RecordBatch.from_arrays([pa.array(paths[k : k + 5]), pa.array(counts[k : k + 5]), pa.array(parted[k : k + 5])], names=["path", "n", "depth"]) for k in range(0, len(paths), 5)]
+            lots = list(phrases.nodes_of(iter(batches), least, rows))
+            assert sorted(x for lot in lots for x in lot) == want and (rows > 7 or len(lots) > 50)
+
+
+def test_counts_of_cells_end_at_the_least():
+    rng = np.random.default_rng(1)
+    counts, all_ = np.zeros(1 << 10, dtype=np.uint8), np.zeros(1 << 10, dtype=np.int64)
+    for n in (0, 1, 50_000, 300):
+        cells = rng.integers(0, 1 << 10, n) // rng.integers(1, 40, n)
+        phrases._add(counts, cells, 255)
+        all_ += np.bincount(cells, minlength=1 << 10)
+    assert (counts == np.minimum(all_, 255)).all() and all_.max() > 255
+
+
 def test_phrase_groups_respect_the_budget(spark):
     r = random.Random(4)
     docs = make_docs(spark, [(i, " ".join(r.choice(["the", f"w{r.randint(0, 200)}"]) for _ in range(300))) for i in range(60)])
