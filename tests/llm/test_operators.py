@@ -7,12 +7,14 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfwise.llm import chat_format, compact_windows, decontam, graph, lm_score, mixing, ngram_join, pii, quality, registry, suffix_dedup, token_coder, token_output
@@ -449,6 +451,52 @@ def test_passages_inside_foreign_text_are_verified_at_every_offset():
     assert found >= 0.9 * true
 
 
+def test_hits_of_many_pairs_are_joined_at_once():
+    """Each pair as by itself, also those of sliced lists, and without an object for each hit."""
+    rng = np.random.default_rng(9)
+    sizes = np.append(rng.integers(1, 12, 60), 0)
+    pair = np.repeat(np.arange(len(sizes)), sizes)
+    wa, wb = ((rng.integers(100, 260, len(pair)) << 12) | (rng.integers(0, 64, len(pair)) << 6) | rng.integers(45, 64, len(pair)) for _ in "ab")
+    f = rng.integers(0, compact_windows.FUNCTIONS, len(pair))
+    keep = compact_windows.agreeing(wa, wb, f, pair)
+    assert 0 < keep.sum() < len(keep)
+    assert all((keep[pair == k] == compact_windows.agreeing(wa[pair == k], wb[pair == k], f[pair == k])).all() for k in range(len(sizes)))
+
+    class Pairs:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            self.run = run
+            return self
+
+    def batch(times):
+        hits = [{"wa": int(x), "wb": int(y), "f": int(z), "key": None if z else int(x)} for x, y, z in zip(wa, wb, f, strict=True)]
+        ends = np.cumsum(sizes)
+        lists = [hits[e - n : e] for e, n in zip(ends, sizes, strict=True)] * times
+        kind = pa.list_(pa.struct([("wa", pa.int64()), ("wb", pa.int64()), ("f", pa.int32()), ("key", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array(range(len(lists))), pa.array(range(1000, 1000 + len(lists))), pa.array(lists, type=kind)], names=["a", "b", "hits"])
+
+    run = compact_windows._wanted(Pairs()).run
+    rows = [r for b in run(iter([batch(2).slice(len(sizes) - 1, len(sizes))])) for r in b.to_pylist()]
+    left, right = (w >> 12 for w in (wa, wb))
+    for k in range(len(sizes) - 1):
+        mine = (pair == k) & keep
+        got = {r["doc"]: r for r in rows if r["a"] == len(sizes) + k}
+        assert len(got) == 2 * mine.any()
+        if mine.any():
+            a, b = got[len(sizes) + k], got[1000 + len(sizes) + k]
+            assert a["hits"] is None and [(h["wa"], h["wb"], h["key"]) for h in b["hits"]] == [(x, y, None if z else x) for x, y, z in zip(wa[mine].tolist(), wb[mine].tolist(), f[mine].tolist(), strict=True)]
+            for row, at, w in ((a, left, wa), (b, right, wb)):
+                assert row["begin"] == max(0, int((at - (w >> 6 & 63))[mine].min()) - compact_windows.TOKENS)
+                assert row["end"] == int((at + (w & 63))[mine].max()) + compact_windows.TOKENS + compact_windows.shingles.WIDTH
+    parts = list(compact_windows._slices(batch(2), 2, 20))
+    assert [r["a"] for part in parts for r in part.to_pylist()] == list(range(2 * len(sizes))) and all(part.num_rows == 1 or sum(len(r["hits"]) for r in part.to_pylist()) <= 20 for part in parts) and len(parts) > 30
+    many = batch(150)  # 9,150 pairs, some 54,000 hits
+    tracemalloc.start()
+    assert sum(b.num_rows for b in run(iter([many]))) == 150 * len(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 * len(pair) * 150
+
+
 def test_equal_windows_have_equal_contents():
     rng = np.random.default_rng(3)
     t = rng.integers(0, 1 << 62, 60).astype(np.uint64)
