@@ -127,8 +127,10 @@ def _stretches(ids: np.ndarray, doc: np.ndarray, exponent: int, least: int) -> t
         _, kind, count = np.unique(part * (int(ids.max()) + 1) + ids[at], return_inverse=True, return_counts=True)
         keep = count[kind] >= exponent
         at, part = at[keep], part[keep]
-        part = np.cumsum(np.append(0, (np.diff(at) != 1) | (np.diff(part) != 0))) if len(at) else part
-        long = np.bincount(part)[part] >= least if len(at) else keep
+        if not len(at):
+            break
+        part = np.cumsum(np.append(0, (np.diff(at) != 1) | (np.diff(part) != 0)))
+        long = np.bincount(part)[part] >= least
         if keep.all() and long.all():
             break
         at, part = at[long], part[long]

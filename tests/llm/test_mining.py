@@ -207,6 +207,16 @@ def test_runs_query_by_brute_force(spark, tmp_path):
     assert periodic_runs.periodic_runs(make_docs(spark, [])).count() == 0
 
 
+def test_runs_of_lots_without_a_word_that_comes_often(spark):
+    """A lot can be the few short documents that are left of a batch: then no word comes often enough, at once or once others have parted the text."""
+    texts = ["a b", "one word more", "", "a b c a b c x a b c y a b c", "x"]
+    for lot in [[t] for t in texts] + [texts]:
+        lot = [t.encode().split() for t in lot]
+        assert periodic_runs.runs_of_texts(lot) == [brute_runs(t) for t in lot] == [[]] * len(lot)
+    rows = periodic_runs.periodic_runs(make_docs(spark, list(enumerate(texts))).coalesce(1)).collect()
+    assert sorted(tuple(x) for x in rows) == [(i, len(t.split()), [], t) for i, t in enumerate(texts)]
+
+
 def test_runs_take_linear_time():
     r = np.random.default_rng(1)
     s = np.tile(r.integers(0, 50, 1000), 60)
