@@ -408,6 +408,54 @@ def test_compact_windows_are_the_cartesian_trees():
         assert sorted(zip(*(x.tolist() for x in compact_windows.compact_windows(h, least)), strict=True)) == sorted(want)
 
 
+def test_shingles_of_many_texts_at_once():
+    texts = [b"", b"a b c d", b"A b\x0bc\td E", b"a b c d e f", b" a  b c d e\n", b"a b c d e\x00", b"", "É b c d e é".encode(), b"x" * 300 + b" b c d e", b"a b c d e"]
+    data, ends = np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([len(t) for t in texts])
+    got, sizes = compact_windows.shingles.of_texts(data, ends)
+    words = [t.lower().split() for t in texts]
+    want = [tuple(w[i : i + 5]) for w in words for i in range(len(w) - 4)]
+    assert sizes.tolist() == [max(len(w) - 4, 0) for w in words]
+    assert len(set(want)) == len(set(got.tolist())) == len(set(zip(want, got.tolist(), strict=True)))
+    column = pa.array(texts, type=pa.binary())
+    for x, y in ((0, len(texts)), (2, 7), (4, 4), (0, 1)):
+        part, n = compact_windows._shingles(column.slice(x, y - x))
+        assert n.tolist() == sizes[x:y].tolist() and part.tolist() == got[sizes[:x].sum() : sizes[:y].sum()].tolist()
+
+
+def test_windows_of_many_texts_are_their_windows_within_reach():
+    rng = np.random.default_rng(3)
+    reach, late = compact_windows.TOKENS - 1, np.zeros(1 << compact_windows.count_table.BITS, dtype=bool)
+    texts = [compact_windows.shingles.mix(rng.integers(0, kinds, n).astype(np.uint64)) for n, kinds in ((46, 9), (45, 2), (400, 1000), (300, 3), (47, 1), (2000, 60))]
+    for f, (key, at, win) in enumerate(compact_windows.windows_of(texts, late)):
+        got = sorted(zip(at.tolist(), *(v.tolist() for v in compact_windows.place_of(win)), key.tolist(), strict=True))
+        want = []
+        for k, text in enumerate(texts):
+            h = (compact_windows.shingles.mix(text ^ compact_windows._SALTS[f]) >> np.uint64(1)) // 4 * 4 + np.uint64(f)
+            for left, c, right in zip(*(v.tolist() for v in compact_windows.compact_windows(h)), strict=True):
+                want.append((k, max(left, c - reach), c, min(right, c + reach), int(h[c])))
+        assert got == sorted(want) and {k for k, *_ in got} == {0, 2, 3, 4, 5}
+
+
+def test_offsets_of_all_hits_of_a_pair_at_once(monkeypatch):
+    """Each is that of `best_offset`, which slides in Python for pairs only in which a shingle comes twice."""
+    rng = np.random.default_rng(4)
+    slide, seen = compact_windows.best_offset, set()
+    for kinds in (1 << 60, 1 << 60, 120):
+        for _ in range(30):
+            a = rng.integers(0, kinds, 300).astype(np.uint64)
+            b = np.where(rng.random(300) < rng.choice([0.02, 0.1, 0.2]), rng.integers(0, kinds, 300).astype(np.uint64), a)
+            b = np.concatenate([b[:150], rng.integers(0, kinds, 2).astype(np.uint64), b[150:-2]])
+            c = rng.integers(50, 250, 25)
+            least, most = rng.integers(0, 30, 25), rng.integers(20, compact_windows.TOKENS, 25)
+            want = [slide(a.tolist(), b.tolist(), *hit) for hit in zip(c.tolist(), c.tolist(), least.tolist(), most.tolist(), strict=True)]
+            with monkeypatch.context() as m:
+                if kinds == 1 << 60:
+                    m.setattr(compact_windows, "best_offset", None)
+                assert compact_windows.best_offsets(a, b, c, c, least, most) == want
+            seen |= {x is None for x in want}
+    assert seen == {False, True}
+
+
 def test_repeated_passages(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     own = lambda k: " ".join(f"d{k}x{i}" for i in range(80))
