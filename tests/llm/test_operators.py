@@ -425,7 +425,7 @@ def test_shingles_of_many_texts_at_once():
 def test_windows_of_many_texts_are_their_windows_within_reach():
     rng = np.random.default_rng(3)
     reach, late = compact_windows.TOKENS - 1, np.zeros(1 << compact_windows.count_table.BITS, dtype=bool)
-    texts = [compact_windows.shingles.mix(rng.integers(0, kinds, n).astype(np.uint64)) for n, kinds in ((46, 9), (45, 2), (400, 1000), (300, 3), (47, 1), (2000, 60))]
+    texts = [compact_windows.shingles.mix(rng.integers(0, 1 << 60, n).astype(np.uint64)) for n in (46, 45, 400, 47, 2000, 1)]
     for f, (key, at, win) in enumerate(compact_windows.windows_of(texts, late)):
         got = sorted(zip(at.tolist(), *(v.tolist() for v in compact_windows.place_of(win)), key.tolist(), strict=True))
         want = []
@@ -433,7 +433,36 @@ def test_windows_of_many_texts_are_their_windows_within_reach():
             h = (compact_windows.shingles.mix(text ^ compact_windows._SALTS[f]) >> np.uint64(1)) // 4 * 4 + np.uint64(f)
             for left, c, right in zip(*(v.tolist() for v in compact_windows.compact_windows(h)), strict=True):
                 want.append((k, max(left, c - reach), c, min(right, c + reach), int(h[c])))
-        assert got == sorted(want) and {k for k, *_ in got} == {0, 2, 3, 4, 5}
+        assert got == sorted(want) and {k for k, *_ in got} == {0, 2, 3, 4}
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 40])
+def test_repeated_shingles_lead_few_windows_that_hold_all_passages(period):
+    rng = np.random.default_rng(period)
+    own = lambda n: rng.integers(0, 1 << 60, n).astype(np.uint64)
+    again, tail = np.tile(own(period), 4000 // period), own(30)
+    texts = [np.concatenate([own(100), again, tail]), np.concatenate([again[: 2000 // period * period], tail]), again]
+    late = np.zeros(1 << compact_windows.count_table.BITS, dtype=bool)
+    for key, at, win in compact_windows.windows_of(texts, late):
+        left, c, right = compact_windows.place_of(win)
+        for k, text in enumerate(texts):
+            x, y = left[at == k], right[at == k] - compact_windows.TOKENS + 1
+            order = np.argsort(x)
+            assert x[order[0]] == 0 and y[order[-1]] == len(text) - compact_windows.TOKENS and (x[order][1:] == y[order][:-1] + 1).all()
+            assert len(x) < 6 * len(text) / compact_windows.TOKENS + 20
+        # passages across the end of the stretch meet there: the last window of the first two texts is led from the same place before their ends
+        ends = [[(len(texts[k]) - int(p), int(q)) for p, q in zip(c[at == k], key[at == k], strict=True) if p >= len(texts[k]) - 60] for k in (0, 1)]
+        assert sorted(ends[0])[:1] == sorted(ends[1])[:1]
+
+
+def test_passages_that_end_in_a_word_said_again_and_again(spark):
+    said, begin, end = (lambda n: "en " * n), " ".join(f"u{i}" for i in range(40)), " ".join(f"t{i}" for i in range(40))
+    own = lambda k: " ".join(f"d{k}x{i}" for i in range(80))
+    docs = [(k, f"{own(k)} {begin} {said(n)}{end} {own(10 + k)}") for k, n in ((1, 300), (2, 90), (3, 2000))]
+    rows = {r["doc_id"]: r["spans"] for r in compact_windows.repeated_passages(make_docs(spark, docs)).collect()}
+    for k, n in ((2, 90), (3, 2000)):
+        assert {x for s in rows[k] if not s["first"] for x in range(s["begin"], s["end"])} >= set(range(80, 160 + n))
+        assert len(rows[k]) < 600
 
 
 def test_offsets_of_all_hits_of_a_pair_at_once(monkeypatch):
